@@ -26,12 +26,15 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def pinned_partitions(spark: SparkSession, partitions: int):
     """Plan with exactly ``partitions`` shuffle partitions.
 
-    AQE partition coalescing is paused meanwhile: a coalesced rank table
-    would no longer line up with the link table's partitioning.
+    Adaptive execution is paused meanwhile: an adaptive plan reports no
+    output partitioning, so a checkpointed rank table would lose its hash
+    layout (and a coalesced one would no longer line up with the links).
+    The loop's plan is fixed by construction - co-partitioned join, one
+    partially aggregated exchange - so there is nothing to re-plan.
     """
     keys = {
         "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.enabled": "false",
     }
     old = {k: spark.conf.get(k, None) for k in keys}
     for k, v in keys.items():
