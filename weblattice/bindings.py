@@ -34,7 +34,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines_from_text(table(spark, sf_dir, "documents").select("text"))
+    return lines_from_text(table(spark, sf_dir, "documents").select("text"),
+                           min_partitions=spark.sparkContext.defaultParallelism)
 
 
 def page_hrefs(pages: DataFrame):

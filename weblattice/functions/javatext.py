@@ -24,7 +24,8 @@ def java_split(c, sep: str) -> Column:
     """Java ``s.split(sep)`` for a literal one-character separator."""
     s = _col(c)
     esc = re.escape(sep)
-    stripped = F.regexp_replace(s, f"(?:{esc})+$", "")
+    # SQL rtrim strips spaces only, and needs no regex
+    stripped = F.rtrim(s) if sep == " " else F.regexp_replace(s, f"(?:{esc})+$", "")
     return (
         F.when(s.isNull(), F.lit(None))
         .when(s == "", F.array(F.lit("")))

@@ -33,8 +33,10 @@ original job captured them in closures.
 from __future__ import annotations
 
 import math
+import time
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,45 +72,52 @@ class PreparedLinks:
 
 
 def prepare_links(edges: DataFrame, partitions: int | None = None,
-                  hot_threshold: int | None = None) -> PreparedLinks:
+                  hot_threshold: int | None = None, distinct: bool = False) -> PreparedLinks:
     """Lay out ``(src, dst[, n])`` edges for repeated joins with ranks.
 
-    Must be called inside ``pinned_partitions`` (``rank_loop`` does).
+    The source is read once: link rows are summed per ``(src, dst)`` (a shuffle
+    on the pair, balanced even for a hot source) and checkpointed; degrees,
+    the hot/cold split and both layouts are derived from that table.
+    ``distinct=True`` counts every pair once. Call inside ``pinned_partitions``.
     """
     spark = edges.sparkSession
     p = partitions or shuffle_partitions(spark)
     e = with_multiplicity(edges)
-    sources = e.groupBy("src").agg(F.sum("n").alias("deg"), F.count(F.lit(1)).alias("rows"))
-    sources = materialize(sources, persist=True)
-    total = sources.agg(F.sum("rows")).first()[0] or 0
+    if distinct:
+        pairs = e.groupBy("src", "dst").agg(F.lit(1).cast("bigint").alias("n"))
+    else:
+        pairs = e.groupBy("src", "dst").agg(F.sum("n").alias("n"))
+    # read three times below; cached, not checkpointed: only the loop's own
+    # tables need to survive executor loss without a recompute
+    pairs = pairs.persist(StorageLevel.MEMORY_AND_DISK)
+    sources = pairs.groupBy("src").agg(F.sum("n").alias("deg"), F.count(F.lit(1)).alias("rows"))
+    sources = sources.persist(StorageLevel.MEMORY_AND_DISK)
+    total, widest = sources.agg(F.sum("rows"), F.max("rows")).first()
+    total, widest = total or 0, widest or 0
     threshold = hot_threshold if hot_threshold is not None else max(MIN_HOT_ROWS, math.ceil(total / p))
     hot_sources = sources.where(F.col("rows") > threshold).select("src")
-    n_hot = hot_sources.count()  # <= total / threshold <= p
+    # at most total / threshold <= p sources: a proven bound for the broadcast
+    n_hot = hot_sources.count() if widest > threshold else 0
     cached = [sources]
-
-    def weighted(part: DataFrame, deg: DataFrame) -> DataFrame:
-        return part.join(deg, "src").select(
-            "src", "dst", (F.col("n") / F.col("deg")).alias("w"))
-
     deg = sources.select("src", "deg")
-    if n_hot == 0:
-        cold_rows, hot = e, None
-    else:
+    cold_rows = pairs
+    hot = None
+    if n_hot:
         hot_sources = materialize(hot_sources)
-        cold_rows = e.join(F.broadcast(hot_sources), "src", "left_anti")
-        hot_rows = e.join(F.broadcast(hot_sources), "src", "left_semi") \
-            .repartition(p, "src", "dst") \
-            .groupBy("src", "dst").agg(F.sum("n").alias("n"))
+        cold_rows = pairs.join(F.broadcast(hot_sources), "src", "left_anti")
         hot_deg = deg.join(F.broadcast(hot_sources), "src", "left_semi")
-        hot = materialize(hot_rows.join(F.broadcast(hot_deg), "src")
-                          .select("src", "dst", (F.col("n") / F.col("deg")).alias("w")),
-                          persist=True)
+        hot = pairs.join(F.broadcast(hot_sources), "src", "left_semi") \
+            .join(F.broadcast(hot_deg), "src") \
+            .select("src", "dst", (F.col("n") / F.col("deg")).alias("w"))
+        hot = materialize(hot, persist=True)
         cached.append(hot)
-    cold = cold_rows.repartition(p, "src").groupBy("src", "dst").agg(F.sum("n").alias("n"))
-    cold = materialize(weighted(cold, deg).sortWithinPartitions("src"), persist=True)
+    cold = cold_rows.repartition(p, "src").join(deg, "src") \
+        .select("src", "dst", (F.col("n") / F.col("deg")).alias("w")) \
+        .sortWithinPartitions("src")
+    cold = materialize(cold, persist=True)
     cached.append(cold)
-    return PreparedLinks(cold, hot, hot_sources if n_hot else None,
-                         sources.select("src", "deg"), p, threshold, cached)
+    pairs.unpersist()
+    return PreparedLinks(cold, hot, hot_sources if n_hot else None, deg, p, threshold, cached)
 
 
 def contributions(links: PreparedLinks, ranks: DataFrame) -> DataFrame:
@@ -201,6 +210,8 @@ class RankResult:
     ranks: DataFrame                       # (node, rank[, has_links])
     metrics: list[tuple] = field(default_factory=list)   # per round
     links: PreparedLinks | None = None
+    prep_sec: float = 0.0                  # wall clock of the link layout
+    round_secs: list[float] = field(default_factory=list)
 
     def metrics_df(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(
@@ -222,14 +233,21 @@ def pagerank_active(edges: DataFrame, iterations: int, damping: float = DAMPING,
     of join + grouped sum; pages without in-links drop out after a round."""
     spark = edges.sparkSession
     p = partitions or shuffle_partitions(spark)
+    secs = []
     with pinned_partitions(spark, p):
-        links = prepare_links(edges.select("src", "dst").distinct(), p, hot_threshold)
+        t0 = time.perf_counter()
+        links = prepare_links(edges.select("src", "dst"), p, hot_threshold, distinct=True)
+        prep = time.perf_counter() - t0
         ranks = links.sources.select(F.col("src").alias("node"), F.lit(1.0).alias("rank"))
+        if iterations == 0:
+            ranks = materialize(ranks)
         for i in range(iterations):
+            t0 = time.perf_counter()
             ranks = step_active(links, ranks, damping)
             if (i + 1) % checkpoint_every == 0 or i == iterations - 1:
                 ranks = materialize(ranks)
-    return RankResult(ranks, [], links)
+            secs.append(time.perf_counter() - t0)
+    return RankResult(ranks, [], links, prep, secs)
 
 
 def pagerank_all_nodes(pages: DataFrame, edges: DataFrame, iterations: int = 10,
@@ -243,12 +261,19 @@ def pagerank_all_nodes(pages: DataFrame, edges: DataFrame, iterations: int = 10,
     """
     spark = edges.sparkSession
     p = partitions or shuffle_partitions(spark)
+    secs = []
     with pinned_partitions(spark, p):
+        t0 = time.perf_counter()
         links = prepare_links(edges, p, hot_threshold)
+        prep = time.perf_counter() - t0
         ranks = _node_flags(pages, links)
+        if iterations == 0:
+            ranks = materialize(ranks)
         for i in range(iterations):
+            t0 = time.perf_counter()
             ranks = materialize(step_all_nodes(links, ranks, i if compat else None, damping))
-    return RankResult(ranks, [], links)
+            secs.append(time.perf_counter() - t0)
+    return RankResult(ranks, [], links, prep, secs)
 
 
 def pagerank_dangling(pages: DataFrame, edges: DataFrame, iterations: int = 2,
@@ -263,14 +288,26 @@ def pagerank_dangling(pages: DataFrame, edges: DataFrame, iterations: int = 2,
     """
     spark = edges.sparkSession
     p = partitions or shuffle_partitions(spark)
-    metrics = []
+    metrics, secs = [], []
     with pinned_partitions(spark, p):
+        t0 = time.perf_counter()
         links = prepare_links(edges, p, hot_threshold)
-        ranks = _node_flags(pages, links)
+        prep = time.perf_counter() - t0
+        ranks = materialize(_node_flags(pages, links))
+        raw = dangling_mass_value(ranks, round_mass)[0]
         for i in range(iterations):
-            raw, mass = dangling_mass_value(ranks, round_mass)
+            t0 = time.perf_counter()
+            mass = float(math.floor(raw + 0.5)) if round_mass else raw
             sums = materialize(step_dangling_sums(links, ranks))
-            n = sums.count()
+            # one pass over the new table: N, and what the next round's
+            # dangling mass is made of (rank is affine in s)
+            n, k, s_dangling = sums.agg(
+                F.count(F.lit(1)),
+                F.count(F.when(~F.col("has_links"), 1)),
+                F.coalesce(F.sum(F.when(~F.col("has_links"), F.col("s"))), F.lit(0.0))).first()
             metrics.append((i, n, mass, raw))
+            share = mass / n if n else 0.0
+            raw = k * TELEPORT_COMPUTED + damping * (s_dangling + k * share)
             ranks = apply_dangling(sums, mass, n, damping)
-    return RankResult(ranks, metrics, links)
+            secs.append(time.perf_counter() - t0)
+    return RankResult(ranks, metrics, links, prep, secs)

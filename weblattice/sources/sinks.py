@@ -49,9 +49,11 @@ def rank_tsv_lines(ranks: DataFrame, edges: DataFrame,
 def write_rank_tsv(ranks: DataFrame, edges: DataFrame, path: str, partitions: int = 46,
                    compression: str = "deflate", mode: str = "overwrite",
                    max_links_per_line: int = DEFAULT_LINKS_PER_LINE) -> None:
-    """Compressed text, ``partitions`` part files (hash of the url)."""
-    lines = rank_tsv_lines(ranks, edges, max_links_per_line)
-    lines.repartition(partitions).write.mode(mode).option("compression", compression).text(path)
+    """Compressed text in ``partitions`` hash-of-url partitions (empty ones
+    write no file)."""
+    rows = adjacency_lines(ranks, edges, max_links_per_line).repartition(partitions, "url")
+    lines = rows.select(F.concat_ws("\t", "url", F.col("rank").cast("string"), "links").alias("value"))
+    lines.write.mode(mode).option("compression", compression).text(path)
 
 
 def write_pairs_text(counts: DataFrame, path: str, key: str = "word", value: str = "n",

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import java_split, java_split_regex
+from ..functions import java_split
 
 
 def read_lines(spark: SparkSession, path: str | list[str],
@@ -37,12 +37,16 @@ def parse_edges(lines: DataFrame, col: str = "value", bad_line: str = "fail",
     """
     if bad_line not in ("fail", "drop"):
         raise ValueError("bad_line must be 'fail' or 'drop'")
-    parts = lines.select(java_split_regex(F.col(col), r"\s+").alias("t"))
+    # A whitespace run is one separator, so the only empty token a Java split
+    # can keep is a leading one; an empty second piece is a trailing one
+    # (dropped there). One bounded split therefore decides everything.
+    parts = lines.select(F.split(F.col(col), r"\s+", 3).alias("t"))
+    ok = (F.size("t") >= 2) & (F.col("t")[1] != "")
     if bad_line == "drop":
-        parts = parts.where(F.size("t") >= 2)
+        parts = parts.where(ok)
         src = F.col("t")[0]
     else:
-        src = F.when(F.size("t") >= 2, F.col("t")[0]).otherwise(
+        src = F.when(ok, F.col("t")[0]).otherwise(
             F.raise_error(F.lit("edge line without two tokens")))
     edges = parts.select(src.alias("src"), F.col("t")[1].alias("dst"))
     return edges.distinct() if distinct else edges
