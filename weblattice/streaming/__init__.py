@@ -1,0 +1,10 @@
+"""Streaming.
+
+The original jobs are batch only: no watermark, window or state appears in
+them, so nothing here adds an operator. Every operator of this package is a
+plain DataFrame transformation, so the stateless ones and the grouped counts
+(e.g. ``operators.text.word_count``) run unchanged on a ``readStream``
+DataFrame with ``outputMode("complete")``; ``tests/test_javatext.py`` drives
+one through the memory sink. The rank loops are iterative batch jobs and are
+not meant for streams.
+"""
