@@ -60,3 +60,29 @@ def materialize(df: DataFrame, persist: bool = False) -> DataFrame:
     if persist:
         out = out.persist(StorageLevel.MEMORY_AND_DISK)
     return out
+
+
+def checkpoint_path(df: DataFrame) -> str | None:
+    """Folder holding a checkpointed DataFrame's files (None if not one)."""
+    try:
+        plan = df._jdf.queryExecution().analyzed()
+        if not plan.getClass().getName().endswith("LogicalRDD"):
+            return None
+        opt = plan.rdd().getCheckpointFile()
+        return opt.get() if opt.isDefined() else None
+    except Exception:  # not a JVM-backed checkpoint (e.g. remote client)
+        return None
+
+
+def drop_checkpoint(df: DataFrame | None) -> None:
+    """Delete the files of a superseded round (the predecessor-folder
+    clean-up of the iterative jobs). Only call once nothing reads ``df``."""
+    if df is None:
+        return
+    path = checkpoint_path(df)
+    if not path:
+        return
+    jvm = df.sparkSession.sparkContext._jvm
+    conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(conf).delete(p, True)

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from ..functions import half_up
 from ..operators.graph import with_multiplicity
-from .lineage import materialize, pinned_partitions, shuffle_partitions
+from .lineage import drop_checkpoint, materialize, pinned_partitions, shuffle_partitions
 
 DAMPING = 0.85
 # Fixed values that decide results: the teleport term of the edge-list job is
@@ -228,7 +228,7 @@ def _node_flags(pages: DataFrame, links: PreparedLinks) -> DataFrame:
 
 def pagerank_active(edges: DataFrame, iterations: int, damping: float = DAMPING,
                     partitions: int | None = None, checkpoint_every: int = 1,
-                    hot_threshold: int | None = None) -> RankResult:
+                    hot_threshold: int | None = None, keep_links: bool = False) -> RankResult:
     """Edge-list rank: distinct edges, start 1.0 on every source, ``N`` rounds
     of join + grouped sum; pages without in-links drop out after a round."""
     spark = edges.sparkSession
@@ -241,19 +241,24 @@ def pagerank_active(edges: DataFrame, iterations: int, damping: float = DAMPING,
         ranks = links.sources.select(F.col("src").alias("node"), F.lit(1.0).alias("rank"))
         if iterations == 0:
             ranks = materialize(ranks)
+        previous = None
         for i in range(iterations):
             t0 = time.perf_counter()
             ranks = step_active(links, ranks, damping)
             if (i + 1) % checkpoint_every == 0 or i == iterations - 1:
                 ranks = materialize(ranks)
+                drop_checkpoint(previous)
+                previous = ranks
             secs.append(time.perf_counter() - t0)
+    if not keep_links:
+        links.release()
     return RankResult(ranks, [], links, prep, secs)
 
 
 def pagerank_all_nodes(pages: DataFrame, edges: DataFrame, iterations: int = 10,
                        compat: bool = False, damping: float = DAMPING,
                        partitions: int | None = None,
-                       hot_threshold: int | None = None) -> RankResult:
+                       hot_threshold: int | None = None, keep_links: bool = False) -> RankResult:
     """Table rank: ``pages(node, rank[, self_vote])`` and ``edges(src, dst[, n])``.
 
     Every node keeps a row; targets join the table after one round with
@@ -271,15 +276,19 @@ def pagerank_all_nodes(pages: DataFrame, edges: DataFrame, iterations: int = 10,
             ranks = materialize(ranks)
         for i in range(iterations):
             t0 = time.perf_counter()
+            previous = ranks
             ranks = materialize(step_all_nodes(links, ranks, i if compat else None, damping))
+            drop_checkpoint(previous)
             secs.append(time.perf_counter() - t0)
+    if not keep_links:
+        links.release()
     return RankResult(ranks, [], links, prep, secs)
 
 
 def pagerank_dangling(pages: DataFrame, edges: DataFrame, iterations: int = 2,
                       round_mass: bool = True, damping: float = DAMPING,
                       partitions: int | None = None,
-                      hot_threshold: int | None = None) -> RankResult:
+                      hot_threshold: int | None = None, keep_links: bool = False) -> RankResult:
     """Rank with dangling redistribution: ``0.15 + 0.85 * (sum + D / N)``.
 
     ``D`` is the rank mass of ranked nodes without links (rounded half-up when
@@ -294,11 +303,14 @@ def pagerank_dangling(pages: DataFrame, edges: DataFrame, iterations: int = 2,
         links = prepare_links(edges, p, hot_threshold)
         prep = time.perf_counter() - t0
         ranks = materialize(_node_flags(pages, links))
+        previous = ranks
         raw = dangling_mass_value(ranks, round_mass)[0]
         for i in range(iterations):
             t0 = time.perf_counter()
             mass = float(math.floor(raw + 0.5)) if round_mass else raw
             sums = materialize(step_dangling_sums(links, ranks))
+            drop_checkpoint(previous)  # the table this round's ranks were read from
+            previous = sums
             # one pass over the new table: N, and what the next round's
             # dangling mass is made of (rank is affine in s)
             n, k, s_dangling = sums.agg(
@@ -310,4 +322,6 @@ def pagerank_dangling(pages: DataFrame, edges: DataFrame, iterations: int = 2,
             raw = k * TELEPORT_COMPUTED + damping * (s_dangling + k * share)
             ranks = apply_dangling(sums, mass, n, damping)
             secs.append(time.perf_counter() - t0)
+    if not keep_links:
+        links.release()
     return RankResult(ranks, metrics, links, prep, secs)
