@@ -25,7 +25,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Fixed values that decide results: the JSON fields read, the anchor type
+# kept, and the page name given to unusable records.
 CRAWL_SCHEMA = "content struct<links:array<struct<type:string,href:string>>>"
+ANCHOR_TYPE = "a"
 SENTINEL = "random"
 
 
@@ -46,7 +49,7 @@ def bad_record(links: str = "links"):
     """Records the clean-up job cannot turn into a row (see module doc)."""
     return F.col(links).isNull() | F.exists(
         F.col(links),
-        lambda l: l.isNull() | l["type"].isNull() | ((l["type"] == "a") & l["href"].isNull()))
+        lambda l: l.isNull() | l["type"].isNull() | ((l["type"] == ANCHOR_TYPE) & l["href"].isNull()))
 
 
 def extract_links(records: DataFrame, comma: str = "keep", invalid: str = "drop",
@@ -63,7 +66,7 @@ def extract_links(records: DataFrame, comma: str = "keep", invalid: str = "drop"
     parsed = parse_crawl(records, url_col, json_col, fail_on_malformed=(invalid == "fail"))
 
     def keep(l):
-        ok = (l["type"] == "a") & (l["href"] != "")
+        ok = (l["type"] == ANCHOR_TYPE) & (l["href"] != "")
         if comma == "drop":
             ok = ok & ~l["href"].contains(",")
         return ok

@@ -17,7 +17,10 @@ from pyspark.sql import functions as F
 from ..operators.graph import with_multiplicity
 from ..operators.text import format_pairs
 
+# Fixed values of the rank-table format: the links-field marker of a page
+# without links, and the number of part files the jobs write.
 DANGLING_MARK = "dangling"
+DEFAULT_PARTS = 46
 DEFAULT_LINKS_PER_LINE = 100_000
 
 
@@ -46,7 +49,7 @@ def rank_tsv_lines(ranks: DataFrame, edges: DataFrame,
     return rows.select(F.concat_ws("\t", "url", F.col("rank").cast("string"), "links").alias("value"))
 
 
-def write_rank_tsv(ranks: DataFrame, edges: DataFrame, path: str, partitions: int = 46,
+def write_rank_tsv(ranks: DataFrame, edges: DataFrame, path: str, partitions: int = DEFAULT_PARTS,
                    compression: str = "deflate", mode: str = "overwrite",
                    max_links_per_line: int = DEFAULT_LINKS_PER_LINE) -> None:
     """Compressed text in ``partitions`` hash-of-url partitions (empty ones
