@@ -97,3 +97,21 @@ def test_rank_report_format(spark):
     got = sorted(r[0] for r in format_ranks(ranks).collect())
     assert got == ["A has rank: 0.15000000000000002.", "B has rank: 1.0."]
     _ = F
+
+
+def test_job_entry_points(spark, tmp_out):
+    from weblattice.plans.pipelines import crawl_clean_job, crawl_rank_job, edge_rank_job
+    seg = os.path.join(tmp_out, "seg2")
+    spark.sparkContext.parallelize(MICRO_CRAWL, 2).saveAsSequenceFile(os.path.join(seg, "metadata-00001"))
+    g = crawl_clean_job(spark, seg, os.path.join(tmp_out, "clean_out"))
+    assert g.pages.count() == 5
+    res = crawl_rank_job(spark, seg, 2)
+    assert ranks_of(res.ranks)["A"] == 0.798125
+    src = os.path.join(tmp_out, "edges.txt")
+    with open(src, "w") as fh:
+        fh.write("A B\nA C\nA B\nB C\nB A\nC D\nF A\n")
+    out = os.path.join(tmp_out, "report")
+    ranks = edge_rank_job(spark, src, 1, out)
+    assert ranks_of(ranks)["A"] == 1.425
+    # unrounded, as the double arithmetic gives it: 0.15 + 1.5 * 0.85
+    assert "A has rank: 1.4249999999999998." in [r[0] for r in spark.read.text(out).collect()]

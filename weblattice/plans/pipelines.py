@@ -5,6 +5,9 @@
 * ``clean_crawl_dedup``  crawl records -> merged adjacency, set union, sentinel
 * ``graph_from_rank_table`` rank-table rows -> (pages, edges) for the rank jobs
 * ``rank_table_job``     rank-table text -> table rank -> rank-table text
+* ``crawl_clean_job``    crawl SequenceFile parts -> rank-table text
+* ``edge_rank_job``      edge-list text -> edge-list rank -> rank report
+* ``crawl_rank_job``     crawl parts -> dedup clean-up -> dangling rank
 """
 
 from __future__ import annotations
@@ -16,8 +19,9 @@ from pyspark.sql import functions as F
 
 from ..operators.crawl import extract_links, merge_links
 from ..operators.text import word_count
-from ..sources.sinks import DANGLING_MARK, write_pairs_text, write_rank_tsv
-from ..sources.text import read_lines, read_rank_tsv
+from ..sources.crawl import read_crawl_parts
+from ..sources.sinks import DANGLING_MARK, format_ranks, write_pairs_text, write_rank_tsv
+from ..sources.text import parse_edges, read_lines, read_rank_tsv
 from . import pagerank as pr
 
 
@@ -78,3 +82,35 @@ def rank_table_job(spark: SparkSession, src: str, dst: str | None = None, iterat
     if dst:
         write_rank_tsv(res.ranks, g.edges, dst, partitions=partitions)
     return res.ranks
+
+
+def crawl_clean_job(spark: SparkSession, folder: str, dst: str | None = None, lo: int = 0,
+                    hi: int = 300, dedupe: bool = False, partitions: int = 46) -> Graph:
+    """Selected crawl parts -> merged adjacency (-> rank-table text, rank 1.0)."""
+    records = read_crawl_parts(spark, folder, lo, hi)
+    g = clean_crawl_dedup(records) if dedupe else clean_crawl(records)
+    if dst:
+        write_rank_tsv(g.pages, g.edges, dst, partitions=partitions)
+    return g
+
+
+def edge_rank_job(spark: SparkSession, src: str, iterations: int,
+                  dst: str | None = None) -> DataFrame:
+    """Edge-list text -> ``iterations`` active-page rounds -> report lines."""
+    edges = parse_edges(read_lines(spark, src))
+    ranks = pr.pagerank_active(edges, iterations).ranks
+    report = format_ranks(ranks)
+    if dst:
+        report.write.mode("overwrite").text(dst)
+    return ranks
+
+
+def crawl_rank_job(spark: SparkSession, folder: str, iterations: int = 2, lo: int = 0,
+                   hi: int = 300, round_mass: bool = True,
+                   dst: str | None = None) -> pr.RankResult:
+    """Crawl parts -> de-duplicated clean-up (sentinel) -> dangling rank."""
+    g = clean_crawl_dedup(read_crawl_parts(spark, folder, lo, hi))
+    res = pr.pagerank_dangling(g.pages, g.edges, iterations, round_mass=round_mass)
+    if dst:
+        write_rank_tsv(res.ranks, g.edges, dst)
+    return res
