@@ -62,3 +62,10 @@ def test_word_count_on_a_stream(spark, tmp_out):
         q.stop()
     assert got == {"a": 1, "b": 2, "c": 1}
     _ = F  # keep import used
+
+
+def test_pattern_split(spark):
+    from weblattice.functions import java_split_regex
+    df = spark.createDataFrame([("",), ("  ",), (" a\t b  ",)], "s string")
+    got = [r[0] for r in df.select(java_split_regex("s", r"\s+")).collect()]
+    assert got == [[""], [], ["", "a", "b"]]
