@@ -115,3 +115,14 @@ def test_superseded_rounds_are_deleted(spark):
     # the link table and the final ranks remain; the five superseded rounds are gone
     assert len(new) <= 2, new
     assert ranks_of(res.ranks)  # the result is still readable
+
+
+def test_hot_sources_dangling_variant(spark):
+    e = _graph(spark, 300).unionByName(
+        spark.createDataFrame([("hub", f"t{i}") for i in range(250)], "src string, dst string"))
+    pages = e.select(F.col("src").alias("node")).distinct().withColumn("rank", F.lit(1.0))
+    a = pr.pagerank_dangling(pages, e, 2)
+    b = pr.pagerank_dangling(pages, e, 2, hot_threshold=50)
+    assert b.links.hot is not None
+    assert ranks_of(a.ranks) == ranks_of(b.ranks)
+    assert [(r, n) for r, n, _, _ in a.metrics] == [(r, n) for r, n, _, _ in b.metrics]
