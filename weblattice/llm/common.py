@@ -47,3 +47,18 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+BROADCAST_IDS = 500_000  # ids (8 MB) that may be broadcast; beyond, tables are joined by shuffle
+
+
+def by_id(docs: DataFrame, ids: DataFrame, how: str, id_col: str = "doc_id") -> DataFrame:
+    """``docs`` whose id is (``left_semi``) or is not (``left_anti``) in the
+    one column of ``ids``; null ids match. The ids are broadcast only if a
+    count shows that they are few."""
+    from pyspark.sql import functions as F
+
+    listed = ids.select(F.col(ids.columns[0]).alias("__listed_id")).distinct()
+    if listed.count() <= BROADCAST_IDS:
+        listed = F.broadcast(listed)
+    return docs.join(listed, docs[id_col].eqNullSafe(listed["__listed_id"]), how)
