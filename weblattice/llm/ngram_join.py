@@ -41,14 +41,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, written
+from .common import by_id, ship, written
 from .components import components
 
 BAND_GROWTH = 1.35       # of the key bands
 SMALL_SET = 16           # bands up to this size take prefix keys
 TILE_SHINGLES = 400_000  # a tile of a family holds about so many, where
 SET_WEIGHT = 100         # a set counts as so many more
-BROADCAST_IDS = 500_000  # ids (8 MB) that may be broadcast; beyond, tables are joined by shuffle
 CACHE_WORDS = 200_000
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -162,8 +161,8 @@ def keys(h: np.ndarray, bands: Bands) -> np.ndarray:
 
 
 def features(docs: DataFrame, measure: Measure, id_col: str, text_col: str, with_keys: bool) -> DataFrame:
-    """``id, n_shingles, set_id`` and the keys or the shingles of each row. The
-    empty set has a null set id."""
+    """``id, text_hash, n_shingles, set_id`` and the keys or the shingles of
+    each row. The empty set has a null set id."""
     ship(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     last = "keys array<bigint>" if with_keys else "shingles binary"
@@ -182,11 +181,12 @@ def features(docs: DataFrame, measure: Measure, id_col: str, text_col: str, with
                 else:
                     more = pa.array([h.tobytes() for h in sets], pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(h) for h in sets], pa.int64()), ids, more],
-                    ["id", "n_shingles", "set_id", last.split()[0]])
+                    [part.column(0), part.column(2), pa.array([len(h) for h in sets], pa.int64()), ids, more],
+                    ["id", "text_hash", "n_shingles", "set_id", last.split()[0]])
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")) \
-        .mapInArrow(run, f"id {kind}, n_shingles bigint, set_id bigint, {last}")
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("text_hash")) \
+        .mapInArrow(run, f"id {kind}, text_hash bigint, n_shingles bigint, set_id bigint, {last}")
 
 
 def families(feats: DataFrame) -> DataFrame:
@@ -248,11 +248,8 @@ def links(docs: DataFrame, feats: DataFrame, family: DataFrame, measure: Measure
     texts = feats.where("set_id is not null").select("set_id", F.col("id").alias("text_id")) \
         .join(member, "set_id").groupBy("set_id", "family").agg(F.min("text_id").alias("text_id"))
     texts = written(texts, "family-texts")
-    wanted = texts.select(F.col("text_id").alias("wanted")).distinct()
-    if texts.count() <= BROADCAST_IDS:
-        wanted = F.broadcast(wanted)
-    own = docs.select(F.col(id_col).alias("text_id"), F.col(text_col).alias("text")).join(
-        wanted, F.col("text_id") == F.col("wanted"), "left_semi")
+    own = by_id(docs.select(F.col(id_col).alias("text_id"), F.col(text_col).alias("text")),
+                texts.select("text_id"), "left_semi", "text_id")
     # A repeated id brings several texts; the set id says which belongs.
     found = features(own, measure, "text_id", "text", with_keys=False) \
         .select(F.col("id").alias("text_id"), "set_id", "n_shingles", "shingles")
@@ -296,8 +293,8 @@ def links(docs: DataFrame, feats: DataFrame, family: DataFrame, measure: Measure
 
 
 def classes(docs: DataFrame, measure: Measure, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col, n_shingles, component_id`` per row of ``docs``: the size of
-    its set and the smallest id that links reach."""
+    """``id_col, text_hash, n_shingles, component_id`` per row of ``docs``: the
+    size of its set and the smallest id that links reach."""
     feats = written(features(docs, measure, id_col, text_col, with_keys=True)
                     .withColumn("set_id", F.expr("if(id is null, null, set_id)")), "ngram-keys")
     joined = components(links(docs, feats, families(feats), measure, id_col, text_col), label="classes")
@@ -307,5 +304,24 @@ def classes(docs: DataFrame, measure: Measure, id_col: str = "doc_id", text_col:
     least = labelled.groupBy("class").agg(F.min("least_id").alias("component_id"))
     by_set = labelled.join(least, "class").select(F.col("set_id").alias("of_set"), "component_id")
     return feats.join(by_set, F.col("set_id") == F.col("of_set"), "left").select(
-        F.col("id").alias(id_col), "n_shingles",
+        F.col("id").alias(id_col), "text_hash", "n_shingles",
         F.when(F.col("set_id").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, measure: Measure) -> DataFrame:
+    """``docs`` (columns of documents) with one row of each class: its
+    smallest id, and of that id's rows in the class the first by a hash of the
+    text. Rows with a null id all stay."""
+    of = written(classes(docs, measure), "class-of-text")
+    pairs = of.where("component_id is not null")
+    keep = pairs.groupBy("component_id").agg(F.min(F.struct("doc_id", "text_hash")).alias("k"))
+    gone = pairs.join(keep.withColumnRenamed("component_id", "kept_class"), F.col("component_id") == F.col("kept_class")) \
+        .where(F.struct("doc_id", "text_hash") != F.col("k")).select("doc_id", "text_hash")
+    hashed = docs.withColumn("__row", F.struct("doc_id", F.xxhash64(F.col("text").cast("string")).alias("text_hash")))
+    left = by_id(hashed, written(gone.select(F.struct("doc_id", "text_hash").alias("r")), "copies"), "left_anti", "__row")
+    again = written(pairs.groupBy("doc_id", "text_hash").count().where("count > 1")
+                    .select(F.struct("doc_id", "text_hash").alias("r")), "repeated-rows")
+    if again.head() is not None:  # whole rows that repeat: one of them
+        left = by_id(left, again, "left_anti", "__row").unionByName(
+            by_id(left, again, "left_semi", "__row").dropDuplicates(["__row"]))
+    return left.drop("__row")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, ngram_join, toxicity
+from . import bpe, decontaminate, langid, ngram_join, secrets, toxicity
 from .common import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -39,7 +39,7 @@ def op4_ecoc_language(spark: SparkSession, d: str) -> DataFrame:
 
 def op6_ngram_jaccard(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "text")
-    return ngram_join.classes(docs, ngram_join.Measure(words=3, percent=90))
+    return ngram_join.classes(docs, ngram_join.Measure(words=3, percent=90)).drop("text_hash")
 
 
 def op7_cnn_toxicity(spark: SparkSession, d: str) -> DataFrame:
@@ -50,6 +50,16 @@ def op7_cnn_toxicity(spark: SparkSession, d: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op1_cgk_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return decontaminate.matches(docs, table(spark, d, "benchmark"))
+
+
+def op9_crf_secrets(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return secrets.scans(docs, secrets.fit(docs))
+
+
 def op10_backtracking_bpe(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "text")
     return bpe.digests(docs, vocabulary_path())
