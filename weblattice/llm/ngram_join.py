@@ -189,6 +189,12 @@ def features(docs: DataFrame, measure: Measure, id_col: str, text_col: str, with
         .mapInArrow(run, f"id {kind}, text_hash bigint, n_shingles bigint, set_id bigint, {last}")
 
 
+def first_ids(feats: DataFrame) -> DataFrame:
+    """``set_id, least_id``: the smallest id of each set; copies are
+    pre-aggregated before they meet."""
+    return feats.where("set_id is not null").groupBy("set_id").agg(F.min("id").alias("least_id"))
+
+
 def families(feats: DataFrame) -> DataFrame:
     """``node, component`` over set ids that share a key with another set."""
     key = feats.where("set_id is not null").select("set_id", F.explode("keys").alias("key"))
@@ -245,9 +251,7 @@ def links(docs: DataFrame, feats: DataFrame, family: DataFrame, measure: Measure
     spark = docs.sparkSession
     member = family.select(F.col("node").alias("set_id"), F.col("component").alias("family"))
     # One text of each set that belongs to a family; copies need no second look.
-    texts = feats.where("set_id is not null").select("set_id", F.col("id").alias("text_id")) \
-        .join(member, "set_id").groupBy("set_id", "family").agg(F.min("text_id").alias("text_id"))
-    texts = written(texts, "family-texts")
+    texts = written(first_ids(feats).withColumnRenamed("least_id", "text_id").join(member, "set_id"), "family-texts")
     own = by_id(docs.select(F.col(id_col).alias("text_id"), F.col(text_col).alias("text")),
                 texts.select("text_id"), "left_semi", "text_id")
     # A repeated id brings several texts; the set id says which belongs.
@@ -298,8 +302,7 @@ def classes(docs: DataFrame, measure: Measure, id_col: str = "doc_id", text_col:
     feats = written(features(docs, measure, id_col, text_col, with_keys=True)
                     .withColumn("set_id", F.expr("if(id is null, null, set_id)")), "ngram-keys")
     joined = components(links(docs, feats, families(feats), measure, id_col, text_col), label="classes")
-    own = feats.where("set_id is not null").groupBy("set_id").agg(F.min("id").alias("least_id"))
-    labelled = own.join(joined, F.col("set_id") == F.col("node"), "left") \
+    labelled = first_ids(feats).join(joined, F.col("set_id") == F.col("node"), "left") \
         .select("set_id", F.coalesce("component", "set_id").alias("class"), "least_id")
     least = labelled.groupBy("class").agg(F.min("least_id").alias("component_id"))
     by_set = labelled.join(least, "class").select(F.col("set_id").alias("of_set"), "component_id")

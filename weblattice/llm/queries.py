@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, langid, ngram_join, secrets, toxicity
+from . import ann, bpe, decontaminate, langid, ngram_join, secrets, toxicity
 from .common import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -29,6 +29,11 @@ def toxic_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", F.col("toxic").cast("int").alias("label"))
 
 
+def op2_projection_forest(spark: SparkSession, d: str) -> DataFrame:
+    vectors = table(spark, d, "embeddings").select("vec_id", "embedding")
+    return ann.neighbours(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
+
+
 def op4_ecoc_language(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "text", "lang")
     held_out = fold(F.col("doc_id"), 4) == 2
