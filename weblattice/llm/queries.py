@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, decontaminate, langid, ngram_join, secrets, toxicity
+from . import ann, bpe, decontaminate, langid, line_dedup, ngram_join, secrets, token_scan, toxicity, warc
 from .common import table
 
 VOCABULARY = "byte_bpe_50k.json"
+END_OF_DOCUMENT = 50256
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -34,6 +35,11 @@ def op2_projection_forest(spark: SparkSession, d: str) -> DataFrame:
     return ann.neighbours(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
 
 
+def op3_unit_dedup(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return line_dedup.repeats(docs, unit="sentence", min_words=8).drop("text_hash")
+
+
 def op4_ecoc_language(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "text", "lang")
     held_out = fold(F.col("doc_id"), 4) == 2
@@ -42,6 +48,10 @@ def op4_ecoc_language(spark: SparkSession, d: str) -> DataFrame:
                                                "lang_pred", "score", "ambiguous")
 
 
+def op5_warc_derivatives(spark: SparkSession, d: str) -> DataFrame:
+    return warc.derivatives(warc.responses(table(spark, d, "pages")))
+
+
 def op6_ngram_jaccard(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "text")
     return ngram_join.classes(docs, ngram_join.Measure(words=3, percent=90)).drop("text_hash")
@@ -60,6 +70,11 @@ def op1_cgk_decontamination(spark: SparkSession, d: str) -> DataFrame:
     return decontaminate.matches(docs, table(spark, d, "benchmark"))
 
 
+def op8_separator_scan(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return token_scan.counts(docs, vocabulary_path(), END_OF_DOCUMENT)
+
+
 def op9_crf_secrets(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "text")
     return secrets.scans(docs, secrets.fit(docs))
