@@ -308,8 +308,8 @@ def train(params: Params, texts: list[str]) -> Model:
                 seen[part] += g * g
                 weights += params.rate / math.sqrt(1 + epoch) * g / np.sqrt(seen[part])
     slack = 2 * float(model.moves.max() - model.moves.min())
-    worst = model.own[0] + model.before[0] + model.after[0] + model.file
-    model.plain_is_out = bool((worst[:, OUT] - worst[:, 1:].max(1) > slack).all())
+    plain = model.own[0] + model.before[0] + model.after[0] + model.file[0]
+    model.plain_is_out = bool(plain[OUT] - plain[1:].max() > slack)
     return model
 
 
