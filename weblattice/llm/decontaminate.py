@@ -5,11 +5,10 @@ item is found in a text when some passage is within ``1 - similarity`` of the
 item's length in word edits.
 
 1. Item sizes fall into classes. A window of a class has its number of words
-   and starts at any word of a text. Each edit breaks at most two word pairs
-   and shifts the window's end by at most one, so a window that can match
-   keeps a known number of benchmark word pairs; a bitmap of all benchmark
-   pairs (bounded, whatever the benchmark's size) drops the others. Nothing
-   that could match is lost here.
+   and starts where a pair of neighbouring words is some benchmark item's.
+   Each edit breaks at most two word pairs, so the passage that follows must
+   hold a known number of benchmark pairs; a bitmap of all of them (bounded,
+   whatever the benchmark's size) drops the other windows.
 2. The CGK walk embeds what is left, and each item's head of the class size:
    at step j it writes the current word and moves on if a random bit of
    (j, word) is set, so that edit distance becomes Hamming distance. Several
@@ -27,6 +26,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -64,10 +64,9 @@ class Params:
             low = up
         return low, up
 
-    def positions(self, size: int) -> np.ndarray:
-        """walks x samples x sampled places of the embedded windows of a class."""
-        rng = np.random.default_rng([self.seed, size])
-        return rng.integers(0, 2 * size, (self.walks, self.samples, self.sampled))
+    def least_pairs(self, size: int, up: int) -> int:
+        """Word pairs of an item of the class that a match must keep."""
+        return max(1, min(n - 1 - 2 * self.edits(n) for n in range(size, up)))
 
 
 def word_hashes(text: str | None, known: WordHash) -> np.ndarray:
@@ -79,32 +78,38 @@ def pair_hashes(h: np.ndarray) -> np.ndarray:
     return mixed(h[:-1] * _M1 + h[1:])
 
 
+@lru_cache(maxsize=256)
+def walk_plan(params: Params, size: int) -> list[tuple[np.uint64, frozenset[int], np.ndarray]]:
+    """Per walk of a class: its salt, the steps that are sampled, the samples."""
+    rng = np.random.default_rng([params.seed, size])
+    places = rng.integers(0, 2 * size, (params.walks, params.samples, params.sampled))
+    salts = mixed((np.arange(params.walks, dtype=np.uint64) + np.uint64(params.seed * 1000)) * _M1)
+    return [(salts[k], frozenset(places[k].ravel().tolist()), places[k]) for k in range(params.walks)]
+
+
 def signatures(windows: np.ndarray, params: Params) -> np.ndarray:
     """Signatures of windows of one class: rows x (walks * samples)."""
     rows, size = windows.shape
-    places = params.positions(size)
-    padded = np.concatenate([windows, np.zeros((rows, 1), np.uint64)], axis=1)
-    flat, first = padded.ravel(), np.arange(rows) * (size + 1)
+    flat = np.concatenate([windows, np.zeros((rows, 1), np.uint64)], axis=1).ravel()
     out = np.empty((rows, params.walks * params.samples), np.uint64)
-    for walk in range(params.walks):
-        salt = mixed(np.array([params.seed * 1000 + walk], np.uint64) * _M1)[0]
+    one, first = np.uint64(1), np.arange(rows) * (size + 1)
+    end = first + size
+    for walk, (salt, steps, places) in enumerate(walk_plan(params, size)):
         bits = mixed(flat ^ salt)                  # 64 random bits of each word
-        at = np.zeros(rows, np.int64)
-        wanted = {}
-        for j in range(int(places[walk].max()) + 1):
-            here = first + at
-            if (places[walk] == j).any():
+        here, wanted = first.copy(), {}
+        for j in range(max(steps) + 1):
+            if j in steps:
                 wanted[j] = flat[here]
             # Step j reads bit j % 64 of the word, scrambled anew every 64 steps.
             if j and j % 64 == 0:
                 bits = mixed(bits + np.uint64(j))
-            at += ((bits[here] >> np.uint64(j % 64)) & np.uint64(1)).astype(np.int64)
-            np.minimum(at, size, out=at)
-        for s in range(params.samples):
-            total = np.full(rows, salt + np.uint64(s + 1) * np.uint64(size), np.uint64)
-            for j in places[walk, s]:
-                total = mixed(total * _M1 + wanted[int(j)])
-            out[:, walk * params.samples + s] = total
+            here += ((bits[here] >> np.uint64(j % 64)) & one).astype(np.int64)
+            np.minimum(here, end, out=here)
+        for k, sample in enumerate(places.tolist()):
+            total = np.full(rows, salt + np.uint64((k + 1) * size), np.uint64)
+            for j in sample:
+                total = mixed(total * _M1 + wanted[j])
+            out[:, walk * params.samples + k] = total
     return out
 
 
@@ -162,10 +167,10 @@ def items_table(benchmark: DataFrame, params: Params, item_id: str, text_col: st
         .mapInArrow(run, f"item_id {kind}, size int, words binary, pairs array<bigint>, sigs array<bigint>")
 
 
-def bitmap(values: DataFrame, column: str, count: int) -> np.ndarray:
+def bitmap(values: DataFrame, column: str, count: int, room: int) -> np.ndarray:
     """Hashed bitmap of a column of 64-bit values, combined on the executors:
-    of 2**MAX_BITS bits at most."""
-    bits = min(MAX_BITS, max(16, (64 * max(count, 1)).bit_length()))
+    ``room`` bits for each value, 2**MAX_BITS bits at most."""
+    bits = min(MAX_BITS, max(16, (room * max(count, 1)).bit_length()))
     at = F.pmod(F.col(column), F.lit(1 << bits))
     rows = values.select(at.alias("at")).groupBy(F.floor(F.col("at") / 64).alias("word")) \
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("set")).collect()
@@ -185,42 +190,58 @@ def search_plan(items: DataFrame, params: Params) -> dict:
     sizes = items.groupBy("size").agg(F.count("*").alias("n"), F.sum(F.size("pairs")).alias("pairs"),
                                       F.sum(F.size("sigs")).alias("sigs")).orderBy("size").collect()
     return {
-        "sizes": [(r["size"], params.edits(params.grid(r["size"])[1] - 1), params.grid(r["size"])[1]) for r in sizes],
-        "pairs": bitmap(items.select(F.explode("pairs").alias("v")), "v", sum(r["pairs"] for r in sizes)),
-        "sigs": bitmap(items.select(F.explode("sigs").alias("v")), "v", sum(r["sigs"] for r in sizes)),
+        "sizes": [(size, params.edits(up - 1), up, params.least_pairs(size, up)) for size, up in (params.grid(r["size"]) for r in sizes)],
+        "pairs": bitmap(items.select(F.explode("pairs").alias("v")), "v", sum(r["pairs"] for r in sizes), 64),
+        "sigs": bitmap(items.select(F.explode("sigs").alias("v")), "v", sum(r["sigs"] for r in sizes), 4096),
     }
 
 
-def candidate_starts(flags: np.ndarray, size: int, edits: int) -> np.ndarray:
-    """Starts of the windows that keep enough benchmark word pairs."""
-    least = max(size - 1 - 3 * edits, 1)
-    if len(flags) < least:
-        return np.empty(0, np.int64)
-    total = np.concatenate([[0], np.cumsum(flags, dtype=np.int64)])
-    starts = np.arange(len(flags) + 1)
-    ends = np.minimum(starts + size - 1, len(flags))
-    return np.flatnonzero(total[ends] - total[starts] >= least)
-
-
-def windows_of(h: np.ndarray, plan: dict, params: Params) -> Iterator[tuple[int, int, int, int, np.ndarray]]:
-    """``(size, first, last, start, signatures)`` of each window of a text
-    that has a signature of some item; first to last is the passage around it."""
-    if len(h) < 2:
-        return
-    flags = holds(plan["pairs"], pair_hashes(h))
-    if not flags.any():
+def candidate_starts(flagged: np.ndarray, size: int, edits: int, up: int, least: int) -> np.ndarray:
+    """Of the places of benchmark word pairs, those that a passage can start
+    at: enough such pairs follow within its greatest length."""
+    follow = np.searchsorted(flagged, flagged + (up - 1 + edits) - 1) - np.arange(len(flagged))
+    return flagged[follow >= least]
+
+
+def windows_of(texts: list[np.ndarray], plan: dict, params: Params) -> Iterator[tuple[int, int, int, int, np.ndarray]]:
+    """``(text, size, first, last, signatures)`` of the windows that have a
+    signature of some item; first to last is the passage around them."""
+    pad = np.zeros(max((size for size, *_ in plan["sizes"]), default=0), np.uint64)
+    base = np.concatenate([[0], np.cumsum([len(h) + len(pad) for h in texts])])
+    starts: dict[int, list[np.ndarray]] = {}
+    for k, h in enumerate(texts):
+        flagged = np.flatnonzero(holds(plan["pairs"], pair_hashes(h))) if len(h) > 1 else np.empty(0, np.int64)
+        for size, edits, up, least in plan["sizes"]:
+            if len(flagged) >= least and len(at := candidate_starts(flagged, size, edits, up, least)):
+                starts.setdefault(size, []).append(np.stack([np.full(len(at), k), at], axis=1))
+    if not starts:
         return
-    for size, edits, up in plan["sizes"]:
-        starts = candidate_starts(flags, size, edits)
-        for low in range(0, len(starts), 4096):
-            own = starts[low:low + 4096]
-            at = own[:, None] + np.arange(size)
-            w = np.where(at < len(h), h[np.minimum(at, len(h) - 1)], np.uint64(0))
-            s = signatures(w, params)
+    flat = np.concatenate([x for h in texts for x in (h, pad)])
+    for size, edits, up, _ in plan["sizes"]:
+        every = np.concatenate(starts[size]) if size in starts else np.empty((0, 2), np.int64)
+        found: list[tuple[int, int, np.ndarray]] = []
+        for low in range(0, len(every), 8192):
+            own = every[low:low + 8192]
+            s = signatures(flat[(base[own[:, 0]] + own[:, 1])[:, None] + np.arange(size)], params)
             hit = holds(plan["sigs"], s)
-            for k in np.flatnonzero(hit.any(1)):
-                start = int(own[k])
-                yield size, max(0, start - edits), min(len(h), start + up + 2 * edits), start, s[k][hit[k]]
+            found += [(*own[row].tolist(), s[row][hit[row]]) for row in np.flatnonzero(hit.any(1))]
+        yield from _joined(found, size, edits, up, texts)
+
+
+def _joined(found: list, size: int, edits: int, up: int, texts: list[np.ndarray]) -> Iterator[tuple]:
+    """Windows of a class whose passages overlap become one row."""
+    open_ = None
+    for k, start, sigs in found:
+        first, last = max(0, start - edits), min(len(texts[k]), start + up + 2 * edits)
+        if open_ and open_[0] == k and first <= open_[3]:
+            open_[3] = max(open_[3], last)
+            open_[4].append(sigs)
+            continue
+        if open_:
+            yield (*open_[:4], np.unique(np.concatenate(open_[4])))
+        open_ = [k, size, first, last, [sigs]]
+    if open_:
+        yield (*open_[:4], np.unique(np.concatenate(open_[4])))
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, params: Params | None = None, id_col: str = "doc_id",
@@ -238,14 +259,13 @@ def matches(docs: DataFrame, benchmark: DataFrame, params: Params | None = None,
         known = WordHash()
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
-                part, rows = batch.slice(at, 200), []
-                for i, t in zip(part.column(0), part.column(1).to_pylist()):
-                    h, spans = word_hashes(t, known), None
-                    for size, first, last, _, sigs in windows_of(h, plan.value, params):
-                        if spans is None:
-                            spans = word_spans(t)
-                        rows.append((i.as_py(), size, first, h[first:last].tobytes(), spans[first:last].tobytes(),
-                                     sigs.view(np.int64)))
+                part, rows, spans = batch.slice(at, 200), [], {}
+                ids, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
+                words = [word_hashes(t, known) for t in texts]
+                for k, size, first, last, sigs in windows_of(words, plan.value, params):
+                    if k not in spans:
+                        spans[k] = word_spans(texts[k])
+                    rows.append((ids[k], size, first, words[k][first:last].tobytes(), spans[k][first:last].tobytes(), sigs.view(np.int64)))
                 kinds = (part.schema.types[0], pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], x) for k, x in enumerate(kinds)],
                                                  ["id", "size", "first", "passage", "spans", "sigs"])
@@ -270,7 +290,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, params: Params | None = None,
                 distance, a, b = best_passage(item, np.frombuffer(passage, np.uint64).tolist())
                 keep.append(good := distance <= params.edits(len(item)))
                 if good:
-                    where = np.frombuffer(spans, np.int64).reshape(-1, 2)
+                    where = np.frombuffer(spans, np.int32).reshape(-1, 2)
                     rows.append((distance, len(item), int(where[a, 0]), int(where[b - 1, 1])))
             ids = batch.filter(pa.array(keep, pa.bool_()))
             yield pa.RecordBatch.from_arrays(
@@ -286,10 +306,10 @@ def word_spans(text: str) -> np.ndarray:
     """First and last + 1 character of each word that is hashed. Small letters
     can be longer than their capitals; the places are those of the text itself."""
     low = text.lower()
-    found = np.array([m.span() for m in WORD.finditer(low)], np.int64)
+    found = np.array([m.span() for m in WORD.finditer(low)], np.int32)
     if len(low) == len(text):
         return found
-    back = np.array([k for k, c in enumerate(text) for _ in c.lower()], np.int64)
+    back = np.array([k for k, c in enumerate(text) for _ in c.lower()], np.int32)
     return np.stack([back[found[:, 0]], back[found[:, 1] - 1] + 1], axis=1)
 
 

@@ -38,6 +38,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,7 +49,7 @@ BAND_GROWTH = 1.35       # of the key bands
 SMALL_SET = 16           # bands up to this size take prefix keys
 TILE_SHINGLES = 400_000  # a tile of a family holds about so many, where
 SET_WEIGHT = 100         # a set counts as so many more
-CACHE_WORDS = 200_000
+CACHE_WORDS = 400_000    # words whose hashes a Python worker keeps
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -71,7 +72,7 @@ class WordHash(dict):
     """Word -> 64-bit hash, filled on demand, bounded."""
 
     def __missing__(self, word: str) -> int:
-        h = int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+        h = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
         if len(self) >= CACHE_WORDS:
             self.clear()
         self[word] = h
