@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from weblattice.functions import half_up, java_split, text_lines
 from weblattice.operators.text import format_pairs, tokens, word_count
 
@@ -61,11 +59,11 @@ def test_word_count_on_a_stream(spark, tmp_out):
     finally:
         q.stop()
     assert got == {"a": 1, "b": 2, "c": 1}
-    _ = F  # keep import used
 
 
-def test_pattern_split(spark):
-    from weblattice.functions import java_split_regex
-    df = spark.createDataFrame([("",), ("  ",), (" a\t b  ",)], "s string")
-    got = [r[0] for r in df.select(java_split_regex("s", r"\s+")).collect()]
-    assert got == [[""], [], ["", "a", "b"]]
+def test_last_line_terminators_stay(spark):
+    df = spark.createDataFrame([("a\n\n",), ("a\r\n\r\n",), ("\n\n",), ("a\r\r\n",), ("a\n\r",)], "t string")
+    got = [r[0] for r in df.select(text_lines("t")).collect()]
+    assert got == [["a", ""], ["a", ""], ["", ""], ["a", ""], ["a", ""]]
+    for end in ("\u0085", "\u2028", "\n", "\r\n"):
+        assert _split(spark, ["a," + end, "a,,"], ",") == [["a", end], ["a"]]

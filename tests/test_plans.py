@@ -37,8 +37,9 @@ class _no_broadcast:
 
 def test_round_has_one_exchange_and_no_link_shuffle(spark):
     e = _graph(spark)
+    pairs = pr.link_pairs(e)
     with pinned_partitions(spark, 4), _no_broadcast(spark):
-        links = pr.prepare_links(e, 4)
+        links = pr.prepare_links(pairs, 4)
         ranks = materialize(links.sources.select(F.col("src").alias("node"), F.lit(1.0).alias("rank")))
         r1 = materialize(pr.step_active(links, ranks))
         plan = _plan(pr.step_active(links, r1))
@@ -50,8 +51,9 @@ def test_round_has_one_exchange_and_no_link_shuffle(spark):
 def test_all_nodes_round_has_one_exchange(spark):
     e = _graph(spark)
     pages = e.select(F.col("src").alias("node")).distinct().withColumn("rank", F.lit(1.0))
+    pairs = pr.link_pairs(e)
     with pinned_partitions(spark, 4), _no_broadcast(spark):
-        links = pr.prepare_links(e, 4)
+        links = pr.prepare_links(pairs, 4)
         r = materialize(pr._node_flags(pages, links))
         r = materialize(pr.step_all_nodes(links, r))
         plan = _plan(pr.step_all_nodes(links, r))
@@ -63,21 +65,45 @@ def test_loop_plan_is_bounded(spark):
     sizes = []
     for n in (2, 6):
         res = pr.pagerank_active(e, n)
-        sizes.append(len(_plan(res.ranks)))
+        sizes.append(_plan(res.ranks).count("\n"))
     assert sizes[0] == sizes[1]
 
 
+def _hub(spark, n=500, fan=900):
+    """A graph in which one source has more than a quarter of all links."""
+    return _graph(spark, n).unionByName(
+        spark.createDataFrame([("hub", f"t{i}") for i in range(fan)], "src string, dst string"))
+
+
+def _cold(spark, e):
+    """The same loop with every source cold: one partition."""
+    return ranks_of(pr.pagerank_active(e, 3, partitions=1).ranks)
+
+
 def test_hot_sources_give_same_ranks(spark):
-    e = _graph(spark, 500).unionByName(
-        spark.createDataFrame([("hub", f"v{i}") for i in range(400)], "src string, dst string"))
-    base = ranks_of(pr.pagerank_active(e, 3).ranks)
-    res = pr.pagerank_active(e, 3, hot_threshold=100)
+    e = _hub(spark)
+    res = pr.pagerank_active(e, 3, partitions=4, keep_links=True)
     assert res.links.hot is not None and res.links.hot_sources.count() == 1
-    assert ranks_of(res.ranks) == base
+    assert ranks_of(res.ranks) == _cold(spark, e)
+    res.links.release()
     pages = e.select(F.col("src").alias("node")).distinct().withColumn("rank", F.lit(1.0))
-    a = ranks_of(pr.pagerank_all_nodes(pages, e, 3).ranks)
-    b = ranks_of(pr.pagerank_all_nodes(pages, e, 3, hot_threshold=100).ranks)
-    assert a == b
+    a = ranks_of(pr.pagerank_all_nodes(pages, e, 3, partitions=1).ranks)
+    assert a == ranks_of(pr.pagerank_all_nodes(pages, e, 3, partitions=4).ranks)
+    assert a == ranks_of(pr.pagerank_all_nodes(None, e, 3, partitions=4).ranks)
+
+
+def test_hot_sources_in_joins_by_source(spark):
+    from weblattice.operators import graph as g
+    e = _hub(spark)
+    plain = e.distinct().join(g.out_degree(e.distinct()), "src")
+    assert sorted(g.adjacency_rows(e, 4).collect()) == sorted(plain.select("src", "dst", "deg").collect())
+    with _no_broadcast(spark):
+        plan = g.join_sources(e, g.out_degree(e), 4)
+        assert _plan(plan).count("BroadcastHashJoin") >= 2
+    ranks = e.select(F.col("src").alias("node")).distinct().withColumn("rank", F.lit(1.0))
+    want = ranks.select("node").unionByName(e.select(F.col("dst").alias("node"))).groupBy("node").agg(F.count("*").alias("n"))
+    assert sorted(g.key_counts(ranks, e, 4).collect()) == sorted(want.collect())
+    assert g.node_count(ranks, e, 4).first()["nodes"] == want.count()
 
 
 def test_result_independent_of_partition_count(spark):
@@ -89,16 +115,17 @@ def test_result_independent_of_partition_count(spark):
 
 def test_rank_properties(spark):
     from weblattice.plans.pipelines import graph_from_rank_table
-    from weblattice.sources.text import parse_rank_lines
-    g = graph_from_rank_table(parse_rank_lines(lines_df(spark, RANK_TABLE)))
+    from weblattice.sources.text import parse_link_rows
+    g = graph_from_rank_table(parse_link_rows(lines_df(spark, RANK_TABLE)))
     res = pr.pagerank_all_nodes(g.pages, g.edges, 4)
     got = ranks_of(res.ranks)
     assert min(got.values()) >= 0.15
     # node set after >= 1 round = crawled pages + link targets
     assert set(got) == {"A", "B", "C", "D", "E", "F", "p", "q"}
     # contributions of a round sum to the rank of non-dangling pages
+    pairs = pr.link_pairs(g.edges)
     with pinned_partitions(spark, 4):
-        links = pr.prepare_links(g.edges)
+        links = pr.prepare_links(pairs)
         ranks = pr._node_flags(g.pages, links)
         total = pr.contributions(links, ranks).agg(F.sum("c")).first()[0]
     assert round(total, 9) == 4.0  # A, B, C, F have links, rank 1.0 each
@@ -108,21 +135,40 @@ def test_superseded_rounds_are_deleted(spark):
     import os
     root = spark.sparkContext.getCheckpointDir().replace("file:", "")
     before = set(os.listdir(root))
+    held = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
     e = parse_edges(lines_df(spark, ACTIVE_EDGES))
     pages = e.select(F.col("src").alias("node")).distinct().withColumn("rank", F.lit(1.0))
     res = pr.pagerank_all_nodes(pages, e, 6)
     new = set(os.listdir(root)) - before
-    # the link table and the final ranks remain; the five superseded rounds are gone
-    assert len(new) <= 2, new
+    # only the returned ranks' checkpoint remains, and nothing stays in memory
+    assert len(new) == 1, new
+    assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == held
     assert ranks_of(res.ranks)  # the result is still readable
 
 
+def test_registered_first_rounds_leave_one_table(spark):
+    from weblattice.catalog import QUERIES
+    root = spark.sparkContext.getCheckpointDir().replace("file:", "")
+    for name in ("contributions", "contribution_sums"):
+        import os
+        before, held = set(os.listdir(root)), spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+        assert QUERIES[name](spark, "/root/testdata/sf0.001").count()
+        assert len(set(os.listdir(root)) - before) == 1
+        assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == held
+
+
+def test_each_table_is_scanned_once(spark):
+    from weblattice import bindings as b
+    d = "/root/testdata/sf0.001"
+    assert _plan(b.trade_edges(spark, d)).count("FileScan") == 3     # lineitem, orders, customer
+    assert _plan(b.shelf_edges(spark, d)).count("FileScan") == 1
+
+
 def test_hot_sources_dangling_variant(spark):
-    e = _graph(spark, 300).unionByName(
-        spark.createDataFrame([("hub", f"t{i}") for i in range(250)], "src string, dst string"))
+    e = _hub(spark, 300, 700)
     pages = e.select(F.col("src").alias("node")).distinct().withColumn("rank", F.lit(1.0))
-    a = pr.pagerank_dangling(pages, e, 2)
-    b = pr.pagerank_dangling(pages, e, 2, hot_threshold=50)
+    a = pr.pagerank_dangling(pages, e, 2, partitions=1)
+    b = pr.pagerank_dangling(pages, e, 2, partitions=4, keep_links=True)
     assert b.links.hot is not None
     assert ranks_of(a.ranks) == ranks_of(b.ranks)
     assert [(r, n) for r, n, _, _ in a.metrics] == [(r, n) for r, n, _, _ in b.metrics]

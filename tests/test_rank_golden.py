@@ -1,6 +1,6 @@
 from weblattice.plans import pagerank as pr
 from weblattice.plans.pipelines import clean_crawl_dedup, graph_from_rank_table
-from weblattice.sources.text import parse_edges, parse_rank_lines
+from weblattice.sources.text import parse_edges, parse_link_rows
 
 from .conftest import ranks_of
 from .fixtures import ACTIVE_EDGES, RANK_TABLE, MICRO_CRAWL, crawl_df, lines_df
@@ -18,7 +18,7 @@ def test_active_golden(spark):
 
 
 def _table(spark, n, compat):
-    g = graph_from_rank_table(parse_rank_lines(lines_df(spark, RANK_TABLE)), compat)
+    g = graph_from_rank_table(parse_link_rows(lines_df(spark, RANK_TABLE)), compat)
     return ranks_of(pr.pagerank_all_nodes(g.pages, g.edges, n, compat=compat).ranks)
 
 
@@ -65,3 +65,27 @@ def test_dangling_without_sentinel(spark):
     assert r2 == {"A": 0.844167, "B": 0.9575, "C": 1.262083, "D": 1.262083, "E": 0.291667,
                   "F": 0.291667}
     assert [(a, b, c, round(d, 6)) for a, b, c, d in m] == [(0, 6, 1.0, 1.0), (1, 6, 1.0, 1.433333)]
+
+
+def test_dangling_compat_gives_the_mass_to_a_page_of_that_name(spark):
+    rows = [r for r in MICRO_CRAWL if r[0] not in ("G", "H", "I")]
+    g = clean_crawl_dedup(crawl_df(spark, rows))
+    one = pr.pagerank_dangling(g.pages, g.edges, 1, compat=True)
+    assert ranks_of(one.ranks) == ranks_of(pr.pagerank_dangling(g.pages, g.edges, 1).ranks)
+    first = {r["node"]: (r["rank"], r["has_links"]) for r in one.ranks.collect()}
+    mass = sum(v for v, links in first.values() if not links)
+    two = pr.pagerank_dangling(g.pages, g.edges, 2, compat=True)
+    nodes = two.metrics[1][1]
+    assert nodes == len(first) + 1
+    share = float(int(mass + 0.5)) / nodes
+    assert abs(two.ranks.where("node = 'dangling'").first()["rank"] - (0.15 + 0.85 * (mass + share))) < 1e-9
+
+
+def test_lookup_in_the_mapped_stream(spark):
+    from weblattice.plans.lookup import lookup_mapped
+    edges = spark.createDataFrame([("A", "B", 2), ("A", "C", 1), ("B", "C", 1), ("X", "C", 5)], "src string, dst string, n long")
+    ranks = spark.createDataFrame([("A", 3.0), ("B", 1.0), ("C", 2.0)], "node string, rank double")
+    got = sorted(map(tuple, lookup_mapped(ranks, edges, "C").collect()), key=str)
+    assert got == sorted([("C", None, 2.0, 1), ("C", "A", 1.0, 1), ("C", "B", 1.0, 1)], key=str)
+    assert [tuple(r) for r in lookup_mapped(ranks, edges, "A").collect()] == [("A", None, 1.0, 1)]
+    assert lookup_mapped(ranks, edges, "nowhere").collect() == []

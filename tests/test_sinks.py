@@ -1,14 +1,10 @@
 import glob
 import os
 
-from pyspark.sql import functions as F
-
-from weblattice.plans import pagerank as pr
 from weblattice.plans.pipelines import clean_crawl, graph_from_rank_table, word_count_job
-from weblattice.sources.crawl import read_crawl_parts, read_crawl_seq
-from weblattice.sources.sinks import (format_ranks, rank_seq_rows, rank_tsv_lines, write_rank_seq,
-                                      write_rank_tsv)
-from weblattice.sources.text import read_lines, read_rank_tsv
+from weblattice.sources.crawl import land_crawl, read_crawl_parts, read_crawl_seq
+from weblattice.sources.sinks import format_ranks, rank_lines, rank_rows, write_rank_rows, write_rank_seq
+from weblattice.sources.text import parse_link_rows, read_lines
 
 from .conftest import ranks_of
 from .fixtures import MICRO_CRAWL, crawl_df, lines_df
@@ -39,30 +35,36 @@ def test_word_count_job_writes_pairs(spark, tmp_out):
     assert lines == ["(a,2)", "(b,1)"]
 
 
-def test_rank_tsv_roundtrip(spark, tmp_out):
+def test_rank_rows_roundtrip(spark, tmp_out):
     g = clean_crawl(crawl_df(spark))
     out = os.path.join(tmp_out, "tsv")
-    write_rank_tsv(g.pages, g.edges, out, partitions=46)
+    write_rank_rows(g.rank_rows(), out, partitions=46)
     parts = glob.glob(os.path.join(out, "part-*"))
     assert 0 < len(parts) <= 46 and all(p.endswith(".deflate") for p in parts)
-    back = graph_from_rank_table(read_rank_tsv(spark, out))
-    expected = _adj(g)
-    expected["F"] = ["A", "p", "q"]  # a comma inside an href splits in the text format
-    assert _adj(back) == expected
+    back = graph_from_rank_table(parse_link_rows(spark.read.text(out)))
+    assert _adj(back) == _adj(g) and _adj(back)["F"] == ["A", "p,q"]
     assert sorted(r["node"] for r in back.pages.collect()) == ["A", "B", "C", "E", "F"]
 
 
-def test_chunked_lines_merge_back_exactly(spark, tmp_out):
-    edges = spark.createDataFrame([("hub", f"t{i}", 1) for i in range(50)] + [("hub", "t1", 1)],
-                                  "src string, dst string, n long")
-    ranks = spark.createDataFrame([("hub", 2.5)], "node string, rank double")
-    lines = rank_tsv_lines(ranks, edges, max_links_per_line=8)
-    assert lines.count() > 1
-    out = os.path.join(tmp_out, "chunks")
-    lines.write.text(out)
-    back = graph_from_rank_table(read_rank_tsv(spark, out))
-    assert _adj(back)["hub"] == sorted([f"t{i}" for i in range(50)] + ["t1"])
-    assert back.pages.collect()[0]["rank"] == 2.5
+def test_any_link_comes_back(spark, tmp_out):
+    odd = ["p,q", "a\tb", "l\nm", "c\\td", "\\", "\\\\n", "r\rs", "dangling\t", "é"]
+    edges = spark.createDataFrame([("hub\t1", x, 1000 if x == "p,q" else 1) for x in odd], "src string, dst string, n long")
+    ranks = spark.createDataFrame([("hub\t1", 2.5), ("bare", 1.5)], "node string, rank double")
+    out = os.path.join(tmp_out, "odd")
+    write_rank_rows(rank_rows(ranks, edges), out)
+    rows = parse_link_rows(spark.read.text(out))
+    assert rows.count() == len(odd) + 1
+    back = graph_from_rank_table(rows)
+    assert sorted(map(tuple, back.edges.collect())) == sorted(map(tuple, edges.collect()))
+    assert {r["node"]: r["rank"] for r in back.pages.collect()} == {"hub\t1": 2.5, "bare": 1.5}
+
+
+def test_legacy_lines_are_read(spark):
+    lines = lines_df(spark, ["A\t1.0\tB,C,B", "B\t2.0", "C\t1\tdangling", "D\t1\tx\t3", "E\t1\tdangling\t0", "A\t1.0\tD"])
+    g = graph_from_rank_table(parse_link_rows(lines))
+    assert _adj(g) == {"A": ["B", "B", "C", "D"], "D": ["x"] * 3}
+    assert {r["node"]: r["self_vote"] for r in g.pages.collect()} == {"A": False, "B": True, "C": False, "D": False, "E": False}
+    assert _adj(graph_from_rank_table(parse_link_rows(lines), compat=True))["C"] == ["dangling"]
 
 
 def test_all_nodes_job_through_text(spark, tmp_out):
@@ -73,9 +75,9 @@ def test_all_nodes_job_through_text(spark, tmp_out):
     dst = os.path.join(tmp_out, "ranks_out")
     ranks = rank_table_job(spark, src, dst, iterations=10, partitions=5)
     assert ranks_of(ranks)["A"] == 0.280024
-    back = read_rank_tsv(spark, dst)
-    got = {r["url"]: (round(r["rank"], 6), r["links"]) for r in back.collect()}
-    assert got["A"] == (0.280024, ["B", "B", "C"]) and got["E"] == (0.15, ["dangling"])
+    got = [(r["url"], round(r["rank"], 6), r["link"], r["n"]) for r in parse_link_rows(spark.read.text(dst)).collect()]
+    assert {x for x in got if x[0] == "A"} == {("A", 0.280024, "B", 2), ("A", 0.280024, "C", 1)}
+    assert ("E", 0.15, None, 0) in got
 
 
 def test_seq_roundtrip(spark, tmp_out):
@@ -85,18 +87,22 @@ def test_seq_roundtrip(spark, tmp_out):
     spark.sparkContext.parallelize(MICRO_CRAWL[:1], 1).saveAsSequenceFile(skip)
     recs = read_crawl_parts(spark, os.path.join(tmp_out, "seg"), 0, 300)
     assert sorted(recs.collect()) == sorted(crawl_df(spark).collect())
-    g = clean_crawl(recs)
+    assert read_crawl_parts(spark, os.path.join(tmp_out, "seg")).count() == len(MICRO_CRAWL) + 1
+    landed = land_crawl(spark, os.path.join(tmp_out, "seg"), os.path.join(tmp_out, "landed"), 0, 300)
+    assert sorted(landed.collect()) == sorted(crawl_df(spark).collect())
+    plan = landed._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "ExistingRDD" not in plan
+    g = clean_crawl(landed)
     out = os.path.join(tmp_out, "ranks_seq")
-    write_rank_seq(rank_seq_rows(g.pages, g.edges), out)
-    back = {r["url"]: r["json"] for r in read_crawl_seq(spark, out).collect()}
-    assert back["A"] == "1.0\tB,B,C" and back["E"] == "1.0\tdangling"
+    write_rank_seq(g.rank_rows(), out)
+    back = sorted(f'{r["url"]}\t{r["json"]}' for r in read_crawl_seq(spark, out).collect())
+    assert back == sorted(r[0] for r in rank_lines(g.rank_rows()).collect())
 
 
 def test_rank_report_format(spark):
     ranks = spark.createDataFrame([("A", 0.15000000000000002), ("B", 1.0)], "node string, rank double")
     got = sorted(r[0] for r in format_ranks(ranks).collect())
     assert got == ["A has rank: 0.15000000000000002.", "B has rank: 1.0."]
-    _ = F
 
 
 def test_job_entry_points(spark, tmp_out):

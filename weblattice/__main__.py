@@ -14,6 +14,13 @@ from .plans import pipelines as jobs
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="weblattice")
     sub = ap.add_subparsers(dest="job", required=True)
+
+    def parts(p: argparse.ArgumentParser) -> None:
+        p.add_argument("--lo", type=int, help="lowest part number (default: every part)")
+        p.add_argument("--hi", type=int, help="highest part number (default: every part)")
+        p.add_argument("--invalid", choices=["drop", "sentinel", "fail"], help="what becomes of unusable records")
+        p.add_argument("--landing", help="where the parts are landed as Parquet (default: the checkpoint folder)")
+
     wc = sub.add_parser("wordcount", help="text files -> (word,n) pair text")
     wc.add_argument("src")
     wc.add_argument("dst")
@@ -21,8 +28,7 @@ def main(argv: list[str] | None = None) -> None:
     cc.add_argument("folder")
     cc.add_argument("dst")
     cc.add_argument("--dedupe", action="store_true")
-    cc.add_argument("--lo", type=int, default=0)
-    cc.add_argument("--hi", type=int, default=300)
+    parts(cc)
     tr = sub.add_parser("tablerank", help="rank-table text -> N all-node rounds -> rank-table text")
     tr.add_argument("src")
     tr.add_argument("dst")
@@ -37,19 +43,22 @@ def main(argv: list[str] | None = None) -> None:
     cr.add_argument("dst")
     cr.add_argument("--iterations", type=int, default=2)
     cr.add_argument("--raw-mass", action="store_true")
+    cr.add_argument("--compat", action="store_true")
+    parts(cr)
     a = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"weblattice-{a.job}").getOrCreate()
     if a.job == "wordcount":
         jobs.word_count_job(spark, a.src, a.dst)
     elif a.job == "clean":
-        jobs.crawl_clean_job(spark, a.folder, a.dst, a.lo, a.hi, dedupe=a.dedupe)
+        jobs.crawl_clean_job(spark, a.folder, a.dst, a.lo, a.hi, dedupe=a.dedupe, invalid=a.invalid, landing=a.landing)
     elif a.job == "tablerank":
         jobs.rank_table_job(spark, a.src, a.dst, a.iterations, compat=a.compat)
     elif a.job == "edgerank":
         jobs.edge_rank_job(spark, a.src, a.iterations, a.dst)
     elif a.job == "crawlrank":
-        res = jobs.crawl_rank_job(spark, a.folder, a.iterations, round_mass=not a.raw_mass, dst=a.dst)
+        res = jobs.crawl_rank_job(spark, a.folder, a.iterations, a.lo, a.hi, not a.raw_mass, a.invalid or "sentinel",
+                                  a.compat, a.dst, a.landing)
         for rnd, nodes, mass, raw in res.metrics:
             print(json.dumps({"round": rnd, "nodes": nodes, "dangling_mass": mass,
                               "dangling_mass_raw": raw}))

@@ -5,13 +5,17 @@ Every input grows with the tables; nothing is sampled or capped.
 * lines   - every line of every ``documents.text``
 * crawl   - one ``(url, json)`` record per ``pages`` row, filed under the
             page's site (host), so a site has several records to merge. Links
-            are the page's ``<a href="...">`` anchors. A page whose HTML was
-            cut short (does not end in ``</html>``) gives a cut-short, hence
-            malformed, JSON record.
+            are the first attribute of the page's a, div, html and meta tags,
+            typed by the tag, and an anchor to the url's ``ref`` parameter
+            (empty where the url has none). A page whose HTML was cut short
+            (does not end in ``</html>``) gives a cut-short, hence malformed,
+            JSON record.
 * trade   - a cyclic graph linear in ``lineitem``: customer -> part bought,
             part -> supplier, supplier -> customer for returned lines,
             customer -> nation (nations only receive links). One edge row per
             transaction, so links repeat.
+* shelf   - a graph with hubs: language -> document -> source -> language of
+            ``documents``; a language holds up to a third of all edges.
 """
 
 from __future__ import annotations
@@ -24,6 +28,8 @@ from .sources.text import parse_rank_lines
 
 # Fixed values of the test-data binding.
 ANCHOR_PATTERN = r'<a href="([^"]*)"'
+TAG_PATTERN = r'<(a|div|html|meta) [a-z]+="([^"]*)"'
+REF_IN_URL = r"ref=([A-Za-z0-9]*)"
 HOST_PATTERN = r"://([^/]+)"
 HTML_END = "</html>"
 RANK_IN_URL = r"page=(\d+)"
@@ -34,8 +40,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines_from_text(table(spark, sf_dir, "documents").select("text"),
-                           min_partitions=spark.sparkContext.defaultParallelism)
+    return lines_from_text(table(spark, sf_dir, "documents").select("text"))
+
+
+def blank_tail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with two line ends appended: one more, empty line each."""
+    docs = table(spark, sf_dir, "documents").select(F.concat("text", F.lit("\n\n")).alias("text"))
+    return lines_from_text(docs)
 
 
 def page_hrefs(pages: DataFrame):
@@ -44,8 +55,10 @@ def page_hrefs(pages: DataFrame):
 
 def crawl_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("url", "html")
-    links = F.transform(page_hrefs(pages),
-                        lambda h: F.struct(F.lit("a").alias("type"), h.alias("href")))
+    found = F.arrays_zip(F.regexp_extract_all("html", F.lit(TAG_PATTERN), 1).alias("type"),
+                         F.regexp_extract_all("html", F.lit(TAG_PATTERN), 2).alias("href"))
+    ref = F.array(F.struct(F.lit("a").alias("type"), F.regexp_extract("url", REF_IN_URL, 1).alias("href")))
+    links = F.concat(F.transform(found, lambda x: F.struct(x["type"].alias("type"), x["href"].alias("href"))), ref)
     j = F.to_json(F.struct(F.struct(links.alias("links")).alias("content")))
     cut = F.expr("substring(j, 1, length(j) - 1)")
     return pages.select(
@@ -73,22 +86,20 @@ def _key(prefix: str, c: str):
 
 
 def trade_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(src, dst)``, one row per transaction (repeats kept)."""
+    """``(src, dst)``, one row per transaction (repeats kept). Each table is
+    scanned once: a line gives up to three edges."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_returnflag")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    lo = li.join(orders, li.l_orderkey == orders.o_orderkey)
-    parts = [
-        lo.select(_key("c:", "o_custkey").alias("src"), _key("p:", "l_partkey").alias("dst")),
-        li.select(_key("p:", "l_partkey").alias("src"), _key("s:", "l_suppkey").alias("dst")),
-        lo.where(F.col("l_returnflag") == "R")
-          .select(_key("s:", "l_suppkey").alias("src"), _key("c:", "o_custkey").alias("dst")),
-        cust.select(_key("c:", "c_custkey").alias("src"), _key("n:", "c_nationkey").alias("dst")),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+
+    def edge(a, b):
+        return F.struct(a.alias("src"), b.alias("dst"))
+
+    c, p, s = _key("c:", "o_custkey"), _key("p:", "l_partkey"), _key("s:", "l_suppkey")
+    back = F.when(F.col("l_returnflag") == "R", edge(s, c))
+    lines = li.join(orders, li.l_orderkey == orders.o_orderkey, "left") \
+        .select(F.inline(F.array(edge(c, p), edge(p, s), back))).where("src is not null and dst is not null")
+    return lines.unionByName(cust.select(_key("c:", "c_custkey").alias("src"), _key("n:", "c_nationkey").alias("dst")))
 
 
 def trade_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,10 +107,13 @@ def trade_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trade_edges(spark, sf_dir).select(F.concat_ws(" ", "src", "dst").alias("value"))
 
 
-def trade_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rank-table rows of the trade graph: every node with links, rank 1.0."""
-    return trade_edges(spark, sf_dir).select(F.col("src").alias("node")).distinct() \
-        .select("node", F.lit(1.0).alias("rank"))
+def shelf_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(src, dst)`` with hubs: every document is linked from its language
+    and links to its source, which links to the language."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    lang, doc, source = _key("l:", "lang"), _key("d:", "doc_id"), _key("s:", "source")
+    pairs = [F.struct(a.alias("src"), b.alias("dst")) for a, b in ((lang, doc), (doc, source), (source, lang))]
+    return docs.select(F.inline(F.array(*pairs))).where("src is not null and dst is not null")
 
 
 def lineitem_edge_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,5 +124,4 @@ def lineitem_edge_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def part_file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
-    return pages.select(F.concat(F.lit("metadata-"), F.lpad(F.col("page_id").cast("string"), 5, "0"))
-                        .alias("name"))
+    return pages.select(F.format_string("metadata-%05d", "page_id").alias("name"))

@@ -17,17 +17,18 @@ from .operators import crawl as cr
 from .operators import graph as g
 from .operators.text import format_pairs, tokens, word_count
 from .plans import pagerank as pr
-from .plans.lineage import pinned_partitions, shuffle_partitions
-from .plans.lookup import lookup
+from .plans.lineage import materialize, pinned_partitions, shuffle_partitions
+from .plans.lookup import lookup, lookup_mapped
 from .plans.pipelines import clean_crawl, clean_crawl_dedup
 from .sources.crawl import select_parts
-from .sources.sinks import adjacency_lines, format_ranks, rank_tsv_lines
-from .sources.text import parse_edges, parse_rank_lines
+from .sources.sinks import format_ranks, rank_lines
+from .sources.text import parse_edges
 
 ROUNDS_TABLE = 10      # all-node rank job
 ROUNDS_DANGLING = 2    # dangling-redistribution job
 ROUNDS_ACTIVE = 10     # edge-list job (a command-line argument there)
 LOOKUP_KEY = cr.SENTINEL
+PART_RANGE = (40, 180)  # leaves part numbers out on either side
 
 
 def _r6(c: str = "rank"):
@@ -44,6 +45,10 @@ def q_tokenize_lines(spark, d):
     return tokens(b.document_lines(spark, d))
 
 
+def q_tokenize_lines_blank_tail(spark, d):
+    return tokens(b.blank_tail_lines(spark, d))
+
+
 def q_word_count(spark, d):
     return word_count(b.document_lines(spark, d))
 
@@ -67,7 +72,7 @@ def q_adjacency(spark, d):
 
 
 def q_part_file_select(spark, d):
-    return select_parts(b.part_file_names(spark, d), 0, 300)
+    return select_parts(b.part_file_names(spark, d), *PART_RANGE)
 
 
 # ---- rank tables ------------------------------------------------------------
@@ -112,27 +117,23 @@ def q_crawl_links_sentinel(spark, d):
 
 
 def q_adjacency_merge_concat(spark, d):
-    return cr.merged_adjacency(cr.extract_links(b.crawl_records(spark, d)), dedupe=False)
+    return cr.adjacency(clean_crawl(b.crawl_records(spark, d)).merged)
 
 
 def q_adjacency_merge_union(spark, d):
-    return cr.merged_adjacency(
-        cr.extract_links(b.crawl_records(spark, d), comma="drop", invalid="sentinel"), dedupe=True)
+    return cr.adjacency(clean_crawl_dedup(b.crawl_records(spark, d)).merged)
 
 
 def q_clean_crawl(spark, d):
-    gr = clean_crawl(b.crawl_records(spark, d))
-    return adjacency_lines(gr.pages, gr.edges)
+    return clean_crawl(b.crawl_records(spark, d)).rank_rows()
 
 
 def q_clean_crawl_dedup(spark, d):
-    gr = clean_crawl_dedup(b.crawl_records(spark, d))
-    return adjacency_lines(gr.pages, gr.edges)
+    return clean_crawl_dedup(b.crawl_records(spark, d)).rank_rows()
 
 
 def q_adjacency_text(spark, d):
-    gr = clean_crawl(b.crawl_records(spark, d))
-    return rank_tsv_lines(gr.pages, gr.edges)
+    return rank_lines(clean_crawl(b.crawl_records(spark, d)).rank_rows())
 
 
 # ---- graph diagnostics on the trade graph -----------------------------------
@@ -157,22 +158,24 @@ def _active_links(spark, d):
     return parse_edges(b.trade_lines(spark, d), distinct=True)
 
 
-def q_contributions(spark, d):
-    e = _active_links(spark, d)
+def _first_round(spark, d, of):
+    """``of(contributions)`` of the first active round, planned and run like
+    the loop's; the link tables go afterwards."""
+    pairs = pr.link_pairs(_active_links(spark, d), distinct=True)
     with pinned_partitions(spark, shuffle_partitions(spark)):
-        links = pr.prepare_links(e)
+        links = pr.prepare_links(pairs)
         ranks = links.sources.select(F.col("src").alias("node"), F.lit(1.0).alias("rank"))
-        c = pr.contributions(links, ranks)
-        return c.select("src", "node", _r6("c"))
+        out = materialize(of(pr.contributions(links, ranks)))
+        links.release()
+    return out
+
+
+def q_contributions(spark, d):
+    return _first_round(spark, d, lambda c: c.select("src", "node", _r6("c")))
 
 
 def q_contribution_sums(spark, d):
-    e = _active_links(spark, d)
-    with pinned_partitions(spark, shuffle_partitions(spark)):
-        links = pr.prepare_links(e)
-        ranks = links.sources.select(F.col("src").alias("node"), F.lit(1.0).alias("rank"))
-        s = pr.contributions(links, ranks).groupBy("node").agg(F.sum("c").alias("s"))
-        return s.select("node", _r6("s"))
+    return _first_round(spark, d, lambda c: c.groupBy("node").agg(F.sum("c").alias("s")).select("node", _r6("s")))
 
 
 def q_rank_step(spark, d):
@@ -180,7 +183,7 @@ def q_rank_step(spark, d):
 
 
 def q_rank_step_all_nodes(spark, d):
-    res = pr.pagerank_all_nodes(b.trade_pages(spark, d), b.trade_edges(spark, d), 1)
+    res = pr.pagerank_all_nodes(None, b.trade_edges(spark, d), 1)
     return _ranked(res.ranks)
 
 
@@ -215,6 +218,12 @@ def q_rank_lookup(spark, d):
     return _ranked(lookup(ranks, LOOKUP_KEY))
 
 
+def q_rank_lookup_mapped(spark, d):
+    gr = _crawl_graph(spark, d)
+    ranks = pr.pagerank_dangling(gr.pages, gr.edges, 1).ranks
+    return lookup_mapped(ranks, gr.edges, LOOKUP_KEY).select("node", "src", _r6("value"), "n")
+
+
 def q_rank_round_metrics(spark, d):
     gr = _crawl_graph(spark, d)
     res = pr.pagerank_dangling(gr.pages, gr.edges, ROUNDS_DANGLING)
@@ -227,18 +236,27 @@ def q_pagerank_active(spark, d):
     return _ranked(pr.pagerank_active(_active_links(spark, d), ROUNDS_ACTIVE).ranks)
 
 
+def q_pagerank_hubs(spark, d):
+    return _ranked(pr.pagerank_active(b.shelf_edges(spark, d), ROUNDS_ACTIVE).ranks)
+
+
+def q_pagerank_dangling_compat(spark, d):
+    gr = _crawl_graph(spark, d)
+    return _ranked(pr.pagerank_dangling(gr.pages, gr.edges, ROUNDS_DANGLING + 1, compat=True).ranks)
+
+
 def q_rank_report(spark, d):
     ranks = pr.pagerank_active(_active_links(spark, d), ROUNDS_ACTIVE).ranks
     return format_ranks(_ranked(ranks))
 
 
 def q_pagerank_all_nodes(spark, d):
-    res = pr.pagerank_all_nodes(b.trade_pages(spark, d), b.trade_edges(spark, d), ROUNDS_TABLE)
+    res = pr.pagerank_all_nodes(None, b.trade_edges(spark, d), ROUNDS_TABLE)
     return _ranked(res.ranks)
 
 
 def q_pagerank_all_nodes_compat(spark, d):
-    res = pr.pagerank_all_nodes(b.trade_pages(spark, d), b.trade_edges(spark, d), ROUNDS_TABLE,
+    res = pr.pagerank_all_nodes(None, b.trade_edges(spark, d), ROUNDS_TABLE,
                                 compat=True)
     return _ranked(res.ranks)
 

@@ -1,5 +1,5 @@
 """Scalar column helpers (JVM-side expressions only)."""
 
-from .javatext import half_up, java_split, java_split_regex, text_lines
+from .javatext import half_up, java_split, text_lines
 
-__all__ = ["half_up", "java_split", "java_split_regex", "text_lines"]
+__all__ = ["half_up", "java_split", "text_lines"]

@@ -1,11 +1,13 @@
 """Column expressions reproducing the Java string behaviour the jobs rely on.
 
-``String.split`` / ``Pattern.split`` drop trailing empty strings, while
+``String.split`` drops trailing empty strings, while
 Spark's ``split`` keeps them. The rules (all JVM-side, no UDF):
 
 * empty input             -> one empty token
 * input made only of separators -> no token
 * otherwise               -> strip trailing separators, then split
+
+Patterns end in ``\\z``: ``$`` would also match before a last line terminator.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ def java_split(c, sep: str) -> Column:
     s = _col(c)
     esc = re.escape(sep)
     # SQL rtrim strips spaces only, and needs no regex
-    stripped = F.rtrim(s) if sep == " " else F.regexp_replace(s, f"(?:{esc})+$", "")
+    stripped = F.rtrim(s) if sep == " " else F.regexp_replace(s, rf"(?:{esc})+\z", "")
     return (
         F.when(s.isNull(), F.lit(None))
         .when(s == "", F.array(F.lit("")))
@@ -34,18 +36,6 @@ def java_split(c, sep: str) -> Column:
     )
 
 
-def java_split_regex(c, pattern: str) -> Column:
-    """Java ``Pattern.compile(pattern).split(s)`` for a positive-width pattern."""
-    s = _col(c)
-    stripped = F.regexp_replace(s, f"(?:{pattern})+$", "")
-    return (
-        F.when(s.isNull(), F.lit(None))
-        .when(s == "", F.array(F.lit("")))
-        .when(stripped == "", F.array().cast("array<string>"))
-        .otherwise(F.split(stripped, pattern))
-    )
-
-
 def half_up(c) -> Column:
     """``Math.round`` for doubles (ties towards positive infinity), as double."""
     return F.floor(_col(c) + F.lit(0.5)).cast("double")
@@ -58,8 +48,8 @@ def text_lines(c) -> Column:
     start an empty line and an empty text has no lines.
     """
     s = _col(c)
-    body = F.regexp_replace(s, "(?:\r\n|\r|\n)$", "")
+    body = F.regexp_replace(s, r"(?:\r\n|\r|\n)\z", "")
     return (
         F.when(s.isNull() | (s == ""), F.array().cast("array<string>"))
-        .otherwise(F.split(body, "\r\n|\r|\n"))
+        .otherwise(F.split(body, r"\r\n|\r|\n"))
     )

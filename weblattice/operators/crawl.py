@@ -2,7 +2,8 @@
 
 A crawl record is ``(url, json)`` where the JSON carries
 ``content.links[]`` of ``{type, href}``. Only those fields are declared, so the
-JSON reader materialises nothing else.
+JSON reader materialises nothing else; the two values are read as variants,
+which keep a string apart from a number or an object.
 
 Link extraction keeps anchors (``type == "a"``) with a non-empty href,
 optionally dropping hrefs that contain a comma. Invalid records (JSON that
@@ -13,11 +14,10 @@ job would have dereferenced as null) are handled by policy:
 * ``invalid="sentinel"`` - it becomes the page ``random`` linking to itself
 * ``invalid="fail"``     - the job fails on malformed JSON
 
-Merging several records of one url never builds a list per url: links stay
-exploded as ``(url, link)`` rows. The concatenating merge keeps duplicates as
-a multiplicity count, the union merge keeps distinct pairs. Both are plain
-aggregations keyed by ``(url, link)``, so a url with a huge number of links is
-spread over many tasks by the hash of the pair rather than landing in one.
+Merging several records of one url never builds a list per url. One aggregate
+keyed by ``(url, link)`` merges all records: a page's own row has a null link,
+every link a row with its number of occurrences. A url with a huge number of
+links is spread over many tasks by the hash of the pair.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 # Fixed values that decide results: the JSON fields read, the anchor type
 # kept, and the page name given to unusable records.
-CRAWL_SCHEMA = "content struct<links:array<struct<type:string,href:string>>>"
+CRAWL_SCHEMA = "content struct<links:array<struct<type:variant,href:variant>>>"
 ANCHOR_TYPE = "a"
 SENTINEL = "random"
 
@@ -37,12 +37,18 @@ def parse_crawl(records: DataFrame, url_col: str = "url", json_col: str = "json"
     """``(url, json)`` -> ``(url, links array<struct<type,href>>)``.
 
     ``links`` is null for a record whose JSON is malformed or lacks an object,
-    ``content`` or ``links``; an empty list stays an empty array.
+    ``content`` or ``links``; an empty list stays an empty array. A ``type`` or
+    ``href`` that is missing or no string is null.
     """
     options = {"mode": "FAILFAST"} if fail_on_malformed else {}
-    parsed = F.from_json(F.col(json_col), CRAWL_SCHEMA, options)
-    return records.select(F.col(url_col).alias("url"),
-                          parsed.getField("content").getField("links").alias("links"))
+    parsed = F.from_json(F.col(json_col), CRAWL_SCHEMA, options).getField("content").getField("links")
+
+    def text(v):
+        return F.when(F.schema_of_variant(v) == "STRING", F.try_variant_get(v, "$", "string"))
+
+    links = F.transform(parsed, lambda l: F.when(l.isNotNull(), F.struct(
+        text(l["type"]).alias("type"), text(l["href"]).alias("href"))))
+    return records.select(F.col(url_col).alias("url"), links.alias("links"))
 
 
 def bad_record(links: str = "links"):
@@ -88,32 +94,25 @@ def extract_links(records: DataFrame, comma: str = "keep", invalid: str = "drop"
     return parsed.where(~bad).select("url", hrefs.alias("links"))
 
 
-def link_rows(links: DataFrame) -> DataFrame:
-    """Per-record link arrays -> ``(url, link)`` rows (duplicates kept)."""
-    return links.select("url", F.explode("links").alias("link"))
-
-
-def merge_links(links: DataFrame, dedupe: bool) -> tuple[DataFrame, DataFrame]:
-    """Merge all records of each url.
+def merge_links(links: DataFrame, dedupe: bool) -> DataFrame:
+    """Merge all records of each url into rows ``(url, link, n)``.
 
-    Returns ``(pages, edges)``: ``pages(url)`` holds every url that had at
-    least one usable record (with or without links) and ``edges(url, link, n)``
-    the merged links, ``n`` being the number of occurrences (concatenation) or
-    1 (``dedupe=True``, set union).
+    Every url with a usable record has one row with a null link and ``n`` 0
+    (the page itself), and one row per distinct link, ``n`` being its number
+    of occurrences (concatenation) or 1 (``dedupe=True``, set union). One scan
+    and one partially aggregated shuffle on the pair.
     """
-    pages = links.select("url").distinct()
-    rows = link_rows(links)
-    if dedupe:
-        edges = rows.distinct().withColumn("n", F.lit(1).cast("bigint"))
-    else:
-        edges = rows.groupBy("url", "link").agg(F.count(F.lit(1)).alias("n"))
-    return pages, edges
-
-
-def merged_adjacency(links: DataFrame, dedupe: bool) -> DataFrame:
-    """Merged adjacency as rows: ``(url, link, n)``; a url without links gets
-    one row with ``link`` null and ``n`` 0."""
-    pages, edges = merge_links(links, dedupe)
-    empty = pages.join(edges.select("url").distinct(), "url", "left_anti") \
-        .select("url", F.lit(None).cast("string").alias("link"), F.lit(0).cast("bigint").alias("n"))
-    return edges.unionByName(empty)
+    own = F.array(F.lit(None).cast("string"))
+    rows = links.select("url", F.explode(F.concat(own, F.col("links"))).alias("link"))
+    n = F.lit(1) if dedupe else F.count(F.lit(1))
+    merged = rows.groupBy("url", "link").agg(n.cast("bigint").alias("n"))
+    return merged.withColumn("n", F.when(F.col("link").isNull(), 0).otherwise(F.col("n")).cast("bigint"))
+
+
+def adjacency(merged: DataFrame) -> DataFrame:
+    """``merge_links`` rows without the page rows of urls that have links: a
+    url without links keeps one row with ``link`` null and ``n`` 0. Reads
+    ``merged`` twice; pass a materialised table."""
+    edges = merged.where(F.col("link").isNotNull())
+    own = merged.where(F.col("link").isNull())
+    return edges.unionByName(own.join(edges.select("url").distinct(), "url", "left_anti"))

@@ -30,11 +30,30 @@ def out_degree(edges: DataFrame) -> DataFrame:
     return with_multiplicity(edges).groupBy("src").agg(F.sum("n").alias("deg"))
 
 
-def adjacency_rows(edges: DataFrame) -> DataFrame:
+def join_sources(edges: DataFrame, per_source: DataFrame, partitions: int | None = None) -> DataFrame:
+    """``edges(src, ...)`` joined with ``per_source(src, ...)``, which has one
+    row per source.
+
+    Sources with more than ``rows / partitions`` edge rows are hot: fewer than
+    ``partitions`` of them, a proven bound, so their rows of ``per_source`` are
+    broadcast to edges that stay where they are. The others are joined by
+    shuffle, and no key of that join has more than a partition's share.
+    Reads ``edges`` several times; pass a materialised table if it is costly.
+    """
+    p = partitions or int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = edges.groupBy("src").agg(F.count(F.lit(1)).alias("rows"))
+    total = rows.agg(F.sum("rows")).first()[0] or 0
+    hot = F.broadcast(rows.where(F.col("rows") > -(-total // p)).select("src"))
+    spread = edges.join(hot, "src", "left_semi").join(
+        F.broadcast(per_source.join(hot, "src", "left_semi")), "src")
+    return edges.join(hot, "src", "left_anti").join(per_source, "src").unionByName(spread)
+
+
+def adjacency_rows(edges: DataFrame, partitions: int | None = None) -> DataFrame:
     """Grouped-adjacency view kept exploded: ``(src, dst, deg)`` over distinct
     edges (the edge-list job's ``distinct().groupByKey()``)."""
     d = distinct_edges(edges)
-    return d.join(out_degree(d), "src")
+    return join_sources(d, out_degree(d), partitions)
 
 
 def node_set(pages: DataFrame | None, edges: DataFrame) -> DataFrame:
@@ -59,19 +78,15 @@ def initial_ranks(nodes: DataFrame, value: float = 1.0) -> DataFrame:
     return nodes.select("node", F.lit(float(value)).alias("rank"))
 
 
-def key_counts(ranks: DataFrame, edges: DataFrame) -> DataFrame:
+def key_counts(ranks: DataFrame, edges: DataFrame, partitions: int | None = None) -> DataFrame:
     """Rows per key of one round's mapped stream: a node's own row plus one
     row per incoming link occurrence from a ranked source."""
-    e = with_multiplicity(edges)
     own = ranks.select("node", F.lit(1).cast("bigint").alias("c"))
-    incoming = e.join(ranks.select(F.col("node").alias("src")), "src") \
+    incoming = join_sources(with_multiplicity(edges), ranks.select(F.col("node").alias("src")).distinct(), partitions) \
         .select(F.col("dst").alias("node"), F.col("n").alias("c"))
     return own.unionByName(incoming).groupBy("node").agg(F.sum("c").alias("n"))
 
 
-def node_count(ranks: DataFrame, edges: DataFrame) -> DataFrame:
+def node_count(ranks: DataFrame, edges: DataFrame, partitions: int | None = None) -> DataFrame:
     """One row: distinct keys of one round's mapped stream (``nodes``)."""
-    stream = ranks.select("node").unionByName(
-        edges.join(ranks.select(F.col("node").alias("src")), "src")
-        .select(F.col("dst").alias("node")))
-    return stream.agg(F.count_distinct("node").alias("nodes"))
+    return key_counts(ranks, edges, partitions).agg(F.count(F.lit(1)).alias("nodes"))

@@ -15,19 +15,10 @@ from pyspark.sql import functions as F
 from ..functions import java_split, text_lines
 
 
-def lines_from_text(df: DataFrame, text_col: str = "text",
-                    min_partitions: int | None = None) -> DataFrame:
-    """One row per line of a text column, as ``value`` (a file per row).
-
-    ``min_partitions`` is the minimum-split hint of a text read: when the scan
-    yields fewer input partitions (few, large row groups), rows are spread
-    round-robin first so tokenising runs on every core. A scan that already
-    has enough partitions is left alone - no shuffle of the raw text.
-    """
-    src = df.select(text_col)
-    if min_partitions and src.rdd.getNumPartitions() < min_partitions:
-        src = src.repartition(min_partitions)
-    return src.select(F.explode(text_lines(F.col(text_col))).alias("value"))
+def lines_from_text(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """One row per line of a text column, as ``value`` (a file per row). How
+    many tasks scan is the session's ``spark.sql.files.*`` settings' affair."""
+    return df.select(F.explode(text_lines(F.col(text_col))).alias("value"))
 
 
 def tokens(lines: DataFrame, col: str = "value") -> DataFrame:

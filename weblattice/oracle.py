@@ -38,9 +38,12 @@ LINES = ("lines AS (SELECT unnest(CASE WHEN text IS NULL OR text = '' THEN []::V
 TOKENS = f"toks AS (SELECT unnest({_java_split_space('value')}) AS word FROM lines)"
 COUNTS = "counts AS (SELECT word, count(*) AS n FROM toks GROUP BY word)"
 
-CRAWL = ("crawl AS (SELECT regexp_extract(url, '://([^/]+)', 1) AS url, "
-         "regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1) AS hrefs, "
-         "html LIKE '%</html>' AS complete FROM pages)")
+TAGS = "html, '<(a|div|html|meta) [a-z]+=\"([^\"]*)\"'"
+CRAWL = ("tags AS (SELECT regexp_extract(url, '://([^/]+)', 1) AS url, html LIKE '%</html>' AS complete, "
+         f"list_append(regexp_extract_all({TAGS}, 1), 'a') AS types, "
+         f"list_append(regexp_extract_all({TAGS}, 2), regexp_extract(url, 'ref=([A-Za-z0-9]*)', 1)) AS refs FROM pages), "
+         "crawl AS (SELECT url, complete, len(types) AS n_all, "
+         "[refs[i] FOR i IN range(1, len(types) + 1) IF types[i] = 'a'] AS hrefs FROM tags)")
 KEEP = "keep AS (SELECT url, list_filter(hrefs, lambda h: h <> '') AS links FROM crawl WHERE complete)"
 NOCOMMA = ("nocomma AS (SELECT url, list_filter(hrefs, lambda h: h <> '' AND NOT contains(h, ',')) AS links "
            "FROM crawl WHERE complete)")
@@ -56,6 +59,9 @@ TRADE = ("trade AS ("
          "UNION ALL SELECT 's:' || CAST(l_suppkey AS VARCHAR), 'c:' || CAST(o_custkey AS VARCHAR) FROM lo "
          "WHERE l_returnflag = 'R' "
          "UNION ALL SELECT 'c:' || CAST(c_custkey AS VARCHAR), 'n:' || CAST(c_nationkey AS VARCHAR) FROM customer)")
+SHELF = ("trade AS (SELECT 'l:' || lang AS src, 'd:' || CAST(doc_id AS VARCHAR) AS dst FROM documents "
+         "UNION ALL SELECT 'd:' || CAST(doc_id AS VARCHAR), 's:' || source FROM documents "
+         "UNION ALL SELECT 's:' || source, 'l:' || lang FROM documents)")
 LI_EDGES = ("li_edges AS (SELECT CAST(l_partkey AS VARCHAR) AS src, CAST(l_suppkey AS VARCHAR) AS dst "
             "FROM lineitem)")
 
@@ -71,15 +77,9 @@ def _merged(src: str, dedupe: bool) -> list[str]:
     return [e, empty]
 
 
-def _lines_of(src: str, dedupe: bool) -> list[str]:
-    occ = (f"SELECT url, unnest(links) AS link FROM {src}" if not dedupe
-           else f"SELECT DISTINCT url, unnest(links) AS link FROM {src}")
-    return [
-        f"occ AS ({occ})",
-        f"texts AS (SELECT url, string_agg(link, ',' ORDER BY link) AS links FROM occ GROUP BY url)",
-        f"adj AS (SELECT p.url, 1.0{D} AS rank, coalesce(t.links, 'dangling') AS links "
-        f"FROM (SELECT DISTINCT url FROM {src}) p LEFT JOIN texts t USING (url))",
-    ]
+def _rows_of(src: str, dedupe: bool) -> list[str]:
+    return _merged(src, dedupe) + [
+        f"adj AS (SELECT url, 1.0{D} AS rank, link, n FROM medges UNION ALL SELECT url, 1.0{D}, 'dangling', n FROM mempty)"]
 
 
 def _rank_table(rank_field: str, tolerant: bool) -> str:
@@ -94,8 +94,8 @@ def _rank_table(rank_field: str, tolerant: bool) -> str:
             f"SELECT url, {links_text} AS lt FROM pages))")
 
 
-def _active(rounds: int) -> list[str]:
-    ctes = [LO, TRADE,
+def _active(rounds: int, graph: tuple[str, ...] = (LO, TRADE)) -> list[str]:
+    ctes = [*graph,
             "e AS MATERIALIZED (SELECT DISTINCT src, dst FROM trade)",
             f"d AS MATERIALIZED (SELECT src, count(*){D} AS deg FROM e GROUP BY src)",
             f"r0 AS MATERIALIZED (SELECT src AS node, 1.0{D} AS rank FROM d)"]
@@ -124,7 +124,7 @@ def _all_nodes(rounds: int, compat: bool) -> list[str]:
     return ctes
 
 
-def _dangling(rounds: int, round_mass: bool = True) -> list[str]:
+def _dangling(rounds: int, round_mass: bool = True, compat: bool = False) -> list[str]:
     ctes = [CRAWL, SENT,
             "pg AS MATERIALIZED (SELECT DISTINCT url AS node FROM sent)",
             "e AS MATERIALIZED (SELECT DISTINCT url AS src, link AS dst FROM "
@@ -134,12 +134,13 @@ def _dangling(rounds: int, round_mass: bool = True) -> list[str]:
     for i in range(rounds):
         raw = f"coalesce(sum(rank) FILTER (WHERE NOT has_links), 0{D})"
         mass = f"floor({raw} + 0.5{D})" if round_mass else raw
+        extra = f" UNION ALL SELECT 'dangling', rank, false FROM r{i} WHERE NOT has_links" if compat and i else ""
         ctes += [
             f"m{i} AS MATERIALIZED (SELECT {mass} AS mass, {raw} AS raw FROM r{i})",
             f"s{i + 1} AS MATERIALIZED (SELECT node, sum(c) AS s, bool_or(hl) AS has_links FROM ("
             f"SELECT e.dst AS node, r.rank * (1{D} / d.deg) AS c, false AS hl "
             f"FROM e JOIN d USING (src) JOIN r{i} r ON r.node = e.src "
-            f"UNION ALL SELECT node, 0.0{D}, has_links FROM r{i}) GROUP BY node)",
+            f"UNION ALL SELECT node, 0.0{D}, has_links FROM r{i}{extra}) GROUP BY node)",
             f"n{i + 1} AS MATERIALIZED (SELECT count(*) AS nodes FROM s{i + 1})",
             f"r{i + 1} AS MATERIALIZED (SELECT node, {TELEPORT_COMPUTED} + 0.85{D} * "
             f"(s + (SELECT mass FROM m{i}) / (SELECT nodes FROM n{i + 1})) AS rank, has_links FROM s{i + 1})",
@@ -153,6 +154,8 @@ R6 = "round(rank, 6) AS rank"
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["tokenize_lines"] = _with(LINES, TOKENS) + "SELECT word FROM toks"
+    q["tokenize_lines_blank_tail"] = _with(
+        LINES.replace("FROM documents", "FROM (SELECT text || chr(10) || chr(10) AS text FROM documents)"), TOKENS) + "SELECT word FROM toks"
     q["word_count"] = _with(LINES, TOKENS, COUNTS) + "SELECT word, n FROM counts"
     q["word_count_pairs_text"] = _with(LINES, TOKENS, COUNTS) + \
         "SELECT '(' || word || ',' || CAST(n AS VARCHAR) || ')' AS value FROM counts"
@@ -161,13 +164,14 @@ def oracle_sql() -> dict[str, str]:
     q["adjacency"] = _with(LI_EDGES, "de AS (SELECT DISTINCT src, dst FROM li_edges)") + \
         "SELECT src, dst, count(*) OVER (PARTITION BY src) AS deg FROM de"
     q["part_file_select"] = (
-        "SELECT name FROM (SELECT 'metadata-' || lpad(CAST(page_id AS VARCHAR), 5, '0') AS name FROM pages) "
+        "SELECT name FROM (SELECT 'metadata-' || printf('%05d', page_id) AS name FROM pages) "
         "WHERE regexp_extract(name, 'metadata-00(\\d{3})', 1) <> '' "
-        "AND CAST(regexp_extract(name, 'metadata-00(\\d{3})', 1) AS INTEGER) BETWEEN 0 AND 300")
+        "AND CAST(regexp_extract(name, 'metadata-00(\\d{3})', 1) AS INTEGER) "
+        f"BETWEEN {c.PART_RANGE[0]} AND {c.PART_RANGE[1]}")
     q["rank_tsv_parse"] = _rank_table("'1.0'", tolerant=False)
     q["rank_parse_tolerant"] = _rank_table("regexp_extract(url, 'page=(\\d+)', 1)", tolerant=True)
     q["crawl_parse"] = _with(CRAWL) + (
-        "SELECT url, CASE WHEN complete THEN len(hrefs) END AS n_links, NOT complete AS bad FROM crawl")
+        "SELECT url, CASE WHEN complete THEN n_all END AS n_links, NOT complete AS bad FROM crawl")
     view = "SELECT url, array_to_string(links, '|') AS links, len(links) AS n_links FROM "
     q["crawl_links"] = _with(CRAWL, KEEP) + view + "keep"
     q["crawl_links_no_comma"] = _with(CRAWL, NOCOMMA) + view + "nocomma"
@@ -176,10 +180,12 @@ def oracle_sql() -> dict[str, str]:
         "SELECT url, link, n FROM medges UNION ALL SELECT url, link, n FROM mempty"
     q["adjacency_merge_union"] = _with(CRAWL, SENT, *_merged("sent", True)) + \
         "SELECT url, link, n FROM medges UNION ALL SELECT url, link, n FROM mempty"
-    q["clean_crawl"] = _with(CRAWL, KEEP, *_lines_of("keep", False)) + "SELECT url, rank, links FROM adj"
-    q["clean_crawl_dedup"] = _with(CRAWL, SENT, *_lines_of("sent", True)) + "SELECT url, rank, links FROM adj"
-    q["adjacency_text"] = _with(CRAWL, KEEP, *_lines_of("keep", False)) + \
-        "SELECT url || chr(9) || CAST(rank AS VARCHAR) || chr(9) || links AS value FROM adj"
+    q["clean_crawl"] = _with(CRAWL, KEEP, *_rows_of("keep", False)) + "SELECT url, rank, link, n FROM adj"
+    q["clean_crawl_dedup"] = _with(CRAWL, SENT, *_rows_of("sent", True)) + "SELECT url, rank, link, n FROM adj"
+    field = "replace(replace(replace(replace({}, chr(92), chr(92) || chr(92)), chr(9), chr(92) || 't'), chr(10), chr(92) || 'n'), chr(13), chr(92) || 'r')"
+    q["adjacency_text"] = _with(CRAWL, KEEP, *_rows_of("keep", False)) + (
+        f"SELECT {field.format('url')} || chr(9) || CAST(rank AS VARCHAR) || chr(9) || {field.format('link')} "
+        "|| chr(9) || CAST(n AS VARCHAR) AS value FROM adj")
     q["initial_ranks"] = _with(LO, TRADE) + f"SELECT DISTINCT src AS node, 1.0{D} AS rank FROM trade"
     q["out_degree"] = _with(LO, TRADE) + "SELECT src, count(*) AS deg FROM trade GROUP BY src"
     q["dangling_nodes"] = _with(LO, TRADE) + \
@@ -202,6 +208,11 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT floor(coalesce(sum(rank) FILTER (WHERE NOT has_links), 0{D}) + 0.5{D}) AS dangling_mass FROM r1"
     dg = _dangling(c.ROUNDS_DANGLING)
     q["rank_lookup"] = _with(*dg) + f"SELECT node, {R6} FROM r{c.ROUNDS_DANGLING} WHERE node = '{c.LOOKUP_KEY}'"
+    q["rank_lookup_mapped"] = _with(*_dangling(1), f"k AS (SELECT '{c.LOOKUP_KEY}' AS node)") + (
+        "SELECT r.node, NULL::VARCHAR AS src, round(r.rank / coalesce(d.deg, 1), 6) AS value, 1::BIGINT AS n "
+        "FROM r1 r JOIN k USING (node) LEFT JOIN d ON d.src = r.node "
+        "UNION ALL SELECT e.dst, e.src, round(r.rank / d.deg, 6), 1::BIGINT FROM e JOIN k ON e.dst = k.node "
+        "JOIN d ON d.src = e.src JOIN r1 r ON r.node = e.src")
     q["rank_round_metrics"] = _with(*dg) + " UNION ALL ".join(
         f"SELECT {i}::INTEGER AS round, (SELECT nodes FROM n{i + 1}) AS nodes, "
         f"round((SELECT mass FROM m{i}), 6) AS dangling_mass, "
@@ -215,5 +226,8 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT node, {R6} FROM r{c.ROUNDS_TABLE}"
     q["pagerank_all_nodes_compat"] = _with(*_all_nodes(c.ROUNDS_TABLE, True)) + \
         f"SELECT node, {R6} FROM r{c.ROUNDS_TABLE}"
+    q["pagerank_hubs"] = _with(*_active(c.ROUNDS_ACTIVE, (SHELF,))) + f"SELECT node, {R6} FROM r{c.ROUNDS_ACTIVE}"
+    q["pagerank_dangling_compat"] = _with(*_dangling(c.ROUNDS_DANGLING + 1, compat=True)) + \
+        f"SELECT node, {R6} FROM r{c.ROUNDS_DANGLING + 1}"
     q["pagerank_dangling"] = _with(*dg) + f"SELECT node, {R6} FROM r{c.ROUNDS_DANGLING}"
     return q

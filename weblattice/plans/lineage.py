@@ -30,7 +30,9 @@ def pinned_partitions(spark: SparkSession, partitions: int):
     output partitioning, so a checkpointed rank table would lose its hash
     layout (and a coalesced one would no longer line up with the links).
     The loop's plan is fixed by construction - co-partitioned join, one
-    partially aggregated exchange - so there is nothing to re-plan.
+    partially aggregated exchange - so there is nothing to re-plan. Only
+    materialised tables may enter: a caller's input is planned outside, with
+    adaptive execution.
     """
     keys = {
         "spark.sql.shuffle.partitions": str(partitions),
@@ -64,21 +66,20 @@ def materialize(df: DataFrame, persist: bool = False) -> DataFrame:
 
 def checkpoint_path(df: DataFrame) -> str | None:
     """Folder holding a checkpointed DataFrame's files (None if not one)."""
-    try:
-        plan = df._jdf.queryExecution().analyzed()
-        if not plan.getClass().getName().endswith("LogicalRDD"):
-            return None
-        opt = plan.rdd().getCheckpointFile()
-        return opt.get() if opt.isDefined() else None
-    except Exception:  # not a JVM-backed checkpoint (e.g. remote client)
+    plan = df._jdf.queryExecution().analyzed()
+    if not plan.getClass().getName().endswith("LogicalRDD"):
         return None
+    opt = plan.rdd().getCheckpointFile()
+    return opt.get() if opt.isDefined() else None
 
 
 def drop_checkpoint(df: DataFrame | None) -> None:
     """Delete the files of a superseded round (the predecessor-folder
-    clean-up of the iterative jobs). Only call once nothing reads ``df``."""
+    clean-up of the iterative jobs) and free its memory. Only call once
+    nothing reads ``df``."""
     if df is None:
         return
+    df.unpersist()
     path = checkpoint_path(df)
     if not path:
         return

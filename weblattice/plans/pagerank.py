@@ -17,13 +17,16 @@ Physical layout (see ``prepare_links``):
   ranks needs **no exchange**; the grouped sum is the round's only shuffle,
   with map-side partial sums (a very popular target is pre-summed per task).
 * hot links - sources with more than ``T = ceil(rows / partitions)`` link
-  rows, at most ``partitions`` of them by construction - are spread by
+  rows, fewer than ``partitions`` of them by construction - are spread by
   ``(src, dst)``; their ranks (one row per hot source, so a proven bound) are
   broadcast to them. A source holding a third of all links thus costs no
   straggler task.
 * the link tables are checkpointed once (reliable, to the session's folder)
   and cached; every round's ranks are checkpointed, which bounds the plan and
   lets a lost executor be recovered from files, not from a rerun.
+* the input is summed per ``(src, dst)`` and checkpointed before the loop's
+  settings apply, with adaptive execution; everything else comes from that
+  table. When a loop ends, only the returned ranks' files remain.
 
 Global values of the dangling variant (dangling mass ``D``, node count ``N``)
 are one-row aggregates returned to the driver as scalars, exactly as the
@@ -51,7 +54,6 @@ DAMPING = 0.85
 TELEPORT_LITERAL = 0.15
 TELEPORT_COMPUTED = 1 - 0.85
 DANGLING_NODE = "dangling"
-MIN_HOT_ROWS = 100_000
 
 
 @dataclass
@@ -64,45 +66,42 @@ class PreparedLinks:
     sources: DataFrame              # (src, deg)      hash(src, P)
     partitions: int
     threshold: int
-    _cached: list = field(default_factory=list, repr=False)
+    _tables: list = field(default_factory=list, repr=False)
 
     def release(self) -> None:
-        for df in self._cached:
-            df.unpersist()
-
-
-def prepare_links(edges: DataFrame, partitions: int | None = None,
-                  hot_threshold: int | None = None, distinct: bool = False) -> PreparedLinks:
-    """Lay out ``(src, dst[, n])`` edges for repeated joins with ranks.
-
-    The source is read once: link rows are summed per ``(src, dst)`` (a shuffle
-    on the pair, balanced even for a hot source) and checkpointed; degrees,
-    the hot/cold split and both layouts are derived from that table.
-    ``distinct=True`` counts every pair once. Call inside ``pinned_partitions``.
-    """
-    spark = edges.sparkSession
+        """Free the tables' memory and delete their checkpoint files."""
+        for df in self._tables:
+            drop_checkpoint(df)
+        self._tables.clear()
+
+
+def link_pairs(edges: DataFrame, distinct: bool = False) -> DataFrame:
+    """``(src, dst[, n])`` edges summed per pair and materialised: a shuffle on
+    the pair, balanced even for a hot source, planned with the caller's
+    settings. ``distinct=True`` counts every pair once. Call it outside
+    ``pinned_partitions``."""
+    n = F.lit(1) if distinct else F.sum("n")
+    return materialize(with_multiplicity(edges).groupBy("src", "dst").agg(n.cast("bigint").alias("n")), persist=True)
+
+
+def prepare_links(pairs: DataFrame, partitions: int | None = None) -> PreparedLinks:
+    """Lay out ``link_pairs`` for repeated joins with ranks: degrees, the
+    hot/cold split and both layouts come from that one table. Call it inside
+    ``pinned_partitions``; ``release`` also frees ``pairs``."""
+    spark = pairs.sparkSession
     p = partitions or shuffle_partitions(spark)
-    e = with_multiplicity(edges)
-    if distinct:
-        pairs = e.groupBy("src", "dst").agg(F.lit(1).cast("bigint").alias("n"))
-    else:
-        pairs = e.groupBy("src", "dst").agg(F.sum("n").alias("n"))
-    # read three times below; cached, not checkpointed: only the loop's own
-    # tables need to survive executor loss without a recompute
-    pairs = pairs.persist(StorageLevel.MEMORY_AND_DISK)
     sources = pairs.groupBy("src").agg(F.sum("n").alias("deg"), F.count(F.lit(1)).alias("rows"))
     sources = sources.persist(StorageLevel.MEMORY_AND_DISK)
     total, widest = sources.agg(F.sum("rows"), F.max("rows")).first()
     total, widest = total or 0, widest or 0
-    threshold = hot_threshold if hot_threshold is not None else max(MIN_HOT_ROWS, math.ceil(total / p))
+    threshold = math.ceil(total / p)
+    # fewer than total / threshold <= p sources: a proven bound for the broadcast
     hot_sources = sources.where(F.col("rows") > threshold).select("src")
-    # at most total / threshold <= p sources: a proven bound for the broadcast
-    n_hot = hot_sources.count() if widest > threshold else 0
-    cached = [sources]
+    tables = [sources, pairs]
     deg = sources.select("src", "deg")
     cold_rows = pairs
     hot = None
-    if n_hot:
+    if widest > threshold:
         hot_sources = materialize(hot_sources)
         cold_rows = pairs.join(F.broadcast(hot_sources), "src", "left_anti")
         hot_deg = deg.join(F.broadcast(hot_sources), "src", "left_semi")
@@ -110,14 +109,13 @@ def prepare_links(edges: DataFrame, partitions: int | None = None,
             .join(F.broadcast(hot_deg), "src") \
             .select("src", "dst", (F.col("n") / F.col("deg")).alias("w"))
         hot = materialize(hot, persist=True)
-        cached.append(hot)
+        tables += [hot, hot_sources]
     cold = cold_rows.repartition(p, "src").join(deg, "src") \
         .select("src", "dst", (F.col("n") / F.col("deg")).alias("w")) \
         .sortWithinPartitions("src")
     cold = materialize(cold, persist=True)
-    cached.append(cold)
-    pairs.unpersist()
-    return PreparedLinks(cold, hot, hot_sources if n_hot else None, deg, p, threshold, cached)
+    tables.append(cold)
+    return PreparedLinks(cold, hot, hot_sources if hot is not None else None, deg, p, threshold, tables)
 
 
 def contributions(links: PreparedLinks, ranks: DataFrame) -> DataFrame:
@@ -171,9 +169,7 @@ def step_all_nodes(links: PreparedLinks, ranks: DataFrame, compat_round: int | N
                 parts.append(ranks.where("self_vote").select(
                     "node", F.col("rank").alias("c"), F.lit(False).alias("has_links")))
         else:
-            parts.append(ranks.where(~F.col("has_links")).select(
-                F.lit(DANGLING_NODE).alias("node"), F.col("rank").alias("c"),
-                F.lit(False).alias("has_links")))
+            parts.append(_to_dangling(ranks))
     s = grouped_sums(parts)
     return s.select("node", (F.lit(teleport) + F.lit(damping) * F.col("s")).alias("rank"), "has_links")
 
@@ -191,9 +187,20 @@ def dangling_mass_frame(ranks: DataFrame, round_mass: bool = True) -> DataFrame:
     return ranks.agg((half_up(raw) if round_mass else raw).alias("dangling_mass"))
 
 
-def step_dangling_sums(links: PreparedLinks, ranks: DataFrame) -> DataFrame:
-    """Grouped sums of a dangling-redistribution round, before damping."""
-    return grouped_sums([_flagged(contributions(links, ranks)), _own_rows(ranks)])
+def _to_dangling(ranks: DataFrame) -> DataFrame:
+    """Every node without links gives its rank to the node ``dangling``."""
+    return ranks.where(~F.col("has_links")).select(
+        F.lit(DANGLING_NODE).alias("node"), F.col("rank").alias("c"), F.lit(False).alias("has_links"))
+
+
+def step_dangling_sums(links: PreparedLinks, ranks: DataFrame, compat_round: int | None = None) -> DataFrame:
+    """Grouped sums of a dangling-redistribution round, before damping.
+    ``compat_round`` (None = off) is the text-protocol quirk of later rounds:
+    nodes without links also give their rank to the node ``dangling``."""
+    parts = [_flagged(contributions(links, ranks)), _own_rows(ranks)]
+    if compat_round:
+        parts.append(_to_dangling(ranks))
+    return grouped_sums(parts)
 
 
 def apply_dangling(sums: DataFrame, mass: float, nodes: int,
@@ -226,40 +233,48 @@ def _node_flags(pages: DataFrame, links: PreparedLinks) -> DataFrame:
         "has_links", F.coalesce(F.col("hl"), F.lit(False))).drop("hl")
 
 
+def _finish(ranks: DataFrame, links: PreparedLinks, keep_links: bool) -> DataFrame:
+    ranks.unpersist()  # its checkpoint files remain
+    if not keep_links:
+        links.release()
+    return ranks
+
+
 def pagerank_active(edges: DataFrame, iterations: int, damping: float = DAMPING,
-                    partitions: int | None = None, checkpoint_every: int = 1,
-                    hot_threshold: int | None = None, keep_links: bool = False) -> RankResult:
+                    partitions: int | None = None, keep_links: bool = False) -> RankResult:
     """Edge-list rank: distinct edges, start 1.0 on every source, ``N`` rounds
     of join + grouped sum; pages without in-links drop out after a round."""
     spark = edges.sparkSession
     p = partitions or shuffle_partitions(spark)
     secs = []
+    t0 = time.perf_counter()
+    pairs = link_pairs(edges.select("src", "dst"), distinct=True)
     with pinned_partitions(spark, p):
-        t0 = time.perf_counter()
-        links = prepare_links(edges.select("src", "dst"), p, hot_threshold, distinct=True)
+        links = prepare_links(pairs, p)
         prep = time.perf_counter() - t0
-        ranks = links.sources.select(F.col("src").alias("node"), F.lit(1.0).alias("rank"))
-        if iterations == 0:
-            ranks = materialize(ranks)
-        previous = None
-        for i in range(iterations):
+        ranks = materialize(links.sources.select(F.col("src").alias("node"), F.lit(1.0).alias("rank")), persist=True)
+        for _ in range(iterations):
             t0 = time.perf_counter()
-            ranks = step_active(links, ranks, damping)
-            if (i + 1) % checkpoint_every == 0 or i == iterations - 1:
-                ranks = materialize(ranks)
-                drop_checkpoint(previous)
-                previous = ranks
+            previous = ranks
+            ranks = materialize(step_active(links, ranks, damping), persist=True)
+            drop_checkpoint(previous)
             secs.append(time.perf_counter() - t0)
-    if not keep_links:
-        links.release()
-    return RankResult(ranks, [], links, prep, secs)
+    return RankResult(_finish(ranks, links, keep_links), [], links, prep, secs)
+
 
+def _start(pages: DataFrame | None, links: PreparedLinks) -> DataFrame:
+    """``(node, rank, has_links[, self_vote])`` of the first round; without
+    ``pages``, every source with rank 1.0."""
+    if pages is None:
+        return links.sources.select(F.col("src").alias("node"), F.lit(1.0).alias("rank"), F.lit(True).alias("has_links"))
+    return _node_flags(pages, links)
 
-def pagerank_all_nodes(pages: DataFrame, edges: DataFrame, iterations: int = 10,
+
+def pagerank_all_nodes(pages: DataFrame | None, edges: DataFrame, iterations: int = 10,
                        compat: bool = False, damping: float = DAMPING,
-                       partitions: int | None = None,
-                       hot_threshold: int | None = None, keep_links: bool = False) -> RankResult:
-    """Table rank: ``pages(node, rank[, self_vote])`` and ``edges(src, dst[, n])``.
+                       partitions: int | None = None, keep_links: bool = False) -> RankResult:
+    """Table rank: ``pages(node, rank[, self_vote])`` and ``edges(src, dst[, n])``;
+    without ``pages``, every source starts with 1.0.
 
     Every node keeps a row; targets join the table after one round with
     nothing but the teleport term unless they receive mass.
@@ -267,50 +282,51 @@ def pagerank_all_nodes(pages: DataFrame, edges: DataFrame, iterations: int = 10,
     spark = edges.sparkSession
     p = partitions or shuffle_partitions(spark)
     secs = []
+    t0 = time.perf_counter()
+    pairs = link_pairs(edges)
+    own = materialize(pages) if pages is not None else None
     with pinned_partitions(spark, p):
-        t0 = time.perf_counter()
-        links = prepare_links(edges, p, hot_threshold)
+        links = prepare_links(pairs, p)
+        ranks = materialize(_start(own, links), persist=True)
+        drop_checkpoint(own)
         prep = time.perf_counter() - t0
-        ranks = _node_flags(pages, links)
-        if iterations == 0:
-            ranks = materialize(ranks)
         for i in range(iterations):
             t0 = time.perf_counter()
             previous = ranks
-            ranks = materialize(step_all_nodes(links, ranks, i if compat else None, damping))
+            ranks = materialize(step_all_nodes(links, ranks, i if compat else None, damping), persist=True)
             drop_checkpoint(previous)
             secs.append(time.perf_counter() - t0)
-    if not keep_links:
-        links.release()
-    return RankResult(ranks, [], links, prep, secs)
+    return RankResult(_finish(ranks, links, keep_links), [], links, prep, secs)
 
 
 def pagerank_dangling(pages: DataFrame, edges: DataFrame, iterations: int = 2,
-                      round_mass: bool = True, damping: float = DAMPING,
-                      partitions: int | None = None,
-                      hot_threshold: int | None = None, keep_links: bool = False) -> RankResult:
+                      round_mass: bool = True, damping: float = DAMPING, compat: bool = False,
+                      partitions: int | None = None, keep_links: bool = False) -> RankResult:
     """Rank with dangling redistribution: ``0.15 + 0.85 * (sum + D / N)``.
 
     ``D`` is the rank mass of ranked nodes without links (rounded half-up when
     ``round_mass``), ``N`` the number of nodes after the round (ranked nodes
-    and link targets).
+    and link targets). With ``compat``, nodes without links also give their
+    rank to a node ``dangling`` from the second round on.
     """
     spark = edges.sparkSession
     p = partitions or shuffle_partitions(spark)
     metrics, secs = [], []
+    t0 = time.perf_counter()
+    pairs, own = link_pairs(edges), materialize(pages)
     with pinned_partitions(spark, p):
-        t0 = time.perf_counter()
-        links = prepare_links(edges, p, hot_threshold)
+        links = prepare_links(pairs, p)
+        ranks = materialize(_start(own, links), persist=True)
+        drop_checkpoint(own)
         prep = time.perf_counter() - t0
-        ranks = materialize(_node_flags(pages, links))
-        previous = ranks
+        table = ranks
         raw = dangling_mass_value(ranks, round_mass)[0]
         for i in range(iterations):
             t0 = time.perf_counter()
             mass = float(math.floor(raw + 0.5)) if round_mass else raw
-            sums = materialize(step_dangling_sums(links, ranks))
-            drop_checkpoint(previous)  # the table this round's ranks were read from
-            previous = sums
+            sums = materialize(step_dangling_sums(links, ranks, i if compat else None), persist=True)
+            drop_checkpoint(table)  # the table this round's ranks were read from
+            table = sums
             # one pass over the new table: N, and what the next round's
             # dangling mass is made of (rank is affine in s)
             n, k, s_dangling = sums.agg(
@@ -322,6 +338,5 @@ def pagerank_dangling(pages: DataFrame, edges: DataFrame, iterations: int = 2,
             raw = k * TELEPORT_COMPUTED + damping * (s_dangling + k * share)
             ranks = apply_dangling(sums, mass, n, damping)
             secs.append(time.perf_counter() - t0)
-    if not keep_links:
-        links.release()
+    _finish(table, links, keep_links)
     return RankResult(ranks, metrics, links, prep, secs)

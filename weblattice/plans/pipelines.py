@@ -1,8 +1,8 @@
 """End-to-end jobs composed from the operators.
 
 * ``word_count_job``     text files -> tokens -> counts -> pair text
-* ``clean_crawl``        crawl records -> merged adjacency, duplicates kept
-* ``clean_crawl_dedup``  crawl records -> merged adjacency, set union, sentinel
+* ``clean_crawl``        crawl records -> merged links, duplicates kept
+* ``clean_crawl_dedup``  crawl records -> merged links, set union, sentinel
 * ``graph_from_rank_table`` rank-table rows -> (pages, edges) for the rank jobs
 * ``rank_table_job``     rank-table text -> table rank -> rank-table text
 * ``crawl_clean_job``    crawl SequenceFile parts -> rank-table text
@@ -12,17 +12,20 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.crawl import extract_links, merge_links
+from ..operators.crawl import adjacency, extract_links, merge_links
 from ..operators.text import word_count
-from ..sources.crawl import read_crawl_parts
-from ..sources.sinks import DANGLING_MARK, format_ranks, write_pairs_text, write_rank_tsv
-from ..sources.text import parse_edges, read_lines, read_rank_tsv
+from ..session import checkpoint_dir
+from ..sources.crawl import land_crawl
+from ..sources.sinks import format_ranks, rank_rows, write_pairs_text, write_rank_rows
+from ..sources.text import DANGLING_MARK, parse_edges, parse_link_rows, read_lines
 from . import pagerank as pr
+from .lineage import materialize
 
 
 @dataclass
@@ -31,6 +34,16 @@ class Graph:
     edges: DataFrame   # (src, dst, n)
 
 
+@dataclass
+class CrawlGraph(Graph):
+    merged: DataFrame  # (url, link, n): one table, from which pages and edges come
+
+    def rank_rows(self) -> DataFrame:
+        """Rank-table rows ``(url, rank, link, n)`` with the starting rank."""
+        return adjacency(self.merged).select("url", F.lit(1.0).alias("rank"),
+                                             F.coalesce("link", F.lit(DANGLING_MARK)).alias("link"), "n")
+
+
 def word_count_job(spark: SparkSession, src: str, dst: str | None = None) -> DataFrame:
     counts = word_count(read_lines(spark, src))
     if dst:
@@ -38,59 +51,68 @@ def word_count_job(spark: SparkSession, src: str, dst: str | None = None) -> Dat
     return counts
 
 
-def clean_crawl(records: DataFrame) -> Graph:
+def _crawl_graph(links: DataFrame, dedupe: bool) -> CrawlGraph:
+    """The records are scanned, parsed and merged once, into a materialised
+    table that pages and edges both read."""
+    merged = materialize(merge_links(links, dedupe))
+    return CrawlGraph(
+        merged.where(F.col("link").isNull()).select(F.col("url").alias("node"), F.lit(1.0).alias("rank")),
+        merged.where(F.col("link").isNotNull()).select(F.col("url").alias("src"), F.col("link").alias("dst"), "n"),
+        merged)
+
+
+def clean_crawl(records: DataFrame, invalid: str = "drop") -> CrawlGraph:
     """Crawl clean-up of the MapReduce job: anchors with a non-empty href,
     invalid records dropped, all records of a url concatenated."""
-    pages, edges = merge_links(extract_links(records, comma="keep", invalid="drop"), dedupe=False)
-    return Graph(pages.select(F.col("url").alias("node"), F.lit(1.0).alias("rank")),
-                 edges.select(F.col("url").alias("src"), F.col("link").alias("dst"), "n"))
+    return _crawl_graph(extract_links(records, comma="keep", invalid=invalid), dedupe=False)
 
 
-def clean_crawl_dedup(records: DataFrame, invalid: str = "sentinel") -> Graph:
+def clean_crawl_dedup(records: DataFrame, invalid: str = "sentinel") -> CrawlGraph:
     """Crawl clean-up of the Spark job: hrefs with commas dropped, invalid
     records become the ``random`` page, records of a url merged as a set."""
-    pages, edges = merge_links(extract_links(records, comma="drop", invalid=invalid), dedupe=True)
-    return Graph(pages.select(F.col("url").alias("node"), F.lit(1.0).alias("rank")),
-                 edges.select(F.col("url").alias("src"), F.col("link").alias("dst"), "n"))
+    return _crawl_graph(extract_links(records, comma="drop", invalid=invalid), dedupe=True)
 
 
-def graph_from_rank_table(table: DataFrame, compat: bool = False) -> Graph:
-    """``(url, rank, links)`` rows -> pages and edges.
+def graph_from_rank_table(rows: DataFrame, compat: bool = False) -> Graph:
+    """``parse_link_rows`` rows (url, rank, link, n, has_field) -> pages and edges.
 
-    Lines of one url are merged (links concatenated). A links field equal to
-    the ``dangling`` marker means no links, unless ``compat`` (then it is a
-    link to the node of that name, as in the text protocol). ``self_vote``
-    marks rows without a links field (used by ``compat`` round 0).
+    Lines of one url are merged (links concatenated). A legacy links field
+    that is just the ``dangling`` marker means no links, unless ``compat``
+    (then it is a link to the node of that name, as in the text protocol).
+    ``self_vote`` marks urls that only have lines without a links field (used
+    by ``compat`` round 0).
     """
-    t = table
+    pages = rows.groupBy(F.col("url").alias("node")).agg(
+        F.max("rank").alias("rank"), F.min(~F.col("has_field")).alias("self_vote"))
+    links = rows.where(F.col("link").isNotNull())
     if not compat:
-        t = t.withColumn("links", F.when(
-            (F.size("links") == 1) & (F.col("links")[0] == DANGLING_MARK),
-            F.array().cast("array<string>")).otherwise(F.col("links")))
-    pages = t.groupBy(F.col("url").alias("node")).agg(
-        F.max("rank").alias("rank"), F.min(F.col("links").isNull()).alias("self_vote"))
-    edges = t.select(F.col("url").alias("src"), F.explode("links").alias("dst"),
-                     F.lit(1).cast("bigint").alias("n"))
-    return Graph(pages, edges)
+        links = links.where(F.col("link") != DANGLING_MARK)
+    return Graph(pages, links.select(F.col("url").alias("src"), F.col("link").alias("dst"), "n"))
 
 
 def rank_table_job(spark: SparkSession, src: str, dst: str | None = None, iterations: int = 10,
-                   compat: bool = False, partitions: int = 46) -> DataFrame:
+                   compat: bool = False, partitions: int | None = None) -> DataFrame:
     """Rank-table text in, ``iterations`` all-node rounds, rank-table text out."""
-    g = graph_from_rank_table(read_rank_tsv(spark, src), compat)
+    g = graph_from_rank_table(parse_link_rows(spark.read.text(src)), compat)
     res = pr.pagerank_all_nodes(g.pages, g.edges, iterations, compat=compat)
     if dst:
-        write_rank_tsv(res.ranks, g.edges, dst, partitions=partitions)
+        write_rank_rows(rank_rows(res.ranks, g.edges), dst, partitions=partitions)
     return res.ranks
 
 
-def crawl_clean_job(spark: SparkSession, folder: str, dst: str | None = None, lo: int = 0,
-                    hi: int = 300, dedupe: bool = False, partitions: int = 46) -> Graph:
-    """Selected crawl parts -> merged adjacency (-> rank-table text, rank 1.0)."""
-    records = read_crawl_parts(spark, folder, lo, hi)
-    g = clean_crawl_dedup(records) if dedupe else clean_crawl(records)
+def _landed(spark: SparkSession, folder: str, landing: str | None, lo: int | None, hi: int | None) -> DataFrame:
+    return land_crawl(spark, folder, landing or f"{checkpoint_dir(spark)}/crawl-{uuid.uuid4().hex}", lo, hi)
+
+
+def crawl_clean_job(spark: SparkSession, folder: str, dst: str | None = None, lo: int | None = None,
+                    hi: int | None = None, dedupe: bool = False, invalid: str | None = None,
+                    partitions: int | None = None, landing: str | None = None) -> CrawlGraph:
+    """Crawl parts (all, or those in the range), landed once as Parquet ->
+    merged links (-> rank-table text, rank 1.0)."""
+    records = _landed(spark, folder, landing, lo, hi)
+    g = clean_crawl_dedup(records, invalid or "sentinel") if dedupe else clean_crawl(records, invalid or "drop")
     if dst:
-        write_rank_tsv(g.pages, g.edges, dst, partitions=partitions)
+        write_rank_rows(g.rank_rows(), dst, partitions=partitions)
     return g
 
 
@@ -105,12 +127,12 @@ def edge_rank_job(spark: SparkSession, src: str, iterations: int,
     return ranks
 
 
-def crawl_rank_job(spark: SparkSession, folder: str, iterations: int = 2, lo: int = 0,
-                   hi: int = 300, round_mass: bool = True,
-                   dst: str | None = None) -> pr.RankResult:
-    """Crawl parts -> de-duplicated clean-up (sentinel) -> dangling rank."""
-    g = clean_crawl_dedup(read_crawl_parts(spark, folder, lo, hi))
-    res = pr.pagerank_dangling(g.pages, g.edges, iterations, round_mass=round_mass)
+def crawl_rank_job(spark: SparkSession, folder: str, iterations: int = 2, lo: int | None = None,
+                   hi: int | None = None, round_mass: bool = True, invalid: str = "sentinel",
+                   compat: bool = False, dst: str | None = None, landing: str | None = None) -> pr.RankResult:
+    """Crawl parts, landed once as Parquet -> de-duplicated clean-up -> dangling rank."""
+    g = clean_crawl_dedup(_landed(spark, folder, landing, lo, hi), invalid)
+    res = pr.pagerank_dangling(g.pages, g.edges, iterations, round_mass=round_mass, compat=compat)
     if dst:
-        write_rank_tsv(res.ranks, g.edges, dst)
+        write_rank_rows(rank_rows(res.ranks.select("node", "rank"), g.edges), dst)
     return res

@@ -11,6 +11,7 @@ the loss of an executor.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -46,7 +47,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
-    if sc.master.startswith("local"):
+    if re.fullmatch(r"local(\[.*\])?", sc.master):  # not local-cluster
         folder = tempfile.mkdtemp(prefix="weblattice-ckpt-")
         sc.setCheckpointDir(folder)
         return sc.getCheckpointDir() or folder

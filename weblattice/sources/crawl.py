@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 TEXT = "org.apache.hadoop.io.Text"
 # Fixed values of the part-file naming rule: marker text and digit count.
+PART_PREFIX = "metadata-"
 PART_MARKER = "metadata-00"
 PART_DIGITS = 3
 
@@ -24,14 +25,23 @@ def part_number(name) -> Column:
     return F.when(digits == "", F.lit(None).cast("int")).otherwise(digits.cast("int"))
 
 
-def select_parts(names: DataFrame, lo: int = 0, hi: int = 300, name_col: str = "name") -> DataFrame:
-    """Rows whose file name carries a part number in ``[lo, hi]``.
+def select_parts(names: DataFrame, lo: int | None = None, hi: int | None = None,
+                 name_col: str = "name") -> DataFrame:
+    """Rows whose file name carries a part number in ``[lo, hi]``; without a
+    range, every crawl part.
 
     Works on any DataFrame with a file-name column, e.g. a scan's
     ``_metadata.file_name``.
     """
+    if lo is None and hi is None:
+        return names.where(F.col(name_col).contains(PART_PREFIX))
     n = part_number(name_col)
-    return names.where(n.isNotNull() & n.between(lo, hi))
+    ok = n.isNotNull()
+    if lo is not None:
+        ok = ok & (n >= lo)
+    if hi is not None:
+        ok = ok & (n <= hi)
+    return names.where(ok)
 
 
 def _part_number_py(name: str) -> int | None:
@@ -42,8 +52,9 @@ def _part_number_py(name: str) -> int | None:
     return int(digits) if len(digits) == PART_DIGITS and digits.isdigit() else None
 
 
-def list_parts(spark: SparkSession, folder: str, lo: int = 0, hi: int = 300) -> list[str]:
-    """Paths under ``folder`` whose part number is in ``[lo, hi]``."""
+def list_parts(spark: SparkSession, folder: str, lo: int | None = None, hi: int | None = None) -> list[str]:
+    """Paths under ``folder`` whose part number is in ``[lo, hi]``; without a
+    range, every crawl part."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     path = jvm.org.apache.hadoop.fs.Path(folder)
@@ -52,7 +63,11 @@ def list_parts(spark: SparkSession, folder: str, lo: int = 0, hi: int = 300) ->
     for st in fs.listStatus(path):
         p = st.getPath()
         num = _part_number_py(p.getName())
-        if num is not None and lo <= num <= hi:
+        if lo is None and hi is None:
+            ok = PART_PREFIX in p.getName()
+        else:
+            ok = num is not None and (lo is None or lo <= num) and (hi is None or num <= hi)
+        if ok:
             out.append(p.toString())
     return sorted(out)
 
@@ -65,10 +80,18 @@ def read_crawl_seq(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     if isinstance(paths, (list, tuple)):
         paths = ",".join(paths)
     rdd = spark.sparkContext.sequenceFile(paths, TEXT, TEXT)
-    return spark.createDataFrame(rdd, "url string, json string")
+    return spark.createDataFrame(rdd, "url string, json string", verifySchema=False)
 
 
-def read_crawl_parts(spark: SparkSession, folder: str, lo: int = 0, hi: int = 300) -> DataFrame:
+def land_crawl(spark: SparkSession, folder: str, landing: str,
+               lo: int | None = None, hi: int | None = None) -> DataFrame:
+    """Copy the selected parts once into a Parquet table at ``landing`` and
+    read that: the record-at-a-time SequenceFile read happens here only."""
+    read_crawl_parts(spark, folder, lo, hi).write.mode("overwrite").parquet(landing)
+    return spark.read.schema("url string, json string").parquet(landing)
+
+
+def read_crawl_parts(spark: SparkSession, folder: str, lo: int | None = None, hi: int | None = None) -> DataFrame:
     """Crawl records of the selected part files of one folder."""
     parts = list_parts(spark, folder, lo, hi)
     if not parts:

@@ -1,12 +1,11 @@
 """Sinks: rank tables as tab-separated text or SequenceFile, pair text, rank
 reports.
 
-A rank-table line is ``url \\t rank \\t a,b,c`` (``dangling`` when the url has
-no links). One line per url is the format; a url with more than
-``max_links_per_line`` links is written as several lines with the same url
-and rank, its links spread over them by a hash of the link, so no single task
-ever builds an unbounded line. ``read_rank_tsv`` + ``graph_from_rank_table``
-merge such lines back exactly.
+A rank table has one row ``url, rank, link, n`` per distinct link (``n``
+occurrences); a url without links has one row with the link ``dangling`` and
+``n`` 0. The form is the same at every size, no row depends on how many links
+its url has, and a link may hold any character. ``graph_from_rank_table``
+reads it back exactly, and legacy ``a,b,c`` lines as well.
 """
 
 from __future__ import annotations
@@ -14,49 +13,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.graph import with_multiplicity
+from ..operators.graph import join_sources, with_multiplicity
 from ..operators.text import format_pairs
+from .text import DANGLING_MARK, escaped
 
-# Fixed values of the rank-table format: the links-field marker of a page
-# without links, and the number of part files the jobs write.
-DANGLING_MARK = "dangling"
-DEFAULT_PARTS = 46
-DEFAULT_LINKS_PER_LINE = 100_000
-
-
-def adjacency_lines(ranks: DataFrame, edges: DataFrame,
-                    max_links_per_line: int = DEFAULT_LINKS_PER_LINE) -> DataFrame:
-    """``ranks(node, rank)`` + ``edges(src, dst[, n])`` -> ``(url, rank, links)``
-    rows with the comma-joined (sorted) links text, ``dangling`` if none."""
-    e = with_multiplicity(edges)
-    deg = e.groupBy("src").agg(F.sum("n").alias("deg"))
-    occ = e.join(deg, "src").select(
-        "src", "deg", F.explode(F.array_repeat(F.col("dst"), F.col("n").cast("int"))).alias("dst"))
-    chunks = F.greatest(F.lit(1), F.ceil(F.col("deg") / F.lit(max_links_per_line)))
-    occ = occ.withColumn("chunk", F.when(
-        chunks > 1, F.pmod(F.xxhash64("dst"), chunks)).otherwise(F.lit(0)))
-    texts = occ.groupBy("src", "chunk").agg(
-        F.array_join(F.array_sort(F.collect_list("dst")), ",").alias("links"))
-    r = ranks.select(F.col("node").alias("src"), "rank")
-    out = r.join(texts, "src", "left")
-    return out.select(F.col("src").alias("url"), "rank",
-                      F.coalesce(F.col("links"), F.lit(DANGLING_MARK)).alias("links"))
-
-
-def rank_tsv_lines(ranks: DataFrame, edges: DataFrame,
-                   max_links_per_line: int = DEFAULT_LINKS_PER_LINE) -> DataFrame:
-    rows = adjacency_lines(ranks, edges, max_links_per_line)
-    return rows.select(F.concat_ws("\t", "url", F.col("rank").cast("string"), "links").alias("value"))
-
-
-def write_rank_tsv(ranks: DataFrame, edges: DataFrame, path: str, partitions: int = DEFAULT_PARTS,
-                   compression: str = "deflate", mode: str = "overwrite",
-                   max_links_per_line: int = DEFAULT_LINKS_PER_LINE) -> None:
-    """Compressed text in ``partitions`` hash-of-url partitions (empty ones
-    write no file)."""
-    rows = adjacency_lines(ranks, edges, max_links_per_line).repartition(partitions, "url")
-    lines = rows.select(F.concat_ws("\t", "url", F.col("rank").cast("string"), "links").alias("value"))
-    lines.write.mode(mode).option("compression", compression).text(path)
+
+def rank_rows(ranks: DataFrame, edges: DataFrame) -> DataFrame:
+    """``ranks(node, rank)`` + ``edges(src, dst[, n])`` -> ``(url, rank, link, n)``."""
+    e = with_multiplicity(edges).groupBy("src", "dst").agg(F.sum("n").alias("n"))
+    linked = join_sources(e, ranks.select(F.col("node").alias("src"), "rank")) \
+        .select(F.col("src").alias("url"), "rank", F.col("dst").alias("link"), "n")
+    bare = ranks.join(e.select(F.col("src").alias("node")).distinct(), "node", "left_anti") \
+        .select(F.col("node").alias("url"), "rank", F.lit(DANGLING_MARK).alias("link"), F.lit(0).cast("bigint").alias("n"))
+    return linked.unionByName(bare)
+
+
+def rank_lines(rows: DataFrame) -> DataFrame:
+    """``(url, rank, link, n)`` rows -> text lines ``value``."""
+    return rows.select(F.concat_ws("\t", escaped(F.col("url")), F.col("rank").cast("string"),
+                                   escaped(F.col("link")), F.col("n").cast("string")).alias("value"))
+
+
+def write_rank_rows(rows: DataFrame, path: str, partitions: int | None = None,
+                    compression: str = "deflate", mode: str = "overwrite") -> None:
+    """Compressed text in the layout that ``rows`` comes in, or spread by the
+    hash of url and link over ``partitions`` tasks on request (a task without
+    rows writes no file)."""
+    out = rows.repartition(partitions, "url", "link") if partitions else rows
+    rank_lines(out).write.mode(mode).option("compression", compression).text(path)
 
 
 def write_pairs_text(counts: DataFrame, path: str, key: str = "word", value: str = "n",
@@ -71,13 +55,11 @@ def format_ranks(ranks: DataFrame) -> DataFrame:
                                  F.col("rank").cast("string"), F.lit(".")).alias("value"))
 
 
-def write_rank_seq(rows: DataFrame, path: str, key: str = "url", value: str = "value") -> None:
-    """``(key, value)`` string pairs as a SequenceFile of ``(Text, Text)``."""
-    rows.select(key, value).rdd.map(lambda r: (r[0], r[1])).saveAsSequenceFile(path)
-
+def write_rank_seq(rows: DataFrame, path: str) -> None:
+    """Rank rows as a SequenceFile of ``(Text url, Text rank \\t link \\t n)``.
 
-def rank_seq_rows(ranks: DataFrame, edges: DataFrame,
-                  max_links_per_line: int = DEFAULT_LINKS_PER_LINE) -> DataFrame:
-    """``(url, "rank\\tlinks")`` pairs, the SequenceFile value form."""
-    rows = adjacency_lines(ranks, edges, max_links_per_line)
-    return rows.select("url", F.concat_ws("\t", F.col("rank").cast("string"), "links").alias("value"))
+    An interchange edge: PySpark has no JVM-only SequenceFile writer, so the
+    rows pass through Python one by one. Text or Parquet is the jobs' sink.
+    """
+    value = F.concat_ws("\t", F.col("rank").cast("string"), escaped(F.col("link")), F.col("n").cast("string"))
+    rows.select("url", value).rdd.map(lambda r: (r[0], r[1])).saveAsSequenceFile(path)

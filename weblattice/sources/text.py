@@ -1,8 +1,9 @@
 """Line-oriented text sources: plain lines, edge lists, rank tables.
 
 All parsing is column expressions over ``spark.read.text``; nothing is
-collected. Rank tables are the tab-separated ``url \\t rank \\t a,b,c`` files
-the rank jobs read and write; the third field is optional.
+collected. Rank tables come in two forms: legacy lines ``url \\t rank \\t
+a,b,c`` (the third field is optional), and the lines this library writes,
+``url \\t rank \\t link \\t n`` with one line per distinct link.
 """
 
 from __future__ import annotations
@@ -18,13 +19,11 @@ def read_lines(spark: SparkSession, path: str | list[str],
     """Text file(s) -> one row per line in ``value``.
 
     ``path`` may be any Hadoop file-system URI, glob or list of them.
-    ``min_partitions`` mirrors the minimum-split hint of a text-file read: the
-    scan is spread over at least that many tasks.
+    ``min_partitions``, the split hint of a text-file read, spreads the lines
+    over that many tasks; without it the scan's own layout stays.
     """
     df = spark.read.text(path)
-    if min_partitions and df.rdd.getNumPartitions() < min_partitions:
-        df = df.repartition(min_partitions)
-    return df
+    return df.repartition(min_partitions) if min_partitions else df
 
 
 def parse_edges(lines: DataFrame, col: str = "value", bad_line: str = "fail",
@@ -52,6 +51,43 @@ def parse_edges(lines: DataFrame, col: str = "value", bad_line: str = "fail",
     return edges.distinct() if distinct else edges
 
 
+# The link field of a page without links, and how the text form
+# writes the characters that would end a field.
+DANGLING_MARK = "dangling"
+ESCAPES = [("\\", "\\\\"), ("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r")]
+
+
+def escaped(c):
+    """A field of the text form: no tab or line end in it."""
+    for plain, written in ESCAPES:
+        c = F.replace(c, F.lit(plain), F.lit(written))
+    return c
+
+
+def unescaped(c):
+    hold = F.lit("\x00")
+    c = F.replace(c, F.lit("\\\\"), hold)
+    for plain, written in ESCAPES[1:]:
+        c = F.replace(c, F.lit(written), F.lit(plain))
+    return F.replace(c, hold, F.lit("\\"))
+
+
+def parse_link_rows(lines: DataFrame, col: str = "value") -> DataFrame:
+    """Lines of either form -> ``(url, rank, link, n, has_field)``, one row per
+    link; a page without links is one row with a null link and ``n`` 0.
+    ``has_field`` is false for a legacy line without a links field. Ranks that
+    cannot be read fail."""
+    t = lines.where(F.col(col) != "").withColumn("f", F.split(F.col(col), "\t", -1))
+    ours = t.where(F.size("f") == 4).select(
+        unescaped(F.col("f")[0]).alias("url"), F.col("f")[1].cast("double").alias("rank"),
+        F.when(F.col("f")[3] != "0", unescaped(F.col("f")[2])).alias("link"),
+        F.col("f")[3].cast("bigint").alias("n"), F.lit(True).alias("has_field"))
+    legacy = parse_rank_lines(t.where(F.size("f") != 4), col).select(
+        "url", "rank", F.explode_outer("links").alias("link"), F.col("links").isNotNull().alias("has_field"))
+    return ours.unionByName(legacy.select(
+        "url", "rank", "link", F.when(F.col("link").isNull(), 0).otherwise(1).cast("bigint").alias("n"), "has_field"))
+
+
 def parse_rank_lines(lines: DataFrame, col: str = "value",
                      bad_rank: str = "fail") -> DataFrame:
     """Rank-table lines -> ``(url string, rank double, links array<string>)``.
