@@ -32,12 +32,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ship, written
+from .common import drawn, ship, written
 
 
 @dataclass(frozen=True)
 class Params:
-    """``sample_rows`` bounds the rows that the trees are fit on."""
+    """The trees are fit on about ``sample_rows`` rows, never on twice as many."""
 
     trees: int = 12
     sample_rows: int = 20_000
@@ -154,9 +154,9 @@ def neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20, params: Para
     ship(spark)
     rows, asked = usable(vectors, id_col, vector_col), usable(queries, id_col, vector_col)
     longest = rows.agg(F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, c: a + c.cast("double") * c.cast("double")))).alias("m")).first()["m"] or 0.0
-    drawn = rows.select("v", F.xxhash64("vec_id", "v").alias("h")).orderBy("h").limit(params.sample_rows).collect()
+    found = sorted(drawn(rows, params.sample_rows, "vec_id", "v").collect(), key=lambda r: (r["vec_id"], r["v"]))
     rng = np.random.default_rng(params.seed)
-    sample = lifted(np.array([r["v"] for r in drawn]).reshape(len(drawn), -1), longest) if drawn else np.zeros((1, 1))
+    sample = lifted(np.array([r["v"] for r in found]).reshape(len(found), -1), longest) if found else np.zeros((1, 1))
     forest = [grow(sample, params.leaf_rows, rng) for _ in range(params.trees)]
     shared = spark.sparkContext.broadcast((forest, longest))  # bounded by the sample
     kind, query_kind = (f.schema["v"].dataType.simpleString() for f in (rows, asked))

@@ -8,6 +8,7 @@ import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
 
@@ -42,7 +43,25 @@ def written(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_folder(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``written`` made, once nothing reads them any more."""
+    for df in tables:
+        path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(df._written_to)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def drawn(rows: DataFrame, want: int, *key: str, n: int | None = None) -> DataFrame:
+    """About ``want`` rows, never twice as many: those whose hashed ``key``
+    lies below their share of ``n`` rows (counted if not given). Tasks send
+    only what is drawn, however many there are."""
+    n = rows.count() if n is None else n
+    share = min(1.0, want / max(n, 1))
+    return rows.where(F.pmod(F.xxhash64(*key, F.lit(want)), F.lit(1 << 30)) < int(share * (1 << 30))).limit(2 * want)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,8 +75,6 @@ def by_id(docs: DataFrame, ids: DataFrame, how: str, id_col: str = "doc_id") ->
     """``docs`` whose id is (``left_semi``) or is not (``left_anti``) in the
     one column of ``ids``; null ids match. The ids are broadcast only if a
     count shows that they are few."""
-    from pyspark.sql import functions as F
-
     listed = ids.select(F.col(ids.columns[0]).alias("__listed_id")).distinct()
     if listed.count() <= BROADCAST_IDS:
         listed = F.broadcast(listed)

@@ -154,11 +154,12 @@ def fit(labelled: DataFrame, params: Params | None = None) -> Model | None:
               .orderBy(F.desc("count"), "lang").limit(params.sample_rows).collect()}
     if not counts:
         return None
+    quota = min(params.rows_per_language, max(1, params.sample_rows * 4 // (5 * len(counts))))
     share = F.lit(1.0)
     for lang, n in counts.items():
-        if n > params.rows_per_language:
-            share = F.when(F.col("lang") == lang, F.lit(params.rows_per_language / n)).otherwise(share)
-    drawn = rows.where(F.pmod("h", F.lit(1 << 20)) < share * (1 << 20)).orderBy("h", "text").limit(params.sample_rows)
+        if n > quota:
+            share = F.when(F.col("lang") == lang, F.lit(quota / n)).otherwise(share)
+    some = rows.where(F.pmod("h", F.lit(1 << 20)) < share * (1 << 20)).limit(params.sample_rows)
     buckets = params.buckets
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,7 +170,7 @@ def fit(labelled: DataFrame, params: Params | None = None) -> Model | None:
                 [pa.array([r[k] for r in found], kind) for k, kind in enumerate((pa.string(), pa.int64(), pa.binary()))],
                 ["lang", "h", "features"])
 
-    got = sorted(drawn.mapInArrow(run, "lang string, h long, features binary").collect(),
+    got = sorted(some.mapInArrow(run, "lang string, h long, features binary").collect(),
                  key=lambda r: (r["h"], r["lang"], bytes(r["features"])))
     if not got:
         return None

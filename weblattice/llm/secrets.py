@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship
+from .common import drawn, ship
 
 # The base patterns, the least length of what they find, and
 # the words that the first one starts with.
@@ -61,8 +61,9 @@ CACHE_TOKENS = 100_000
 
 @dataclass(frozen=True)
 class Params:
-    """``sample_rows`` bounds the rows that are learnt from, half of them with
-    a base span where there are so many; ``sample_chars`` the length of one."""
+    """About ``sample_rows`` rows are learnt from, half of them with a base
+    span where there are so many, and never more than twice as many;
+    ``sample_chars`` bounds the length of one."""
 
     sample_rows: int = 1500
     sample_chars: int = 20_000
@@ -313,16 +314,17 @@ def train(params: Params, texts: list[str]) -> Model:
     return model
 
 
-def fit(docs: DataFrame, params: Params | None = None, text_col: str = "text") -> Model | None:
+def fit(docs: DataFrame, params: Params | None = None, id_col: str = "doc_id", text_col: str = "text") -> Model | None:
     """None if no sampled text has a token."""
     params = params or Params()
     hit = F.col("t").rlike(r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{6}""") \
         | F.col("t").rlike("AKIA[A-Z0-9]{16}") | F.col("t").rlike("[0-9a-f]{24}")
-    rows = docs.select(F.col(text_col).cast("string").alias("t")) \
-        .where(F.length("t").between(1, params.sample_chars)).select("t", F.xxhash64("t").alias("h"), hit.alias("hit"))
+    rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).cast("string").alias("t")) \
+        .where(F.length("t").between(1, params.sample_chars))
+    hits, every = rows.agg(F.count(F.when(hit, 1)), F.count("*")).first()
     half = params.sample_rows // 2
-    texts = [r["t"] for flag in (True, False)
-             for r in rows.where(F.col("hit") == flag).orderBy("h", "t").limit(half).collect()]
+    texts = [r["t"] for found, n in ((rows.where(hit), hits), (rows.where(~hit), every - hits))
+             for r in sorted(drawn(found, half, "i", "t", n=n).collect(), key=lambda r: (r["t"], str(r["i"])))]
     return train(params, texts) if any(TOKEN.search(t) for t in texts) else None
 
 
