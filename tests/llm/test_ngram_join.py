@@ -84,6 +84,15 @@ def test_keys_are_shared_by_linked_sets():
                     assert np.intersect1d(nj.keys(a, bands), nj.keys(b, bands)).size
 
 
+def test_hot_keys_change_nothing(spark, monkeypatch):
+    rows = corpus(6)
+    rows += [(1000 + k, rows[10][1]) for k in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(nj, "HOT_SAMPLED", 2)
+    got = sorted(map(tuple, nj.classes(df, nj.Measure(3, 90)).drop("text_hash").collect()))
+    assert got == brute(rows, 3, 90)
+
+
 def test_empty_table_and_null_ids(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert nj.classes(empty, nj.Measure()).collect() == []

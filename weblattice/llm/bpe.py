@@ -33,9 +33,9 @@ from .common import ship
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SPLIT_RE = r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
 
-CACHE_PIECES = 300_000      # entries per generation of a Python worker's cache
+CACHE_PIECES = 200_000      # entries per generation of a Python worker's cache
 CACHE_PIECE_CHARS = 40      # longer pieces are encoded each time
-CACHE_PAIRS = 500_000
+CACHE_PAIRS = 250_000
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -111,14 +111,14 @@ class Bpe:
         self.exact_split = regex.compile(SPLIT)
         self.fast_split = re.compile(SPLIT_RE)
         self.odd = _odd_characters()
-        self.pair_cache: dict[tuple[int, int], bool] = {}
+        self.pair_cache: dict[int, bool] = {}
         self.pieces = _Pieces(self._encode_piece)
 
     def compatible(self, a: int, b: int) -> bool:
         """Would merging the bytes of ``a`` and ``b`` from scratch keep the
         boundary between them? Undo the later of the two tokens step by step;
         a merge across the boundary that comes before the undone one breaks it."""
-        key = (a, b)
+        key = a * len(self.left) + b
         limit = len(self.left)
         while True:
             across = self.merged.get((a, b))
@@ -142,7 +142,7 @@ class Bpe:
 
     def tokens(self, piece: str) -> list[int]:
         """Internal token numbers of one piece, written in the byte alphabet."""
-        n, size, shorter, known = len(piece), self.size, self.shorter, self.pair_cache.get
+        n, size, shorter, known, every = len(piece), self.size, self.shorter, self.pair_cache.get, len(self.left)
         longest = [0] * n
         for end, t in self.automaton.iter(piece):
             longest[end - size[t] + 1] = t  # later ends are longer
@@ -158,7 +158,7 @@ class Bpe:
                 elif last < 0:
                     fits = True
                 else:
-                    fits = known((last, token))
+                    fits = known(last * every + token)
                     if fits is None:
                         fits = self.compatible(last, token)
                 if fits:

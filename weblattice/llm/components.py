@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, written
 
 
 def _pointed(edges: DataFrame, down: bool) -> DataFrame:
@@ -32,12 +32,16 @@ def components(edges: DataFrame, src: str = "src", dst: str = "dst", label: str
         .select(F.greatest(src, dst).alias("a"), F.least(src, dst).alias("b")).distinct()
     current, before = written(e, label), None
     while True:
+        previous = current
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         large = _pointed(both, down=False)
         current = written(_pointed(large, down=True), label)
+        discard(previous)
         state = current.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
         if tuple(state) == before:
             break
         before = tuple(state)
     pairs = current.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    return pairs.unionByName(current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+    out = written(pairs.unionByName(current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()), label)
+    discard(current)
+    return out

@@ -258,8 +258,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, params: Params | None = None,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHash()
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                part, rows, spans = batch.slice(at, 200), [], {}
+            for at in range(0, batch.num_rows, 1000):
+                part, rows, spans = batch.slice(at, 1000), [], {}
                 ids, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
                 words = [word_hashes(t, known) for t in texts]
                 for k, size, first, last, sigs in windows_of(words, plan.value, params):

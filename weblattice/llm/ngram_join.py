@@ -10,8 +10,8 @@ when ``100 * |A & B| >= percent * |A | B|``. The join loses no link:
    parts that a set can expect to be empty, so empty parts need no key; a set
    with more of them gets keys for them as well. Bands of small sets use the
    shingles that a prefix of each set in hash order holds.
-2. *Families.* Sets that share keys form families (connected components over
-   each key's smallest set). Every link lies inside a family.
+2. *Families.* Sets that share keys form families (connected components).
+   Every link lies inside a family.
 3. *Tiles.* A family is dealt into tiles by size band and hash, and only tiles
    of the same or neighbouring bands meet. In a pair of tiles, hashed bitmaps
    bound the overlap from above: sets that differ in k bits differ in at least
@@ -39,16 +39,17 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import by_id, ship, written
+from .common import BROADCAST_IDS, by_id, discard, ship, written
 from .components import components
 
 BAND_GROWTH = 1.35       # of the key bands
 SMALL_SET = 16           # bands up to this size take prefix keys
 TILE_SHINGLES = 400_000  # a tile of a family holds about so many, where
 SET_WEIGHT = 100         # a set counts as so many more
+HOT_SAMPLED = 64         # rows of a hashed 1/64 that make a key hot
 CACHE_WORDS = 400_000    # words whose hashes a Python worker keeps
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -197,13 +198,33 @@ def first_ids(feats: DataFrame) -> DataFrame:
 
 
 def families(feats: DataFrame) -> DataFrame:
-    """``node, component`` over set ids that share a key with another set."""
-    key = feats.where("set_id is not null").select("set_id", F.explode("keys").alias("key"))
-    shared = key.groupBy("key").agg(F.min("set_id").alias("hub"), F.max("set_id").alias("other")) \
-        .where(F.col("hub") != F.col("other")).select(F.col("key").alias("hub_key"), "hub")
-    edges = key.join(shared, F.col("key") == F.col("hub_key")).where(F.col("set_id") != F.col("hub")) \
+    """``node, component`` over set ids that share a key with another set.
+
+    Keys cross the network once: sorted by set id, each set of a key is tied
+    to the first, so that a family's edges lead to few sets. A key that many rows hold (copies, or a large group of
+    near copies) does not: such keys are found by counting on a hashed 1/64 of
+    the rows, their smallest set is pre-aggregated and broadcast to the rows,
+    which stay where they are. Which way a key goes changes no family; at most
+    ``BROADCAST_IDS`` keys, the most frequent, go the second way.
+    """
+    rows = feats.where("set_id is not null")
+    key = rows.select("set_id", F.explode("keys").alias("key"))
+    hot = written(rows.where(F.pmod(F.xxhash64("id", "text_hash"), F.lit(64)) == 0).select(F.explode("keys").alias("key"))
+                  .groupBy("key").count().where(F.col("count") >= HOT_SAMPLED)
+                  .orderBy(F.desc("count"), "key").limit(BROADCAST_IDS).select(F.col("key").alias("hot_key")), "hot-keys")
+    some_hot = hot.head() is not None
+    cold = key.join(F.broadcast(hot), F.col("key") == F.col("hot_key"), "left_anti") if some_hot else key
+    order = Window.partitionBy("key").orderBy("set_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    edges = cold.select("set_id", F.first("set_id").over(order).alias("hub")).where("set_id <> hub") \
         .select(F.col("set_id").alias("src"), F.col("hub").alias("dst"))
-    return components(edges, label="families")
+    if some_hot:
+        hubs = key.join(F.broadcast(hot), F.col("key") == F.col("hot_key"), "left_semi") \
+            .groupBy(F.col("key").alias("hub_key")).agg(F.min("set_id").alias("hub"))
+        edges = edges.unionByName(key.join(F.broadcast(hubs), F.col("key") == F.col("hub_key")).where("set_id <> hub")
+                                  .select(F.col("set_id").alias("src"), F.col("hub").alias("dst")))
+    out = components(edges, label="families")
+    discard(hot)
+    return out
 
 
 def tile_links(sets: list[np.ndarray], measure: Measure, side: list[int] | None = None) -> list[tuple[int, int]]:
@@ -247,8 +268,13 @@ def tile_links(sets: list[np.ndarray], measure: Measure, side: list[int] | None
     return out
 
 
-def links(docs: DataFrame, feats: DataFrame, family: DataFrame, measure: Measure, id_col: str, text_col: str) -> DataFrame:
-    """``src, dst`` of set ids: enough links to connect what all links connect."""
+def _small(table: DataFrame, rows: int) -> DataFrame:
+    """To be broadcast if its count allows; else joined by shuffle."""
+    return F.broadcast(table) if rows <= BROADCAST_IDS else table
+
+
+def linked(docs: DataFrame, feats: DataFrame, family: DataFrame, measure: Measure, id_col: str, text_col: str) -> DataFrame:
+    """``node, component`` of the set ids that link with another."""
     spark = docs.sparkSession
     member = family.select(F.col("node").alias("set_id"), F.col("component").alias("family"))
     # One text of each set that belongs to a family; copies need no second look.
@@ -258,8 +284,12 @@ def links(docs: DataFrame, feats: DataFrame, family: DataFrame, measure: Measure
     # A repeated id brings several texts; the set id says which belongs.
     found = features(own, measure, "text_id", "text", with_keys=False) \
         .select(F.col("id").alias("text_id"), "set_id", "n_shingles", "shingles")
-    sets = written(found.join(texts, ["text_id", "set_id"]).dropDuplicates(["set_id"])
+    n_texts = texts.count()
+    sets = written(found.join(_small(texts, n_texts), ["text_id", "set_id"])
                    .select("set_id", "family", "n_shingles", "shingles"), "family-sets")
+    if sets.count() > n_texts:  # rows that repeat id and text
+        repeated, sets = sets, written(sets.dropDuplicates(["set_id"]), "family-sets")
+        discard(repeated)
 
     # A little wider than the ratio of linked sizes, so that rounding parts no pair.
     band = F.floor(F.log(F.col("n_shingles").cast("double")) / (1.001 * math.log(100 / measure.percent))).cast("int")
@@ -271,11 +301,11 @@ def links(docs: DataFrame, feats: DataFrame, family: DataFrame, measure: Measure
         .otherwise(F.ceil(F.col("in_band") / TILE_SHINGLES)).cast("int").alias("tiles"))
     up = tiles.select("family", (F.col("band") - 1).alias("band"), F.col("tiles").alias("above"))
     down = tiles.select("family", (F.col("band") + 1).alias("band"), F.col("tiles").alias("below"))
-    plan = tiles.join(up, ["family", "band"], "left").join(down, ["family", "band"], "left").na.fill(0)
+    plan = written(tiles.join(up, ["family", "band"], "left").join(down, ["family", "band"], "left").na.fill(0), "family-tiles")
     # A small family is one pair of tiles; in others a set meets every tile of
     # its own band and of the neighbouring ones. A pair's name is the same
     # from both sides: lower band, tile in it, tile in the other.
-    dealt = sets.withColumn("band", band).join(plan, ["family", "band"]) \
+    dealt = sets.withColumn("band", band).join(_small(plan, plan.count()), ["family", "band"]) \
         .withColumn("own", F.pmod(F.xxhash64("set_id"), F.greatest(F.col("tiles"), F.lit(1))).cast("int"))
     def meet(count: str, b: str, x: str, y: str, same: str, side: str) -> str:
         entry = f"named_struct('pair', named_struct('b', {b}, 'x', {x}, 'y', {y}, 'same', {same}), 'side', {side})"
@@ -294,29 +324,37 @@ def links(docs: DataFrame, feats: DataFrame, family: DataFrame, measure: Measure
         return pd.DataFrame({"src": [ids[a] for a, _ in found], "dst": [ids[b] for _, b in found]}, dtype="int64")
 
     ship(spark)
-    return pairs.groupBy("family", "pair").applyInPandas(compare, "src bigint, dst bigint")
+    links = pairs.groupBy("family", "pair").applyInPandas(compare, "src bigint, dst bigint")
+    out = components(links, label="classes")
+    discard(texts, sets, plan)
+    return out
 
 
 def classes(docs: DataFrame, measure: Measure, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, text_hash, n_shingles, component_id`` per row of ``docs``: the
     size of its set and the smallest id that links reach."""
-    feats = written(features(docs, measure, id_col, text_col, with_keys=True)
+    keyed = written(features(docs, measure, id_col, text_col, with_keys=True)
                     .withColumn("set_id", F.expr("if(id is null, null, set_id)")), "ngram-keys")
-    joined = components(links(docs, feats, families(feats), measure, id_col, text_col), label="classes")
+    feats = written(keyed.drop("keys"), "ngram-set-ids")
+    family = families(keyed)
+    discard(keyed)
+    joined = linked(docs, feats, family, measure, id_col, text_col)
     labelled = first_ids(feats).join(joined, F.col("set_id") == F.col("node"), "left") \
         .select("set_id", F.coalesce("component", "set_id").alias("class"), "least_id")
     least = labelled.groupBy("class").agg(F.min("least_id").alias("component_id"))
     by_set = labelled.join(least, "class").select(F.col("set_id").alias("of_set"), "component_id")
-    return feats.join(by_set, F.col("set_id") == F.col("of_set"), "left").select(
+    out = written(feats.join(by_set, F.col("set_id") == F.col("of_set"), "left").select(
         F.col("id").alias(id_col), "text_hash", "n_shingles",
-        F.when(F.col("set_id").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
+        F.when(F.col("set_id").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id")), "class-of-text")
+    discard(feats, family, joined)
+    return out
 
 
 def one_of_each(docs: DataFrame, measure: Measure) -> DataFrame:
     """``docs`` (columns of documents) with one row of each class: its
     smallest id, and of that id's rows in the class the first by a hash of the
     text. Rows with a null id all stay."""
-    of = written(classes(docs, measure), "class-of-text")
+    of = classes(docs, measure)
     pairs = of.where("component_id is not null")
     keep = pairs.groupBy("component_id").agg(F.min(F.struct("doc_id", "text_hash")).alias("k"))
     gone = pairs.join(keep.withColumnRenamed("component_id", "kept_class"), F.col("component_id") == F.col("kept_class")) \
