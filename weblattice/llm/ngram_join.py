@@ -47,9 +47,9 @@ from .components import components
 
 BAND_GROWTH = 1.35       # of the key bands
 SMALL_SET = 16           # bands up to this size take prefix keys
-TILE_SHINGLES = 400_000  # a tile of a family holds about so many, where
-SET_WEIGHT = 100         # a set counts as so many more
-HOT_SAMPLED = 64         # rows of a hashed 1/64 that make a key hot
+TILE_SHINGLES = 2_000_000  # a tile of a family holds about so many (16 MB), where
+SET_WEIGHT = 100           # a set counts as so many more
+HOT_SAMPLED = 64           # rows of a hashed 1/64 that make a key hot
 CACHE_WORDS = 400_000    # words whose hashes a Python worker keeps
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -278,24 +278,23 @@ def linked(docs: DataFrame, feats: DataFrame, family: DataFrame, measure: Measur
     spark = docs.sparkSession
     member = family.select(F.col("node").alias("set_id"), F.col("component").alias("family"))
     # One text of each set that belongs to a family; copies need no second look.
-    texts = written(first_ids(feats).withColumnRenamed("least_id", "text_id").join(member, "set_id"), "family-texts")
+    sizes = feats.where("set_id is not null").groupBy("set_id").agg(
+        F.min("id").alias("text_id"), F.first("n_shingles").alias("n_shingles"))
+    texts = written(sizes.join(member, "set_id"), "family-texts")
     own = by_id(docs.select(F.col(id_col).alias("text_id"), F.col(text_col).alias("text")),
                 texts.select("text_id"), "left_semi", "text_id")
     # A repeated id brings several texts; the set id says which belongs.
     found = features(own, measure, "text_id", "text", with_keys=False) \
-        .select(F.col("id").alias("text_id"), "set_id", "n_shingles", "shingles")
-    n_texts = texts.count()
-    sets = written(found.join(_small(texts, n_texts), ["text_id", "set_id"])
-                   .select("set_id", "family", "n_shingles", "shingles"), "family-sets")
-    if sets.count() > n_texts:  # rows that repeat id and text
-        repeated, sets = sets, written(sets.dropDuplicates(["set_id"]), "family-sets")
-        discard(repeated)
+        .select(F.col("id").alias("text_id"), "set_id", "shingles")
+    sets = found.join(_small(texts, texts.count()), ["text_id", "set_id"]).select("set_id", "family", "n_shingles", "shingles")
+    if feats.groupBy("id", "set_id").count().where("count > 1 and set_id is not null").head() is not None:
+        sets = sets.dropDuplicates(["set_id"])  # rows that repeat id and text
 
     # A little wider than the ratio of linked sizes, so that rounding parts no pair.
     band = F.floor(F.log(F.col("n_shingles").cast("double")) / (1.001 * math.log(100 / measure.percent))).cast("int")
     weight = F.sum(F.col("n_shingles") + SET_WEIGHT)
-    whole = sets.groupBy("family").agg(weight.alias("weight"))
-    by_band = sets.groupBy("family", band.alias("band")).agg(weight.alias("in_band"))
+    whole = texts.groupBy("family").agg(weight.alias("weight"))
+    by_band = texts.groupBy("family", band.alias("band")).agg(weight.alias("in_band"))
     tiles = by_band.join(whole, "family").select(
         "family", "band", F.when(F.col("weight") <= TILE_SHINGLES, 0)
         .otherwise(F.ceil(F.col("in_band") / TILE_SHINGLES)).cast("int").alias("tiles"))
@@ -326,7 +325,7 @@ def linked(docs: DataFrame, feats: DataFrame, family: DataFrame, measure: Measur
     ship(spark)
     links = pairs.groupBy("family", "pair").applyInPandas(compare, "src bigint, dst bigint")
     out = components(links, label="classes")
-    discard(texts, sets, plan)
+    discard(texts, plan)
     return out
 
 
