@@ -56,8 +56,10 @@ def test_classes_equal_brute_force(spark, words, percent):
     assert got == brute(rows, words, percent)
 
 
-def test_large_family_is_tiled(spark, monkeypatch):
+@pytest.mark.parametrize("width", [1, 4])
+def test_large_family_is_tiled(spark, monkeypatch, width):
     monkeypatch.setattr(nj, "TILE_SHINGLES", 1500)
+    monkeypatch.setattr(nj, "TILE_BAND", width)
     r = random.Random(1)
     base = [f"w{k}" for k in range(60)]
     rows = []
@@ -65,7 +67,7 @@ def test_large_family_is_tiled(spark, monkeypatch):
         w = list(base)
         for _ in range(r.randrange(9)):
             w[r.randrange(60)] = f"x{r.randrange(1000)}"
-        rows.append((i, " ".join(w[:60 - r.randrange(6)])))
+        rows.append((i, " ".join(w[:60 - r.randrange(14)])))
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted(map(tuple, nj.classes(df, nj.Measure(3, 90)).drop('text_hash').collect()))
     assert got == brute(rows, 3, 90)

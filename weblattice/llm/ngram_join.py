@@ -12,8 +12,8 @@ when ``100 * |A & B| >= percent * |A | B|``. The join loses no link:
    shingles that a prefix of each set in hash order holds.
 2. *Families.* Sets that share keys form families (connected components).
    Every link lies inside a family.
-3. *Tiles.* A family is dealt into tiles by size band and hash, and only tiles
-   of the same or neighbouring bands meet. In a pair of tiles, hashed bitmaps
+3. *Tiles.* A family is dealt into tiles by size band and hash. Only tiles of
+   a band meet, and sets near its upper end are guests in the next. In a pair of tiles, hashed bitmaps
    bound the overlap from above: sets that differ in k bits differ in at least
    k shingles. Pairs that pass are intersected as sorted arrays. Sets that
    are already connected inside the pair of tiles are not compared again.
@@ -48,6 +48,7 @@ from .components import components
 BAND_GROWTH = 1.35       # of the key bands
 SMALL_SET = 16           # bands up to this size take prefix keys
 TILE_SHINGLES = 2_000_000  # a tile of a family holds about so many (16 MB), where
+TILE_BAND = 4              # size band of tiles, in ratios of linked sizes
 SET_WEIGHT = 100           # a set counts as so many more
 HOT_SAMPLED = 64           # rows of a hashed 1/64 that make a key hot
 CACHE_WORDS = 400_000    # words whose hashes a Python worker keeps
@@ -290,8 +291,13 @@ def linked(docs: DataFrame, feats: DataFrame, family: DataFrame, measure: Measur
     if feats.groupBy("id", "set_id").count().where("count > 1 and set_id is not null").head() is not None:
         sets = sets.dropDuplicates(["set_id"])  # rows that repeat id and text
 
-    # A little wider than the ratio of linked sizes, so that rounding parts no pair.
-    band = F.floor(F.log(F.col("n_shingles").cast("double")) / (1.001 * math.log(100 / measure.percent))).cast("int")
+    # A band spans several times the ratio of linked sizes. A set whose larger
+    # partners can lie in the next band is a guest there; the margin sees to
+    # it that rounding parts no pair.
+    ratio = math.log(100 / measure.percent)
+    log_size = F.log(F.col("n_shingles").cast("double"))
+    band = F.floor(log_size / (TILE_BAND * ratio)).cast("int")
+    reach = F.floor((log_size + 1.001 * ratio) / (TILE_BAND * ratio)).cast("int")
     weight = F.sum(F.col("n_shingles") + SET_WEIGHT)
     whole = texts.groupBy("family").agg(weight.alias("weight"))
     by_band = texts.groupBy("family", band.alias("band")).agg(weight.alias("in_band"))
@@ -299,21 +305,19 @@ def linked(docs: DataFrame, feats: DataFrame, family: DataFrame, measure: Measur
         "family", "band", F.when(F.col("weight") <= TILE_SHINGLES, 0)
         .otherwise(F.ceil(F.col("in_band") / TILE_SHINGLES)).cast("int").alias("tiles"))
     up = tiles.select("family", (F.col("band") - 1).alias("band"), F.col("tiles").alias("above"))
-    down = tiles.select("family", (F.col("band") + 1).alias("band"), F.col("tiles").alias("below"))
-    plan = written(tiles.join(up, ["family", "band"], "left").join(down, ["family", "band"], "left").na.fill(0), "family-tiles")
-    # A small family is one pair of tiles; in others a set meets every tile of
-    # its own band and of the neighbouring ones. A pair's name is the same
-    # from both sides: lower band, tile in it, tile in the other.
-    dealt = sets.withColumn("band", band).join(_small(plan, plan.count()), ["family", "band"]) \
+    plan = written(tiles.join(up, ["family", "band"], "left").na.fill(0), "family-tiles")
+    # A small family is one tile; in others a set meets every tile of its own
+    # band, and as a guest every tile of the next. A pair is named by its band
+    # and its two tiles, in order.
+    dealt = sets.withColumn("band", band).withColumn("guest", reach > band).join(_small(plan, plan.count()), ["family", "band"]) \
         .withColumn("own", F.pmod(F.xxhash64("set_id"), F.greatest(F.col("tiles"), F.lit(1))).cast("int"))
-    def meet(count: str, b: str, x: str, y: str, same: str, side: str) -> str:
-        entry = f"named_struct('pair', named_struct('b', {b}, 'x', {x}, 'y', {y}, 'same', {same}), 'side', {side})"
+    def meet(count: str, b: str, x: str, y: str, side: str) -> str:
+        entry = f"named_struct('pair', named_struct('b', {b}, 'x', {x}, 'y', {y}), 'side', {side})"
         return f"transform(filter(sequence(0, {count}), t -> t < {count}), t -> {entry})"
 
-    meetings = f"""if(tiles = 0, {meet("1", "-1", "0", "0", "true", "0")}, concat(
-        {meet("tiles", "band", "least(t, own)", "greatest(t, own)", "true", "if(own <= t, 0, 1)")},
-        {meet("above", "band", "own", "t", "false", "0")},
-        {meet("below", "band - 1", "t", "own", "false", "1")}))"""
+    meetings = f"""if(tiles = 0, {meet("1", "-1", "0", "0", "0")}, concat(
+        {meet("tiles", "band", "least(t, own)", "greatest(t, own)", "if(own <= t, 0, 1)")},
+        {meet("if(guest, above, 0)", "band + 1", "t", "t", "0")}))"""
     pairs = dealt.withColumn("m", F.explode(F.expr(meetings))) \
         .select("family", F.col("m.pair").alias("pair"), F.col("m.side").alias("side"), "set_id", "shingles")
 
