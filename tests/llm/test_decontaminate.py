@@ -89,3 +89,21 @@ def test_signatures_do_not_depend_on_the_batch():
     w = np.random.default_rng(1).integers(0, 2**63, (50, 40), dtype=np.uint64)
     p = dc.Params()
     assert (dc.signatures(w, p)[7:9] == dc.signatures(w[7:9], p)).all()
+
+
+def recall(spark, n, count, change, seed):
+    """Share of items of n words that are found after ``change``."""
+    r = random.Random(seed)
+    items = [(k, [f"w{r.randrange(10**7)}" for _ in range(n)]) for k in range(count)]
+    around = lambda: [f"z{r.randrange(10**6)}" for _ in range(r.randrange(5, 60))]
+    docs = [(k, " ".join(around() + change(w, dc.Params().edits(n), r) + around())) for k, w in items]
+    found = dc.matches(spark.createDataFrame(docs, "doc_id long, text string"),
+                       spark.createDataFrame([(k, " ".join(w)) for k, w in items], "item_id long, text string"))
+    return sum(x["doc_id"] == x["item_id"] for x in found.collect()) / count
+
+
+def test_passages_whose_first_words_were_edited(spark):
+    def first_words(words, edits, r):  # every other word, so that no pair is left before word 2 * edits
+        return [f"q{r.randrange(10**9)}" if k % 2 == 0 and k < 2 * edits else w for k, w in enumerate(words)]
+
+    assert recall(spark, 50, 60, first_words, 4) >= 0.9

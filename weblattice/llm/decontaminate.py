@@ -4,11 +4,12 @@ Texts and benchmark items are sequences of words (``\\w+``, small letters). An
 item is found in a text when some passage is within ``1 - similarity`` of the
 item's length in word edits.
 
-1. Item sizes fall into classes. A window of a class has its number of words
-   and starts where a pair of neighbouring words is some benchmark item's.
-   Each edit breaks at most two word pairs, so the passage that follows must
-   hold a known number of benchmark pairs; a bitmap of all of them (bounded,
-   whatever the benchmark's size) drops the other windows.
+1. Item sizes fall into classes. A window of a class has its number of words.
+   Each edit breaks at most two word pairs, so a passage must hold a known
+   number of its item's pairs, the first of them at most two words on for each
+   edit. A bitmap of all pairs and a table of the lots of items that hold them
+   (both bounded, whatever the benchmark's size) drop the starts that do not;
+   every other start is tried. Nothing that could match is lost here.
 2. The CGK walk embeds what is left, and each item's head of the class size:
    at step j it writes the current word and moves on if a random bit of
    (j, word) is set, so that edit distance becomes Hamming distance. Several
@@ -24,6 +25,7 @@ rows that share an id give one result for it. Null ids are kept as ids.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -39,6 +41,8 @@ from .ngram_join import WordHash, mixed
 WORD = re.compile(r"\w+")
 _M1 = np.uint64(0x9E3779B97F4A7C15)
 MAX_BITS = 24            # a bitmap has 2**24 bits (2 MB) at most; a fuller one only lets more through
+LOT_BITS = 18            # the table of lots has 2**18 rows of 64 bits (2 MB)
+BATCH_WORDS = 1 << 19    # of texts that are searched at once
 
 
 @dataclass(frozen=True)
@@ -146,7 +150,7 @@ def best_passage(item: list[int], text: list[int]) -> tuple[int, int, int]:
 
 
 def items_table(benchmark: DataFrame, params: Params, item_id: str, text_col: str) -> DataFrame:
-    """``item_id, size, words, pairs, sigs`` of the items that are searched."""
+    """``item_id, size, words, lot, pairs, sigs`` of the items that are searched."""
     kind = benchmark.schema[item_id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,14 +161,14 @@ def items_table(benchmark: DataFrame, params: Params, item_id: str, text_col: st
                 h = word_hashes(t, known)
                 if len(h) >= params.min_words:
                     size = params.class_of(len(h))
-                    rows.append((i.as_py(), size, h.tobytes(), np.unique(pair_hashes(h)).view(np.int64),
+                    rows.append((i.as_py(), size, h.tobytes(), zlib.crc32(h.tobytes()) % 64, np.unique(pair_hashes(h)).view(np.int64),
                                  np.unique(signatures(h[None, :size], params)[0]).view(np.int64)))
-            kinds = (batch.schema.types[0], pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+            kinds = (batch.schema.types[0], pa.int32(), pa.binary(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)],
-                                             ["item_id", "size", "words", "pairs", "sigs"])
+                                             ["item_id", "size", "words", "lot", "pairs", "sigs"])
 
     return benchmark.select(F.col(item_id).alias("item_id"), F.col(text_col).cast("string").alias("text")) \
-        .mapInArrow(run, f"item_id {kind}, size int, words binary, pairs array<bigint>, sigs array<bigint>")
+        .mapInArrow(run, f"item_id {kind}, size int, words binary, lot int, pairs array<bigint>, sigs array<bigint>")
 
 
 def bitmap(values: DataFrame, column: str, count: int, room: int) -> np.ndarray:
@@ -180,6 +184,16 @@ def bitmap(values: DataFrame, column: str, count: int, room: int) -> np.ndarray:
     return out.view(np.uint64)
 
 
+def lots_table(items: DataFrame) -> np.ndarray:
+    """Of each hashed word pair the lots of items that hold it, as 64 bits."""
+    rows = items.select(F.explode("pairs").alias("v"), "lot") \
+        .groupBy(F.shiftrightunsigned("v", 64 - LOT_BITS).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, lot)")).alias("set")).collect()
+    out = np.zeros(1 << LOT_BITS, np.int64)
+    for r in rows:
+        out[r["at"]] = r["set"]
+    return out.view(np.uint64)
+
+
 def holds(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
     at = values & np.uint64(64 * len(bits) - 1)
     return (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) > 0
@@ -191,34 +205,78 @@ def search_plan(items: DataFrame, params: Params) -> dict:
                                       F.sum(F.size("sigs")).alias("sigs")).orderBy("size").collect()
     return {
         "sizes": [(size, params.edits(up - 1), up, params.least_pairs(size, up)) for size, up in (params.grid(r["size"]) for r in sizes)],
+        "lots": lots_table(items),
         "pairs": bitmap(items.select(F.explode("pairs").alias("v")), "v", sum(r["pairs"] for r in sizes), 64),
         "sigs": bitmap(items.select(F.explode("sigs").alias("v")), "v", sum(r["sigs"] for r in sizes), 4096),
     }
 
 
-def candidate_starts(flagged: np.ndarray, size: int, edits: int, up: int, least: int) -> np.ndarray:
-    """Of the places of benchmark word pairs, those that a passage can start
-    at: enough such pairs follow within its greatest length."""
-    follow = np.searchsorted(flagged, flagged + (up - 1 + edits) - 1) - np.arange(len(flagged))
-    return flagged[follow >= least]
+def candidate_starts(flagged: np.ndarray, lots: np.ndarray, edits: int, up: int, least: int) -> np.ndarray:
+    """All places that a passage can start at: enough of the places of
+    benchmark word pairs, of one lot, follow within its greatest length, the
+    first at most ``2 * edits`` on, as each edit keeps it two words away at most."""
+    reach, out = up - 1 + edits - 1, [np.empty(0, np.int64)]
+    for low in range(0, len(flagged), 1 << 16):
+        own = flagged[low:low + (1 << 16)]
+        stop = np.searchsorted(flagged, own + reach) - low
+        near = np.flatnonzero(stop - np.arange(len(own)) >= least)
+        if not len(near):
+            continue
+        each = np.unpackbits(lots[low:low + stop[-1], None].view(np.uint8), axis=1)
+        counts = np.zeros((len(each) + 1, 64), np.int32)
+        np.cumsum(each, axis=0, out=counts[1:])
+        near = near[(counts[stop[near]] - counts[near]).max(1) >= least]
+        # Starts before a place, after the place before: the same first pair.
+        before = np.full(len(near), -1, np.int64)
+        before[low + near > 0] = flagged[(low + near - 1)[low + near > 0]]
+        for back in range(2 * edits + 1):
+            at = own[near] - back
+            stop = np.searchsorted(flagged, at + reach) - low
+            ok = (at > before) & (stop - near >= least)
+            near, before, at, stop = near[ok], before[ok], at[ok], stop[ok]
+            if not len(near):
+                break
+            ok = (counts[stop] - counts[near]).max(1) >= least
+            near, before = near[ok], before[ok]
+            out.append(at[ok])
+    return np.sort(np.concatenate(out))
 
 
 def windows_of(texts: list[np.ndarray], plan: dict, params: Params) -> Iterator[tuple[int, int, int, int, np.ndarray]]:
     """``(text, size, first, last, signatures)`` of the windows that have a
     signature of some item; first to last is the passage around them."""
-    pad = np.zeros(max((size for size, *_ in plan["sizes"]), default=0), np.uint64)
+    low = 0
+    while low < len(texts):
+        high, words = low + 1, len(texts[low])
+        while high < len(texts) and words + len(texts[high]) <= BATCH_WORDS:
+            words += len(texts[high])
+            high += 1
+        for k, *row in _windows(texts[low:high], plan, params):
+            yield (low + k, *row)
+        low = high
+
+
+def _windows(texts: list[np.ndarray], plan: dict, params: Params) -> Iterator[tuple[int, int, int, int, np.ndarray]]:
+    # Texts end to end, with so many words between them that no passage reaches the next.
+    pad = np.zeros(max((up + 2 * edits for _, edits, up, _ in plan["sizes"]), default=1), np.uint64)
     base = np.concatenate([[0], np.cumsum([len(h) + len(pad) for h in texts])])
-    starts: dict[int, list[np.ndarray]] = {}
-    for k, h in enumerate(texts):
-        flagged = np.flatnonzero(holds(plan["pairs"], pair_hashes(h))) if len(h) > 1 else np.empty(0, np.int64)
-        for size, edits, up, least in plan["sizes"]:
-            if len(flagged) >= least and len(at := candidate_starts(flagged, size, edits, up, least)):
-                starts.setdefault(size, []).append(np.stack([np.full(len(at), k), at], axis=1))
-    if not starts:
-        return
     flat = np.concatenate([x for h in texts for x in (h, pad)])
+    inner = np.ones(len(flat), bool)
+    for k, h in enumerate(texts):
+        inner[max(base[k] + len(h) - 1, base[k]):base[k + 1]] = False
+    pairs = pair_hashes(flat)
+    flagged = np.flatnonzero(holds(plan["pairs"], pairs) & inner[:-1])
+    lots = plan["lots"][(pairs[flagged] >> np.uint64(64 - LOT_BITS)).astype(np.int64)]
+    flagged, lots = flagged[lots > 0], lots[lots > 0]
+    starts = {}
+    for size, edits, up, least in plan["sizes"]:
+        at = candidate_starts(flagged, lots, edits, up, least)
+        of = np.searchsorted(base, at, "right") - 1
+        at -= base[of]
+        ok = at < np.array([len(h) for h in texts], np.int64)[of]  # else it lies between texts
+        starts[size] = np.stack([of[ok], at[ok]], axis=1)
     for size, edits, up, _ in plan["sizes"]:
-        every = np.concatenate(starts[size]) if size in starts else np.empty((0, 2), np.int64)
+        every = starts[size]
         found: list[tuple[int, int, np.ndarray]] = []
         for low in range(0, len(every), 8192):
             own = every[low:low + 8192]
