@@ -107,3 +107,21 @@ def test_passages_whose_first_words_were_edited(spark):
         return [f"q{r.randrange(10**9)}" if k % 2 == 0 and k < 2 * edits else w for k, w in enumerate(words)]
 
     assert recall(spark, 50, 60, first_words, 4) >= 0.9
+
+
+def test_recall_at_all_the_edits_that_are_allowed(spark):
+    def substituted(words, edits, r):
+        at = set(r.sample(range(len(words)), edits))
+        return [f"q{r.randrange(10**9)}" if k in at else w for k, w in enumerate(words)]
+
+    for n, count in ((15, 100), (30, 100), (60, 100), (300, 30), (800, 10)):
+        assert recall(spark, n, count, substituted, n) >= 0.97, n
+
+
+def test_pieces_cover_the_item_and_one_keeps_its_share_of_edits():
+    for p in (dc.Params(), dc.Params(min_words=30), dc.Params(similarity=0.7)):
+        for n in range(p.min_words, 500):
+            cuts = p.cuts(n)
+            sizes = [b - a for a, b in zip(cuts, cuts[1:])]
+            assert cuts[0] == 0 and cuts[-1] == n and min(sizes) >= p.min_words
+            assert p.edits(n) < sum(p.edits(x) + 1 for x in sizes)

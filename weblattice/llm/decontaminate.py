@@ -4,16 +4,19 @@ Texts and benchmark items are sequences of words (``\\w+``, small letters). An
 item is found in a text when some passage is within ``1 - similarity`` of the
 item's length in word edits.
 
-1. Item sizes fall into classes. A window of a class has its number of words.
-   Each edit breaks at most two word pairs, so a passage must hold a known
+1. Items are cut into pieces of at least ``piece`` words, and less than twice
+   as many: one piece holds no greater share of edits than the whole. Piece
+   sizes fall into classes. A window of a class has its number of words. Each edit breaks at most two word pairs, so a passage must hold a known
    number of its item's pairs, the first of them at most two words on for each
    edit. A bitmap of all pairs and a table of the lots of items that hold them
    (both bounded, whatever the benchmark's size) drop the starts that do not;
    every other start is tried. Nothing that could match is lost here.
-2. The CGK walk embeds what is left, and each item's head of the class size:
+2. The CGK walk embeds what is left, and each piece's head of the class size:
    at step j it writes the current word and moves on if a random bit of
    (j, word) is set, so that edit distance becomes Hamming distance. Several
-   walks, and several samples of positions of each, give the signatures.
+   walks, and several samples of positions of each, give the signatures: as
+   many walks of a class as find the target share of trial passages that have
+   all the edits which a piece may have.
 3. Windows meet items with an equal signature in a join; the passage around a
    window is verified by the exact edit distance (bit-parallel).
 
@@ -50,7 +53,9 @@ class Params:
     similarity: float = 0.8
     min_words: int = 5
     growth: float = 1.25     # of the window classes
-    walks: int = 8
+    piece: int = 20          # words
+    target: float = 0.99     # recall of a piece with all its edits
+    walks: int = 8           # at least
     samples: int = 6         # of each walk
     sampled: int = 4         # positions in a sample
     seed: int = 17
@@ -68,6 +73,15 @@ class Params:
             low = up
         return low, up
 
+    @property
+    def least_piece(self) -> int:
+        return max(self.piece, self.min_words)
+
+    def cuts(self, words: int) -> list[int]:
+        """Where the pieces of an item start, and its end."""
+        n = max(1, words // self.least_piece)
+        return [k * words // n for k in range(n + 1)]
+
     def least_pairs(self, size: int, up: int) -> int:
         """Word pairs of an item of the class that a match must keep."""
         return max(1, min(n - 1 - 2 * self.edits(n) for n in range(size, up)))
@@ -83,22 +97,23 @@ def pair_hashes(h: np.ndarray) -> np.ndarray:
 
 
 @lru_cache(maxsize=256)
-def walk_plan(params: Params, size: int) -> list[tuple[np.uint64, frozenset[int], np.ndarray]]:
+def walk_plan(params: Params, size: int, walks: int) -> list[tuple[np.uint64, frozenset[int], np.ndarray]]:
     """Per walk of a class: its salt, the steps that are sampled, the samples."""
     rng = np.random.default_rng([params.seed, size])
-    places = rng.integers(0, 2 * size, (params.walks, params.samples, params.sampled))
-    salts = mixed((np.arange(params.walks, dtype=np.uint64) + np.uint64(params.seed * 1000)) * _M1)
-    return [(salts[k], frozenset(places[k].ravel().tolist()), places[k]) for k in range(params.walks)]
+    places = rng.integers(0, 2 * size, (walks, params.samples, params.sampled))
+    salts = mixed((np.arange(walks, dtype=np.uint64) + np.uint64(params.seed * 1000)) * _M1)
+    return [(salts[k], frozenset(places[k].ravel().tolist()), places[k]) for k in range(walks)]
 
 
-def signatures(windows: np.ndarray, params: Params) -> np.ndarray:
+def signatures(windows: np.ndarray, params: Params, walks: int | None = None) -> np.ndarray:
     """Signatures of windows of one class: rows x (walks * samples)."""
     rows, size = windows.shape
+    walks = walks or params.walks
     flat = np.concatenate([windows, np.zeros((rows, 1), np.uint64)], axis=1).ravel()
-    out = np.empty((rows, params.walks * params.samples), np.uint64)
+    out = np.empty((rows, walks * params.samples), np.uint64)
     one, first = np.uint64(1), np.arange(rows) * (size + 1)
     end = first + size
-    for walk, (salt, steps, places) in enumerate(walk_plan(params, size)):
+    for walk, (salt, steps, places) in enumerate(walk_plan(params, size, walks)):
         bits = mixed(flat ^ salt)                  # 64 random bits of each word
         here, wanted = first.copy(), {}
         for j in range(max(steps) + 1):
@@ -117,6 +132,33 @@ def signatures(windows: np.ndarray, params: Params) -> np.ndarray:
     return out
 
 
+@lru_cache(maxsize=256)
+def walks_for(params: Params, size: int, trials: int = 300) -> int:
+    """Walks of a class that find the target share of random passages with
+    all the edits that its largest piece may have: of substitutions alone, and
+    of all kinds. A window may start two words beside the passage."""
+    n, around, side = params.grid(size)[1] - 1, 2 * size + 4, 2
+    rng = np.random.default_rng([params.seed, size, 1])
+    own = rng.integers(1, 1 << 63, (2 * trials, n), dtype=np.uint64)
+    texts = rng.integers(1, 1 << 63, (2 * trials, around), dtype=np.uint64)
+    for t, words in enumerate(own):
+        at, out = set(rng.permutation(n)[:params.edits(n)].tolist()), []
+        for k, word in enumerate(words):
+            kind = 0 if k not in at else 1 if t < trials else rng.integers(1, 4)
+            out += [[word], [~word], [~word, word], []][kind]
+        texts[t, side:side + len(out)] = out[:around - side]
+    walks = params.walks
+    while walks <= 1000:
+        heads = signatures(own[:, :size], params, walks)
+        found = np.zeros(2 * trials, bool)
+        for at in range(2 * side + 1):
+            found |= (signatures(texts[:, at:at + size], params, walks) == heads).any(1)
+        if min(found[:trials].mean(), found[trials:].mean()) >= params.target:
+            return walks
+        walks += max(1, walks // 2)
+    raise ValueError(f"windows of {size} words do not reach a recall of {params.target} at similarity {params.similarity}")
+
+
 def edit_scan(masks: dict[int, int], size: int, text: list[int], anchored: bool) -> list[int]:
     """Edit distances of the pattern to the texts that end at each place: from
     any start, or (``anchored``) from the first place."""
@@ -150,8 +192,11 @@ def best_passage(item: list[int], text: list[int]) -> tuple[int, int, int]:
 
 
 def items_table(benchmark: DataFrame, params: Params, item_id: str, text_col: str) -> DataFrame:
-    """``item_id, size, words, lot, pairs, sigs`` of the items that are searched."""
+    """A row for each piece of the items that are searched: ``item_id, size,
+    before, after`` (words of the passage before and from the piece's start),
+    ``words`` (of the whole item, at its first piece), ``lot, pairs, sigs``."""
     kind = benchmark.schema[item_id].dataType.simpleString()
+    walks = {size: walks_for(params, size) for size in {params.class_of(n) for n in range(params.min_words, 2 * params.least_piece)}}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHash()
@@ -159,16 +204,18 @@ def items_table(benchmark: DataFrame, params: Params, item_id: str, text_col: st
             rows = []
             for i, t in zip(batch.column(0), batch.column(1).to_pylist()):
                 h = word_hashes(t, known)
-                if len(h) >= params.min_words:
-                    size = params.class_of(len(h))
-                    rows.append((i.as_py(), size, h.tobytes(), zlib.crc32(h.tobytes()) % 64, np.unique(pair_hashes(h)).view(np.int64),
-                                 np.unique(signatures(h[None, :size], params)[0]).view(np.int64)))
-            kinds = (batch.schema.types[0], pa.int32(), pa.binary(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+                cuts, spare = params.cuts(len(h)), 2 * params.edits(len(h))
+                for at, end in zip(cuts, cuts[1:]) if len(h) >= params.min_words else ():
+                    piece, size = h[at:end], params.class_of(end - at)
+                    rows.append((i.as_py(), size, at + spare, len(h) - at + spare, None if at else h.tobytes(), zlib.crc32(piece.tobytes()) % 64,
+                                 np.unique(pair_hashes(piece)).view(np.int64),
+                                 np.unique(signatures(piece[None, :size], params, walks[size])[0]).view(np.int64)))
+            kinds = (batch.schema.types[0], *(pa.int32(),) * 3, pa.binary(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)],
-                                             ["item_id", "size", "words", "lot", "pairs", "sigs"])
+                                             ["item_id", "size", "before", "after", "words", "lot", "pairs", "sigs"])
 
     return benchmark.select(F.col(item_id).alias("item_id"), F.col(text_col).cast("string").alias("text")) \
-        .mapInArrow(run, f"item_id {kind}, size int, words binary, lot int, pairs array<bigint>, sigs array<bigint>")
+        .mapInArrow(run, f"item_id {kind}, size int, before int, after int, words binary, lot int, pairs array<bigint>, sigs array<bigint>")
 
 
 def bitmap(values: DataFrame, column: str, count: int, room: int) -> np.ndarray:
@@ -202,9 +249,12 @@ def holds(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
 def search_plan(items: DataFrame, params: Params) -> dict:
     """What the tasks need of the benchmark; bounded whatever its size."""
     sizes = items.groupBy("size").agg(F.count("*").alias("n"), F.sum(F.size("pairs")).alias("pairs"),
-                                      F.sum(F.size("sigs")).alias("sigs")).orderBy("size").collect()
+                                      F.sum(F.size("sigs")).alias("sigs"), F.max("before").alias("before"),
+                                      F.max("after").alias("after")).orderBy("size").collect()
     return {
         "sizes": [(size, params.edits(up - 1), up, params.least_pairs(size, up)) for size, up in (params.grid(r["size"]) for r in sizes)],
+        "reach": {r["size"]: (r["before"], r["after"], walks_for(params, r["size"])) for r in sizes},
+        "n_sigs": sum(r["sigs"] for r in sizes),
         "lots": lots_table(items),
         "pairs": bitmap(items.select(F.explode("pairs").alias("v")), "v", sum(r["pairs"] for r in sizes), 64),
         "sigs": bitmap(items.select(F.explode("sigs").alias("v")), "v", sum(r["sigs"] for r in sizes), 4096),
@@ -275,22 +325,22 @@ def _windows(texts: list[np.ndarray], plan: dict, params: Params) -> Iterator[tu
         at -= base[of]
         ok = at < np.array([len(h) for h in texts], np.int64)[of]  # else it lies between texts
         starts[size] = np.stack([of[ok], at[ok]], axis=1)
-    for size, edits, up, _ in plan["sizes"]:
+    for size, (before, after, walks) in plan["reach"].items():
         every = starts[size]
         found: list[tuple[int, int, np.ndarray]] = []
         for low in range(0, len(every), 8192):
             own = every[low:low + 8192]
-            s = signatures(flat[(base[own[:, 0]] + own[:, 1])[:, None] + np.arange(size)], params)
+            s = signatures(flat[(base[own[:, 0]] + own[:, 1])[:, None] + np.arange(size)], params, walks)
             hit = holds(plan["sigs"], s)
             found += [(*own[row].tolist(), s[row][hit[row]]) for row in np.flatnonzero(hit.any(1))]
-        yield from _joined(found, size, edits, up, texts)
+        yield from _joined(found, size, before, after, texts)
 
 
-def _joined(found: list, size: int, edits: int, up: int, texts: list[np.ndarray]) -> Iterator[tuple]:
+def _joined(found: list, size: int, before: int, after: int, texts: list[np.ndarray]) -> Iterator[tuple]:
     """Windows of a class whose passages overlap become one row."""
     open_ = None
     for k, start, sigs in found:
-        first, last = max(0, start - edits), min(len(texts[k]), start + up + 2 * edits)
+        first, last = max(0, start - before), min(len(texts[k]), start + after)
         if open_ and open_[0] == k and first <= open_[3]:
             open_[3] = max(open_[3], last)
             open_[4].append(sigs)
@@ -310,7 +360,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, params: Params | None = None,
     spark = docs.sparkSession
     ship(spark)
     items = written(items_table(benchmark, params, item_id, item_text), "benchmark-items")
-    plan = spark.sparkContext.broadcast(search_plan(items, params))
+    searched = search_plan(items, params)
+    plan = spark.sparkContext.broadcast(searched)
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -331,8 +382,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, params: Params | None = None,
     found = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")) \
         .mapInArrow(run, f"id {kind}, size int, first int, passage binary, spans binary, sigs array<bigint>")
     sig = items.select(F.col("size").alias("item_size"), F.explode("sigs").alias("item_sig"), "item_id").distinct()
-    words = items.select(F.col("item_id").alias("of_item"), F.col("words").alias("item")).distinct()
-    if items.count() * params.walks * params.samples <= BROADCAST_IDS:
+    words = items.where("words IS NOT NULL").select(F.col("item_id").alias("of_item"), F.col("words").alias("item")).distinct()
+    if searched["n_sigs"] <= BROADCAST_IDS:
         sig, words = F.broadcast(sig), F.broadcast(words)
     pairs = found.select("id", "size", "first", "passage", "spans", F.explode("sigs").alias("sig")) \
         .join(sig, (F.col("size") == F.col("item_size")) & (F.col("sig") == F.col("item_sig"))) \
