@@ -60,3 +60,26 @@ def test_null_ids_rank_last_and_empty_tables(spark):
     got = ld.repeats(df, "line", 3).collect()
     assert [(r["doc_id"], r["kept_id"]) for r in got] == [(None, 9)]
     assert ld.repeats(df.limit(0), "line", 3).collect() == []
+
+
+def test_short_lines_and_sentences_both_count(spark):
+    rows = corpus(4) + [(600, "Ja.\nOne two. Three. Four!\nend a"), (601, "x Ja. Three. Four! y\nJA\nend  A\n\n")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    lines, sentences = brute(rows, "line", 1), brute(rows, "sentence", 1)
+    got = sorted(map(tuple, ld.repeats(df, "line+sentence", 1).drop("text_hash").collect()))
+    assert got == sorted(lines + sentences)
+    assert (601, 21, 24, 1, 600, 0) in got
+    cut = {r["doc_id"]: r["text"] for r in ld.without_repeats(df, "line+sentence", 1).collect()}
+    for i, t in rows:
+        gone = {k for d, a, b, *_ in lines + sentences if d == i for k in range(a, b)}
+        assert cut[i] == (None if t is None else "".join(c for k, c in enumerate(t) if k not in gone))
+    left = {ld.normalised(p) for t in cut.values() for p in ld.UNITS["sentence"].findall(t or "")}
+    assert left >= {ld.normalised(p) for _, t in rows for p in ld.UNITS["sentence"].findall(t or "")}
+
+
+def test_the_query_has_short_units(spark, tmp_out):
+    from weblattice.llm.queries import QUERIES
+
+    spark.createDataFrame([(1, "Short line\nyes. no"), (2, "short  line\nwell yes\nx. No. z")], "doc_id long, text string").write.parquet(f"{tmp_out}/documents.parquet")
+    got = {tuple(r)[:3] for r in QUERIES["op3_line_sentence_dedup"](spark, tmp_out).collect()}
+    assert got == {(2, 0, 12), (2, 23, 27)}

@@ -1,7 +1,9 @@
 """Substring dedup by unit hashing.
 
 A text is cut into units: paragraphs, lines, or sentences of lines (so that a
-passage put into the middle of a line is still found). Units are normalised
+passage put into the middle of a line is still found), or of two kinds at
+once ("line+sentence"), which are ranked apart: a line only meets lines, so
+that each removed unit has its like in what stays. Units are normalised
 (A-Z in small letters, runs of white space as one space, no blanks or .!? at
 the end) and those of ``min_words`` words or more are hashed to 128 bits. Of
 each digest, over all documents, the earliest ranked occurrence stays, by
@@ -42,14 +44,14 @@ def units(docs: DataFrame, unit: str, min_words: int, id_col: str = "doc_id", te
     """``id, text_hash, start, end, n_words, digest`` of all units that count."""
     ship(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
-    cut = UNITS[unit]
+    cuts = [(UNITS[name], name.encode() if k else b"") for k, name in enumerate(unit.split("+"))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low in range(0, batch.num_rows, 500):
                 part = batch.slice(low, 500)
                 of, start, end, words, digest = [], [], [], [], []
-                for i, text in enumerate(part.column(1).to_pylist()):
+                for i, text, (cut, salt) in ((i, t, c) for i, t in enumerate(part.column(1).to_pylist()) for c in cuts):
                     at = 0
                     for piece in cut.findall(text or ""):
                         here, at = at, at + len(piece)
@@ -60,7 +62,7 @@ def units(docs: DataFrame, unit: str, min_words: int, id_col: str = "doc_id", te
                             start.append(here)
                             end.append(at)
                             words.append(n)
-                            digest.append(hashlib.blake2b(plain.encode("utf-8", "surrogatepass"), digest_size=16).digest())
+                            digest.append(hashlib.blake2b(plain.encode("utf-8", "surrogatepass"), digest_size=16, salt=salt).digest())
                 take = pa.array(of, pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).take(take), part.column(2).take(take), pa.array(start, pa.int64()), pa.array(end, pa.int64()),
@@ -89,10 +91,15 @@ def repeats(docs: DataFrame, unit: str = "sentence", min_words: int = 8, id_col:
 def without_repeats(docs: DataFrame, unit: str = "sentence", min_words: int = 8) -> DataFrame:
     """``docs`` (columns of documents) with the repeated units cut out of the
     texts; a text that is nothing but repeats becomes empty. The spans of a
-    document, no more than its units, travel to it in one row. Rows that
-    repeat both id and text all lose the spans of any of them."""
+    document, no more than its units, travel to it in one row; where they
+    overlap, the later one starts at the end of those before. Rows that repeat
+    both id and text all lose the spans of any of them."""
     spans = repeats(docs, unit, min_words).groupBy(F.col("doc_id").alias("of_id"), F.col("text_hash").alias("of_hash")) \
         .agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("gone"))
+    done = "coalesce(try_element_at(a, -1).end, 0L)"
+    spans = spans.withColumn("gone", F.expr(
+        "aggregate(gone, cast(array() as array<struct<start: bigint, end: bigint>>), (a, x) -> concat(a, array("
+        f"named_struct('start', greatest(x.start, {done}), 'end', greatest(x.end, {done})))))"))
     text = F.col("text").cast("string")
     joined = docs.withColumn("__hash", F.xxhash64(text)).join(
         spans, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("__hash") == F.col("of_hash")), "left")

@@ -40,6 +40,12 @@ def op3_unit_dedup(spark: SparkSession, d: str) -> DataFrame:
     return line_dedup.repeats(docs, unit="sentence", min_words=8).drop("text_hash")
 
 
+def op3_line_sentence_dedup(spark: SparkSession, d: str) -> DataFrame:
+    """Lines and sentences of any length; the SQL of the one above fixes its units."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return line_dedup.repeats(docs, unit="line+sentence", min_words=1).drop("text_hash")
+
+
 def op4_ecoc_language(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "text", "lang")
     held_out = fold(F.col("doc_id"), 4) == 2
