@@ -58,3 +58,26 @@ def test_counts_of_documents(spark):
         got = ts.counts(df, vocabulary_path(), END_OF_DOCUMENT, size).collect()
         assert sorted(((x["doc_id"], x["n_tokens"]) for x in got), key=str) == want
     assert ts.counts(df.limit(0), vocabulary_path(), END_OF_DOCUMENT).collect() == []
+
+
+def test_a_file_beyond_what_one_value_may_hold(spark, tmp_out, monkeypatch):
+    monkeypatch.setattr(ts, "TASK_BYTES", 1000)
+    r = random.Random(7)
+    ids = [r.randrange(50) for _ in range(3001)]
+    np.array(ids, "<u2").tofile(f"{tmp_out}/one file.bin")
+    before = spark.conf.get("spark.sql.sources.binaryFile.maxLength")
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "1000")  # of 2 GB
+    try:
+        blocks = ts.read_files(spark, tmp_out, 2, 64)
+        assert blocks.rdd.getNumPartitions() > 1
+        got = ts.scan(blocks, 7).collect()
+    finally:
+        spark.conf.set("spark.sql.sources.binaryFile.maxLength", before)
+    assert sorted((x["first_token"], x["n_tokens"], x["terminated"]) for x in got) == brute(ids, 7)
+
+
+def test_a_store_that_arrow_cannot_open(spark, tmp_out, monkeypatch):
+    np.array([1, 7, 2, 3, 7], "<u2").tofile(f"{tmp_out}/a.bin")
+    monkeypatch.setattr(ts, "has_ranges", lambda uri: False)
+    got = ts.scan(ts.read_files(spark, tmp_out, 2, 2), 7).collect()
+    assert sorted((x["first_token"], x["n_tokens"]) for x in got) == [(0, 1), (2, 2)]

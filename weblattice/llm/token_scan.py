@@ -17,6 +17,7 @@ width is an error.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,7 @@ from .common import ship, written
 
 BLOCK_TOKENS = 1 << 18
 SUPER = 1024      # blocks in a super-block
+TASK_BYTES = 1 << 25  # that a task reads of raw files, about
 
 
 def flat_blocks(docs: DataFrame, vocab_path: str, eod: int, width: int = 2, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
@@ -73,16 +75,56 @@ def flat_blocks(docs: DataFrame, vocab_path: str, eod: int, width: int = 2, bloc
         .mapInArrow(run, f"file bigint, block bigint, content binary, ended array<{kind}>")
 
 
+def opened(uri: str) -> pa.NativeFile:
+    """A file of the Hadoop file system, by Arrow's reader of its store."""
+    from pyarrow import fs
+
+    scheme, _, rest = uri.partition(":")
+    if scheme == "file":
+        return fs.LocalFileSystem().open_input_file("/" + rest.lstrip("/"))
+    store, path = fs.FileSystem.from_uri({"s3a": "s3", "s3n": "s3"}.get(scheme, scheme) + ":" + quote(rest))
+    return store.open_input_file(path)
+
+
+def has_ranges(uri: str) -> bool:
+    try:
+        opened(uri).close()
+    except (OSError, pa.ArrowInvalid, pa.ArrowNotImplementedError):
+        return False
+    return True
+
+
 def read_files(spark: SparkSession, path: str, width: int = 2, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """``file, block, content`` of raw flat files under ``path``. A task reads
-    a file as one value, so files are shards of at most some 100 MB."""
+    """``file, block, content`` of raw flat files under ``path``, of any size:
+    only lengths are listed, and tasks read their blocks' own byte ranges. In a
+    store that Arrow cannot open (HDFS without libhdfs), a task reads a file as
+    one value instead, so there files are shards of at most some 100 MB."""
     size = block_tokens * width
     files = spark.read.format("binaryFile").load(path)
-    whole = F.assert_true(F.length("content") % width == 0, F.concat(F.lit("size is no multiple of the token width: "), "path"))
-    return files.where(whole.isNull() & (F.length("content") > 0)).select(
-        F.col("path").alias("file"), "content",
-        F.explode(F.expr(f"sequence(0L, cast((length(content) - 1) div {size} as bigint))")).alias("block")) \
-        .select("file", "block", F.expr(f"substring(content, cast(block * {size} + 1 as int), {size})").alias("content"))
+    whole = F.assert_true(F.col("length") % width == 0, F.concat(F.lit("size is no multiple of the token width: "), "path"))
+    files = files.where(whole.isNull() & (F.col("length") > 0))
+    blocks = F.explode(F.expr(f"sequence(0L, cast((length - 1) div {size} as bigint))")).alias("block")
+    some = files.select("path").first()
+    if some and not has_ranges(some["path"]):
+        return files.select(F.col("path").alias("file"), "content", blocks) \
+            .select("file", "block", F.expr(f"substring(content, cast(block * {size} + 1 as int), {size})").alias("content"))
+    total = files.agg(F.sum("length")).first()[0] or 0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name = file = None
+        for batch in batches:
+            for uri, length, block in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                if uri != name:
+                    name, file = uri, opened(uri)
+                content = file.read_at(want := min(size, length - block * size), block * size)
+                if len(content) != want:
+                    raise OSError(f"{uri} ends before byte {block * size + want}")
+                yield pa.RecordBatch.from_arrays([pa.array([uri]), pa.array([block], pa.int64()), pa.array([content], pa.binary())],
+                                                 ["file", "block", "content"])
+
+    ship(spark)
+    return files.select("path", "length", blocks).repartition(1 + total // TASK_BYTES) \
+        .mapInArrow(run, "file string, block bigint, content binary")
 
 
 def scan(blocks: DataFrame, eod: int, width: int = 2) -> DataFrame:
