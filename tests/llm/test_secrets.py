@@ -114,3 +114,19 @@ def test_rows(spark):
     assert sc.fit(df.limit(0)) is None
     assert sc.scans(df.limit(0), None).collect() == []
     assert len(sc.scans(df, None).collect()) == len(rows)
+
+
+def test_a_skipped_text_has_plain_tokens_only():
+    s = len(sc.SHAPES)
+    model = sc.Model(*(np.zeros((n, 3)) for n in (s, s, s, sc.WORD_BUCKETS, sc.WORD_BUCKETS, 4)), np.zeros((3, 3)), True)
+    model.own[:, sc.BEGIN] = 5
+    model.own[0] = (5, 0, 0)
+    for odd in ("ABCDEFGHIJKLMNOPQRS", "(QWERTYUIOPASDFGH).", "-", "x²", "½", "’-"):
+        text = f"plain words {odd} and Others, too"
+        assert not sc.is_plain(text)
+        got = [x for x in sc.scan(text, model, sc.Tokens())[1] if x[0] == sc.ADDED]
+        assert [text[a:b] for _, a, b in got] == [odd.strip(sc.EDGE)]
+    r = random.Random(9)
+    for _ in range(2000):
+        text = " ".join("".join(r.choice("aZé.,-’'²ß") for _ in range(r.randrange(1, 5))) for _ in range(4))
+        assert sc.is_plain(text) <= all(sc.shape(t) == 0 for t in text.split())

@@ -47,8 +47,9 @@ KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 LONG_HEX = re.compile(r"[0-9a-f]{24,}")  # the same matches as KINDS' hex that are long enough
 
 TOKEN = re.compile(r"\S+")
-#: A text without any of these is plain words only.
 MARKED = re.compile(r"[^\w\s.,;!?'’-]|[\d_]")
+#: Of a text without marks, what is not a plain word: capitals, and tokens of punctuation alone.
+ODD = re.compile(r"[A-Z]{16}|(?<!\S)[^\w\s]+(?!\S)")
 EDGE = "\"'`()[]{}<>,;.!?"
 OUT, BEGIN, INSIDE = 0, 1, 2
 ADDED = "crf"
@@ -199,11 +200,17 @@ def tag_runs(tags: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
+def is_plain(text: str) -> bool:
+    """Whether every token's shape is plain, at a glance: no mark, no keyword, nothing odd, no ² or ½."""
+    return not MARKED.search(text) and not ODD.search(text) and not any(k in text.lower() for k in KEYWORDS) \
+        and (text.isascii() or all(c.isalpha() or not c.isalnum() for c in set(text)))
+
+
 def added_spans(text: str, model: Model | None, base: list[tuple[str, int, int]], known: Tokens) -> list[tuple[str, int, int]]:
     """Spans of the field that touch no base span, without quotes and brackets at their ends."""
     if model is None:
         return []
-    if model.plain_is_out and not MARKED.search(text) and not any(k in text.lower() for k in KEYWORDS):
+    if model.plain_is_out and is_plain(text):
         return []
     found = list(TOKEN.finditer(text))
     tags = viterbi(unary(model, *columns([m[0] for m in found], known)), model.moves)
