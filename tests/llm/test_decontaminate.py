@@ -125,3 +125,14 @@ def test_pieces_cover_the_item_and_one_keeps_its_share_of_edits():
             sizes = [b - a for a, b in zip(cuts, cuts[1:])]
             assert cuts[0] == 0 and cuts[-1] == n and min(sizes) >= p.min_words
             assert p.edits(n) < sum(p.edits(x) + 1 for x in sizes)
+
+
+def test_words_of_long_items_are_not_broadcast(spark, monkeypatch):
+    items = [(k, " ".join(f"w{k}x{j}" for j in range(400))) for k in range(3)] + [(None, " ".join(f"n{j}" for j in range(40)))]
+    docs = spark.createDataFrame([(1, "a b " + items[1][1]), (2, items[3][1] + " c")], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for most, hints in ((1 << 23, 2), (9_000, 1)):
+        monkeypatch.setattr(dc, "BROADCAST_BYTES", most, raising=False)
+        found = dc.matches(docs, bench)
+        assert found._jdf.queryExecution().optimizedPlan().toString().count("strategy=broadcast") == hints
+        assert {(r["doc_id"], r["item_id"], r["distance"]) for r in found.collect()} == {(1, 1, 0), (2, None, 0)}

@@ -46,6 +46,7 @@ _M1 = np.uint64(0x9E3779B97F4A7C15)
 MAX_BITS = 24            # a bitmap has 2**24 bits (2 MB) at most; a fuller one only lets more through
 LOT_BITS = 18            # the table of lots has 2**18 rows of 64 bits (2 MB)
 BATCH_WORDS = 1 << 19    # of texts that are searched at once
+BROADCAST_BYTES = 1 << 23  # of items' words that may be broadcast; beyond, they are joined by shuffle
 
 
 @dataclass(frozen=True)
@@ -250,11 +251,12 @@ def search_plan(items: DataFrame, params: Params) -> dict:
     """What the tasks need of the benchmark; bounded whatever its size."""
     sizes = items.groupBy("size").agg(F.count("*").alias("n"), F.sum(F.size("pairs")).alias("pairs"),
                                       F.sum(F.size("sigs")).alias("sigs"), F.max("before").alias("before"),
-                                      F.max("after").alias("after")).orderBy("size").collect()
+                                      F.max("after").alias("after"), F.sum(F.octet_length("words")).alias("bytes")).orderBy("size").collect()
     return {
         "sizes": [(size, params.edits(up - 1), up, params.least_pairs(size, up)) for size, up in (params.grid(r["size"]) for r in sizes)],
         "reach": {r["size"]: (r["before"], r["after"], walks_for(params, r["size"])) for r in sizes},
         "n_sigs": sum(r["sigs"] for r in sizes),
+        "n_bytes": sum(r["bytes"] or 0 for r in sizes),
         "lots": lots_table(items),
         "pairs": bitmap(items.select(F.explode("pairs").alias("v")), "v", sum(r["pairs"] for r in sizes), 64),
         "sigs": bitmap(items.select(F.explode("sigs").alias("v")), "v", sum(r["sigs"] for r in sizes), 4096),
@@ -384,7 +386,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, params: Params | None = None,
     sig = items.select(F.col("size").alias("item_size"), F.explode("sigs").alias("item_sig"), "item_id").distinct()
     words = items.where("words IS NOT NULL").select(F.col("item_id").alias("of_item"), F.col("words").alias("item")).distinct()
     if searched["n_sigs"] <= BROADCAST_IDS:
-        sig, words = F.broadcast(sig), F.broadcast(words)
+        sig = F.broadcast(sig)
+    if searched["n_bytes"] <= BROADCAST_BYTES:
+        words = F.broadcast(words)
     pairs = found.select("id", "size", "first", "passage", "spans", F.explode("sigs").alias("sig")) \
         .join(sig, (F.col("size") == F.col("item_size")) & (F.col("sig") == F.col("item_sig"))) \
         .groupBy("id", "first", "passage", "spans", "item_id").agg(F.lit(1).alias("one"))
