@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, decontaminate, langid, line_dedup, ngram_join, secrets, token_scan, toxicity, warc
+from . import ann, bpe, decontaminate, langid, line_dedup, ngram_join, secrets, token_scan, toxicity, warc, whitening
 from .common import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -91,6 +91,10 @@ def op10_backtracking_bpe(spark: SparkSession, d: str) -> DataFrame:
     return bpe.digests(docs, vocabulary_path())
 
 
+def op11_cholesky_whitening(spark: SparkSession, d: str) -> DataFrame:
+    return whitening.components(table(spark, d, "embeddings").select("vec_id", "embedding"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: f for name, f in list(globals().items()) if name.startswith("op") and name[2:3].isdigit()
 }
