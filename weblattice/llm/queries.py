@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, decontaminate, langid, line_dedup, ngram_join, secrets, token_scan, toxicity, warc, whitening
+from . import ann, bpe, decontaminate, langid, line_dedup, ngram_join, periodic_runs, secrets, token_scan, toxicity, warc, whitening
 from .common import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -95,6 +95,34 @@ def op11_cholesky_whitening(spark: SparkSession, d: str) -> DataFrame:
     return whitening.components(table(spark, d, "embeddings").select("vec_id", "embedding"))
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``: where the id's crc32 h is a multiple of 10, the words
+    from number a = g % n on repeat with period p, as op 12's contract fixes it
+    (g = floor(h / 10), p = 1 + floor((n - a) / (3 + g % 8))). Null ids keep
+    their text."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    planted = F.expr(r"""
+        array_join(transform(array(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0)), w ->
+            transform(array(named_struct('a', g % size(w), 'p', 1 + (size(w) - g % size(w)) div (3 + g % 8))), f ->
+                transform(w, (word, i) -> if(i < f.a, word, w[int(f.a + (i - f.a) % f.p)])))[0])[0], ' ')""")
+    return docs.select("doc_id", F.col("text").cast("string").alias("text"), h.alias("h")) \
+        .withColumn("g", F.floor(F.col("h") / 10)) \
+        .select("doc_id", F.when((F.col("h") % 10 == 0) & F.col("text").rlike(r"[^\x20\x09-\x0D]"), planted)
+                .otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, d: str) -> DataFrame:
+    found = periodic_runs.find(with_planted_runs(table(spark, d, "documents")))
+    # Runs come by start, then period: the first of equal exponents stays.
+    best = F.expr("aggregate(runs, runs[0], (b, r) -> if(r.length * b.period > b.length * r.period, r, b))")
+    lines = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    return found.withColumn("best", F.when(F.size("runs") > 0, best)).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"), "n_words")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: f for name, f in list(globals().items()) if name.startswith("op") and name[2:3].isdigit()
 }
