@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, decontaminate, langid, line_dedup, ngram_join, periodic_runs, secrets, token_scan, toxicity, warc, whitening
+from . import ann, bpe, decontaminate, langid, line_dedup, ngram_join, periodic_runs, quality, secrets, token_scan, toxicity, warc, whitening
 from .common import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -123,6 +123,15 @@ def op12_periodic_runs(spark: SparkSession, d: str) -> DataFrame:
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"), "n_words")
 
 
+def op13_additive_quality(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    labels = table(spark, d, "labels").where(fold(F.col("doc_id"), 3) != 1) \
+        .select("doc_id", F.col("quality").cast("int").alias("label"))
+    return quality.scored(docs, quality.fit(docs, labels)).select(
+        "doc_id", F.coalesce(fold(F.col("doc_id"), 3) == 1, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: f for name, f in list(globals().items()) if name.startswith("op") and name[2:3].isdigit()
 }
