@@ -73,17 +73,50 @@ def test_large_family_is_tiled(spark, monkeypatch, width):
     assert got == brute(rows, 3, 90)
 
 
-def test_keys_are_shared_by_linked_sets():
+def key_rows(spark, sets, percent, hot_sampled):
+    rows = [(i, i, len(h), i + 1, nj.lowest(h, nj.Measure(3, percent)).tolist()) for i, h in enumerate(sets)]
+    feats = spark.createDataFrame(rows, "id long, text_hash long, n_shingles long, set_id long, lowest array<long>")
+    hot = feats.select(F.explode("lowest").alias("hot")).groupBy("hot").count().where(F.col("count") >= hot_sampled).select("hot")
+    found = {}
+    for r in nj.keys(feats, hot, nj.Measure(3, percent)).collect():
+        found.setdefault(r["set_id"] - 1, set()).add(r["key"])
+    return found
+
+
+@pytest.mark.parametrize("percent", [50, 80, 90])
+def test_keys_are_shared_by_linked_sets(spark, percent):
     rng = np.random.default_rng(2)
-    for percent in (50, 80, 90):
-        bands = nj.Bands(nj.Measure(3, percent))
-        for size in (2, 5, 10, 19, 20, 40, 95, 300, 1200):
-            for _ in range(30):
-                a = np.unique(rng.integers(0, 2**63, size, dtype=np.uint64))
-                drop = rng.integers(0, size * (100 - percent) // 100 + 1)
-                b = np.sort(rng.choice(a, len(a) - drop, replace=False))
-                if 100 * len(b) >= percent * len(a):
-                    assert np.intersect1d(nj.keys(a, bands), nj.keys(b, bands)).size
+    common = rng.integers(0, 2**64, 25, dtype=np.uint64)
+    sets = []
+    for size in (1, 2, 5, 10, 19, 20, 40, 95, 300):
+        for _ in range(6):
+            a = np.unique(rng.integers(0, 2**64, size, dtype=np.uint64))
+            if rng.random() < 0.6:
+                a = np.unique(np.concatenate([a, common[:rng.integers(1, 25)]]))
+            sets.append(a)
+            for _ in range(3):
+                drop = rng.integers(0, len(a) * (100 - percent) // 100 + 1)
+                sets.append(np.sort(rng.choice(a, len(a) - drop, replace=False)))
+    for hot_sampled in (10**9, 8):
+        found = key_rows(spark, sets, percent, hot_sampled)
+        links = 0
+        for i, a in enumerate(sets):
+            for j in range(i):
+                both = len(np.intersect1d(a, sets[j]))
+                if not np.array_equal(a, sets[j]) and 100 * both >= percent * (len(a) + len(sets[j]) - both):
+                    assert found.get(i, set()) & found.get(j, set())
+                    links += 1
+        assert links > 50
+
+
+def test_a_shared_passage_gives_no_keys(spark):
+    """Texts that share a quarter of their words, and pass it on in a chain,
+    stay out of each other's families."""
+    rng = np.random.default_rng(3)
+    passages = [rng.integers(0, 2**64, 40, dtype=np.uint64) for _ in range(60)]
+    sets = [np.unique(np.concatenate([rng.integers(0, 2**64, 240, dtype=np.uint64), passages[i % 60], passages[(i * 7 + 1) % 60]]))
+            for i in range(300)]
+    assert sum(map(len, key_rows(spark, sets, 80, 10**9).values())) < 100
 
 
 def test_hot_keys_change_nothing(spark, monkeypatch):

@@ -3,13 +3,13 @@
 A text's set holds its distinct shingles of ``words`` words. Two texts link
 when ``100 * |A & B| >= percent * |A | B|``. The join loses no link:
 
-1. *Keys.* Texts are banded by set size, so that a pair lies in one band, the
-   larger text's. Two linked sets of a band differ in at most D shingles.
-   Shingles are dealt to P > D parts by their hash; some part is then the same
-   in both, and its digest is a key of both. P exceeds D by more than the
-   parts that a set can expect to be empty, so empty parts need no key; a set
-   with more of them gets keys for them as well. Bands of small sets use the
-   shingles that a prefix of each set in hash order holds.
+1. *Keys.* Shingles have one order for all texts: first those of a hashed
+   share of the shingle space, rare before frequent; then the others. Of two
+   linked sets of n shingles or fewer, both hold a common shingle among their
+   first ``n - ceil(percent * n / 100) + 1``. Those of them that another set
+   holds too are the keys. Shingles that no other set holds come first, need no
+   key, and use up places, so a passage that many documents share gives keys to
+   those texts only that hardly hold anything else.
 2. *Families.* Sets that share keys form families (connected components).
    Every link lies inside a family.
 3. *Tiles.* A family is dealt into tiles by size band and hash. Only tiles of
@@ -45,8 +45,7 @@ from pyspark.sql import functions as F
 from .common import BROADCAST_IDS, by_id, discard, ship, written
 from .components import components
 
-BAND_GROWTH = 1.35       # of the key bands
-SMALL_SET = 16           # bands up to this size take prefix keys
+COUNTED = 1.6            # share of the shingles that are counted, in shares that linked sets may miss
 TILE_SHINGLES = 2_000_000  # a tile of a family holds about so many (16 MB), where
 TILE_BAND = 4              # size band of tiles, in ratios of linked sizes
 SET_WEIGHT = 100           # a set counts as so many more
@@ -65,9 +64,15 @@ class Measure:
     words: int = 5
     percent: int = 80
 
-    def most_different(self, top: int) -> int:
-        """Shingles in which two linked sets of at most ``top`` can differ."""
-        return (100 - self.percent) * 2 * top // (100 + self.percent)
+    def prefix(self, size: int) -> int:
+        """Shingles of a set of which a linked set holds one, in any order that
+        is the same for both."""
+        return size - -(-size * self.percent // 100) + 1
+
+    @property
+    def counted_below(self) -> int:
+        """Shingle hashes below this are counted over all texts."""
+        return min(int(COUNTED * (100 - self.percent) / 100 * (1 << 64)), (1 << 64) - 1)
 
 
 class WordHash(dict):
@@ -107,78 +112,29 @@ def digest(h: np.ndarray) -> int:
     return int.from_bytes(d, "little", signed=True)
 
 
-class Bands:
-    """Key bands and the number of parts in each, from the measure alone."""
-
-    def __init__(self, measure: Measure):
-        self.measure = measure
-        self.lows, self.parts = [1], {}
-
-    def grow(self, size: int) -> None:
-        while self.lows[-1] <= size:
-            self.lows.append(max(self.lows[-1] + 1, math.ceil(self.lows[-1] * BAND_GROWTH)))
-
-    def of(self, size: int) -> list[int]:
-        """The own band, and the next where a linked set can lie in it."""
-        self.grow(2 * size + 2)
-        own = int(np.searchsorted(self.lows, size, side="right")) - 1
-        reach = 100 * size // self.measure.percent
-        return [own, *(k for k in (own + 1, own + 2) if self.lows[k] <= reach)]
-
-    def count(self, band: int) -> tuple[int, int]:
-        """Parts of a band, and the difference that they tolerate."""
-        if band not in self.parts:
-            d = self.measure.most_different(self.lows[band + 1] - 1)
-            least = max(1, self.lows[band] * self.measure.percent // 100)
-            spare = 2
-            while True:
-                p = d + 1 + spare
-                empty = p * (1 - 1 / p) ** least
-                if spare >= empty + 4 * math.sqrt(empty) or spare > 3 * d + 8:
-                    break
-                spare += 1
-            self.parts[band] = (d + 1 + spare, d)
-        return self.parts[band]
-
-
-def keys(h: np.ndarray, bands: Bands) -> np.ndarray:
-    """The keys of a set, as signed 64-bit integers."""
-    out = []
-    for band in bands.of(len(h)):
-        salt = mixed(np.array([band + 1], np.uint64) * _M1)
-        if bands.lows[band + 1] - 1 <= SMALL_SET:
-            prefix = np.sort(mixed(h))[:len(h) - -(-len(h) * bands.measure.percent // 100) + 1]
-            out.append(mixed(prefix ^ salt))
-            continue
-        p, d = bands.count(band)
-        part = ((h >> np.uint64(11)) % np.uint64(p)).astype(np.int64)
-        m = mixed(h ^ salt)
-        low = np.bincount(part, (m & np.uint64(0xFFFFFFFF)).astype(np.float64), p).astype(np.uint64)
-        high = np.bincount(part, (m >> np.uint64(32)).astype(np.float64), p).astype(np.uint64)
-        size = np.bincount(part, minlength=p)
-        total = mixed((high << np.uint64(32)) + low + mixed((np.arange(p, dtype=np.uint64) + np.uint64(1)) * _M1 ^ salt))
-        if (size == 0).sum() < p - d:
-            total = total[size > 0]
-        out.append(total)
-    return np.concatenate(out).view(np.int64)
-
-
-def features(docs: DataFrame, measure: Measure, id_col: str, text_col: str, with_keys: bool) -> DataFrame:
-    """``id, text_hash, n_shingles, set_id`` and the keys or the shingles of
+def lowest(h: np.ndarray, measure: Measure) -> np.ndarray:
+    """Of a set (sorted): the counted shingles, or its prefix if that is more,
+    as signed 64-bit integers."""
+    counted = int(np.searchsorted(h, np.uint64(measure.counted_below)))
+    return h[:max(counted, measure.prefix(len(h)))].view(np.int64)
+
+
+def features(docs: DataFrame, measure: Measure, id_col: str, text_col: str, lowest_only: bool) -> DataFrame:
+    """``id, text_hash, n_shingles, set_id`` and the lowest or all shingles of
     each row. The empty set has a null set id."""
     ship(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
-    last = "keys array<bigint>" if with_keys else "shingles binary"
+    last = "lowest array<bigint>" if lowest_only else "shingles binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, bands = WordHash(), Bands(measure)
+        known = WordHash()
         for batch in batches:
             for low in range(0, batch.num_rows, 500):
                 part = batch.slice(low, 500)
                 sets = [shingles(t, measure.words, known) for t in part.column(1).to_pylist()]
                 ids = pa.array([digest(h) if len(h) else None for h in sets], pa.int64())
-                if with_keys:
-                    own = [keys(h, bands) if len(h) else np.empty(0, np.int64) for h in sets]
+                if lowest_only:
+                    own = [lowest(h, measure) if len(h) else np.empty(0, np.int64) for h in sets]
                     ends = np.concatenate([[0], np.cumsum([len(k) for k in own])])
                     more = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(own), pa.int64()))
                 else:
@@ -198,33 +154,59 @@ def first_ids(feats: DataFrame) -> DataFrame:
     return feats.where("set_id is not null").groupBy("set_id").agg(F.min("id").alias("least_id"))
 
 
-def families(feats: DataFrame) -> DataFrame:
-    """``node, component`` over set ids that share a key with another set.
+def hot_shingles(rows: DataFrame) -> DataFrame:
+    """``hot``: shingles that very many rows hold, by a count over a hashed 1/64
+    of the rows; at most ``BROADCAST_IDS``, the most frequent. Which shingles
+    are hot changes where their rows meet, not the result."""
+    return written(rows.where(F.pmod(F.xxhash64("id", "text_hash"), F.lit(64)) == 0)
+                   .select(F.explode("lowest").alias("hot")).groupBy("hot").count().where(F.col("count") >= HOT_SAMPLED)
+                   .orderBy(F.desc("count"), "hot").limit(BROADCAST_IDS).select("hot"), "hot-shingles")
+
+
+def keys(feats: DataFrame, hot: DataFrame, measure: Measure) -> DataFrame:
+    """``set_id, key, is_hot``: of each set's prefix, the shingles that other
+    sets hold too.
 
-    Keys cross the network once: sorted by set id, each set of a key is tied
-    to the first, so that a family's edges lead to few sets. A key that many rows hold (copies, or a large group of
-    near copies) does not: such keys are found by counting on a hashed 1/64 of
-    the rows, their smallest set is pre-aggregated and broadcast to the rows,
-    which stay where they are. Which way a key goes changes no family; at most
-    ``BROADCAST_IDS`` keys, the most frequent, go the second way.
+    Counted shingles cross the network once, to the task that counts them;
+    those of a single set end there. Hot ones stay where they are: their counts
+    are pre-aggregated and broadcast to the rows. Shared shingles then go to
+    their set, which ranks them: rare first, hot last.
     """
     rows = feats.where("set_id is not null")
-    key = rows.select("set_id", F.explode("keys").alias("key"))
-    hot = written(rows.where(F.pmod(F.xxhash64("id", "text_hash"), F.lit(64)) == 0).select(F.explode("keys").alias("key"))
-                  .groupBy("key").count().where(F.col("count") >= HOT_SAMPLED)
-                  .orderBy(F.desc("count"), "key").limit(BROADCAST_IDS).select(F.col("key").alias("hot_key")), "hot-keys")
-    some_hot = hot.head() is not None
-    cold = key.join(F.broadcast(hot), F.col("key") == F.col("hot_key"), "left_anti") if some_hot else key
+    entry = rows.select("set_id", F.explode("lowest").alias("key"))
+    whole = Window.partitionBy("key")
+    cold = entry.join(F.broadcast(hot), F.col("key") == F.col("hot"), "left_anti") \
+        .withColumn("n", F.count("*").over(whole)).withColumn("least", F.min("set_id").over(whole)) \
+        .withColumn("most", F.max("set_id").over(whole)).where("least <> most") \
+        .dropDuplicates(["key", "set_id"]).select("set_id", "key", "n", F.lit(False).alias("is_hot"))
+    held = entry.join(F.broadcast(hot), F.col("key") == F.col("hot"), "left_semi")
+    known = held.groupBy(F.col("key").alias("hot")).agg(F.count("*").alias("n"), F.min("set_id").alias("least"), F.max("set_id").alias("most")) \
+        .where("least <> most").select("hot", "n")
+    often = held.join(F.broadcast(known), F.col("key") == F.col("hot")).select("set_id", "key", "n", F.lit(True).alias("is_hot")).distinct()
+    size = F.col("n_shingles")
+    prefix = size - F.ceil(size * measure.percent / F.lit(100)) + 1
+    places = rows.select(F.col("set_id").alias("of_set"), (F.size("lowest") - prefix).alias("spare")).distinct()
+    by_set = Window.partitionBy("set_id")
+    ranked = cold.unionByName(often) \
+        .withColumn("place", F.row_number().over(by_set.orderBy("is_hot", "n", "key"))) \
+        .withColumn("shared", F.count("*").over(by_set))
+    return ranked.join(places, F.col("set_id") == F.col("of_set")).where("place <= shared - spare").select("set_id", "key", "is_hot")
+
+
+def families(feats: DataFrame, measure: Measure) -> DataFrame:
+    """``node, component`` over set ids that share a key with another set. Each
+    set of a key is tied to the first, so that a family's edges lead to few
+    sets; the first set of a hot key is broadcast to the rows."""
+    hot = hot_shingles(feats.where("set_id is not null"))
+    key = written(keys(feats, hot, measure), "ngram-keys")
     order = Window.partitionBy("key").orderBy("set_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    edges = cold.select("set_id", F.first("set_id").over(order).alias("hub")).where("set_id <> hub") \
-        .select(F.col("set_id").alias("src"), F.col("hub").alias("dst"))
-    if some_hot:
-        hubs = key.join(F.broadcast(hot), F.col("key") == F.col("hot_key"), "left_semi") \
-            .groupBy(F.col("key").alias("hub_key")).agg(F.min("set_id").alias("hub"))
-        edges = edges.unionByName(key.join(F.broadcast(hubs), F.col("key") == F.col("hub_key")).where("set_id <> hub")
-                                  .select(F.col("set_id").alias("src"), F.col("hub").alias("dst")))
+    often = key.where("is_hot")
+    hubs = often.groupBy(F.col("key").alias("hub_key")).agg(F.min("set_id").alias("hub"))
+    edges = key.where("not is_hot").select("set_id", F.first("set_id").over(order).alias("hub")) \
+        .unionByName(often.join(F.broadcast(hubs), F.col("key") == F.col("hub_key")).select("set_id", "hub")) \
+        .where("set_id <> hub").select(F.col("set_id").alias("src"), F.col("hub").alias("dst"))
     out = components(edges, label="families")
-    discard(hot)
+    discard(hot, key)
     return out
 
 
@@ -285,7 +267,7 @@ def linked(docs: DataFrame, feats: DataFrame, family: DataFrame, measure: Measur
     own = by_id(docs.select(F.col(id_col).alias("text_id"), F.col(text_col).alias("text")),
                 texts.select("text_id"), "left_semi", "text_id")
     # A repeated id brings several texts; the set id says which belongs.
-    found = features(own, measure, "text_id", "text", with_keys=False) \
+    found = features(own, measure, "text_id", "text", lowest_only=False) \
         .select(F.col("id").alias("text_id"), "set_id", "shingles")
     sets = found.join(_small(texts, texts.count()), ["text_id", "set_id"]).select("set_id", "family", "n_shingles", "shingles")
     if feats.groupBy("id", "set_id").count().where("count > 1 and set_id is not null").head() is not None:
@@ -336,11 +318,11 @@ def linked(docs: DataFrame, feats: DataFrame, family: DataFrame, measure: Measur
 def classes(docs: DataFrame, measure: Measure, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, text_hash, n_shingles, component_id`` per row of ``docs``: the
     size of its set and the smallest id that links reach."""
-    keyed = written(features(docs, measure, id_col, text_col, with_keys=True)
-                    .withColumn("set_id", F.expr("if(id is null, null, set_id)")), "ngram-keys")
-    feats = written(keyed.drop("keys"), "ngram-set-ids")
-    family = families(keyed)
-    discard(keyed)
+    counted = written(features(docs, measure, id_col, text_col, lowest_only=True)
+                      .withColumn("set_id", F.expr("if(id is null, null, set_id)")), "ngram-counted")
+    feats = written(counted.drop("lowest"), "ngram-set-ids")
+    family = families(counted, measure)
+    discard(counted)
     joined = linked(docs, feats, family, measure, id_col, text_col)
     labelled = first_ids(feats).join(joined, F.col("set_id") == F.col("node"), "left") \
         .select("set_id", F.coalesce("component", "set_id").alias("class"), "least_id")
