@@ -1,8 +1,11 @@
 import glob
 import os
 
+import pytest
+
 from weblattice.plans.pipelines import clean_crawl, graph_from_rank_table, word_count_job
-from weblattice.sources.crawl import land_crawl, read_crawl_parts, read_crawl_seq
+from weblattice.sources.crawl import land_crawl, list_parts, read_crawl_parts, read_crawl_seq
+from weblattice.sources.hadoop import write_text_pairs
 from weblattice.sources.sinks import format_ranks, rank_lines, rank_rows, write_rank_rows, write_rank_seq
 from weblattice.sources.text import parse_link_rows, read_lines
 
@@ -17,12 +20,20 @@ def _adj(g):
     return {k: sorted(v) for k, v in out.items()}
 
 
-def test_read_lines(spark, tmp_out):
-    p = os.path.join(tmp_out, "a.txt")
-    with open(p, "w") as fh:
-        fh.write("x y\n\nz\n")
-    assert [r[0] for r in read_lines(spark, p, min_partitions=3).collect()] == ["x y", "", "z"] or \
-        sorted(r[0] for r in read_lines(spark, p, min_partitions=3).collect()) == ["", "x y", "z"]
+def test_read_lines_with_a_least_number_of_splits(spark, tmp_out):
+    for k in range(6):
+        with open(os.path.join(tmp_out, f"a{k}.txt"), "w") as fh:
+            fh.write(f"x y\n\nzé {k}\n" * 50)
+    want = sorted(r[0] for r in read_lines(spark, tmp_out).collect())
+    assert len(want) == 900
+    for hint, least in ((1, 6), (60, 60)):
+        df = read_lines(spark, tmp_out, min_partitions=hint)
+        assert sorted(r[0] for r in df.collect()) == want and df.columns == ["value"]
+        assert df.rdd.getNumPartitions() >= least
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Python" not in plan
+    some = [os.path.join(tmp_out, "a1.txt"), os.path.join(tmp_out, "a[23].txt")]
+    assert read_lines(spark, some, min_partitions=2).count() == 450
 
 
 def test_word_count_job_writes_pairs(spark, tmp_out):
@@ -47,26 +58,51 @@ def test_rank_rows_roundtrip(spark, tmp_out):
 
 
 def test_any_link_comes_back(spark, tmp_out):
-    odd = ["p,q", "a\tb", "l\nm", "c\\td", "\\", "\\\\n", "r\rs", "dangling\t", "é"]
+    odd = ["p,q", "a\tb", "l\nm", "c\\td", "\\", "\\\\n", "r\rs", "dangling\t", "dangling", "a\0b", "\0", "\\\t\\", "+", "", "é"]
     edges = spark.createDataFrame([("hub\t1", x, 1000 if x == "p,q" else 1) for x in odd], "src string, dst string, n long")
     ranks = spark.createDataFrame([("hub\t1", 2.5), ("bare", 1.5)], "node string, rank double")
     out = os.path.join(tmp_out, "odd")
     write_rank_rows(rank_rows(ranks, edges), out)
     rows = parse_link_rows(spark.read.text(out))
-    assert rows.count() == len(odd) + 1
+    assert rows.count() == len(odd) + 1 and not rows.where("is_mark").count()
     back = graph_from_rank_table(rows)
     assert sorted(map(tuple, back.edges.collect())) == sorted(map(tuple, edges.collect()))
     assert {r["node"]: r["rank"] for r in back.pages.collect()} == {"hub\t1": 2.5, "bare": 1.5}
 
 
 def test_legacy_lines_are_read(spark):
-    lines = lines_df(spark, ["A\t1.0\tB,C,B", "B\t2.0", "C\t1\tdangling", "D\t1\tx\t3", "E\t1\tdangling\t0", "A\t1.0\tD"])
+    lines = lines_df(spark, ["A\t1.0\tB,C,B", "B\t2.0", "C\t1\tdangling", "\t+\tD\t1\tx\t3", "\t+\tE\t1\tdangling\t0", "A\t1.0\tD"])
     g = graph_from_rank_table(parse_link_rows(lines))
     assert _adj(g) == {"A": ["B", "B", "C", "D"], "D": ["x"] * 3}
     assert {r["node"]: r["self_vote"] for r in g.pages.collect()} == {"A": False, "B": True, "C": False, "D": False, "E": False}
     assert _adj(graph_from_rank_table(parse_link_rows(lines), compat=True))["C"] == ["dangling"]
 
 
+def test_legacy_lines_with_trailing_and_further_fields(spark):
+    lines = lines_df(spark, ["A\t1.0\tB,C\t", "D\t1.0\tB,C\t7", "E\t2.5\t\t\t", "F\t1.0\tx\t3\ty\tz", "G\t1.0\tH,dangling"])
+    g = graph_from_rank_table(parse_link_rows(lines))
+    assert _adj(g) == {"A": ["B", "C"], "D": ["B", "C"], "F": ["x"], "G": ["H", "dangling"]}
+    assert {r["node"]: (r["rank"], r["self_vote"]) for r in g.pages.where("node in ('A', 'E')").collect()} == \
+        {"A": (1.0, False), "E": (2.5, True)}
+
+
+def test_unreadable_ranks_in_the_job(spark, tmp_out):
+    from weblattice.plans.pipelines import rank_table_job
+    src = os.path.join(tmp_out, "bad")
+    lines_df(spark, ["A\tx\tB", "B\t1.0\tA", "C"]).write.text(src)
+    with pytest.raises(Exception):
+        rank_table_job(spark, src, iterations=1)
+    assert ranks_of(rank_table_job(spark, src, iterations=1, bad_rank="default")) == {"A": 1.0, "B": 1.0, "C": 0.15}
+
+
+def test_the_rank_table_text_is_scanned_once(spark, tmp_out):
+    src = os.path.join(tmp_out, "once")
+    lines_df(spark, ["A\t1.0\tB,C", "B\t1.0"]).write.text(src)
+    g = graph_from_rank_table(parse_link_rows(spark.read.text(src)))
+    for df in (g.pages, g.edges, rank_rows(g.pages, g.edges)):
+        assert "FileScan" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_all_nodes_job_through_text(spark, tmp_out):
     from weblattice.plans.pipelines import rank_table_job
     src = os.path.join(tmp_out, "ranks_in")
@@ -96,7 +132,35 @@ def test_seq_roundtrip(spark, tmp_out):
     out = os.path.join(tmp_out, "ranks_seq")
     write_rank_seq(g.rank_rows(), out)
     back = sorted(f'{r["url"]}\t{r["json"]}' for r in read_crawl_seq(spark, out).collect())
-    assert back == sorted(r[0] for r in rank_lines(g.rank_rows()).collect())
+    assert back == sorted(r[0].removeprefix("\t+\t") for r in rank_lines(g.rank_rows()).collect())
+
+
+def test_sequence_files_stay_in_the_jvm(spark, tmp_out):
+    pairs = [("é\n", "x\ty"), ("", ""), ("b", "ß" * 5000)]
+    df = spark.createDataFrame(pairs + [(None, "n")], "url string, value string")
+    for name in ("metadata-00001", "metadata-01500", "metadata-1234567"):
+        write_text_pairs(df.repartition(2), os.path.join(tmp_out, name))
+    files = glob.glob(os.path.join(tmp_out, "metadata-01500", "*"))
+    assert all(os.path.basename(f).startswith(("part-", "_SUCCESS")) for f in files)
+    one = read_crawl_seq(spark, os.path.join(tmp_out, "metadata-00001"))
+    assert one.columns == ["url", "json"]
+    assert sorted(map(tuple, one.collect())) == sorted(pairs + [("", "n")])
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "SerializeFromObject" in plan and "Python" not in plan and "ExistingRDD" not in plan
+    for paths in (os.path.join(tmp_out, "metadata-0*"), [os.path.join(tmp_out, n) for n in ("metadata-00001", "metadata-01500")],
+                  ",".join(os.path.join(tmp_out, n) for n in ("metadata-00001", "metadata-01500"))):
+        assert read_crawl_seq(spark, paths).count() == 8
+    assert [p.rsplit("/", 1)[1] for p in list_parts(spark, tmp_out, 2, 2000)] == ["metadata-01500"]
+    assert len(list_parts(spark, tmp_out, 1)) == 3
+
+
+def test_a_failed_task_leaves_no_part_file(spark, tmp_out):
+    out = os.path.join(tmp_out, "failed")
+    bad = spark.range(0, 2000, 1, 4).selectExpr(
+        "cast(id as string) k", "if(id = 1900, raise_error('lost'), cast(id as string)) v")
+    with pytest.raises(Exception):
+        write_text_pairs(bad, out)
+    assert not glob.glob(os.path.join(out, "part-*")) and not os.path.exists(os.path.join(out, "_SUCCESS"))
 
 
 def test_rank_report_format(spark):

@@ -34,6 +34,7 @@ def main(argv: list[str] | None = None) -> None:
     tr.add_argument("dst")
     tr.add_argument("--iterations", type=int, default=10)
     tr.add_argument("--compat", action="store_true")
+    tr.add_argument("--tolerant", action="store_true", help="a rank that cannot be read is 1.0")
     er = sub.add_parser("edgerank", help="edge-list text -> N rounds -> 'X has rank: Y.' lines")
     er.add_argument("src")
     er.add_argument("iterations", type=int)
@@ -53,7 +54,7 @@ def main(argv: list[str] | None = None) -> None:
     elif a.job == "clean":
         jobs.crawl_clean_job(spark, a.folder, a.dst, a.lo, a.hi, dedupe=a.dedupe, invalid=a.invalid, landing=a.landing)
     elif a.job == "tablerank":
-        jobs.rank_table_job(spark, a.src, a.dst, a.iterations, compat=a.compat)
+        jobs.rank_table_job(spark, a.src, a.dst, a.iterations, compat=a.compat, bad_rank="default" if a.tolerant else "fail")
     elif a.job == "edgerank":
         jobs.edge_rank_job(spark, a.src, a.iterations, a.dst)
     elif a.job == "crawlrank":

@@ -184,7 +184,7 @@ def oracle_sql() -> dict[str, str]:
     q["clean_crawl_dedup"] = _with(CRAWL, SENT, *_rows_of("sent", True)) + "SELECT url, rank, link, n FROM adj"
     field = "replace(replace(replace(replace({}, chr(92), chr(92) || chr(92)), chr(9), chr(92) || 't'), chr(10), chr(92) || 'n'), chr(13), chr(92) || 'r')"
     q["adjacency_text"] = _with(CRAWL, KEEP, *_rows_of("keep", False)) + (
-        f"SELECT {field.format('url')} || chr(9) || CAST(rank AS VARCHAR) || chr(9) || {field.format('link')} "
+        f"SELECT chr(9) || '+' || chr(9) || {field.format('url')} || chr(9) || CAST(rank AS VARCHAR) || chr(9) || {field.format('link')} "
         "|| chr(9) || CAST(n AS VARCHAR) AS value FROM adj")
     q["initial_ranks"] = _with(LO, TRADE) + f"SELECT DISTINCT src AS node, 1.0{D} AS rank FROM trade"
     q["out_degree"] = _with(LO, TRADE) + "SELECT src, count(*) AS deg FROM trade GROUP BY src"

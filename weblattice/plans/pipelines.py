@@ -74,26 +74,29 @@ def clean_crawl_dedup(records: DataFrame, invalid: str = "sentinel") -> CrawlGra
 
 
 def graph_from_rank_table(rows: DataFrame, compat: bool = False) -> Graph:
-    """``parse_link_rows`` rows (url, rank, link, n, has_field) -> pages and edges.
-
-    Lines of one url are merged (links concatenated). A legacy links field
-    that is just the ``dangling`` marker means no links, unless ``compat``
-    (then it is a link to the node of that name, as in the text protocol).
-    ``self_vote`` marks urls that only have lines without a links field (used
-    by ``compat`` round 0).
+    """``parse_link_rows`` rows -> pages and edges.
+
+    The rows are materialised once; the text is scanned for them alone. Lines
+    of one url are merged (links concatenated). A legacy links field that is
+    just the ``dangling`` marker means no links, unless ``compat`` (then it is
+    a link to the node of that name, as in the text protocol). ``self_vote``
+    marks urls that only have lines without a links field (used by ``compat``
+    round 0).
     """
+    rows = materialize(rows)
     pages = rows.groupBy(F.col("url").alias("node")).agg(
         F.max("rank").alias("rank"), F.min(~F.col("has_field")).alias("self_vote"))
     links = rows.where(F.col("link").isNotNull())
     if not compat:
-        links = links.where(F.col("link") != DANGLING_MARK)
+        links = links.where(~F.col("is_mark"))
     return Graph(pages, links.select(F.col("url").alias("src"), F.col("link").alias("dst"), "n"))
 
 
 def rank_table_job(spark: SparkSession, src: str, dst: str | None = None, iterations: int = 10,
-                   compat: bool = False, partitions: int | None = None) -> DataFrame:
-    """Rank-table text in, ``iterations`` all-node rounds, rank-table text out."""
-    g = graph_from_rank_table(parse_link_rows(spark.read.text(src)), compat)
+                   compat: bool = False, partitions: int | None = None, bad_rank: str = "fail") -> DataFrame:
+    """Rank-table text in, ``iterations`` all-node rounds, rank-table text out.
+    With ``bad_rank="default"`` a rank that cannot be read is 1.0."""
+    g = graph_from_rank_table(parse_link_rows(spark.read.text(src), bad_rank=bad_rank), compat)
     res = pr.pagerank_all_nodes(g.pages, g.edges, iterations, compat=compat)
     if dst:
         write_rank_rows(rank_rows(res.ranks, g.edges), dst, partitions=partitions)

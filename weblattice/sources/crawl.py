@@ -1,28 +1,30 @@
 """Crawl input: SequenceFiles of ``(Text url, Text json)`` and part selection.
 
-There is no DataFrame source for SequenceFiles, so the read goes through the
-RDD API and is turned into a DataFrame at once. Part selection keeps files
-named ``...metadata-00NNN...`` with ``lo <= NNN <= hi``; the listing is the
-same driver-side file listing any Spark file source does.
+The read stays inside the JVM (``sources.hadoop``). Part selection keeps files
+named ``...metadata-NNNNN...`` with ``lo <= NNNNN <= hi``, whatever the number
+of digits; the listing is the same driver-side file listing any Spark file
+source does.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-TEXT = "org.apache.hadoop.io.Text"
-# Fixed values of the part-file naming rule: marker text and digit count.
+from .hadoop import read_text_pairs
+
+# Fixed values of the part-file naming rule: marker text, and five digits or more.
 PART_PREFIX = "metadata-"
-PART_MARKER = "metadata-00"
-PART_DIGITS = 3
+PART_NUMBER = re.compile(PART_PREFIX + "([0-9]{5,})")
 
 
 def part_number(name) -> Column:
-    """Number after ``metadata-00`` (3 digits) in a file name; null if none."""
+    """The number after ``metadata-`` in a file name; null if there is none or
+    it exceeds a long."""
     c = F.col(name) if isinstance(name, str) else name
-    digits = F.regexp_extract(c, PART_MARKER + r"(\d{" + str(PART_DIGITS) + "})", 1)
-    return F.when(digits == "", F.lit(None).cast("int")).otherwise(digits.cast("int"))
+    return F.regexp_extract(c, PART_NUMBER.pattern, 1).try_cast("bigint")
 
 
 def select_parts(names: DataFrame, lo: int | None = None, hi: int | None = None,
@@ -45,11 +47,8 @@ def select_parts(names: DataFrame, lo: int | None = None, hi: int | None = None,
 
 
 def _part_number_py(name: str) -> int | None:
-    i = name.find(PART_MARKER)
-    if i < 0:
-        return None
-    digits = name[i + len(PART_MARKER): i + len(PART_MARKER) + PART_DIGITS]
-    return int(digits) if len(digits) == PART_DIGITS and digits.isdigit() else None
+    found = PART_NUMBER.search(name)
+    return int(found[1]) if found else None
 
 
 def list_parts(spark: SparkSession, folder: str, lo: int | None = None, hi: int | None = None) -> list[str]:
@@ -77,16 +76,13 @@ def read_crawl_seq(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
     ``paths`` may be a list, a comma-separated string or globs.
     """
-    if isinstance(paths, (list, tuple)):
-        paths = ",".join(paths)
-    rdd = spark.sparkContext.sequenceFile(paths, TEXT, TEXT)
-    return spark.createDataFrame(rdd, "url string, json string", verifySchema=False)
+    return read_text_pairs(spark, paths, "url", "json")
 
 
 def land_crawl(spark: SparkSession, folder: str, landing: str,
                lo: int | None = None, hi: int | None = None) -> DataFrame:
     """Copy the selected parts once into a Parquet table at ``landing`` and
-    read that: the record-at-a-time SequenceFile read happens here only."""
+    read that: SequenceFiles, which know no columns, are read here only."""
     read_crawl_parts(spark, folder, lo, hi).write.mode("overwrite").parquet(landing)
     return spark.read.schema("url string, json string").parquet(landing)
 

@@ -4,8 +4,9 @@ reports.
 A rank table has one row ``url, rank, link, n`` per distinct link (``n``
 occurrences); a url without links has one row with the link ``dangling`` and
 ``n`` 0. The form is the same at every size, no row depends on how many links
-its url has, and a link may hold any character. ``graph_from_rank_table``
-reads it back exactly, and legacy ``a,b,c`` lines as well.
+its url has, and a link may have any name and hold any character: ``n`` tells a
+page without links, and a mark in front tells this form from legacy ``a,b,c``
+lines. ``graph_from_rank_table`` reads both.
 """
 
 from __future__ import annotations
@@ -15,7 +16,8 @@ from pyspark.sql import functions as F
 
 from ..operators.graph import join_sources, with_multiplicity
 from ..operators.text import format_pairs
-from .text import DANGLING_MARK, escaped
+from .hadoop import write_text_pairs
+from .text import DANGLING_MARK, FORM_MARK, escaped
 
 
 def rank_rows(ranks: DataFrame, edges: DataFrame) -> DataFrame:
@@ -29,8 +31,9 @@ def rank_rows(ranks: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def rank_lines(rows: DataFrame) -> DataFrame:
-    """``(url, rank, link, n)`` rows -> text lines ``value``."""
-    return rows.select(F.concat_ws("\t", escaped(F.col("url")), F.col("rank").cast("string"),
+    """``(url, rank, link, n)`` rows -> text lines ``value``, each with an
+    empty field and the form mark in front."""
+    return rows.select(F.concat_ws("\t", F.lit(""), F.lit(FORM_MARK), escaped(F.col("url")), F.col("rank").cast("string"),
                                    escaped(F.col("link")), F.col("n").cast("string")).alias("value"))
 
 
@@ -56,10 +59,7 @@ def format_ranks(ranks: DataFrame) -> DataFrame:
 
 
 def write_rank_seq(rows: DataFrame, path: str) -> None:
-    """Rank rows as a SequenceFile of ``(Text url, Text rank \\t link \\t n)``.
-
-    An interchange edge: PySpark has no JVM-only SequenceFile writer, so the
-    rows pass through Python one by one. Text or Parquet is the jobs' sink.
-    """
+    """Rank rows as a SequenceFile of ``(Text url, Text rank \\t link \\t n)``,
+    written inside the JVM by Hadoop's own format and committer."""
     value = F.concat_ws("\t", F.col("rank").cast("string"), escaped(F.col("link")), F.col("n").cast("string"))
-    rows.select("url", value).rdd.map(lambda r: (r[0], r[1])).saveAsSequenceFile(path)
+    write_text_pairs(rows.select("url", value.alias("value")), path)

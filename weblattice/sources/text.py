@@ -3,7 +3,7 @@
 All parsing is column expressions over ``spark.read.text``; nothing is
 collected. Rank tables come in two forms: legacy lines ``url \\t rank \\t
 a,b,c`` (the third field is optional), and the lines this library writes,
-``url \\t rank \\t link \\t n`` with one line per distinct link.
+``\\t + \\t url \\t rank \\t link \\t n`` with one line per distinct link.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import java_split
+from .hadoop import text_splits
 
 
 def read_lines(spark: SparkSession, path: str | list[str],
@@ -19,11 +20,11 @@ def read_lines(spark: SparkSession, path: str | list[str],
     """Text file(s) -> one row per line in ``value``.
 
     ``path`` may be any Hadoop file-system URI, glob or list of them.
-    ``min_partitions``, the split hint of a text-file read, spreads the lines
-    over that many tasks; without it the scan's own layout stays.
+    ``min_partitions``, the split hint of a text-file read, is a least number
+    of splits, as there: files are cut finer, never joined, and nothing is
+    shuffled. Without it Spark's own scan packs the files.
     """
-    df = spark.read.text(path)
-    return df.repartition(min_partitions) if min_partitions else df
+    return text_splits(spark, path, min_partitions) if min_partitions else spark.read.text(path)
 
 
 def parse_edges(lines: DataFrame, col: str = "value", bad_line: str = "fail",
@@ -51,9 +52,11 @@ def parse_edges(lines: DataFrame, col: str = "value", bad_line: str = "fail",
     return edges.distinct() if distinct else edges
 
 
-# The link field of a page without links, and how the text form
-# writes the characters that would end a field.
+# The link field of a page without links; the rank field of a line
+# in this library's own form, which no rank can be; and how that form writes the
+# characters that would end a field.
 DANGLING_MARK = "dangling"
+FORM_MARK = "+"
 ESCAPES = [("\\", "\\\\"), ("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r")]
 
 
@@ -65,27 +68,39 @@ def escaped(c):
 
 
 def unescaped(c):
-    hold = F.lit("\x00")
-    c = F.replace(c, F.lit("\\\\"), hold)
-    for plain, written in ESCAPES[1:]:
-        c = F.replace(c, F.lit(written), F.lit(plain))
-    return F.replace(c, hold, F.lit("\\"))
-
-
-def parse_link_rows(lines: DataFrame, col: str = "value") -> DataFrame:
-    """Lines of either form -> ``(url, rank, link, n, has_field)``, one row per
-    link; a page without links is one row with a null link and ``n`` 0.
-    ``has_field`` is false for a legacy line without a links field. Ranks that
-    cannot be read fail."""
+    """The field again. Cut at written backslashes first: what is left of a
+    piece holds no backslash but those of the other escapes."""
+    def piece(x):
+        for plain, written in ESCAPES[1:]:
+            x = F.replace(x, F.lit(written), F.lit(plain))
+        return x
+
+    return F.array_join(F.transform(F.split(c, r"\\\\", -1), piece), "\\")
+
+
+def parse_link_rows(lines: DataFrame, col: str = "value", bad_rank: str = "fail") -> DataFrame:
+    """Lines of either form -> ``(url, rank, link, n, has_field, is_mark)``, one
+    row per link; a page without links is one row with a null link and ``n`` 0.
+
+    A line of this library starts with an empty field and the form mark; there
+    ``n`` alone tells a page without links, so a link may have any name. Every
+    other line is a legacy one, whose trailing empty fields and fields after
+    the third do not count. ``has_field`` is false for a legacy line without a
+    links field, ``is_mark`` true for the link row of a legacy links field that
+    is just ``dangling``. A legacy rank that cannot be read fails, or becomes
+    1.0 with ``bad_rank="default"``.
+    """
     t = lines.where(F.col(col) != "").withColumn("f", F.split(F.col(col), "\t", -1))
-    ours = t.where(F.size("f") == 4).select(
-        unescaped(F.col("f")[0]).alias("url"), F.col("f")[1].cast("double").alias("rank"),
-        F.when(F.col("f")[3] != "0", unescaped(F.col("f")[2])).alias("link"),
-        F.col("f")[3].cast("bigint").alias("n"), F.lit(True).alias("has_field"))
-    legacy = parse_rank_lines(t.where(F.size("f") != 4), col).select(
-        "url", "rank", F.explode_outer("links").alias("link"), F.col("links").isNotNull().alias("has_field"))
+    own = (F.size("f") == 6) & (F.col("f")[0] == "") & (F.col("f")[1] == FORM_MARK)
+    ours = t.where(own).select(
+        unescaped(F.col("f")[2]).alias("url"), F.col("f")[3].cast("double").alias("rank"),
+        F.when(F.col("f")[5] != "0", unescaped(F.col("f")[4])).alias("link"),
+        F.col("f")[5].cast("bigint").alias("n"), F.lit(True).alias("has_field"), F.lit(False).alias("is_mark"))
+    legacy = parse_rank_lines(t.where(~own), col, bad_rank).select(
+        "url", "rank", F.explode_outer("links").alias("link"), F.col("links").isNotNull().alias("has_field"),
+        F.coalesce(F.col("links") == F.array(F.lit(DANGLING_MARK)), F.lit(False)).alias("is_mark"))
     return ours.unionByName(legacy.select(
-        "url", "rank", "link", F.when(F.col("link").isNull(), 0).otherwise(1).cast("bigint").alias("n"), "has_field"))
+        "url", "rank", "link", F.when(F.col("link").isNull(), 0).otherwise(1).cast("bigint").alias("n"), "has_field", "is_mark"))
 
 
 def parse_rank_lines(lines: DataFrame, col: str = "value",
@@ -101,8 +116,8 @@ def parse_rank_lines(lines: DataFrame, col: str = "value",
     if bad_rank not in ("fail", "default"):
         raise ValueError("bad_rank must be 'fail' or 'default'")
     t = lines.where(F.col(col) != "").select(java_split(F.col(col), "\t").alias("t"))
-    raw = F.col("t")[1]
-    parsed = F.expr("try_cast(trim(t[1]) as double)")
+    raw = F.get("t", F.lit(1))
+    parsed = F.expr("try_cast(trim(get(t, 1)) as double)")
     if bad_rank == "default":
         rank = F.coalesce(parsed, F.lit(1.0))
     else:
