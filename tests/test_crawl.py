@@ -100,4 +100,6 @@ def test_select_parts(spark):
          ("metadata-01000",), ("textData-00001",), ("metadata-0012x",)], "name string")
     assert sorted(r[0] for r in select_parts(names, 0, 300).collect()) == [
         "metadata-00300", "s3://b/seg/metadata-00000"]
-    assert select_parts(names).count() == 5 and select_parts(names, lo=301).count() == 1
+    assert select_parts(names).count() == 5 and select_parts(names, lo=301, hi=999).count() == 1
+    # Numbers of more than three digits count too.
+    assert sorted(r[0] for r in select_parts(names, lo=301).collect()) == ["metadata-00301", "metadata-01000"]
