@@ -76,6 +76,15 @@ def page_rank_lines(spark: SparkSession, sf_dir: str, rank_from_url: bool = Fals
                                     F.array_join(page_hrefs(pages), ",")).alias("value"))
 
 
+def bare_rank_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One rank-table line per page: ``url \\t 1.0 \\t hrefs``, without a links
+    field where the page has no anchor."""
+    pages = table(spark, sf_dir, "pages").select("url", "html")
+    hrefs = page_hrefs(pages)
+    links = F.when(F.size(hrefs) > 0, F.array_join(hrefs, ","))
+    return pages.select(F.concat_ws("\t", F.col("url"), F.lit("1.0"), links).alias("value"))
+
+
 def page_rank_table(spark: SparkSession, sf_dir: str, rank_from_url: bool = False,
                     bad_rank: str = "fail") -> DataFrame:
     return parse_rank_lines(page_rank_lines(spark, sf_dir, rank_from_url), bad_rank=bad_rank)

@@ -15,16 +15,18 @@ from pyspark.sql import functions as F
 from . import bindings as b
 from .operators import crawl as cr
 from .operators import graph as g
+from .operators.nodes import link_names, node_dictionary
 from .operators.text import format_pairs, tokens, word_count
 from .plans import pagerank as pr
 from .plans.lineage import materialize, pinned_partitions, shuffle_partitions
 from .plans.lookup import lookup, lookup_mapped
-from .plans.pipelines import clean_crawl, clean_crawl_dedup
+from .plans.pipelines import clean_crawl, clean_crawl_dedup, graph_from_rank_table
 from .sources.crawl import select_parts
 from .sources.sinks import format_ranks, rank_lines
-from .sources.text import parse_edges
+from .sources.text import parse_edges, parse_link_rows
 
 ROUNDS_TABLE = 10      # all-node rank job
+ROUNDS_COMPAT = 3      # text protocol from rank-table lines
 ROUNDS_DANGLING = 2    # dangling-redistribution job
 ROUNDS_ACTIVE = 10     # edge-list job (a command-line argument there)
 LOOKUP_KEY = cr.SENTINEL
@@ -152,6 +154,10 @@ def q_dangling_nodes(spark, d):
     return g.dangling_nodes(g.node_set(None, e), e)
 
 
+def q_node_dictionary(spark, d):
+    return node_dictionary(link_names(b.trade_edges(spark, d))).table
+
+
 # ---- one round --------------------------------------------------------------
 
 def _active_links(spark, d):
@@ -266,6 +272,24 @@ def q_pagerank_dangling(spark, d):
     return _ranked(pr.pagerank_dangling(gr.pages, gr.edges, ROUNDS_DANGLING).ranks)
 
 
+def q_pagerank_active_ids(spark, d):
+    """The edge-list job on node numbers."""
+    return _ranked(pr.pagerank_active(_active_links(spark, d), ROUNDS_ACTIVE, node_ids=True).ranks)
+
+
+def q_pagerank_dangling_ids(spark, d):
+    """The dangling job on node numbers, with the text protocol's extra node."""
+    gr = _crawl_graph(spark, d)
+    return _ranked(pr.pagerank_dangling(gr.pages, gr.edges, ROUNDS_DANGLING + 1, compat=True, node_ids=True).ranks)
+
+
+def q_pagerank_table_compat(spark, d):
+    """The text protocol from rank-table lines, some of which have no links
+    field: such pages vote for themselves in the first round."""
+    gr = graph_from_rank_table(parse_link_rows(b.bare_rank_lines(spark, d)), compat=True)
+    return _ranked(pr.pagerank_all_nodes(gr.pages, gr.edges, ROUNDS_COMPAT, compat=True).ranks)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

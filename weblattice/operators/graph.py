@@ -30,23 +30,29 @@ def out_degree(edges: DataFrame) -> DataFrame:
     return with_multiplicity(edges).groupBy("src").agg(F.sum("n").alias("deg"))
 
 
-def join_sources(edges: DataFrame, per_source: DataFrame, partitions: int | None = None) -> DataFrame:
-    """``edges(src, ...)`` joined with ``per_source(src, ...)``, which has one
-    row per source.
+def join_by(rows: DataFrame, per_key: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+    """``rows(key, ...)`` joined with ``per_key(key, ...)``, which has one row
+    per key.
 
-    Sources with more than ``rows / partitions`` edge rows are hot: fewer than
-    ``partitions`` of them, a proven bound, so their rows of ``per_source`` are
-    broadcast to edges that stay where they are. The others are joined by
+    Keys with more than ``rows / partitions`` rows are hot: fewer than
+    ``partitions`` of them, a proven bound, so their entries of ``per_key`` are
+    broadcast to rows that stay where they are. The others are joined by
     shuffle, and no key of that join has more than a partition's share.
-    Reads ``edges`` several times; pass a materialised table if it is costly.
+    Both sides of the split come from one table: ``rows`` is read for the
+    counts, and once for each side; pass a materialised table if it is costly.
     """
-    p = partitions or int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = edges.groupBy("src").agg(F.count(F.lit(1)).alias("rows"))
-    total = rows.agg(F.sum("rows")).first()[0] or 0
-    hot = F.broadcast(rows.where(F.col("rows") > -(-total // p)).select("src"))
-    spread = edges.join(hot, "src", "left_semi").join(
-        F.broadcast(per_source.join(hot, "src", "left_semi")), "src")
-    return edges.join(hot, "src", "left_anti").join(per_source, "src").unionByName(spread)
+    p = partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
+    total = counts.agg(F.sum("__rows")).first()[0] or 0
+    hot = F.broadcast(counts.where(F.col("__rows") > -(-total // p)).select(key))
+    spread = rows.join(hot, key, "left_semi").join(
+        F.broadcast(per_key.join(hot, key, "left_semi")), key)
+    return rows.join(hot, key, "left_anti").join(per_key, key).unionByName(spread)
+
+
+def join_sources(edges: DataFrame, per_source: DataFrame, partitions: int | None = None) -> DataFrame:
+    """``edges(src, ...)`` joined with ``per_source(src, ...)`` by ``join_by``."""
+    return join_by(edges, per_source, "src", partitions)
 
 
 def adjacency_rows(edges: DataFrame, partitions: int | None = None) -> DataFrame:

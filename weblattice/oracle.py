@@ -106,13 +106,25 @@ def _active(rounds: int, graph: tuple[str, ...] = (LO, TRADE)) -> list[str]:
     return ctes
 
 
-def _all_nodes(rounds: int, compat: bool) -> list[str]:
-    ctes = [LO, TRADE,
-            f"e AS MATERIALIZED (SELECT src, dst, count(*){D} AS n FROM trade GROUP BY src, dst)",
-            "d AS MATERIALIZED (SELECT src, sum(n) AS deg FROM e GROUP BY src)",
-            f"r0 AS MATERIALIZED (SELECT src AS node, 1.0{D} AS rank, true AS has_links FROM d)"]
+ALL_SOURCES = [LO, TRADE,
+               f"e AS MATERIALIZED (SELECT src, dst, count(*){D} AS n FROM trade GROUP BY src, dst)",
+               "d AS MATERIALIZED (SELECT src, sum(n) AS deg FROM e GROUP BY src)",
+               f"r0 AS MATERIALIZED (SELECT src AS node, 1.0{D} AS rank, true AS has_links FROM d)"]
+BARE_TABLE = [
+    "lt AS (SELECT url, array_to_string(regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1), ',') AS lt FROM pages)",
+    f"lines AS MATERIALIZED (SELECT url, CASE WHEN lt = '' THEN NULL ELSE {_java_split_comma('lt')} END AS links FROM lt)",
+    f"e AS MATERIALIZED (SELECT src, dst, count(*){D} AS n FROM (SELECT url AS src, unnest(links) AS dst FROM lines) GROUP BY src, dst)",
+    "d AS MATERIALIZED (SELECT src, sum(n) AS deg FROM e GROUP BY src)",
+    f"r0 AS MATERIALIZED (SELECT url AS node, 1.0{D} AS rank, url IN (SELECT src FROM d) AS has_links, "
+    "bool_and(links IS NULL) AS self_vote FROM lines GROUP BY url)"]
+
+
+def _all_nodes(rounds: int, compat: bool, start: list[str] = ALL_SOURCES) -> list[str]:
+    ctes = list(start)
     for i in range(rounds):
         extra = ""
+        if compat and i == 0 and start is BARE_TABLE:
+            extra = " UNION ALL SELECT node, rank, false FROM r0 WHERE self_vote"
         if compat and i > 0:
             extra = f" UNION ALL SELECT 'dangling', rank, false FROM r{i} WHERE NOT has_links"
         ctes.append(
@@ -227,7 +239,14 @@ def oracle_sql() -> dict[str, str]:
     q["pagerank_all_nodes_compat"] = _with(*_all_nodes(c.ROUNDS_TABLE, True)) + \
         f"SELECT node, {R6} FROM r{c.ROUNDS_TABLE}"
     q["pagerank_hubs"] = _with(*_active(c.ROUNDS_ACTIVE, (SHELF,))) + f"SELECT node, {R6} FROM r{c.ROUNDS_ACTIVE}"
+    q["pagerank_table_compat"] = _with(*_all_nodes(c.ROUNDS_COMPAT, True, BARE_TABLE)) + \
+        f"SELECT node, {R6} FROM r{c.ROUNDS_COMPAT}"
     q["pagerank_dangling_compat"] = _with(*_dangling(c.ROUNDS_DANGLING + 1, compat=True)) + \
         f"SELECT node, {R6} FROM r{c.ROUNDS_DANGLING + 1}"
     q["pagerank_dangling"] = _with(*dg) + f"SELECT node, {R6} FROM r{c.ROUNDS_DANGLING}"
+    q["node_dictionary"] = _with(LO, TRADE) + (
+        "SELECT node, row_number() OVER (ORDER BY node) - 1 AS id FROM "
+        "(SELECT src AS node FROM trade UNION SELECT dst FROM trade)")
+    q["pagerank_active_ids"] = q["pagerank_active"]
+    q["pagerank_dangling_ids"] = q["pagerank_dangling_compat"]
     return q

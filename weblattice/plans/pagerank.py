@@ -29,8 +29,13 @@ Physical layout (see ``prepare_links``):
   table. When a loop ends, only the returned ranks' files remain.
 
 Global values of the dangling variant (dangling mass ``D``, node count ``N``)
-are one-row aggregates returned to the driver as scalars, exactly as the
-original job captured them in closures.
+are observed while a round's table is written, in the round's own job, and
+reach the driver as scalars, as the original job captured them in closures.
+
+With ``node_ids`` a loop runs on the numbers of a node dictionary instead of
+names: links are translated once, rounds shuffle, join and checkpoint 8-byte
+keys, and the last ranks are translated back. With ``rounds_at`` every round
+is also kept as a named folder, from which ``resume`` continues.
 """
 
 from __future__ import annotations
@@ -40,12 +45,13 @@ import time
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import half_up
 from ..operators.graph import with_multiplicity
-from .lineage import drop_checkpoint, materialize, pinned_partitions, shuffle_partitions
+from ..operators.nodes import NodeDictionary, link_names, node_dictionary
+from .lineage import RoundFolders, drop_checkpoint, fingerprint, materialize, pinned_partitions, shuffle_partitions
 
 DAMPING = 0.85
 # Fixed values that decide results: the teleport term of the edge-list job is
@@ -154,7 +160,8 @@ def step_active(links: PreparedLinks, ranks: DataFrame,
 
 
 def step_all_nodes(links: PreparedLinks, ranks: DataFrame, compat_round: int | None = None,
-                   damping: float = DAMPING, teleport: float = TELEPORT_COMPUTED) -> DataFrame:
+                   damping: float = DAMPING, teleport: float = TELEPORT_COMPUTED,
+                   dangling: str | int = DANGLING_NODE) -> DataFrame:
     """Table round: every ranked node and every target keeps a row.
 
     ``ranks`` is ``(node, rank, has_links[, self_vote])``. ``compat_round``
@@ -169,7 +176,7 @@ def step_all_nodes(links: PreparedLinks, ranks: DataFrame, compat_round: int | N
                 parts.append(ranks.where("self_vote").select(
                     "node", F.col("rank").alias("c"), F.lit(False).alias("has_links")))
         else:
-            parts.append(_to_dangling(ranks))
+            parts.append(_to_dangling(ranks, dangling))
     s = grouped_sums(parts)
     return s.select("node", (F.lit(teleport) + F.lit(damping) * F.col("s")).alias("rank"), "has_links")
 
@@ -187,19 +194,20 @@ def dangling_mass_frame(ranks: DataFrame, round_mass: bool = True) -> DataFrame:
     return ranks.agg((half_up(raw) if round_mass else raw).alias("dangling_mass"))
 
 
-def _to_dangling(ranks: DataFrame) -> DataFrame:
+def _to_dangling(ranks: DataFrame, dangling: str | int) -> DataFrame:
     """Every node without links gives its rank to the node ``dangling``."""
     return ranks.where(~F.col("has_links")).select(
-        F.lit(DANGLING_NODE).alias("node"), F.col("rank").alias("c"), F.lit(False).alias("has_links"))
+        F.lit(dangling).cast(ranks.schema["node"].dataType).alias("node"), F.col("rank").alias("c"), F.lit(False).alias("has_links"))
 
 
-def step_dangling_sums(links: PreparedLinks, ranks: DataFrame, compat_round: int | None = None) -> DataFrame:
+def step_dangling_sums(links: PreparedLinks, ranks: DataFrame, compat_round: int | None = None,
+                       dangling: str | int = DANGLING_NODE) -> DataFrame:
     """Grouped sums of a dangling-redistribution round, before damping.
     ``compat_round`` (None = off) is the text-protocol quirk of later rounds:
     nodes without links also give their rank to the node ``dangling``."""
     parts = [_flagged(contributions(links, ranks)), _own_rows(ranks)]
     if compat_round:
-        parts.append(_to_dangling(ranks))
+        parts.append(_to_dangling(ranks, dangling))
     return grouped_sums(parts)
 
 
@@ -233,33 +241,93 @@ def _node_flags(pages: DataFrame, links: PreparedLinks) -> DataFrame:
         "has_links", F.coalesce(F.col("hl"), F.lit(False))).drop("hl")
 
 
-def _finish(ranks: DataFrame, links: PreparedLinks, keep_links: bool) -> DataFrame:
-    ranks.unpersist()  # its checkpoint files remain
-    if not keep_links:
-        links.release()
-    return ranks
+@dataclass
+class _Job:
+    """What the loops share: links, numbering and kept rounds of one run."""
+
+    pairs: DataFrame                  # (src, dst, n), names or numbers
+    pages: DataFrame | None           # (node, rank[, self_vote]), likewise
+    partitions: int
+    dangling: str | int = DANGLING_NODE
+    names: NodeDictionary | None = None
+    folders: RoundFolders | None = None
+
+    def resumed(self) -> tuple[int, dict, DataFrame | None]:
+        """First round to run, the loop's state, and ranks (None: from the start)."""
+        found = self.folders.last() if self.folders else None
+        if not found:
+            return 0, {}, None
+        done, state, ranks = found
+        return done + 1, state, materialize(ranks.repartition(self.partitions, "node"), persist=True)
+
+    def keep(self, i: int, ranks: DataFrame, state: dict | None = None) -> None:
+        if self.folders:
+            self.folders.keep(i, ranks, state)
+
+    def finish(self, ranks: DataFrame, table: DataFrame, links: PreparedLinks, keep_links: bool) -> DataFrame:
+        """``ranks``, which read ``table``, under their names; its files stay,
+        all others of the run go."""
+        if self.names:
+            ranks = materialize(self.names.decode(ranks))
+            drop_checkpoint(table)
+            self.names.release()
+        table.unpersist()
+        if not keep_links:
+            links.release()
+        return ranks
+
+
+def _job(pages: DataFrame | None, edges: DataFrame, partitions: int | None, node_ids: bool, rounds_at: str | None,
+         resume: bool, distinct: bool = False, **settings) -> _Job:
+    spark = edges.sparkSession
+    p = partitions or shuffle_partitions(spark)
+    pairs = link_pairs(edges, distinct)
+    own = materialize(pages) if pages is not None else None
+    job = _Job(pairs, own, p)
+    if rounds_at:
+        prints = [fingerprint(pairs), fingerprint(own) if own is not None else None]
+        job.folders = RoundFolders(spark, rounds_at, {**settings, "node_ids": node_ids, "input": prints}, resume)
+    if node_ids:
+        more = [own] if own is not None else []
+        if settings.get("compat"):  # the name has a number, but a rank only if something reaches it
+            more.append(spark.range(1).select(F.lit(DANGLING_NODE).alias("node")))
+        job.names = node_dictionary(link_names(pairs, *more), p)
+        if settings.get("compat"):
+            job.dangling = job.names.table.where(F.col("node") == DANGLING_NODE).first()["id"]
+        by_source = materialize(job.names.encode(pairs, "src"))
+        job.pairs = materialize(job.names.encode(by_source, "dst"), persist=True)
+        drop_checkpoint(by_source)
+        drop_checkpoint(pairs)
+        if own is not None:
+            job.pages = materialize(job.names.encode(own, "node"))
+            drop_checkpoint(own)
+    return job
 
 
 def pagerank_active(edges: DataFrame, iterations: int, damping: float = DAMPING,
-                    partitions: int | None = None, keep_links: bool = False) -> RankResult:
+                    partitions: int | None = None, keep_links: bool = False, node_ids: bool = False,
+                    rounds_at: str | None = None, resume: bool = False) -> RankResult:
     """Edge-list rank: distinct edges, start 1.0 on every source, ``N`` rounds
     of join + grouped sum; pages without in-links drop out after a round."""
     spark = edges.sparkSession
-    p = partitions or shuffle_partitions(spark)
     secs = []
     t0 = time.perf_counter()
-    pairs = link_pairs(edges.select("src", "dst"), distinct=True)
-    with pinned_partitions(spark, p):
-        links = prepare_links(pairs, p)
+    job = _job(None, edges.select("src", "dst"), partitions, node_ids, rounds_at, resume, distinct=True,
+               job="active", damping=damping)
+    with pinned_partitions(spark, job.partitions):
+        links = prepare_links(job.pairs, job.partitions)
+        first, _, ranks = job.resumed()
+        if ranks is None:
+            ranks = materialize(links.sources.select(F.col("src").alias("node"), F.lit(1.0).alias("rank")), persist=True)
         prep = time.perf_counter() - t0
-        ranks = materialize(links.sources.select(F.col("src").alias("node"), F.lit(1.0).alias("rank")), persist=True)
-        for _ in range(iterations):
+        for i in range(first, iterations):
             t0 = time.perf_counter()
             previous = ranks
             ranks = materialize(step_active(links, ranks, damping), persist=True)
             drop_checkpoint(previous)
+            job.keep(i, ranks)
             secs.append(time.perf_counter() - t0)
-    return RankResult(_finish(ranks, links, keep_links), [], links, prep, secs)
+    return RankResult(job.finish(ranks, ranks, links, keep_links), [], links, prep, secs)
 
 
 def _start(pages: DataFrame | None, links: PreparedLinks) -> DataFrame:
@@ -272,7 +340,8 @@ def _start(pages: DataFrame | None, links: PreparedLinks) -> DataFrame:
 
 def pagerank_all_nodes(pages: DataFrame | None, edges: DataFrame, iterations: int = 10,
                        compat: bool = False, damping: float = DAMPING,
-                       partitions: int | None = None, keep_links: bool = False) -> RankResult:
+                       partitions: int | None = None, keep_links: bool = False, node_ids: bool = False,
+                       rounds_at: str | None = None, resume: bool = False) -> RankResult:
     """Table rank: ``pages(node, rank[, self_vote])`` and ``edges(src, dst[, n])``;
     without ``pages``, every source starts with 1.0.
 
@@ -280,28 +349,30 @@ def pagerank_all_nodes(pages: DataFrame | None, edges: DataFrame, iterations: in
     nothing but the teleport term unless they receive mass.
     """
     spark = edges.sparkSession
-    p = partitions or shuffle_partitions(spark)
     secs = []
     t0 = time.perf_counter()
-    pairs = link_pairs(edges)
-    own = materialize(pages) if pages is not None else None
-    with pinned_partitions(spark, p):
-        links = prepare_links(pairs, p)
-        ranks = materialize(_start(own, links), persist=True)
-        drop_checkpoint(own)
+    job = _job(pages, edges, partitions, node_ids, rounds_at, resume, job="all nodes", compat=compat, damping=damping)
+    with pinned_partitions(spark, job.partitions):
+        links = prepare_links(job.pairs, job.partitions)
+        first, _, ranks = job.resumed()
+        if ranks is None:
+            ranks = materialize(_start(job.pages, links), persist=True)
+        drop_checkpoint(job.pages)
         prep = time.perf_counter() - t0
-        for i in range(iterations):
+        for i in range(first, iterations):
             t0 = time.perf_counter()
             previous = ranks
-            ranks = materialize(step_all_nodes(links, ranks, i if compat else None, damping), persist=True)
+            ranks = materialize(step_all_nodes(links, ranks, i if compat else None, damping, dangling=job.dangling), persist=True)
             drop_checkpoint(previous)
+            job.keep(i, ranks)
             secs.append(time.perf_counter() - t0)
-    return RankResult(_finish(ranks, links, keep_links), [], links, prep, secs)
+    return RankResult(job.finish(ranks, ranks, links, keep_links), [], links, prep, secs)
 
 
 def pagerank_dangling(pages: DataFrame, edges: DataFrame, iterations: int = 2,
                       round_mass: bool = True, damping: float = DAMPING, compat: bool = False,
-                      partitions: int | None = None, keep_links: bool = False) -> RankResult:
+                      partitions: int | None = None, keep_links: bool = False, node_ids: bool = False,
+                      rounds_at: str | None = None, resume: bool = False) -> RankResult:
     """Rank with dangling redistribution: ``0.15 + 0.85 * (sum + D / N)``.
 
     ``D`` is the rank mass of ranked nodes without links (rounded half-up when
@@ -310,33 +381,40 @@ def pagerank_dangling(pages: DataFrame, edges: DataFrame, iterations: int = 2,
     rank to a node ``dangling`` from the second round on.
     """
     spark = edges.sparkSession
-    p = partitions or shuffle_partitions(spark)
-    metrics, secs = [], []
+    secs = []
     t0 = time.perf_counter()
-    pairs, own = link_pairs(edges), materialize(pages)
-    with pinned_partitions(spark, p):
-        links = prepare_links(pairs, p)
-        ranks = materialize(_start(own, links), persist=True)
-        drop_checkpoint(own)
+    job = _job(pages, edges, partitions, node_ids, rounds_at, resume, job="dangling", compat=compat, damping=damping,
+               round_mass=round_mass)
+    bare = ~F.col("has_links")
+    with pinned_partitions(spark, job.partitions):
+        links = prepare_links(job.pairs, job.partitions)
+        first, state, ranks = job.resumed()
+        if ranks is None:
+            raw_mass = Observation()
+            start = _start(job.pages, links).observe(raw_mass, F.coalesce(F.sum(F.when(bare, F.col("rank"))), F.lit(0.0)).alias("mass"))
+            ranks = materialize(start, persist=True)
+            state = {"raw": raw_mass.get["mass"], "metrics": []}
+        drop_checkpoint(job.pages)
+        raw, metrics = state["raw"], [tuple(m) for m in state["metrics"]]
         prep = time.perf_counter() - t0
         table = ranks
-        raw = dangling_mass_value(ranks, round_mass)[0]
-        for i in range(iterations):
+        for i in range(first, iterations):
             t0 = time.perf_counter()
             mass = float(math.floor(raw + 0.5)) if round_mass else raw
-            sums = materialize(step_dangling_sums(links, ranks, i if compat else None), persist=True)
+            # N, and what the next round's dangling mass is made of (rank is
+            # affine in s), come with the job that writes the round's table.
+            seen = Observation()
+            sums = step_dangling_sums(links, ranks, i if compat else None, job.dangling).observe(
+                seen, F.count(F.lit(1)).alias("n"), F.count(F.when(bare, 1)).alias("k"),
+                F.coalesce(F.sum(F.when(bare, F.col("s"))), F.lit(0.0)).alias("s"))
+            sums = materialize(sums, persist=True)
             drop_checkpoint(table)  # the table this round's ranks were read from
             table = sums
-            # one pass over the new table: N, and what the next round's
-            # dangling mass is made of (rank is affine in s)
-            n, k, s_dangling = sums.agg(
-                F.count(F.lit(1)),
-                F.count(F.when(~F.col("has_links"), 1)),
-                F.coalesce(F.sum(F.when(~F.col("has_links"), F.col("s"))), F.lit(0.0))).first()
+            n, k, s_dangling = (seen.get[name] for name in ("n", "k", "s"))
             metrics.append((i, n, mass, raw))
             share = mass / n if n else 0.0
             raw = k * TELEPORT_COMPUTED + damping * (s_dangling + k * share)
             ranks = apply_dangling(sums, mass, n, damping)
+            job.keep(i, ranks, {"raw": raw, "metrics": metrics})
             secs.append(time.perf_counter() - t0)
-    _finish(table, links, keep_links)
-    return RankResult(ranks, metrics, links, prep, secs)
+    return RankResult(job.finish(ranks, table, links, keep_links), metrics, links, prep, secs)
