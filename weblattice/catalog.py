@@ -7,6 +7,7 @@ decimals because two engines sum in different orders.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,8 +20,9 @@ from .operators.nodes import link_names, node_dictionary
 from .operators.text import format_pairs, tokens, word_count
 from .plans import pagerank as pr
 from .plans.lineage import materialize, pinned_partitions, shuffle_partitions
-from .plans.lookup import lookup, lookup_mapped
+from .plans.lookup import lookup, lookup_at, lookup_mapped, write_lookup_table
 from .plans.pipelines import clean_crawl, clean_crawl_dedup, graph_from_rank_table
+from .session import checkpoint_dir
 from .sources.crawl import select_parts
 from .sources.sinks import format_ranks, rank_lines
 from .sources.text import parse_edges, parse_link_rows
@@ -224,6 +226,14 @@ def q_rank_lookup(spark, d):
     return _ranked(lookup(ranks, LOOKUP_KEY))
 
 
+def q_rank_lookup_pruned(spark, d):
+    """The same lookup from a table that is written for it."""
+    gr = _crawl_graph(spark, d)
+    path = f"{checkpoint_dir(spark)}/lookup-{uuid.uuid4().hex}"
+    write_lookup_table(pr.pagerank_dangling(gr.pages, gr.edges, ROUNDS_DANGLING).ranks, path)
+    return _ranked(lookup_at(spark, path, LOOKUP_KEY))
+
+
 def q_rank_lookup_mapped(spark, d):
     gr = _crawl_graph(spark, d)
     ranks = pr.pagerank_dangling(gr.pages, gr.edges, 1).ranks

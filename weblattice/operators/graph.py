@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.lineage import drop_checkpoint, materialize
+
 
 def with_multiplicity(edges: DataFrame) -> DataFrame:
     """``(src, dst[, n])`` -> ``(src, dst, n)`` with ``n`` defaulting to 1."""
@@ -30,24 +32,42 @@ def out_degree(edges: DataFrame) -> DataFrame:
     return with_multiplicity(edges).groupBy("src").agg(F.sum("n").alias("deg"))
 
 
-def join_by(rows: DataFrame, per_key: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+def join_by(rows: DataFrame, per_key: DataFrame, key: str, partitions: int | None = None,
+            temporary: list | None = None) -> DataFrame:
     """``rows(key, ...)`` joined with ``per_key(key, ...)``, which has one row
     per key.
 
     Keys with more than ``rows / partitions`` rows are hot: fewer than
     ``partitions`` of them, a proven bound, so their entries of ``per_key`` are
-    broadcast to rows that stay where they are. The others are joined by
-    shuffle, and no key of that join has more than a partition's share.
-    Both sides of the split come from one table: ``rows`` is read for the
-    counts, and once for each side; pass a materialised table if it is costly.
+    broadcast. The same rows then meet the other entries by shuffle, where
+    those that found theirs are spread by their own hash and match nothing, so
+    no task has more than a partition's share of one key. ``rows`` is read
+    twice, for the counts and for the join, with three exchanges in all. The
+    small table of hot keys that the result reads is added to ``temporary``,
+    for callers that materialise the result and then drop it.
     """
     p = partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
-    total = counts.agg(F.sum("__rows")).first()[0] or 0
-    hot = F.broadcast(counts.where(F.col("__rows") > -(-total // p)).select(key))
-    spread = rows.join(hot, key, "left_semi").join(
-        F.broadcast(per_key.join(hot, key, "left_semi")), key)
-    return rows.join(hot, key, "left_anti").join(per_key, key).unionByName(spread)
+    counts = materialize(rows.groupBy(key).agg(F.count(F.lit(1)).alias("__rows")))
+    total, most = counts.agg(F.sum("__rows"), F.max("__rows")).first()
+    limit = -(-(total or 0) // p)
+    found = [c for c in per_key.columns if c != key]
+    others = [c for c in rows.columns if c != key]
+    if (most or 0) <= limit:
+        drop_checkpoint(counts)
+        return rows.join(per_key, key).select(key, *others, *found)
+    hot = materialize(counts.where(F.col("__rows") > limit).select(key))
+    drop_checkpoint(counts)
+    if temporary is not None:
+        temporary.append(hot)
+    entry = per_key.select(key, F.struct(F.lit(True).alias("__here"), *found).alias("__entry"))
+    hot_entry = F.broadcast(entry.join(F.broadcast(hot), key, "left_semi").withColumnRenamed("__entry", "__hot"))
+    # The key's hash, not a literal: the optimiser would drop that from the join keys.
+    plain = F.xxhash64(F.lit(p), key)
+    own = plain.bitwiseXOR(F.pmod(F.xxhash64(*rows.columns), F.lit(p)) + 1)
+    spread = rows.join(hot_entry, key, "left").withColumn("__salt", F.when(F.col("__hot").isNull(), plain).otherwise(own))
+    joined = spread.join(entry.withColumn("__salt", plain), [key, "__salt"], "left")
+    both = F.coalesce("__hot", "__entry")
+    return joined.where(both.isNotNull()).withColumn("__both", both).select(key, *others, *(F.col("__both")[c].alias(c) for c in found))
 
 
 def join_sources(edges: DataFrame, per_source: DataFrame, partitions: int | None = None) -> DataFrame:
@@ -58,7 +78,7 @@ def join_sources(edges: DataFrame, per_source: DataFrame, partitions: int | None
 def adjacency_rows(edges: DataFrame, partitions: int | None = None) -> DataFrame:
     """Grouped-adjacency view kept exploded: ``(src, dst, deg)`` over distinct
     edges (the edge-list job's ``distinct().groupByKey()``)."""
-    d = distinct_edges(edges)
+    d = materialize(distinct_edges(edges))
     return join_sources(d, out_degree(d), partitions)
 
 

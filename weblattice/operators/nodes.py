@@ -33,10 +33,15 @@ class NodeDictionary:
     table: DataFrame  # (node string, id bigint), materialised
 
     def encode(self, rows: DataFrame, column: str) -> DataFrame:
-        """``rows`` with the names of ``column`` replaced by their numbers; rows
-        whose name is not listed, or null, are left out."""
+        """``rows``, materialised, with the names of ``column`` replaced by
+        their numbers; rows whose name is not listed, or null, are left out."""
         ids = self.table.select(F.col("node").alias(column), F.col("id").alias("__id"))
-        return join_by(rows, ids, column).withColumn(column, F.col("__id")).drop("__id")
+        temporary: list[DataFrame] = []
+        coded = join_by(rows, ids, column, temporary=temporary).withColumn(column, F.col("__id")).drop("__id")
+        out = materialize(coded)
+        for t in temporary:
+            drop_checkpoint(t)
+        return out
 
     def decode(self, rows: DataFrame, column: str = "node") -> DataFrame:
         """``rows``, one per number in ``column``, with the names."""

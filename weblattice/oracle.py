@@ -220,6 +220,7 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT floor(coalesce(sum(rank) FILTER (WHERE NOT has_links), 0{D}) + 0.5{D}) AS dangling_mass FROM r1"
     dg = _dangling(c.ROUNDS_DANGLING)
     q["rank_lookup"] = _with(*dg) + f"SELECT node, {R6} FROM r{c.ROUNDS_DANGLING} WHERE node = '{c.LOOKUP_KEY}'"
+    q["rank_lookup_pruned"] = q["rank_lookup"]
     q["rank_lookup_mapped"] = _with(*_dangling(1), f"k AS (SELECT '{c.LOOKUP_KEY}' AS node)") + (
         "SELECT r.node, NULL::VARCHAR AS src, round(r.rank / coalesce(d.deg, 1), 6) AS value, 1::BIGINT AS n "
         "FROM r1 r JOIN k USING (node) LEFT JOIN d ON d.src = r.node "

@@ -294,12 +294,12 @@ def _job(pages: DataFrame | None, edges: DataFrame, partitions: int | None, node
         job.names = node_dictionary(link_names(pairs, *more), p)
         if settings.get("compat"):
             job.dangling = job.names.table.where(F.col("node") == DANGLING_NODE).first()["id"]
-        by_source = materialize(job.names.encode(pairs, "src"))
-        job.pairs = materialize(job.names.encode(by_source, "dst"), persist=True)
+        by_source = job.names.encode(pairs, "src")
+        job.pairs = job.names.encode(by_source, "dst").persist(StorageLevel.MEMORY_AND_DISK)
         drop_checkpoint(by_source)
         drop_checkpoint(pairs)
         if own is not None:
-            job.pages = materialize(job.names.encode(own, "node"))
+            job.pages = job.names.encode(own, "node")
             drop_checkpoint(own)
     return job
 
