@@ -2,6 +2,12 @@
 
 Each stage takes ``(spark, docs, sf_dir)``; its result is written as Parquet
 in the session's shared folder and read again as the next stage's documents.
+
+Nulls in any column, empty and very long texts, ties, repeated rows and empty
+tables have the results that the operators' modules define; no stage fails on
+them. A text without words is no copy of another, holds no benchmark item and
+no secret, and has no token. Columns beyond those of documents are handed on by
+all stages but the last, whose result has the columns of the encoder.
 """
 
 from __future__ import annotations

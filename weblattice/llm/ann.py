@@ -17,7 +17,9 @@ query's best ``k``; the best of those over all blocks are the result.
 Vectors that are null, zero, of another length than most, or that hold null or
 non-finite components take no part, nor do rows with a null id. Rows that
 repeat an id are one candidate with the better score. Ties go to the smaller
-id. An empty table gives no rows.
+id. An empty table gives no rows. Very long vectors cost
+their length. Only the id and the vector are read, so other columns may have
+any name.
 """
 
 from __future__ import annotations

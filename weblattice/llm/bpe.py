@@ -10,7 +10,9 @@ linear in the piece.
 
 Null texts count as empty. Empty texts have no tokens. Special tokens of the
 vocabulary file that occur in a text become their own ids unless
-``special_as_text`` is set. Repeated rows are encoded row by row.
+``special_as_text`` is set. Repeated rows are encoded row by row. A null
+id stays null. Long texts are encoded whole, piece by piece. An empty table
+gives no rows. Other columns are never read, whatever their names.
 """
 
 from __future__ import annotations

@@ -22,7 +22,11 @@ item's length in word edits.
 
 Null and empty texts match nothing; nor do items that are null or have fewer
 than ``min_words`` words. Repeated rows of documents or items each match;
-rows that share an id give one result for it. Null ids are kept as ids.
+rows that share an id give one result for it. Null ids are kept as ids. Texts are
+searched whole, however long. Of several passages as near to an item, the one
+found at the smallest place counts. An empty table of documents or items gives
+no matches. ``matches`` reads no other columns, whatever their names;
+``keep_clean`` hands the columns of documents on.
 """
 
 from __future__ import annotations

@@ -9,7 +9,9 @@ training. A text whose two best codewords lie close is flagged as ambiguous.
 ``und`` with score 0 if a text is null or has no letter. Repeated rows get
 alike results; rows with a null id are kept. Rows with a null language or text
 are not learnt from. Without any language to learn, every text is ``und``;
-with a single one, every text with letters is that language.
+with a single one, every text with letters is that language. Texts are read whole, in blocks, however long.
+Of equally near codewords the first language by name is taken. An empty table
+gives no rows. Other columns are never read, whatever their names.
 """
 
 from __future__ import annotations

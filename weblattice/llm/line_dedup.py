@@ -12,6 +12,9 @@ original text (code points, end exclusive).
 
 Null and empty texts have no unit. Null ids rank after all others. Of rows
 that repeat an id, ties at the same offset go to the one that is read first.
+Texts are cut whole, however long. An empty table has no repeats. Other
+columns are never read by ``repeats``, whatever their names;
+``without_repeats`` hands the columns of documents on.
 """
 
 from __future__ import annotations

@@ -24,7 +24,11 @@ Words are runs other than blanks and control spaces, with A-Z in small
 letters; fewer than ``words`` words form one shingle. A null, empty or blank
 text has an empty set and a class of its own. Rows that repeat an id are
 separate texts of one class id. A row with a null id links with nothing and
-has a null class.
+has a null class. Texts are
+processed whole, however long. Of a class the smallest id names it; the order
+of equal sets does not matter. An empty table gives no rows. ``classes`` reads
+no other columns, whatever their names; ``one_of_each`` hands the columns of
+documents on.
 """
 
 from __future__ import annotations

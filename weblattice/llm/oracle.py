@@ -6,24 +6,30 @@ from . import warc
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-_UNITS = rf"""
-WITH pieces AS (
-  SELECT doc_id, regexp_extract_all(text, '[^\n.!?]+[\n.!?]*|[\n.!?]+') AS p FROM documents),
-cut AS (SELECT doc_id, unnest(p) AS piece, generate_subscripts(p, 1) AS k FROM pieces),
+_UNITS = {"line": r"[^\n]+\n*|\n+", "sentence": r"[^\n.!?]+[\n.!?]*|[\n.!?]+"}
+
+
+def _repeats(kinds: tuple[str, ...], min_words: int) -> str:
+    """Repeated units of each kind, which is ranked apart."""
+    pieces = " UNION ALL ".join(f"SELECT doc_id, '{k}' AS kind, regexp_extract_all(text, '{_UNITS[k]}') AS p FROM documents" for k in kinds)
+    return rf"""
+WITH pieces AS ({pieces}),
+cut AS (SELECT doc_id, kind, unnest(p) AS piece, generate_subscripts(p, 1) AS k FROM pieces),
 placed AS (
-  SELECT doc_id, piece, sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY k)::BIGINT AS stop FROM cut),
+  SELECT doc_id, kind, piece, sum(length(piece)) OVER (PARTITION BY doc_id, kind ORDER BY k)::BIGINT AS stop FROM cut),
 plain AS (
-  SELECT doc_id, stop - length(piece) AS "start", stop AS "end",
+  SELECT doc_id, kind, stop - length(piece) AS "start", stop AS "end",
          trim(regexp_replace(translate(piece, '{_UPPER}', '{_LOWER}'), '[ \t\r\n\f\v]+', ' ', 'g'), ' .!?') AS unit
   FROM placed),
 counted AS (
   SELECT *, (CASE WHEN unit = '' THEN 0 ELSE length(unit) - length(replace(unit, ' ', '')) + 1 END)::INT AS n_words FROM plain),
 ranked AS (
   SELECT *, row_number() OVER w AS r, first_value(doc_id) OVER w AS kept_id, first_value("start") OVER w AS kept_start
-  FROM counted WHERE n_words >= 8 WINDOW w AS (PARTITION BY unit ORDER BY doc_id, "start"))
+  FROM counted WHERE n_words >= {min_words} WINDOW w AS (PARTITION BY kind, unit ORDER BY doc_id, "start"))
 SELECT doc_id, "start", "end", n_words, kept_id, kept_start FROM ranked WHERE r > 1
 """
 
+
 _JACCARD = rf"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') AS w FROM documents),
@@ -96,7 +102,8 @@ FROM records
 """
 
 SQL: dict[str, str] = {
-    "op3_unit_dedup": _UNITS,
+    "op3_unit_dedup": _repeats(("sentence",), 8),
+    "op3_line_sentence_dedup": _repeats(("line", "sentence"), 1),
     "op5_warc_derivatives": _WARC,
     "op6_ngram_jaccard": _JACCARD,
 }

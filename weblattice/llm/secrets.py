@@ -15,7 +15,11 @@ there. A text of plain words alone falls apart everywhere, which is checked
 once on the model.
 
 Null texts count as empty. Offsets are code points, ends exclusive. Rows that
-repeat, and rows with null ids, are scanned row by row.
+repeat, and rows with null ids, are scanned row by row. Texts
+are scanned whole, however long. Of equally likely taggings one is taken by a
+fixed order of the tags. An empty table gives no rows; without a base span the
+field adds none. ``scans`` reads no other columns, whatever their names;
+``redacted`` hands the columns of documents on.
 """
 
 from __future__ import annotations

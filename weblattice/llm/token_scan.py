@@ -11,7 +11,10 @@ that cross blocks are stitched together.
 Tokens after the last separator of a file are a document that is not
 terminated. Two separators in a row enclose a document of no tokens. A file
 of no tokens has no documents. A file whose size is no multiple of the token
-width is an error.
+width is an error. Null
+and empty texts are documents of no tokens; a null id stays null, and rows
+that repeat an id are counted row by row. Long texts are encoded whole. An
+empty table gives no rows. Other columns are never read, whatever their names.
 """
 
 from __future__ import annotations

@@ -8,7 +8,9 @@ by digest, so a rerun makes the same ones. All in DataFrame expressions.
 
 A null HTTP message or page counts as empty: its records have an empty title
 and an empty text. Null URIs become empty fields. Repeated rows give repeated
-records with the same ids.
+records with the same ids. Pages are
+converted whole, however long. An empty table gives no records. Other columns
+are never read, whatever their names.
 """
 
 from __future__ import annotations
