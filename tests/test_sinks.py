@@ -154,6 +154,25 @@ def test_sequence_files_stay_in_the_jvm(spark, tmp_out):
     assert len(list_parts(spark, tmp_out, 1)) == 3
 
 
+def test_a_range_opens_only_its_parts(spark, tmp_out, monkeypatch):
+    from weblattice.plans.pipelines import crawl_clean_job
+    from weblattice.sources import crawl
+    seg, landing = os.path.join(tmp_out, "seg"), os.path.join(tmp_out, "landing")
+    for n in (1, 2, 40, 1500, 250123):
+        rows = [(f"u{n}", '{"content":{"links":[{"type":"a","href":"v%d"}]}}' % n)]
+        write_text_pairs(spark.createDataFrame(rows, "k string, v string"), os.path.join(seg, f"metadata-{n:05d}"))
+    monkeypatch.setattr(crawl, "PARTS_AT_ONCE", 2)
+    assert sorted(r["url"] for r in land_crawl(spark, seg, landing).collect()) == ["u1", "u1500", "u2", "u250123", "u40"]
+    some = crawl.read_landed(spark, landing, 2, 1500)
+    assert sorted(r["url"] for r in some.collect()) == ["u1500", "u2", "u40"] and some.columns == ["url", "json"]
+    plan = some._jdf.queryExecution().executedPlan()
+    assert "PartitionFilters: [isnotnull(part" in plan.toString() and "Filter (" not in plan.toString()
+    assert plan.collectLeaves().apply(0).metrics().apply("numPartitions").value() == 3
+    g = crawl_clean_job(spark, "/nowhere", lo=40, landing=landing, reuse_landing=True)
+    assert _adj(g) == {"u40": ["v40"], "u1500": ["v1500"], "u250123": ["v250123"]}
+    assert land_crawl(spark, seg, os.path.join(tmp_out, "none"), 3, 5).collect() == []
+
+
 def test_a_failed_task_leaves_no_part_file(spark, tmp_out):
     out = os.path.join(tmp_out, "failed")
     bad = spark.range(0, 2000, 1, 4).selectExpr(

@@ -20,6 +20,7 @@ def main(argv: list[str] | None = None) -> None:
         p.add_argument("--hi", type=int, help="highest part number (default: every part)")
         p.add_argument("--invalid", choices=["drop", "sentinel", "fail"], help="what becomes of unusable records")
         p.add_argument("--landing", help="where the parts are landed as Parquet (default: the checkpoint folder)")
+        p.add_argument("--reuse-landing", action="store_true", help="read the parts that --landing holds, not the folder")
 
     wc = sub.add_parser("wordcount", help="text files -> (word,n) pair text")
     wc.add_argument("src")
@@ -52,14 +53,15 @@ def main(argv: list[str] | None = None) -> None:
     if a.job == "wordcount":
         jobs.word_count_job(spark, a.src, a.dst)
     elif a.job == "clean":
-        jobs.crawl_clean_job(spark, a.folder, a.dst, a.lo, a.hi, dedupe=a.dedupe, invalid=a.invalid, landing=a.landing)
+        jobs.crawl_clean_job(spark, a.folder, a.dst, a.lo, a.hi, dedupe=a.dedupe, invalid=a.invalid, landing=a.landing,
+                             reuse_landing=a.reuse_landing)
     elif a.job == "tablerank":
         jobs.rank_table_job(spark, a.src, a.dst, a.iterations, compat=a.compat, bad_rank="default" if a.tolerant else "fail")
     elif a.job == "edgerank":
         jobs.edge_rank_job(spark, a.src, a.iterations, a.dst)
     elif a.job == "crawlrank":
         res = jobs.crawl_rank_job(spark, a.folder, a.iterations, a.lo, a.hi, not a.raw_mass, a.invalid or "sentinel",
-                                  a.compat, a.dst, a.landing)
+                                  a.compat, a.dst, a.landing, a.reuse_landing)
         for rnd, nodes, mass, raw in res.metrics:
             print(json.dumps({"round": rnd, "nodes": nodes, "dangling_mass": mass,
                               "dangling_mass_raw": raw}))

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ..operators.crawl import adjacency, extract_links, merge_links
 from ..operators.text import word_count
 from ..session import checkpoint_dir
-from ..sources.crawl import land_crawl
+from ..sources.crawl import land_crawl, read_landed
 from ..sources.sinks import format_ranks, rank_rows, write_pairs_text, write_rank_rows
 from ..sources.text import DANGLING_MARK, parse_edges, parse_link_rows, read_lines
 from . import pagerank as pr
@@ -103,16 +103,20 @@ def rank_table_job(spark: SparkSession, src: str, dst: str | None = None, iterat
     return res.ranks
 
 
-def _landed(spark: SparkSession, folder: str, landing: str | None, lo: int | None, hi: int | None) -> DataFrame:
+def _landed(spark: SparkSession, folder: str, landing: str | None, lo: int | None, hi: int | None,
+            reuse: bool = False) -> DataFrame:
+    """The parts' records; with ``reuse`` from a table landed before."""
+    if reuse and landing:
+        return read_landed(spark, landing, lo, hi)
     return land_crawl(spark, folder, landing or f"{checkpoint_dir(spark)}/crawl-{uuid.uuid4().hex}", lo, hi)
 
 
 def crawl_clean_job(spark: SparkSession, folder: str, dst: str | None = None, lo: int | None = None,
                     hi: int | None = None, dedupe: bool = False, invalid: str | None = None,
-                    partitions: int | None = None, landing: str | None = None) -> CrawlGraph:
+                    partitions: int | None = None, landing: str | None = None, reuse_landing: bool = False) -> CrawlGraph:
     """Crawl parts (all, or those in the range), landed once as Parquet ->
     merged links (-> rank-table text, rank 1.0)."""
-    records = _landed(spark, folder, landing, lo, hi)
+    records = _landed(spark, folder, landing, lo, hi, reuse_landing)
     g = clean_crawl_dedup(records, invalid or "sentinel") if dedupe else clean_crawl(records, invalid or "drop")
     if dst:
         write_rank_rows(g.rank_rows(), dst, partitions=partitions)
@@ -132,9 +136,10 @@ def edge_rank_job(spark: SparkSession, src: str, iterations: int,
 
 def crawl_rank_job(spark: SparkSession, folder: str, iterations: int = 2, lo: int | None = None,
                    hi: int | None = None, round_mass: bool = True, invalid: str = "sentinel",
-                   compat: bool = False, dst: str | None = None, landing: str | None = None) -> pr.RankResult:
+                   compat: bool = False, dst: str | None = None, landing: str | None = None,
+                   reuse_landing: bool = False) -> pr.RankResult:
     """Crawl parts, landed once as Parquet -> de-duplicated clean-up -> dangling rank."""
-    g = clean_crawl_dedup(_landed(spark, folder, landing, lo, hi), invalid)
+    g = clean_crawl_dedup(_landed(spark, folder, landing, lo, hi, reuse_landing), invalid)
     res = pr.pagerank_dangling(g.pages, g.edges, iterations, round_mass=round_mass, compat=compat)
     if dst:
         write_rank_rows(rank_rows(res.ranks.select("node", "rank"), g.edges), dst)

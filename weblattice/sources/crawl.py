@@ -17,6 +17,8 @@ from .hadoop import read_text_pairs
 
 # Fixed values of the part-file naming rule: marker text, and five digits or more.
 PART_PREFIX = "metadata-"
+LANDED = "url string, json string, part bigint"
+PARTS_AT_ONCE = 200  # parts that one job copies
 PART_NUMBER = re.compile(PART_PREFIX + "([0-9]{5,})")
 
 
@@ -82,9 +84,30 @@ def read_crawl_seq(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 def land_crawl(spark: SparkSession, folder: str, landing: str,
                lo: int | None = None, hi: int | None = None) -> DataFrame:
     """Copy the selected parts once into a Parquet table at ``landing`` and
-    read that: SequenceFiles, which know no columns, are read here only."""
-    read_crawl_parts(spark, folder, lo, hi).write.mode("overwrite").parquet(landing)
-    return spark.read.schema("url string, json string").parquet(landing)
+    read that: SequenceFiles, which know no columns, are read here only. The
+    table has a folder per part number, so that later jobs choose parts without
+    listing or opening the others (``read_landed``). Parts are copied
+    ``PARTS_AT_ONCE`` to a job; a task reads one part, so nothing is shuffled."""
+    parts = list_parts(spark, folder, lo, hi)
+    empty = spark.createDataFrame([], LANDED)
+    for at in range(0, max(len(parts), 1), PARTS_AT_ONCE):
+        rows = empty
+        for path in parts[at:at + PARTS_AT_ONCE]:
+            number = _part_number_py(path.rsplit("/", 1)[1])
+            rows = rows.unionByName(read_crawl_seq(spark, path).withColumn("part", F.lit(number).cast("bigint")))
+        rows.write.mode("append" if at else "overwrite").partitionBy("part").parquet(landing)
+    return read_landed(spark, landing, lo, hi)
+
+
+def read_landed(spark: SparkSession, landing: str, lo: int | None = None, hi: int | None = None) -> DataFrame:
+    """Crawl records of the parts in ``[lo, hi]`` of a landed table. The range
+    is a filter on its partition column: other parts' folders are never opened."""
+    rows = spark.read.schema(LANDED).parquet(landing)
+    if lo is not None:
+        rows = rows.where(F.col("part") >= lo)
+    if hi is not None:
+        rows = rows.where(F.col("part") <= hi)
+    return rows.select("url", "json")
 
 
 def read_crawl_parts(spark: SparkSession, folder: str, lo: int | None = None, hi: int | None = None) -> DataFrame:
