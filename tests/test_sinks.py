@@ -51,7 +51,12 @@ def test_rank_rows_roundtrip(spark, tmp_out):
     out = os.path.join(tmp_out, "tsv")
     write_rank_rows(g.rank_rows(), out, partitions=46)
     parts = glob.glob(os.path.join(out, "part-*"))
-    assert 0 < len(parts) <= 46 and all(p.endswith(".deflate") for p in parts)
+    assert len(parts) == 46 and all(p.endswith(".deflate") for p in parts)  # empty ones too
+    write_rank_rows(g.rank_rows().limit(0), os.path.join(tmp_out, "none"), partitions=3)
+    assert len(glob.glob(os.path.join(tmp_out, "none", "part-*"))) == 3
+    assert spark.read.text(os.path.join(tmp_out, "none")).count() == 0
+    write_rank_rows(g.rank_rows(), out, partitions=5, compression="gzip")  # replaces what is there
+    assert len(glob.glob(os.path.join(out, "part-*.gz"))) == 5 == len(glob.glob(os.path.join(out, "part-*")))
     back = graph_from_rank_table(parse_link_rows(spark.read.text(out)))
     assert _adj(back) == _adj(g) and _adj(back)["F"] == ["A", "p,q"]
     assert sorted(r["node"] for r in back.pages.collect()) == ["A", "B", "C", "E", "F"]

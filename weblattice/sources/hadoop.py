@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 TEXT = "org.apache.hadoop.io.Text"
+CODECS = {"deflate": "DefaultCodec", "gzip": "GzipCodec", "bzip2": "BZip2Codec", "none": None}
 SEQUENCE_OUTPUT = "org.apache.hadoop.mapred.SequenceFileOutputFormat"
 
 
@@ -26,6 +27,23 @@ def text_splits(spark: SparkSession, paths: str | list[str], least: int) -> Data
     return DataFrame(spark._jsparkSession.createDataset(rdd, jvm.org.apache.spark.sql.Encoders.STRING()).toDF(), spark)
 
 
+def write_text_splits(lines: DataFrame, path: str, compression: str = "deflate") -> None:
+    """The one string column of ``lines`` as text, with exactly one part file
+    per partition: an empty one too, for which Spark's own sink writes none.
+    What is at ``path`` is replaced."""
+    sc, jvm = lines.sparkSession.sparkContext, lines.sparkSession.sparkContext._jvm
+    strings = jvm.java.lang.Class.forName("java.lang.String")
+    typed = getattr(lines._jdf, "as")(jvm.org.apache.spark.sql.Encoders.STRING())
+    rows = jvm.org.apache.spark.api.java.JavaRDD.fromRDD(typed.rdd(), jvm.scala.reflect.ClassTag.apply(strings))
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
+    codec = CODECS[compression]
+    if codec:
+        rows.saveAsTextFile(path, jvm.java.lang.Class.forName(f"org.apache.hadoop.io.compress.{codec}"))
+    else:
+        rows.saveAsTextFile(path)
+
+
 def read_text_pairs(spark: SparkSession, paths: str | list[str], key: str, value: str) -> DataFrame:
     """SequenceFile(s) of ``(Text, Text)`` -> ``(key string, value string)``.
     ``paths``: a list, or one string that may hold globs and commas."""

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..operators.graph import join_sources, with_multiplicity
 from ..operators.text import format_pairs
-from .hadoop import write_text_pairs
+from .hadoop import write_text_pairs, write_text_splits
 from .text import DANGLING_MARK, FORM_MARK, escaped
 
 
@@ -39,11 +39,15 @@ def rank_lines(rows: DataFrame) -> DataFrame:
 
 def write_rank_rows(rows: DataFrame, path: str, partitions: int | None = None,
                     compression: str = "deflate", mode: str = "overwrite") -> None:
-    """Compressed text in the layout that ``rows`` comes in, or spread by the
-    hash of url and link over ``partitions`` tasks on request (a task without
-    rows writes no file)."""
-    out = rows.repartition(partitions, "url", "link") if partitions else rows
-    rank_lines(out).write.mode(mode).option("compression", compression).text(path)
+    """Compressed text in the layout that ``rows`` comes in; or spread by the
+    hash of url and link over ``partitions`` tasks, which then write exactly so
+    many part files, whatever was at ``path``."""
+    if not partitions:
+        rank_lines(rows).write.mode(mode).option("compression", compression).text(path)
+        return
+    # Adaptive execution would pack a small shuffle into fewer partitions; a
+    # count that is asked for is kept.
+    write_text_splits(rank_lines(rows.repartition(partitions, "url", "link")), path, compression)
 
 
 def write_pairs_text(counts: DataFrame, path: str, key: str = "word", value: str = "n",
