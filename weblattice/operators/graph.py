@@ -104,15 +104,22 @@ def initial_ranks(nodes: DataFrame, value: float = 1.0) -> DataFrame:
     return nodes.select("node", F.lit(float(value)).alias("rank"))
 
 
-def key_counts(ranks: DataFrame, edges: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Rows per key of one round's mapped stream: a node's own row plus one
-    row per incoming link occurrence from a ranked source."""
+def _mapped_stream(ranks: DataFrame, edges: DataFrame, partitions: int | None) -> DataFrame:
+    """``(node, c)``: one round's mapped stream, a node's own row and one row
+    per link from a ranked source with its occurrences."""
     own = ranks.select("node", F.lit(1).cast("bigint").alias("c"))
     incoming = join_sources(with_multiplicity(edges), ranks.select(F.col("node").alias("src")).distinct(), partitions) \
         .select(F.col("dst").alias("node"), F.col("n").alias("c"))
-    return own.unionByName(incoming).groupBy("node").agg(F.sum("c").alias("n"))
+    return own.unionByName(incoming)
+
+
+def key_counts(ranks: DataFrame, edges: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Rows per key of one round's mapped stream."""
+    return _mapped_stream(ranks, edges, partitions).groupBy("node").agg(F.sum("c").alias("n"))
 
 
 def node_count(ranks: DataFrame, edges: DataFrame, partitions: int | None = None) -> DataFrame:
-    """One row: distinct keys of one round's mapped stream (``nodes``)."""
-    return key_counts(ranks, edges, partitions).agg(F.count(F.lit(1)).alias("nodes"))
+    """One row: distinct keys of one round's mapped stream (``nodes``). Keys
+    are made distinct in the tasks that map, then by key; nothing is summed."""
+    keys = _mapped_stream(ranks, edges, partitions).select("node").distinct()
+    return keys.agg(F.count(F.lit(1)).alias("nodes"))
