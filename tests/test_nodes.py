@@ -117,3 +117,19 @@ def test_a_dangling_round_is_one_job(spark):
         sc.setLocalProperty("spark.jobGroup.id", None)
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert jobs[3] - jobs[1] == 2
+
+
+def test_jobs_from_the_command_line_continue(spark, tmp_out, monkeypatch):
+    from weblattice.__main__ import main
+    src, out, rounds = (os.path.join(tmp_out, n) for n in ("edges.txt", "out", "rounds"))
+    with open(src, "w") as fh:
+        fh.write("A B\nA C\nA B\nB C\nB A\nC D\nF A\n")
+    main(["edgerank", src, "2", out, "--rounds-at", rounds, "--node-ids"])
+    assert os.listdir(rounds) == ["round-00001"]
+    calls, real = [], pr.step_active
+    monkeypatch.setattr(pr, "step_active", lambda *a, **k: calls.append(1) or real(*a, **k))
+    main(["edgerank", src, "4", out, "--rounds-at", rounds, "--node-ids", "--resume"])
+    got = sorted(r[0] for r in spark.read.text(out).collect())
+    assert len(calls) == 2
+    main(["edgerank", src, "4", out])
+    assert got == sorted(r[0] for r in spark.read.text(out).collect())

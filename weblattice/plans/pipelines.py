@@ -93,11 +93,12 @@ def graph_from_rank_table(rows: DataFrame, compat: bool = False) -> Graph:
 
 
 def rank_table_job(spark: SparkSession, src: str, dst: str | None = None, iterations: int = 10,
-                   compat: bool = False, partitions: int | None = None, bad_rank: str = "fail") -> DataFrame:
+                   compat: bool = False, partitions: int | None = None, bad_rank: str = "fail", **loop) -> DataFrame:
     """Rank-table text in, ``iterations`` all-node rounds, rank-table text out.
-    With ``bad_rank="default"`` a rank that cannot be read is 1.0."""
+    With ``bad_rank="default"`` a rank that cannot be read is 1.0. ``loop``:
+    ``node_ids``, ``rounds_at``, ``resume`` of the rank loops, as in the other jobs."""
     g = graph_from_rank_table(parse_link_rows(spark.read.text(src), bad_rank=bad_rank), compat)
-    res = pr.pagerank_all_nodes(g.pages, g.edges, iterations, compat=compat)
+    res = pr.pagerank_all_nodes(g.pages, g.edges, iterations, compat=compat, **loop)
     if dst:
         write_rank_rows(rank_rows(res.ranks, g.edges), dst, partitions=partitions)
     return res.ranks
@@ -124,10 +125,10 @@ def crawl_clean_job(spark: SparkSession, folder: str, dst: str | None = None, lo
 
 
 def edge_rank_job(spark: SparkSession, src: str, iterations: int,
-                  dst: str | None = None) -> DataFrame:
+                  dst: str | None = None, **loop) -> DataFrame:
     """Edge-list text -> ``iterations`` active-page rounds -> report lines."""
     edges = parse_edges(read_lines(spark, src))
-    ranks = pr.pagerank_active(edges, iterations).ranks
+    ranks = pr.pagerank_active(edges, iterations, **loop).ranks
     report = format_ranks(ranks)
     if dst:
         report.write.mode("overwrite").text(dst)
@@ -137,10 +138,10 @@ def edge_rank_job(spark: SparkSession, src: str, iterations: int,
 def crawl_rank_job(spark: SparkSession, folder: str, iterations: int = 2, lo: int | None = None,
                    hi: int | None = None, round_mass: bool = True, invalid: str = "sentinel",
                    compat: bool = False, dst: str | None = None, landing: str | None = None,
-                   reuse_landing: bool = False) -> pr.RankResult:
+                   reuse_landing: bool = False, **loop) -> pr.RankResult:
     """Crawl parts, landed once as Parquet -> de-duplicated clean-up -> dangling rank."""
     g = clean_crawl_dedup(_landed(spark, folder, landing, lo, hi, reuse_landing), invalid)
-    res = pr.pagerank_dangling(g.pages, g.edges, iterations, round_mass=round_mass, compat=compat)
+    res = pr.pagerank_dangling(g.pages, g.edges, iterations, round_mass=round_mass, compat=compat, **loop)
     if dst:
         write_rank_rows(rank_rows(res.ranks.select("node", "rank"), g.edges), dst)
     return res
