@@ -52,7 +52,7 @@ def test_planted_passages_are_found_and_others_left(spark):
             planted.add((d, k))
         docs.append((d, r.choice([" ", ", ", "\n"]).join(w)))
     docs += [(240, None), (241, ""), (242, docs[0][1]), (None, docs[0][1])]
-    items += [(90, None), (91, ""), (92, "two words")]
+    items += [(90, None), (91, ""), (92, "two words"), (93, "?!")]
     df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("item_id", F.lit("x")).withColumn("size", F.lit(0))
     bench = spark.createDataFrame(items, "item_id long, text string").withColumn("doc_id", F.lit(1))
     got = dc.matches(df, bench).collect()
@@ -136,3 +136,46 @@ def test_words_of_long_items_are_not_broadcast(spark, monkeypatch):
         found = dc.matches(docs, bench)
         assert found._jdf.queryExecution().optimizedPlan().toString().count("strategy=broadcast") == hints
         assert {(r["doc_id"], r["item_id"], r["distance"]) for r in found.collect()} == {(1, 1, 0), (2, None, 0)}
+
+
+def test_items_below_the_least_number_of_words(spark):
+    r = random.Random(12)
+    vocab = [f"v{k}" for k in range(30)]
+    items = [(k, " ".join(r.choice(vocab) for _ in range(1 + k % 4))) for k in range(30)]
+    items += [(40, "alpha beta gamma delta"), (41, items[5][1]), (42, None), (43, "?!"), (44, " ".join(f"long{k}" for k in range(9)))]
+    docs = [(d, ", ".join(r.choice(vocab) for _ in range(r.randrange(0, 40)))) for d in range(120)]
+    docs += [(200, "so Alpha, beta\ngamma delta. and alpha beta gamma delta"), (201, "alpha beta gamma"), (202, None),
+             (203, "x " + items[-1][1])]
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = {}
+    for d, t in docs:
+        w = dc.WORD.findall((t or "").lower())
+        for k, x in items:
+            x = dc.WORD.findall((x or "").lower())
+            at = [a for a in range(len(w) - len(x) + 1) if x and w[a:a + len(x)] == x]
+            if at:
+                want[d, k] = at[0]
+    for most in (dc.BROADCAST_IDS, 0):  # by broadcast, and by shuffle
+        dc.BROADCAST_IDS, before = most, dc.BROADCAST_IDS
+        try:
+            got = dc.matches(df, bench).collect()
+        finally:
+            dc.BROADCAST_IDS = before
+        assert {(x["doc_id"], x["item_id"]) for x in got} == set(want) and len(got) == len(want)
+        text = dict(docs)
+        for x in got:
+            assert x["distance"] == 0
+            assert len(dc.WORD.findall(text[x["doc_id"]][:x["begin"]])) == want[x["doc_id"], x["item_id"]]
+            assert dc.WORD.findall(text[x["doc_id"]][x["begin"]:x["end"]].lower()) == dc.WORD.findall(dict(items)[x["item_id"]].lower())
+
+
+def test_scripts_without_blanks(spark):
+    item = "\u65e5\u672c\u306e\u9996\u90fd\u306f\u6771\u4eac\u3067\u3059\u304c\u5927\u962a\u3082\u5927\u304d\u306a\u90fd\u5e02\u3067\u3042\u308b"
+    changed = item[:7] + "\u5dde" + item[8:]
+    thai = "\u0e01\u0e23\u0e38\u0e07\u0e40\u0e17\u0e1e\u0e21\u0e2b\u0e32\u0e19\u0e04\u0e23"
+    docs = [(1, "\u3053\u308c" + item + "\u3002\u7d42"), (2, "abc " + changed + " def"), (3, " ".join(item)), (4, item[:9]),
+            (5, "x" + thai + "y"), (6, "caf\u00e9 noir")]
+    items = [(1, item), (2, thai), (3, "\u6771\u4eac"), (4, "noir")]
+    got = dc.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(x["doc_id"], x["item_id"], x["distance"]) for x in got} == {(1, 1, 0), (2, 1, 1), (3, 1, 0), (5, 2, 0), (1, 3, 0), (3, 3, 0), (4, 3, 0), (6, 4, 0)}
+    assert {dict(docs)[x["doc_id"]][x["begin"]:x["end"]] for x in got if x["item_id"] == 1} == {item, changed, " ".join(item)}

@@ -1,8 +1,10 @@
 """Benchmark decontamination by the CGK embedding and bit-sampling LSH.
 
-Texts and benchmark items are sequences of words (``\\w+``, small letters). An
-item is found in a text when some passage is within ``1 - similarity`` of the
-item's length in word edits.
+Texts and benchmark items are sequences of words (``\\w+``, small letters; of
+scripts that are written without blanks, each letter is a word). An item is
+found in a text when some passage is within ``1 - similarity`` of the item's
+length in word edits. At 0.8 that leaves items of fewer than five words no
+edit: items below ``min_words`` are found where all their words stand in order.
 
 1. Items are cut into pieces of at least ``piece`` words, and less than twice
    as many: one piece holds no greater share of edits than the whole. Piece
@@ -19,9 +21,12 @@ item's length in word edits.
    all the edits which a piece may have.
 3. Windows meet items with an equal signature in a join; the passage around a
    window is verified by the exact edit distance (bit-parallel).
+4. An item below ``min_words`` has one signature, the hash of its words. Every
+   window of as many words is looked up in a bitmap of these, and the first of
+   equal windows of a text goes through the same join and verification.
 
-Null and empty texts match nothing; nor do items that are null or have fewer
-than ``min_words`` words. Repeated rows of documents or items each match;
+Null and empty texts match nothing; nor do items that are null or have no
+word. Repeated rows of documents or items each match;
 rows that share an id give one result for it. Null ids are kept as ids. Texts are
 searched whole, however long. Of several passages as near to an item, the one
 found at the smallest place counts. An empty table of documents or items gives
@@ -39,13 +44,18 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import BROADCAST_IDS, by_id, ship, written
 from .ngram_join import WordHash, mixed
 
 WORD = re.compile(r"\w+")
+#: Thai, Lao, Myanmar, Khmer, kana and ideographs: letters that no blank parts into words.
+_BLANKLESS = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+BLANKLESS = re.compile(f"[{_BLANKLESS}]")
+LETTER_OR_WORD = re.compile(rf"(?=\w)[{_BLANKLESS}]|[^\W{_BLANKLESS}]+")
+DEALT = 16               # shares of a signature's or an item's rows in a join by shuffle
 _M1 = np.uint64(0x9E3779B97F4A7C15)
 MAX_BITS = 24            # a bitmap has 2**24 bits (2 MB) at most; a fuller one only lets more through
 LOT_BITS = 18            # the table of lots has 2**18 rows of 64 bits (2 MB)
@@ -92,11 +102,26 @@ class Params:
         return max(1, min(n - 1 - 2 * self.edits(n) for n in range(size, up)))
 
 
+def unit(low: str) -> re.Pattern:
+    """What a word is in a text of small letters."""
+    return WORD if low.isascii() or not BLANKLESS.search(low) else LETTER_OR_WORD
+
+
 def word_hashes(text: str | None, known: WordHash) -> np.ndarray:
-    words = WORD.findall((text or "").lower())
+    low = (text or "").lower()
+    words = unit(low).findall(low)
     return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
+def window_hashes(h: np.ndarray, size: int) -> np.ndarray:
+    """One hash of the words of each window."""
+    n = max(0, len(h) - size + 1)
+    out = np.full(n, size, np.uint64)
+    for k in range(size):
+        out = mixed(out * _M1 + h[k:k + n])
+    return out
+
+
 def pair_hashes(h: np.ndarray) -> np.ndarray:
     return mixed(h[:-1] * _M1 + h[1:])
 
@@ -197,9 +222,10 @@ def best_passage(item: list[int], text: list[int]) -> tuple[int, int, int]:
 
 
 def items_table(benchmark: DataFrame, params: Params, item_id: str, text_col: str) -> DataFrame:
-    """A row for each piece of the items that are searched: ``item_id, size,
-    before, after`` (words of the passage before and from the piece's start),
-    ``words`` (of the whole item, at its first piece), ``lot, pairs, sigs``."""
+    """A row for each piece of the items: ``item_id, size, before, after``
+    (words of the passage before and from the piece's start), ``words`` (of
+    the whole item, at its first piece), ``lot, pairs, sigs``. The size of an
+    item below ``min_words`` is its number of words."""
     kind = benchmark.schema[item_id].dataType.simpleString()
     walks = {size: walks_for(params, size) for size in {params.class_of(n) for n in range(params.min_words, 2 * params.least_piece)}}
 
@@ -209,8 +235,11 @@ def items_table(benchmark: DataFrame, params: Params, item_id: str, text_col: st
             rows = []
             for i, t in zip(batch.column(0), batch.column(1).to_pylist()):
                 h = word_hashes(t, known)
+                if 0 < len(h) < params.min_words:
+                    rows.append((i.as_py(), len(h), 0, len(h), h.tobytes(), 0, [], window_hashes(h, len(h)).view(np.int64)))
+                    continue
                 cuts, spare = params.cuts(len(h)), 2 * params.edits(len(h))
-                for at, end in zip(cuts, cuts[1:]) if len(h) >= params.min_words else ():
+                for at, end in zip(cuts, cuts[1:]) if len(h) else ():
                     piece, size = h[at:end], params.class_of(end - at)
                     rows.append((i.as_py(), size, at + spare, len(h) - at + spare, None if at else h.tobytes(), zlib.crc32(piece.tobytes()) % 64,
                                  np.unique(pair_hashes(piece)).view(np.int64),
@@ -253,17 +282,21 @@ def holds(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
 
 def search_plan(items: DataFrame, params: Params) -> dict:
     """What the tasks need of the benchmark; bounded whatever its size."""
-    sizes = items.groupBy("size").agg(F.count("*").alias("n"), F.sum(F.size("pairs")).alias("pairs"),
+    every = items.groupBy("size").agg(F.count("*").alias("n"), F.sum(F.size("pairs")).alias("pairs"),
                                       F.sum(F.size("sigs")).alias("sigs"), F.max("before").alias("before"),
                                       F.max("after").alias("after"), F.sum(F.octet_length("words")).alias("bytes")).orderBy("size").collect()
+    short, sizes = ([r for r in every if (r["size"] < params.min_words) == below] for below in (True, False))
+    pieces = items.where(F.col("size") >= params.min_words)
     return {
+        "short": [r["size"] for r in short],
+        "whole": bitmap(items.where(F.col("size") < params.min_words).select(F.explode("sigs").alias("v")), "v", sum(r["sigs"] for r in short), 4096),
         "sizes": [(size, params.edits(up - 1), up, params.least_pairs(size, up)) for size, up in (params.grid(r["size"]) for r in sizes)],
         "reach": {r["size"]: (r["before"], r["after"], walks_for(params, r["size"])) for r in sizes},
-        "n_sigs": sum(r["sigs"] for r in sizes),
-        "n_bytes": sum(r["bytes"] or 0 for r in sizes),
-        "lots": lots_table(items),
-        "pairs": bitmap(items.select(F.explode("pairs").alias("v")), "v", sum(r["pairs"] for r in sizes), 64),
-        "sigs": bitmap(items.select(F.explode("sigs").alias("v")), "v", sum(r["sigs"] for r in sizes), 4096),
+        "n_sigs": sum(r["sigs"] for r in every),
+        "n_bytes": sum(r["bytes"] or 0 for r in every),
+        "lots": lots_table(pieces),
+        "pairs": bitmap(pieces.select(F.explode("pairs").alias("v")), "v", sum(r["pairs"] for r in sizes), 64),
+        "sigs": bitmap(pieces.select(F.explode("sigs").alias("v")), "v", sum(r["sigs"] for r in sizes), 4096),
     }
 
 
@@ -301,6 +334,14 @@ def candidate_starts(flagged: np.ndarray, lots: np.ndarray, edits: int, up: int,
 def windows_of(texts: list[np.ndarray], plan: dict, params: Params) -> Iterator[tuple[int, int, int, int, np.ndarray]]:
     """``(text, size, first, last, signatures)`` of the windows that have a
     signature of some item; first to last is the passage around them."""
+    for k, h in enumerate(texts):
+        for size in plan["short"]:
+            sigs = window_hashes(h, size)
+            at = np.flatnonzero(holds(plan["whole"], sigs))
+            for sig, first in zip(*np.unique(sigs[at], return_index=True)):
+                yield k, size, int(at[first]), int(at[first]) + size, np.array([sig])
+    if not plan["sizes"]:
+        return
     low = 0
     while low < len(texts):
         high, words = low + 1, len(texts[low])
@@ -389,14 +430,11 @@ def matches(docs: DataFrame, benchmark: DataFrame, params: Params | None = None,
         .mapInArrow(run, f"id {kind}, size int, first int, passage binary, spans binary, sigs array<bigint>")
     sig = items.select(F.col("size").alias("item_size"), F.explode("sigs").alias("item_sig"), "item_id").distinct()
     words = items.where("words IS NOT NULL").select(F.col("item_id").alias("of_item"), F.col("words").alias("item")).distinct()
-    if searched["n_sigs"] <= BROADCAST_IDS:
-        sig = F.broadcast(sig)
-    if searched["n_bytes"] <= BROADCAST_BYTES:
-        words = F.broadcast(words)
-    pairs = found.select("id", "size", "first", "passage", "spans", F.explode("sigs").alias("sig")) \
-        .join(sig, (F.col("size") == F.col("item_size")) & (F.col("sig") == F.col("item_sig"))) \
+    pairs = met(found.select("id", "size", "first", "passage", "spans", F.explode("sigs").alias("sig")), sig,
+                (F.col("size") == F.col("item_size")) & (F.col("sig") == F.col("item_sig")), searched["n_sigs"] <= BROADCAST_IDS) \
         .groupBy("id", "first", "passage", "spans", "item_id").agg(F.lit(1).alias("one"))
-    pairs = pairs.join(words, F.col("item_id").eqNullSafe(F.col("of_item"))).select("id", "item_id", "item", "passage", "spans")
+    pairs = met(pairs, words, F.col("item_id").eqNullSafe(F.col("of_item")), searched["n_bytes"] <= BROADCAST_BYTES) \
+        .select("id", "item_id", "item", "passage", "spans")
     item_kind = items.schema["item_id"].dataType.simpleString()
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -419,11 +457,22 @@ def matches(docs: DataFrame, benchmark: DataFrame, params: Params | None = None,
     return best.select(F.col("id").alias(id_col), F.col("item_id").alias(item_id), "b.distance", "b.item_words", "b.begin", "b.end")
 
 
+def met(rows: DataFrame, listed: DataFrame, on: Column, few: bool) -> DataFrame:
+    """``rows`` joined with what is listed of the benchmark: by broadcast if
+    that is small, else by shuffle, the rows of each key in DEALT shares, as a
+    common short item can have a third of them."""
+    if few:
+        return rows.join(F.broadcast(listed), on)
+    rows = rows.withColumn("share", F.pmod(F.xxhash64("id", "first"), F.lit(DEALT)))
+    listed = listed.withColumn("of_share", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(DEALT - 1).cast("bigint"))))
+    return rows.join(listed, on & (F.col("share") == F.col("of_share"))).drop("share", "of_share")
+
+
 def word_spans(text: str) -> np.ndarray:
     """First and last + 1 character of each word that is hashed. Small letters
     can be longer than their capitals; the places are those of the text itself."""
     low = text.lower()
-    found = np.array([m.span() for m in WORD.finditer(low)], np.int32)
+    found = np.array([m.span() for m in unit(low).finditer(low)], np.int32)
     if len(low) == len(text):
         return found
     back = np.array([k for k, c in enumerate(text) for _ in c.lower()], np.int32)
