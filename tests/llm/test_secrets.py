@@ -130,3 +130,63 @@ def test_a_skipped_text_has_plain_tokens_only():
     for _ in range(2000):
         text = " ".join("".join(r.choice("aZé.,-’'²ß") for _ in range(r.randrange(1, 5))) for _ in range(4))
         assert sc.is_plain(text) <= all(sc.shape(t) == 0 for t in text.split())
+
+
+def alone(text, model, known):
+    return [text[a:b] for _, a, b in sc.added_spans(text, model, [], known)]
+
+
+def test_field_finds_forms_outside_the_patterns_and_leaves_decoys():
+    # Texts whose hex strings are all secrets: made() has shorter ones as well, which are none.
+    texts = [t for t in made(3, 1200) if all(len(x) >= 24 for x in re.findall("[0-9a-fA-F]{16,}", t))]
+    model, known, rng = sc.train(sc.Params(), texts), sc.Tokens(), np.random.default_rng(8)
+    r = random.Random(8)
+    hits = {f: 0 for f in sc.FORMS + sc.DECOYS}
+    for form in hits:
+        for _ in range(60):
+            value = sc.made(form, rng)
+            words = ["".join(r.choice("abcdefghijklmnop") for _ in range(r.randrange(2, 9))) for _ in range(r.choice([3, 30]))]
+            words.insert(r.randrange(len(words) + 1), value)
+            text = " ".join(words)
+            spans = sc.base_spans(text) + sc.added_spans(text, model, sc.base_spans(text), known)
+            at = text.index(value)
+            hits[form] += any(a < at + len(value) and at < b for _, a, b in spans)
+    assert all(hits[f] >= 48 for f in sc.FORMS), str(hits)  # of 60
+    assert all(hits[f] <= 6 for f in sc.DECOYS), str(hits)
+
+
+def test_assignments_withheld_from_the_learning_are_found():
+    model, known = sc.train(sc.Params(kinds=("access", "hex"), forms=()), made(3, 900)), sc.Tokens()
+    found = total = 0
+    for t in made(4, 600):
+        own = [(a, b) for k, a, b in sc.base_spans(t) if k == "assign" and re.search("[0-9a-f]{24}", t[a:b])]
+        got = sc.added_spans(t, model, [], known)
+        total += len(own)
+        found += sum(any(s < b and a < e for _, s, e in got) for a, b in own)
+    assert total > 50 and found >= 0.9 * total, (found, total)
+
+
+def test_spans_of_the_texts_that_are_learnt_from():
+    rng = np.random.default_rng(4)
+    for t in made(11, 200) + ["token = abcdef token = ghijkl", "", " "]:
+        copies = list(sc.learnt_from(t, sc.Params(), rng))
+        base = sc.base_spans(t)
+        assert copies[0] == (t, [(a, b) for _, a, b in base])
+        for text, spans in copies[1:]:
+            assert bool(spans) == bool(base)
+            for a, b in spans:
+                assert 0 <= a < b <= len(text) and not text[b - 1].isspace() and not text[a].isspace()
+                assert a == 0 or text[a - 1].isspace() or sc.shape(text[a:b].split()[-1]) != 0
+    assert not sc.random_like("getCustomerAddressById2") and sc.random_like("x9Kq2LmZ8vTr4WbN")
+
+
+def test_the_sample_is_bounded_and_holds_both_kinds(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(sc, "train", lambda params, texts: seen.append(texts))
+    rows = [(k, f"word{k} token = abcdef{k}" if k % 50 == 0 else f"plain words {k}") for k in range(5000)]
+    df = spark.createDataFrame(rows + [(9000, None), (9001, "x" * 30_000)], "doc_id long, text string")
+    sc.fit(df, sc.Params(sample_rows=100))
+    hits = sum("token" in t for t in seen[0])
+    assert len(seen[0]) <= 200 and 25 <= hits <= 100 and 20 <= len(seen[0]) - hits <= 90
+    sc.fit(df.repartition(7), sc.Params(sample_rows=100))
+    assert seen[0] == seen[1]

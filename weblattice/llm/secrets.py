@@ -4,8 +4,12 @@ The patterns give the base spans, each kind leftmost and non-overlapping. The
 field tags a text's tokens (runs without white space) as secret begin, inside
 or outside, from the shape of a token, the shapes and words of its neighbours
 and features of the whole text. It is trained here by gradient steps on the
-likelihood, on a bounded sample whose tags come from the base spans, and
-decoded by Viterbi. Spans that it finds apart from the base ones are added;
+likelihood, on a bounded sample, and decoded by Viterbi. The sample's tags come
+from the base spans. So that the field learns more than the patterns say, each
+text with base spans is also learnt from with every span replaced by a made
+secret of one of FORMS, mostly without its keyword, and any other text with a
+decoy put in: a token of DECOYS, which looks like a secret and is none. Both
+are also learnt from as snippets of a few words. Spans that it finds apart from the base ones are added;
 base spans always stay.
 
 Decoding is exact but skips what cannot matter: where the score of "outside"
@@ -36,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drawn, ship
+from .common import ship
 
 # The base patterns, the least length of what they find, and
 # the words that the first one starts with.
@@ -59,8 +63,13 @@ OUT, BEGIN, INSIDE = 0, 1, 2
 ADDED = "crf"
 
 SHAPES = ("plain", "keyword", "assign", "number", "hex", "short_mix", "mix", "long_mix",
-          "keyword_value", "address", "symbols", "marked", "capitals", "key_value")
+          "keyword_value", "address", "symbols", "marked", "capitals", "key_value", "random", "login")
 WORD_BUCKETS = 256
+RUN = re.compile(r"[A-Za-z0-9]{16,}")
+ALIKE = re.compile(r"[a-z]+|[A-Z]+|[0-9]+")   # stretches of one class
+LOGIN = re.compile(r"://[^/\s:@]+:[^/\s@]+@")
+FORMS = ("random", "prefixed", "grouped", "login", "capital_hex")
+DECOYS = ("uuid", "slug", "camel", "number", "address", "file")
 CACHE_TOKENS = 100_000
 
 
@@ -68,10 +77,22 @@ CACHE_TOKENS = 100_000
 class Params:
     """About ``sample_rows`` rows are learnt from, half of them with a base
     span where there are so many, and never more than twice as many;
-    ``sample_chars`` bounds the length of one."""
+    ``sample_chars`` bounds the length of one. Of a text, the tokens that are
+    not plain (``odd_tokens`` of them at most, beside all its secrets) and two
+    others are learnt from, each with ``reach`` neighbours on either side; of
+    such stretches without a secret, ``rest`` for each with one, and
+    ``rest_least`` more. A text with spans of ``kinds`` has ``swaps`` copies with
+    made secrets of ``forms``."""
 
     sample_rows: int = 1500
     sample_chars: int = 20_000
+    odd_tokens: int = 40
+    reach: int = 3
+    rest: int = 4
+    rest_least: int = 500
+    swaps: int = 4
+    kinds: tuple[str, ...] = KINDS
+    forms: tuple[str, ...] = FORMS
     epochs: int = 6
     rate: float = 0.2
     decay: float = 1e-4
@@ -114,7 +135,7 @@ def shape(token: str) -> int:
     if not t:
         return SHAPES.index("symbols")
     if "@" in t or "://" in t:
-        return SHAPES.index("address")
+        return SHAPES.index("login" if LOGIN.search(t) else "address")
     digits = sum(c.isdigit() for c in t)
     letters = sum(c.isalpha() for c in t)
     if re.fullmatch(r"[A-Za-z_]\w*[:=].{6,}", t, re.A) and digits:
@@ -123,6 +144,8 @@ def shape(token: str) -> int:
         return SHAPES.index("hex")
     if digits and not letters:
         return SHAPES.index("number")
+    if digits and any(random_like(m[0]) for m in RUN.finditer(t)):
+        return SHAPES.index("random")
     if digits:
         return SHAPES.index("long_mix" if len(t) >= 20 else "mix" if len(t) >= 12 else "short_mix")
     if len(t) >= 16 and t.isascii() and t.isalpha() and t.isupper():
@@ -132,6 +155,13 @@ def shape(token: str) -> int:
     return SHAPES.index("marked" if MARKED.search(t) else "plain")
 
 
+def random_like(run: str) -> bool:
+    """Whether letters and digits change class as often as in random strings:
+    names in camel case hold few digits and change twice a word (of very short words they pass, too)."""
+    digits, parts = sum(c.isdigit() for c in run), len(ALIKE.findall(run))
+    return 0 < digits < len(run) and (2 * parts >= len(run) or 8 * digits >= len(run) and 10 * parts >= 3 * len(run))
+
+
 class Tokens(dict):
     """Token -> (shape, bucket of the word), filled on demand, bounded."""
 
@@ -265,6 +295,77 @@ def gradient(u: np.ndarray, moves: np.ndarray, tags: np.ndarray) -> tuple[np.nda
     return du, dm
 
 
+def _letters(rng: np.random.Generator, low: int, high: int, alphabet: str = "abcdefghijklmnopqrstuvwxyz") -> str:
+    return "".join(alphabet[k] for k in rng.integers(0, len(alphabet), rng.integers(low, high)))
+
+
+def made(form: str, rng: np.random.Generator) -> str:
+    """A random token of one of FORMS or DECOYS."""
+    small, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    every = small + small.upper() + digits
+    word = lambda: _letters(rng, 3, 9)
+    value = _letters(rng, 20, 45, every)
+    if form == "prefixed":
+        return _letters(rng, 2, 6) + "_-"[rng.integers(2)] + value
+    if form == "grouped":
+        return "-".join([_letters(rng, 3, 6), *(_letters(rng, 8, 13, digits) for _ in range(rng.integers(1, 3))), value])
+    if form == "login":
+        return f"{word()}://{word()}:{_letters(rng, 6, 20, every)}@{word()}.{word()}/{word()}"
+    if form == "capital_hex":
+        return _letters(rng, 32, 41, digits + "ABCDEF")
+    if form == "uuid":
+        return "-".join(_letters(rng, n, n + 1, digits + "abcdef") for n in (8, 4, 4, 4, 12))
+    if form == "slug":
+        return "-".join([word(), *(_letters(rng, 1, 5, digits) if rng.random() < 0.4 else word() for _ in range(rng.integers(3, 8)))])
+    if form == "camel":
+        return "".join([word(), *(word().capitalize() for _ in range(rng.integers(2, 5))), _letters(rng, 1, 3, digits)])
+    if form == "number":
+        return _letters(rng, 10, 24, digits)
+    if form == "address":
+        return f"https://{word()}.{word()}/{word()}/{_letters(rng, 2, 8, digits)}" if rng.random() < 0.6 else f"{word()}.{_letters(rng, 1, 4, digits)}@{word()}.{word()}"
+    if form == "file":
+        return "/".join(word() for _ in range(rng.integers(2, 5))) + f"_v{rng.integers(1, 30)}.{_letters(rng, 2, 5)}"
+    return value
+
+
+def snippet(text: str, start: int, end: int, rng: np.random.Generator, secret: bool) -> tuple[str, list[tuple[int, int]]]:
+    """A span with a few words around it, as a short text."""
+    left = [*text[max(0, start - 200):start].split()[-int(rng.integers(1, 8)):], ""]
+    right = ["", *text[end:end + 200].split()[:int(rng.integers(0, 8))]]
+    first = " ".join(left)
+    return first + text[start:end] + " ".join(right), [(len(first), len(first) + end - start)] if secret else []
+
+
+def learnt_from(text: str, params: Params, rng: np.random.Generator) -> Iterator[tuple[str, list[tuple[int, int]]]]:
+    """A text with its spans: as it is, and with made secrets or decoys."""
+    base = [(a, b) for kind, a, b in base_spans(text) if kind in params.kinds]
+    yield text, base
+    for _ in range(params.swaps if base and params.forms else 0):
+        parts, spans, done, length = [], [], 0, 0
+        for a, b in base:
+            if a < done:
+                continue
+            form = params.forms[rng.integers(len(params.forms))]
+            own = made(form, rng)
+            if rng.random() < 0.3:
+                own = f"{KEYWORDS[rng.integers(len(KEYWORDS))]} = {own}"
+            elif rng.random() < 0.3:
+                own = f"{made(DECOYS[rng.integers(len(DECOYS))], rng)} {own}"
+            parts += [text[done:a], own]
+            length += a - done + len(own)
+            spans.append((length - len(own.rsplit(" ", 1)[-1]) if " = " not in own else length - len(own), length))
+            done = b
+        copy = "".join(parts) + text[done:]
+        yield copy, spans
+        yield snippet(copy, *spans[rng.integers(len(spans))], rng, True)
+    if not base:
+        at, decoy = int(rng.integers(len(text) + 1)), made(DECOYS[rng.integers(len(DECOYS))], rng)
+        more = f"{text[:at]} {decoy} {text[at:]}"
+        if not base_spans(more):
+            yield more, []
+            yield snippet(more, at + 1, at + 1 + len(decoy), rng, False)
+
+
 def train(params: Params, texts: list[str]) -> Model:
     """Chains are cut to the neighbourhood of what is not plain; the plain
     tokens at its rim and a few other plain stretches stand for the rest."""
@@ -272,25 +373,25 @@ def train(params: Params, texts: list[str]) -> Model:
     s = len(SHAPES)
     model = Model(*(np.zeros((n, 3)) for n in (s, s, s, WORD_BUCKETS, WORD_BUCKETS, 4)), np.zeros((3, 3)))
     known, chains = Tokens(), []
-    for text in texts:
+    for text, spans in (x for t in texts for x in learnt_from(t, params, rng)):
         found = list(TOKEN.finditer(text))
         if not found:
             continue
         shapes, words, step = columns([m[0] for m in found], known)
         tags = np.zeros(len(found), np.int64)
         starts, ends = np.array([m.start() for m in found]), np.array([m.end() for m in found])
-        for _, a, b in base_spans(text):
+        for a, b in spans:
             inside = np.flatnonzero((starts < b) & (ends > a))
             fresh = inside[tags[inside] == OUT]
             tags[fresh] = INSIDE
             if len(fresh) and (fresh[0] == 0 or tags[fresh[0] - 1] == OUT):
                 tags[fresh[0]] = BEGIN
         odd = np.flatnonzero(shapes[1:-1])
-        if len(odd) > 40:  # of a text full of marks, all its secrets and some of the rest
-            odd = np.unique(np.concatenate([np.flatnonzero(tags), rng.choice(odd, 40, replace=False)]))
+        if len(odd) > params.odd_tokens:  # of a text full of marks, all its secrets and some of the rest
+            odd = np.unique(np.concatenate([np.flatnonzero(tags), rng.choice(odd, params.odd_tokens, replace=False)]))
         near = np.zeros(len(found), bool)
         for k in [*odd.tolist(), *rng.integers(0, len(found), 2).tolist()]:
-            near[max(0, k - 3):k + 4] = True
+            near[max(0, k - params.reach):k + params.reach + 1] = True
         at = np.flatnonzero(near)
         for run in np.split(at, np.flatnonzero(np.diff(at) > 1) + 1):
             a, b = int(run[0]), int(run[-1]) + 1
@@ -299,7 +400,7 @@ def train(params: Params, texts: list[str]) -> Model:
     seen = {p: np.full_like(getattr(model, p), 1e-2) for p in parts}
     secret = [c for c in chains if c[3].any()]
     rest = [c for c in chains if not c[3].any()]
-    rest = [rest[i] for i in rng.permutation(len(rest))[:4 * len(secret) + 500]]
+    rest = [rest[i] for i in rng.permutation(len(rest))[:params.rest * len(secret) + params.rest_least]]
     both = secret + rest
     for epoch in range(params.epochs):
         for i in rng.permutation(len(both)):
@@ -326,16 +427,20 @@ def train(params: Params, texts: list[str]) -> Model:
 
 
 def fit(docs: DataFrame, params: Params | None = None, id_col: str = "doc_id", text_col: str = "text") -> Model | None:
-    """None if no sampled text has a token."""
+    """None if no sampled text has a token. One pass counts the rows with and
+    without base spans; one draws both kinds, testing only the rows whose hash
+    could be drawn."""
     params = params or Params()
     hit = F.col("t").rlike(r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{6}""") \
         | F.col("t").rlike("AKIA[A-Z0-9]{16}") | F.col("t").rlike("[0-9a-f]{24}")
     rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).cast("string").alias("t")) \
         .where(F.length("t").between(1, params.sample_chars))
     hits, every = rows.agg(F.count(F.when(hit, 1)), F.count("*")).first()
-    half = params.sample_rows // 2
-    texts = [r["t"] for found, n in ((rows.where(hit), hits), (rows.where(~hit), every - hits))
-             for r in sorted(drawn(found, half, "i", "t", n=n).collect(), key=lambda r: (r["t"], str(r["i"])))]
+    share = [int(min(1.0, params.sample_rows / 2 / max(n, 1)) * (1 << 30)) for n in (hits, every - hits)]
+    place = F.pmod(F.xxhash64("i", "t", F.lit(params.sample_rows)), F.lit(1 << 30))
+    drawn = rows.where(place < max(share)).where(place < F.when(hit, share[0]).otherwise(share[1])).select("i", "t", hit.alias("hit"))
+    found = drawn.limit(2 * params.sample_rows).collect()
+    texts = [r["t"] for r in sorted(found, key=lambda r: (not r["hit"], r["t"], str(r["i"])))]
     return train(params, texts) if any(TOKEN.search(t) for t in texts) else None
 
 
