@@ -13,10 +13,10 @@ are also learnt from as snippets of a few words. Spans that it finds apart from
 base spans always stay.
 
 Decoding is exact but skips what cannot matter: where the score of "outside"
-beats the other tags by more than all transitions together could give back,
+beats each other tag by more than the two moves around it could give back,
 the tag is outside whatever its neighbours are, and the chain falls apart
-there. A text of plain words alone falls apart everywhere, which is checked
-once on the model.
+there. In a text of plain words alone all scores are alike; that no stretch of
+other tags gains there is checked once on the model.
 
 Null texts count as empty. Offsets are code points, ends exclusive. Rows that
 repeat, and rows with null ids, are scanned row by row. Texts
@@ -56,8 +56,11 @@ LONG_HEX = re.compile(r"[0-9a-f]{24,}")  # the same matches as KINDS' hex that a
 
 TOKEN = re.compile(r"\S+")
 MARKED = re.compile(r"[^\w\s.,;!?'’-]|[\d_]")
+#: ASCII that MARKED never is.
+UNMARKED = bytes(c for c in range(128) if not MARKED.search(chr(c)))
 #: Of a text without marks, what is not a plain word: capitals, and tokens of punctuation alone.
-ODD = re.compile(r"[A-Z]{16}|(?<!\S)[^\w\s]+(?!\S)")
+CAPITALS = re.compile(r"[A-Z][A-Z]{15}")
+BARE = re.compile(r"[^\w\s](?<!\S.)[^\w\s]*(?!\S)")
 EDGE = "\"'`()[]{}<>,;.!?"
 OUT, BEGIN, INSIDE = 0, 1, 2
 ADDED = "crf"
@@ -190,12 +193,26 @@ def unary(model: Model, shapes: np.ndarray, words: np.ndarray, step: int) -> np.
     return u
 
 
+def slack(moves: np.ndarray) -> np.ndarray:
+    """What the moves around a token can give back, for each tag but "outside",
+    whatever the tags beside it; at the ends of a text one move is missing."""
+    before, after = (moves - moves[:, [OUT]]).max(0), (moves - moves[[OUT]]).max(1)
+    return (np.maximum(before, 0) + np.maximum(after, 0))[1:]
+
+
+def stays_out(scores: np.ndarray, moves: np.ndarray) -> bool:
+    """Whether a text whose tokens all have these scores decodes to "outside":
+    no stretch of other tags, of any length, gains on it."""
+    gain, more = float((scores[1:] - scores[OUT]).max()), moves - moves[OUT, OUT]
+    ends = max(0.0, float(more[OUT, 1:].max())) + max(0.0, float(more[1:, OUT].max()))
+    return gain + ends < 0 and gain + float(more[1:, 1:].max()) <= 0
+
+
 def viterbi(u: np.ndarray, moves: np.ndarray) -> np.ndarray:
     """Best tags of a text; only stretches that can leave "outside" are walked."""
     n = len(u)
     tags = np.zeros(n, np.int64)
-    slack = 2 * float(moves.max() - moves.min())
-    open_ = np.flatnonzero(u[:, OUT] - u[:, 1:].max(1) <= slack)
+    open_ = np.flatnonzero((u[:, [OUT]] - u[:, 1:] <= slack(moves)).any(1))
     if not len(open_):
         return tags
     t = moves.tolist()
@@ -236,8 +253,11 @@ def tag_runs(tags: np.ndarray) -> list[tuple[int, int]]:
 
 def is_plain(text: str) -> bool:
     """Whether every token's shape is plain, at a glance: no mark, no keyword, nothing odd, no ² or ½."""
-    return not MARKED.search(text) and not ODD.search(text) and not any(k in text.lower() for k in KEYWORDS) \
-        and (text.isascii() or all(c.isalpha() or not c.isalnum() for c in set(text)))
+    rest = text.encode("utf-8", "surrogatepass").translate(None, UNMARKED).decode("utf-8", "surrogatepass")
+    if MARKED.search(rest) or not all(c.isalpha() or not c.isalnum() for c in set(rest)):
+        return False
+    low = text.lower()
+    return not any(k in low for k in KEYWORDS) and not CAPITALS.search(text) and not BARE.search(text)
 
 
 def added_spans(text: str, model: Model | None, base: list[tuple[str, int, int]], known: Tokens) -> list[tuple[str, int, int]]:
@@ -420,9 +440,7 @@ def train(params: Params, texts: list[str]) -> Model:
                 g = g - params.decay * weights
                 seen[part] += g * g
                 weights += params.rate / math.sqrt(1 + epoch) * g / np.sqrt(seen[part])
-    slack = 2 * float(model.moves.max() - model.moves.min())
-    plain = model.own[0] + model.before[0] + model.after[0] + model.file[0]
-    model.plain_is_out = bool(plain[OUT] - plain[1:].max() > slack)
+    model.plain_is_out = stays_out(model.own[0] + model.before[0] + model.after[0] + model.file[0], model.moves)
     return model
 
 
