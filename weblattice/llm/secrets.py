@@ -85,7 +85,7 @@ class Params:
     others are learnt from, each with ``reach`` neighbours on either side; of
     such stretches without a secret, ``rest`` for each with one, and
     ``rest_least`` more. A text with spans of ``kinds`` has ``swaps`` copies with
-    made secrets of ``forms``."""
+    made secrets of ``forms``. A gradient step takes ``batch`` chains."""
 
     sample_rows: int = 1500
     sample_chars: int = 20_000
@@ -97,7 +97,8 @@ class Params:
     kinds: tuple[str, ...] = KINDS
     forms: tuple[str, ...] = FORMS
     epochs: int = 6
-    rate: float = 0.2
+    batch: int = 16
+    rate: float = 0.4
     decay: float = 1e-4
     seed: int = 3
 
@@ -297,21 +298,29 @@ def _sum_exp(x: np.ndarray, axis: int) -> np.ndarray:
 
 
 def gradient(u: np.ndarray, moves: np.ndarray, tags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of the log likelihood of ``tags``: forward-backward over one chain."""
-    n = len(u)
+    """``gradients`` of one chain."""
+    du, dm = gradients(u[:, None], moves, tags[:, None], np.ones((len(u), 1), bool))
+    return du[:, 0], dm
+
+
+def gradients(u: np.ndarray, moves: np.ndarray, tags: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the log likelihood of ``tags``, summed over chains for the moves:
+    forward-backward over chains side by side. ``u`` is places x chains x tags;
+    a chain has the places that are ``held``, the first ones."""
     alpha, beta = np.empty_like(u), np.zeros_like(u)
     alpha[0] = u[0]
-    for i in range(1, n):
-        alpha[i] = _sum_exp(alpha[i - 1][:, None] + moves, 0) + u[i]
-    for i in range(n - 2, -1, -1):
-        beta[i] = _sum_exp(moves + (u[i + 1] + beta[i + 1])[None, :], 1)
-    total = _sum_exp(alpha[-1], 0)
-    du = -np.exp(alpha + beta - total)
-    du[np.arange(n), tags] += 1
-    dm = np.zeros_like(moves)
-    if n > 1:
-        dm -= np.exp(alpha[:-1, :, None] + moves[None] + (u[1:] + beta[1:])[:, None, :] - total).sum(0)
-        np.add.at(dm, (tags[:-1], tags[1:]), 1)
+    for i in range(1, len(u)):
+        alpha[i] = np.where(held[i, :, None], _sum_exp(alpha[i - 1][:, :, None] + moves, 1) + u[i], alpha[i - 1])
+    for i in range(len(u) - 2, -1, -1):
+        beta[i] = np.where(held[i + 1, :, None], _sum_exp(moves + (u[i + 1] + beta[i + 1])[:, None, :], 2), 0)
+    total = _sum_exp(alpha[-1], 1)[:, None]
+    du = np.where(held[..., None], -np.exp(alpha + beta - total), 0)
+    place, chain = np.nonzero(held)
+    du[place, chain, tags[place, chain]] += 1
+    place, chain = np.nonzero(held[1:])
+    both = alpha[place, chain][:, :, None] + moves + (u + beta)[place + 1, chain][:, None, :] - total[chain][:, :, None]
+    dm = -np.exp(both).sum(0)
+    np.add.at(dm, (tags[place, chain], tags[place + 1, chain]), 1)
     return du, dm
 
 
@@ -386,6 +395,14 @@ def learnt_from(text: str, params: Params, rng: np.random.Generator) -> Iterator
             yield snippet(more, at + 1, at + 1 + len(decoy), rng, False)
 
 
+def batches_of(length: np.ndarray, size: int, rng: np.random.Generator) -> list[np.ndarray]:
+    """All chains in a random order, in batches of chains of like length."""
+    order = rng.permutation(len(length))
+    lots = [order[k:k + 50 * size] for k in range(0, len(order), 50 * size)]
+    out = [lot[np.argsort(length[lot], kind="stable")][k:k + size] for lot in lots for k in range(0, len(lot), size)]
+    return [out[i] for i in rng.permutation(len(out))]
+
+
 def train(params: Params, texts: list[str]) -> Model:
     """Chains are cut to the neighbourhood of what is not plain; the plain
     tokens at its rim and a few other plain stretches stand for the rest."""
@@ -422,22 +439,29 @@ def train(params: Params, texts: list[str]) -> Model:
     rest = [c for c in chains if not c[3].any()]
     rest = [rest[i] for i in rng.permutation(len(rest))[:params.rest * len(secret) + params.rest_least]]
     both = secret + rest
+    length = np.array([len(c[3]) for c in both], np.int64)
     for epoch in range(params.epochs):
-        for i in rng.permutation(len(both)):
-            shapes, words, step, tags = both[i]
-            u = unary(model, shapes, words, step)
-            du, dm = gradient(u, model.moves, tags)
-            odd = np.flatnonzero(shapes[1:-1])
-            for part, index, value in (("own", shapes[1:-1], du), ("before", shapes[:-2], du), ("after", shapes[2:], du),
-                                       ("word_before", words[:-2][odd], du[odd]), ("word_after", words[2:][odd], du[odd]),
-                                       ("file", np.full(len(tags), step), du), ("moves", None, dm)):
+        for some in batches_of(length, params.batch, rng):
+            n = length[some]
+            held = np.arange(n.max())[:, None] < n
+            chain, place = np.nonzero(held.T)
+            here, before, after, word_before, word_after = (np.concatenate(c) for c in zip(*(
+                (both[i][0][1:-1], both[i][0][:-2], both[i][0][2:], both[i][1][:-2], both[i][1][2:]) for i in some)))
+            step, odd = np.repeat([both[i][2] for i in some], n), np.flatnonzero(here)
+            u, tags = np.zeros((*held.shape, 3)), np.zeros(held.shape, np.int64)
+            tags[place, chain] = np.concatenate([both[i][3] for i in some])
+            flat = model.own[here] + model.before[before] + model.after[after] + model.file[step]
+            flat[odd] += model.word_before[word_before[odd]] + model.word_after[word_after[odd]]
+            u[place, chain] = flat
+            du, dm = gradients(u, model.moves, tags, held)
+            du = du[place, chain]
+            for part, index, value in (("own", here, du), ("before", before, du), ("after", after, du), ("file", step, du),
+                                       ("word_before", word_before[odd], du[odd]), ("word_after", word_after[odd], du[odd]), ("moves", None, dm)):
                 weights = getattr(model, part)
-                if index is None:
-                    g = value
-                else:
-                    g = np.zeros_like(weights)
+                g = value if index is None else np.zeros_like(weights)
+                if index is not None:
                     np.add.at(g, index, value)
-                g = g - params.decay * weights
+                g = g - params.decay * len(some) * weights
                 seen[part] += g * g
                 weights += params.rate / math.sqrt(1 + epoch) * g / np.sqrt(seen[part])
     model.plain_is_out = stays_out(model.own[0] + model.before[0] + model.after[0] + model.file[0], model.moves)
