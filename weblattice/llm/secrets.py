@@ -98,7 +98,7 @@ class Params:
     forms: tuple[str, ...] = FORMS
     epochs: int = 6
     batch: int = 16
-    rate: float = 0.4
+    rate: float = 1.0
     decay: float = 1e-4
     seed: int = 3
 
