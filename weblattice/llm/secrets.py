@@ -97,8 +97,8 @@ class Params:
     kinds: tuple[str, ...] = KINDS
     forms: tuple[str, ...] = FORMS
     epochs: int = 6
-    batch: int = 16
-    rate: float = 1.0
+    batch: int = 8
+    rate: float = 0.5
     decay: float = 1e-4
     seed: int = 3
 
