@@ -70,3 +70,29 @@ def test_threshold():
     s, y = np.array([0.1, 0.2, 0.3, 0.8, 0.9]), np.array([0, 0, 0, 1, 1])
     assert tx.best_threshold(s, y) == 0.55
     assert tx.best_threshold(s, np.zeros(5, int)) == 0.5 and tx.best_threshold(s[:0], y[:0]) == 0.5
+
+
+def test_every_labelled_row_is_learnt_from(spark, monkeypatch):
+    rows = made(900, 5)
+    long = [(1000 + i, " ".join(["abc"] * 9000) + (" zzuzz" if i % 2 else " ddidd"), "en", i % 2) for i in range(40)]
+    docs, labels = frames(spark, rows + long)
+    params = tx.Params(epochs=3, shard_rows=200)
+    table = tx.lessons(docs, labels, params)
+    assert table.count() == 940 and table.select("shard").distinct().count() == 5
+    changes = tx.epoch_changes(table, tx.Learner(params, 0.3), params.rate).collect()
+    assert {r["n"] for r in changes if r["k"] >= params.buckets} == {940}  # all texts, whatever their length
+    model = tx.fit(docs, labels, params)
+    assert tx.score(model, tx.word_rows("abc zzuzz", tx.WordRows(params.buckets))) > \
+        tx.score(model, tx.word_rows("abc ddidd", tx.WordRows(params.buckets)))
+    other = tx.fit(docs.repartition(7), labels.repartition(3), params)
+    assert (model.words == other.words).all() and model.threshold == other.threshold and model.by_language == other.by_language
+    assert set(model.by_language) == set(LANGS)
+
+
+def test_responses_in_blocks(monkeypatch):
+    model, known = tx.Learner(tx.Params(), 0.5).model, tx.WordRows(tx.Params().buckets)
+    rows = tx.word_rows(" ".join(r[1] for r in made(20, 6)), known)
+    whole = tx.responses(model, rows)
+    monkeypatch.setattr(tx, "BLOCK", 7)
+    parts = tx.responses(model, rows)
+    assert np.allclose(whole[0], parts[0], atol=1e-5) and (whole[1] == parts[1]).all()

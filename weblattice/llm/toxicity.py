@@ -3,22 +3,28 @@
 A word's embedding is the sum of four hashed rows: the word, its first four
 and first six letters and its last four. Filters of several widths run over
 the whole text, each keeps its largest response, and a logistic unit reads
-those. Everything is trained here in numpy, on a sample of labelled rows whose
-size is a parameter. A threshold is calibrated for each language on sampled
-rows kept out of the training; languages with too few of them use the
-threshold of all rows. The score never sees language, source, id or label.
+those. It learns from every labelled row, whole: the rows are dealt to shards by
+a hash, in each epoch a task passes over a shard from the epoch's weights, and
+the shards' changes are averaged by a grouped sum into the next epoch's weights
+(of a word's row, over the shards that changed it). The changes are summed as
+integers, so the weights depend on neither the order nor the partitions. Only
+the weights, whose size the parameters fix, reach the driver. A threshold is
+calibrated for each language on all labelled rows kept out of the training;
+languages with too few of them use the threshold of all rows. The score never
+sees language, source, id or label.
 
 Null and empty texts have the score of a text without words. Repeated rows
 score alike. Rows with a null id are scored; rows with a null label or text
 are not learnt from. Without a row of either class the scores are 0.
-Texts are read whole, in blocks, however long (only the sample leaves overlong
-ones out). A score that ties with its threshold rejects. Empty tables give no
+Texts are read whole, in blocks, however long. A score that ties with its threshold rejects. Empty tables give no
 rows. ``scored`` reads no other columns, whatever their names; ``keep_clean``
 hands the columns of documents on.
 """
 
 from __future__ import annotations
 
+import itertools
+import math
 import re
 import zlib
 from collections.abc import Iterator
@@ -29,20 +35,21 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import drawn, ship
+from ..plans.lineage import drop_checkpoint, materialize
+from .common import BROADCAST_IDS, ship
 
 WORD = re.compile(r"\w+")
 CACHE_WORDS = 400_000    # words whose vectors a Python worker keeps
+BLOCK = 65_536           # words of a text that are convolved at once
+SCALE = 1 << 28          # changes of weights are summed as whole multiples of 1 / SCALE
+BINS = 10_000            # thresholds lie between bins of the scores
 
 
 @dataclass(frozen=True)
 class Params:
-    """About ``sample_rows`` labelled rows are learnt from, half of them of
-    each class where there are so many, and never more than twice as many;
-    ``sample_chars`` bounds the length of one of them."""
+    """``shard_rows``: labelled rows of a shard, on average."""
 
-    sample_rows: int = 5000
-    sample_chars: int = 30_000
+    shard_rows: int = 8000
     buckets: int = 1 << 15
     dim: int = 16
     filters: int = 12
@@ -50,7 +57,7 @@ class Params:
     epochs: int = 5
     rate: float = 0.05
     seed: int = 11
-    calibration_share: int = 5     # every fifth sampled row calibrates
+    calibration_share: int = 5     # every fifth labelled row calibrates
     calibration_rows: int = 25     # a language needs as many of them
 
 
@@ -67,13 +74,15 @@ class Model:
 
 
 class WordRows(dict):
-    """Word -> its four embedding rows, filled on demand (for the training sample)."""
+    """Word -> its four embedding rows, filled on demand, bounded."""
 
     def __init__(self, buckets: int):
         super().__init__()
         self.mask = buckets - 1
 
     def __missing__(self, word: str) -> tuple[int, int, int, int]:
+        if len(self) >= CACHE_WORDS:
+            self.clear()
         rows = self[word] = hashed_rows(word, self.mask)
         return rows
 
@@ -92,25 +101,37 @@ def word_rows(text: str | None, known: WordRows) -> np.ndarray:
     return np.array([known[w] for w in words], np.int32)
 
 
-def responses(model: Model, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Largest response of each filter, where it begins, and the padded word
-    vectors. A text shorter than the widest filter is padded with zeros."""
-    n, widest = len(rows), max(model.params.widths)
-    x = np.zeros((max(n, widest), model.params.dim), np.float32)
-    if n:
-        x[:n] = model.words[rows[:, 0]]
-        for k in range(1, rows.shape[1]):
-            x[:n] += model.words[rows[:, k]]
-    tops, begins = [], []
-    for kernel in model.kernels:
-        w = len(kernel)
-        c = x[:len(x) - w + 1] @ kernel[0]
-        for k in range(1, w):
-            c += x[k:len(x) - w + 1 + k] @ kernel[k]
-        at = c.argmax(0)
-        begins.append(at)
-        tops.append(c[at, np.arange(c.shape[1])])
-    return np.concatenate(tops), np.concatenate(begins), x
+def vectors(model: Model, rows: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Of the words at these places; zeros beyond the end of the text."""
+    inside = at < len(rows)
+    out = np.zeros((len(at), model.params.dim), np.float32)
+    out[inside] = model.words[rows[at[inside]]].sum(1)
+    return out
+
+
+def responses(model: Model, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Largest response of each filter, and where it begins. A text shorter
+    than the widest filter is padded with zeros."""
+    widest, f = max(model.params.widths), model.params.filters
+    n = max(len(rows), widest)
+    tops = np.full(f * len(model.kernels), -np.inf, np.float32)
+    begins = np.zeros(len(tops), np.int64)
+    for low in range(0, n - widest + 1, BLOCK):  # blocks overlap by the widest filter
+        part = rows[low:low + BLOCK + widest - 1]
+        x = np.zeros((max(len(part), widest), model.params.dim), np.float32)
+        for k in range(rows.shape[1]):
+            x[:len(part)] += model.words[part[:, k]]
+        for k, kernel in enumerate(model.kernels):
+            w, own = len(kernel), slice(k * f, (k + 1) * f)
+            c = x[:len(x) - w + 1] @ kernel[0]
+            for j in range(1, w):
+                c += x[j:len(x) - w + 1 + j] @ kernel[j]
+            at = c.argmax(0)
+            top = c[at, np.arange(f)]
+            better = top > tops[own]
+            begins[own] = np.where(better, at + low, begins[own])
+            tops[own] = np.where(better, top, tops[own])
+    return tops, begins
 
 
 def score(model: Model, rows: np.ndarray) -> float:
@@ -158,9 +179,8 @@ class Scorer(dict):
         if len(x) < widest:
             x = np.concatenate([x, np.zeros((widest - len(x), x.shape[1]), np.float32)])
         tops = [np.full(f, -np.inf, np.float32) for _ in self.model.kernels]
-        step = 65_536  # rows of a block; blocks overlap by the widest filter
-        for low in range(0, max(len(x) - widest + 1, 1), step):
-            c = x[low:low + step + widest - 1] @ self.stacked
+        for low in range(0, max(len(x) - widest + 1, 1), BLOCK):  # blocks overlap by the widest filter
+            c = x[low:low + BLOCK + widest - 1] @ self.stacked
             col = 0
             for k, kernel in enumerate(self.model.kernels):
                 w = len(kernel)
@@ -173,59 +193,103 @@ class Scorer(dict):
         return _unit(self.model, np.concatenate(tops))
 
 
-def train(params: Params, texts: list[np.ndarray], labels: np.ndarray) -> Model:
-    """One text at a time, adaptive steps; only the words under a filter's
+class Learner:
+    """Adaptive steps, one text at a time; only the words under a filter's
     largest response receive a gradient."""
+
+    def __init__(self, params: Params, share: float):
+        rng = np.random.default_rng(params.seed)
+        f = params.filters
+        self.params = params
+        self.model = Model(
+            params, rng.normal(0, 0.05, (params.buckets, params.dim)).astype(np.float32),
+            [rng.normal(0, 0.3, (w, params.dim, f)).astype(np.float32) for w in params.widths],
+            np.zeros(f * len(params.widths), np.float32),
+            rng.normal(0, 0.3, f * len(params.widths)).astype(np.float32), 0.0)
+        self.seen_words = np.full(params.buckets, 1e-4, np.float32)
+        self.seen_rest = np.full(len(self.rest()), 1e-4, np.float32)
+        share = max(share, 1e-3)
+        self.weight = (0.5 / max(1 - share, 1e-3), 0.5 / share)
+        self.touched = np.zeros(params.buckets, np.int64)
+
+    def rest(self) -> np.ndarray:
+        """All weights but the words', in one row."""
+        m = self.model
+        return np.concatenate([*(k.ravel() for k in m.kernels), m.bias, m.out, [m.out_bias]]).astype(np.float32)
+
+    def set_rest(self, values: np.ndarray) -> None:
+        m, done = self.model, 0
+        for name in ("kernels", "bias", "out"):
+            parts = m.kernels if name == "kernels" else [getattr(m, name)]
+            for part in parts:
+                part[...] = values[done:done + part.size].reshape(part.shape)
+                done += part.size
+        m.out_bias = float(values[done])
+
+    def learn(self, rows: np.ndarray, label: int, rate: float) -> None:
+        model, f = self.model, self.params.filters
+        top, begins = responses(model, rows)
+        a = np.tanh(top + model.bias)
+        z = float(a @ model.out) + model.out_bias
+        p = 1.0 / (1.0 + math.exp(-min(max(z, -30.0), 30.0)))
+        g = (p - label) * self.weight[label]
+        if abs(g) < 1e-3:
+            return
+        dz = (g * model.out * (1 - a * a)).astype(np.float32)
+        into, grads, into_rest = [], [], []
+        for k, kernel in enumerate(model.kernels):
+            own = slice(k * f, (k + 1) * f)
+            for j in range(len(kernel)):
+                at = begins[own] + j
+                inside = at < len(rows)
+                into.append(rows[at[inside]])
+                grads.append((kernel[j].T * dz[own, None])[inside])                          # filters x dim
+                into_rest.append((vectors(model, rows, at) * dz[own, None]).T.ravel())       # dim x filters
+        grad = np.concatenate([*into_rest, dz, g * a, [g]]).astype(np.float32)
+        self.seen_rest += grad * grad
+        self.set_rest(self.rest() - rate * grad / np.sqrt(self.seen_rest))
+        into, grads = np.concatenate(into), np.concatenate(grads)
+        if len(into):
+            rows_hit, back = np.unique(into.ravel(), return_inverse=True)
+            total = np.zeros((len(rows_hit), self.params.dim), np.float32)
+            np.add.at(total, back, np.repeat(grads, into.shape[1], axis=0))
+            self.seen_words[rows_hit] += (total * total).mean(1)
+            model.words[rows_hit] -= rate * total / np.sqrt(self.seen_words[rows_hit])[:, None]
+            self.touched[rows_hit] += 1
+
+    def state(self) -> tuple[np.ndarray, np.ndarray]:
+        """The weights as rows: of each word its vector and its steps' sum of
+        squares, and all others with theirs, cut into rows as wide."""
+        wide = self.params.dim + 1
+        rest = np.concatenate([self.rest(), self.seen_rest])
+        return np.column_stack([self.model.words, self.seen_words]), np.resize(np.append(rest, np.zeros(-len(rest) % wide)), (-(-len(rest) // wide), wide))
+
+    def restore(self, words: np.ndarray, rest: np.ndarray) -> None:
+        self.model.words, self.seen_words = words[:, :-1].astype(np.float32), words[:, -1].astype(np.float32)
+        n = len(self.seen_rest)
+        self.set_rest(rest.ravel()[:n])
+        self.seen_rest = rest.ravel()[n:2 * n].astype(np.float32)
+        self.touched[:] = 0
+
+    def changes(self, words: np.ndarray, rest: np.ndarray, many: int) -> list[np.ndarray]:
+        """Since that state: numbers of the rows, how much each counts (the
+        steps that changed a word, the texts for all others), and the changes
+        times that, as integers."""
+        now_words, now_rest = self.state()
+        hit = np.flatnonzero(self.touched)
+        count = np.concatenate([self.touched[hit], np.full(len(rest), many)])
+        change = np.concatenate([now_words[hit].astype(np.float64) - words[hit], now_rest.astype(np.float64) - rest])
+        return [np.concatenate([hit, len(words) + np.arange(len(rest))]), count, np.rint(change * SCALE * count[:, None]).astype(np.int64)]
+
+
+def train(params: Params, texts: list[np.ndarray], labels: np.ndarray) -> Model:
+    """The model of a list of texts, in one process."""
+    learner = Learner(params, float(labels.mean()) if len(labels) else 0.5)
     rng = np.random.default_rng(params.seed)
-    f = params.filters
-    model = Model(
-        params, rng.normal(0, 0.05, (params.buckets, params.dim)).astype(np.float32),
-        [rng.normal(0, 0.3, (w, params.dim, f)).astype(np.float32) for w in params.widths],
-        np.zeros(f * len(params.widths), np.float32),
-        rng.normal(0, 0.3, f * len(params.widths)).astype(np.float32), 0.0)
-    seen = {"words": np.full((params.buckets, 1), 1e-4, np.float32), "bias": np.full_like(model.bias, 1e-4),
-            "out": np.full_like(model.out, 1e-4), "out_bias": 1e-4}
-    seen_k = [np.full_like(k, 1e-4) for k in model.kernels]
-    share = max(float(labels.mean()), 1e-3) if len(labels) else 0.5
-    weight = (0.5 / max(1 - share, 1e-3), 0.5 / share)
     for epoch in range(params.epochs):
-        rate = params.rate / (1 + epoch)
         for i in rng.permutation(len(texts)):
-            rows = texts[i]
-            top, begins, x = responses(model, rows)
-            a = np.tanh(top + model.bias)
-            z = float(a @ model.out) + model.out_bias
-            p = 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30)))
-            g = float(p - labels[i]) * weight[int(labels[i])]
-            if abs(g) < 1e-3:
-                continue
-            dz = (g * model.out * (1 - a * a)).astype(np.float32)
-            for name, grad in (("out", g * a), ("bias", dz)):
-                seen[name] += grad * grad
-                setattr(model, name, (getattr(model, name) - rate * grad / np.sqrt(seen[name])).astype(np.float32))
-            seen["out_bias"] += g * g
-            model.out_bias -= rate * g / seen["out_bias"] ** 0.5
-            into, grads = [], []
-            for k, kernel in enumerate(model.kernels):
-                own = slice(k * f, (k + 1) * f)
-                for j in range(len(kernel)):
-                    at = begins[own] + j
-                    for_words = kernel[j].T * dz[own, None]              # filters x dim
-                    inside = at < len(rows)
-                    into.append(rows[at[inside]])
-                    grads.append(for_words[inside])
-                    grad = (x[at] * dz[own, None]).T                      # dim x filters
-                    seen_k[k][j] += grad * grad
-                    kernel[j] -= rate * grad / np.sqrt(seen_k[k][j])
-            into, grads = np.concatenate(into), np.concatenate(grads)
-            if len(into):
-                flat, many = into.ravel(), np.repeat(grads, into.shape[1], axis=0)
-                rows_hit, back = np.unique(flat, return_inverse=True)
-                total = np.zeros((len(rows_hit), params.dim), np.float32)
-                np.add.at(total, back, many)
-                seen["words"][rows_hit] += (total * total).mean(1, keepdims=True)
-                model.words[rows_hit] -= rate * total / np.sqrt(seen["words"][rows_hit])
-    return model
+            learner.learn(texts[i], int(labels[i]), params.rate / (1 + epoch))
+    return learner.model
 
 
 def best_threshold(scores: np.ndarray, labels: np.ndarray) -> float:
@@ -243,41 +307,133 @@ def best_threshold(scores: np.ndarray, labels: np.ndarray) -> float:
     return float(np.clip((s[k] + below) / 2, 0.05, 0.95))
 
 
-def sample(docs: DataFrame, labels: DataFrame, params: Params) -> list:
-    """Rows ``text, label, lang`` to learn from: of each class about half of
-    ``sample_rows`` ids, drawn by a hash. Only those few ids meet the
-    documents. Null and overlong texts are left out."""
+def best_cut(bins: np.ndarray, many: np.ndarray, bad: np.ndarray, low: np.ndarray, high: np.ndarray) -> float:
+    """``best_threshold`` between bins: their numbers, rows, rows of class 1,
+    least and largest score."""
+    if bad.sum() in (0, many.sum()):
+        return 0.5
+    order = np.argsort(-bins, kind="stable")
+    f1 = 2 * np.cumsum(bad[order]) / (np.cumsum(many[order]) + bad.sum())
+    k = int(np.argmax(f1))
+    below = high[order[k + 1]] if k + 1 < len(order) else 0.0
+    return float(np.clip((low[order[k]] + below) / 2, 0.05, 0.95))
+
+
+def lessons(docs: DataFrame, labels: DataFrame, params: Params) -> DataFrame:
+    """``shard, place, held, label, lang, words``, materialised: every row with
+    a text, an id and a label of 0 or 1, its words as embedding rows."""
+    spark = docs.sparkSession
+    ship(spark)
     ids = labels.where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)) \
-        .groupBy("doc_id").agg(F.max("label").alias("label")).withColumn("h", F.xxhash64("doc_id"))
-    half = params.sample_rows // 2
-    some = [drawn(ids.where(F.col("label") == c), half, "doc_id") for c in (0, 1)]
-    rows = docs.select("doc_id", "text", "lang").where(F.length("text") <= params.sample_chars) \
-        .join(F.broadcast(some[0].unionByName(some[1])), "doc_id") \
-        .select("text", "label", "lang", "h").orderBy("h", "text").limit(2 * params.sample_rows)
-    return rows.collect()
+        .groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
+    listed = ids.count()
+    if listed <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    place = F.xxhash64("doc_id", "text")
+    rows = docs.select("doc_id", "text", "lang").where(F.col("text").isNotNull()).join(ids, "doc_id").select(
+        F.pmod(place, F.lit(max(1, math.ceil(listed / params.shard_rows)))).cast("int").alias("shard"), place.alias("place"),
+        (F.pmod(F.xxhash64("doc_id"), F.lit(params.calibration_share)) == 0).alias("held"), "label", "lang", "text")
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordRows(params.buckets)
+        for batch in batches:
+            words = [word_rows(t, known).astype(np.uint16 if params.buckets <= 1 << 16 else np.int32).tobytes()
+                     for t in batch.column(5).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(words, pa.binary())], [*batch.schema.names[:5], "words"])
+
+    found = rows.mapInArrow(packed, "shard int, place bigint, held boolean, label int, lang string, words binary")
+    return materialize(found.repartition(max(1, math.ceil(listed / params.shard_rows)), "shard")
+                       .sortWithinPartitions("shard", "place", "label", "words"))
+
+
+def unpacked(words: bytes, params: Params) -> np.ndarray:
+    return np.frombuffer(words, np.uint16 if params.buckets <= 1 << 16 else np.int32).reshape(-1, 4)
+
+
+def epoch_changes(table: DataFrame, learner: Learner, rate: float) -> DataFrame:
+    """``k, n, v0, v1, ...``: the summed changes of each row of weights after a
+    pass over every shard of ``table``, each from ``learner``'s weights."""
+    spark, wide = table.sparkSession, learner.params.dim + 1
+    start = spark.sparkContext.broadcast((learner.params, learner.weight, *learner.state()))
+    names = ["k", "n", *(f"v{i}" for i in range(wide))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        params, weight, words, rest = start.value
+        every = (row for b in batches for row in zip(*(b.column(c).to_pylist() for c in range(3))))
+        for _, shard in itertools.groupby(every, key=lambda row: row[0]):
+            own, many = Learner(params, 0.5), 0
+            own.weight = weight
+            own.restore(words, rest)
+            for _, label, text in shard:
+                own.learn(unpacked(text, params), label, rate)
+                many += 1
+            k, n, v = own.changes(words, rest, many)
+            yield pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), pa.array(n, pa.int64()), *(pa.array(v[:, i]) for i in range(wide))], names)
+
+    return table.select("shard", "label", "words").mapInArrow(run, ", ".join(f"{c} bigint" for c in names)) \
+        .groupBy("k").agg(*(F.sum(c).alias(c) for c in names[1:]))
+
+
+def learnt(table: DataFrame, params: Params, share: float) -> Model:
+    """The model of the rows ``shard, label, words``: each epoch starts from
+    the shards' averaged changes."""
+    learner = Learner(params, share)
+    for epoch in range(params.epochs):
+        words, rest = learner.state()
+        every = np.concatenate([words, rest]).astype(np.float64)
+        got = epoch_changes(table, learner, params.rate / (1 + epoch)).toArrow()
+        k, n, *v = (c.to_numpy() for c in got.columns)
+        if len(k):
+            every[k] += np.column_stack(v) / (n[:, None] * float(SCALE))
+        learner.restore(every[:len(words)], every[len(words):])
+    return learner.model
+
+
+def calibrate(model: Model, table: DataFrame) -> None:
+    """Sets the thresholds by the rows ``label, lang, words``: scored where
+    they lie, counted by language and bin."""
+    shared = table.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            s = [score(shared.value, unpacked(w, shared.value.params)) for w in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(s, pa.float64())], ["label", "lang", "score"])
+
+    totals = (F.sum("many").alias("many"), F.sum("bad").alias("bad"), F.min("low").alias("low"), F.max("high").alias("high"))
+    binned = table.select("label", "lang", "words").mapInArrow(run, "label int, lang string, score double") \
+        .groupBy("lang", F.floor(F.col("score") * BINS).alias("bin")) \
+        .agg(F.count(F.lit(1)).alias("many"), F.sum("label").alias("bad"), F.min("score").alias("low"), F.max("score").alias("high"))
+    binned = materialize(binned)
+    parts = ("bin", "many", "bad", "low", "high")
+    model.threshold = best_cut(*(c.to_numpy() for c in binned.groupBy("bin").agg(*totals).select(*parts).toArrow().columns))
+    own = binned.groupBy("lang").agg(F.sum("many").alias("all"), F.sum("bad").alias("all_bad")) \
+        .where(F.col("lang").isNotNull() & (F.col("lang") != "") & (F.col("all") >= model.params.calibration_rows)
+               & (F.col("all_bad") > 0) & (F.col("all_bad") < F.col("all"))).select("lang")
+
+    def cut(rows):
+        return rows[["lang"]].head(1).assign(cut=best_cut(*(rows[c].to_numpy() for c in parts)))
+
+    found = binned.join(own, "lang", "left_semi").groupBy("lang").applyInPandas(cut, "lang string, cut double")  # a group has BINS + 1 rows at most
+    model.by_language = {r["lang"]: r["cut"] for r in found.orderBy("lang").collect()}
+    drop_checkpoint(binned)
 
 
 def fit(docs: DataFrame, labels: DataFrame, params: Params | None = None) -> Model | None:
     """``docs``: doc_id, text, lang; ``labels``: doc_id, label (0 or 1). None
     when a class has no row."""
     params = params or Params()
-    rows = sample(docs, labels, params)
-    if len({r["label"] for r in rows}) < 2:
-        return None
-    known = WordRows(params.buckets)
-    texts = [word_rows(r["text"], known) for r in rows]
-    labels = np.array([r["label"] for r in rows], np.int64)
-    held = np.array([r["h"] % params.calibration_share == 0 for r in rows])
-    if held.all() or len(set(labels[~held])) < 2:
-        held[:] = False
-    model = train(params, [t for t, h in zip(texts, held) if not h], labels[~held])
-    scores = np.array([score(model, t) for t, h in zip(texts, held) if h])
-    y, langs = labels[held], np.array([r["lang"] or "" for r, h in zip(rows, held) if h])
-    model.threshold = best_threshold(scores, y)
-    for lang in sorted(set(langs.tolist()) - {""}):
-        own = langs == lang
-        if own.sum() >= params.calibration_rows and 0 < y[own].sum() < own.sum():
-            model.by_language[lang] = best_threshold(scores[own], y[own])
+    table = lessons(docs, labels, params)
+    many = {(r["held"], r["label"]): r["count"] for r in table.groupBy("held", "label").count().collect()}
+    model = None
+    if {c for _, c in many} == {0, 1}:
+        kept = {c: many.get((False, c), 0) for c in (0, 1)}
+        apart = all(kept.values())  # otherwise every row is learnt from, and none calibrates
+        if not apart:
+            kept = {c: kept[c] + many.get((True, c), 0) for c in (0, 1)}
+        model = learnt(table.where(~F.col("held")) if apart else table, params, kept[1] / sum(kept.values()))
+        if apart:
+            calibrate(model, table.where("held"))
+    drop_checkpoint(table)
     return model
 
 
