@@ -79,7 +79,7 @@ def test_every_labelled_row_is_learnt_from(spark, monkeypatch):
     params = tx.Params(epochs=3, shard_rows=200)
     table = tx.lessons(docs, labels, params)
     assert table.count() == 940 and table.select("shard").distinct().count() == 5
-    changes = tx.epoch_changes(table, tx.Learner(params, 0.3), params.rate).collect()
+    changes = tx.epoch_changes(table, tx.Learner(params, 0.3), 0).collect()
     assert {r["n"] for r in changes if r["k"] >= params.buckets} == {940}  # all texts, whatever their length
     model = tx.fit(docs, labels, params)
     assert tx.score(model, tx.word_rows("abc zzuzz", tx.WordRows(params.buckets))) > \
@@ -96,3 +96,10 @@ def test_responses_in_blocks(monkeypatch):
     monkeypatch.setattr(tx, "BLOCK", 7)
     parts = tx.responses(model, rows)
     assert np.allclose(whole[0], parts[0], atol=1e-5) and (whole[1] == parts[1]).all()
+
+
+def test_mixed_loses_no_row(monkeypatch):
+    monkeypatch.setattr(tx, "MIXED", 7)
+    rows = [(0, i % 2, bytes([i])) for i in range(50)]
+    out = list(tx.mixed(iter(rows), np.random.default_rng(1), 2))
+    assert out != rows and sorted(out) == sorted(rows)

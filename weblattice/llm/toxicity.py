@@ -42,6 +42,8 @@ WORD = re.compile(r"\w+")
 CACHE_WORDS = 400_000    # words whose vectors a Python worker keeps
 BLOCK = 65_536           # words of a text that are convolved at once
 SCALE = 1 << 28          # changes of weights are summed as whole multiples of 1 / SCALE
+MIXED = 1024             # texts of a shard whose order is mixed anew in each epoch, of
+MIXED_BYTES = 32 << 20   # so many bytes together
 BINS = 10_000            # thresholds lie between bins of the scores
 
 
@@ -198,7 +200,7 @@ class Learner:
     largest response receive a gradient."""
 
     def __init__(self, params: Params, share: float):
-        rng = np.random.default_rng(params.seed)
+        rng = self.rng = np.random.default_rng(params.seed)
         f = params.filters
         self.params = params
         self.model = Model(
@@ -285,9 +287,8 @@ class Learner:
 def train(params: Params, texts: list[np.ndarray], labels: np.ndarray) -> Model:
     """The model of a list of texts, in one process."""
     learner = Learner(params, float(labels.mean()) if len(labels) else 0.5)
-    rng = np.random.default_rng(params.seed)
     for epoch in range(params.epochs):
-        for i in rng.permutation(len(texts)):
+        for i in learner.rng.permutation(len(texts)):
             learner.learn(texts[i], int(labels[i]), params.rate / (1 + epoch))
     return learner.model
 
@@ -320,7 +321,7 @@ def best_cut(bins: np.ndarray, many: np.ndarray, bad: np.ndarray, low: np.ndarra
 
 
 def lessons(docs: DataFrame, labels: DataFrame, params: Params) -> DataFrame:
-    """``shard, place, held, label, lang, words``, materialised: every row with
+    """``shard, h, held, label, lang, words``, materialised: every row with
     a text, an id and a label of 0 or 1, its words as embedding rows."""
     spark = docs.sparkSession
     ship(spark)
@@ -329,10 +330,10 @@ def lessons(docs: DataFrame, labels: DataFrame, params: Params) -> DataFrame:
     listed = ids.count()
     if listed <= BROADCAST_IDS:
         ids = F.broadcast(ids)
-    place = F.xxhash64("doc_id", "text")
+    place, h = F.xxhash64("doc_id", "text"), F.xxhash64("doc_id")
     rows = docs.select("doc_id", "text", "lang").where(F.col("text").isNotNull()).join(ids, "doc_id").select(
-        F.pmod(place, F.lit(max(1, math.ceil(listed / params.shard_rows)))).cast("int").alias("shard"), place.alias("place"),
-        (F.pmod(F.xxhash64("doc_id"), F.lit(params.calibration_share)) == 0).alias("held"), "label", "lang", "text")
+        F.pmod(place, F.lit(max(1, math.ceil(listed / params.shard_rows)))).cast("int").alias("shard"), h.alias("h"),
+        (F.pmod(h, F.lit(params.calibration_share)) == 0).alias("held"), "label", "lang", "text")
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordRows(params.buckets)
@@ -341,19 +342,36 @@ def lessons(docs: DataFrame, labels: DataFrame, params: Params) -> DataFrame:
                      for t in batch.column(5).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(words, pa.binary())], [*batch.schema.names[:5], "words"])
 
-    found = rows.mapInArrow(packed, "shard int, place bigint, held boolean, label int, lang string, words binary")
+    found = rows.mapInArrow(packed, "shard int, h bigint, held boolean, label int, lang string, words binary")
     return materialize(found.repartition(max(1, math.ceil(listed / params.shard_rows)), "shard")
-                       .sortWithinPartitions("shard", "place", "label", "words"))
+                       .sortWithinPartitions("shard", "h", "label", "words"))
 
 
 def unpacked(words: bytes, params: Params) -> np.ndarray:
     return np.frombuffer(words, np.uint16 if params.buckets <= 1 << 16 else np.int32).reshape(-1, 4)
 
 
-def epoch_changes(table: DataFrame, learner: Learner, rate: float) -> DataFrame:
+def mixed(rows: Iterator[tuple], rng: np.random.Generator, epoch: int) -> Iterator[tuple]:
+    """All rows ``(.., .., bytes)``, in a random order within stretches of
+    bounded size; the order of one stretch goes on from epoch to epoch as in ``train``."""
+    held, size = [], 0
+
+    def order() -> list[int]:
+        return [rng.permutation(len(held)) for _ in range(epoch + 1)][-1].tolist()
+
+    for row in rows:
+        held.append(row)
+        size += len(row[2])
+        if len(held) >= MIXED or size >= MIXED_BYTES:
+            yield from (held[i] for i in order())
+            held, size = [], 0
+    yield from (held[i] for i in order())
+
+
+def epoch_changes(table: DataFrame, learner: Learner, epoch: int) -> DataFrame:
     """``k, n, v0, v1, ...``: the summed changes of each row of weights after a
     pass over every shard of ``table``, each from ``learner``'s weights."""
-    spark, wide = table.sparkSession, learner.params.dim + 1
+    spark, wide, rate = table.sparkSession, learner.params.dim + 1, learner.params.rate / (1 + epoch)
     start = spark.sparkContext.broadcast((learner.params, learner.weight, *learner.state()))
     names = ["k", "n", *(f"v{i}" for i in range(wide))]
 
@@ -364,7 +382,7 @@ def epoch_changes(table: DataFrame, learner: Learner, rate: float) -> DataFrame:
             own, many = Learner(params, 0.5), 0
             own.weight = weight
             own.restore(words, rest)
-            for _, label, text in shard:
+            for _, label, text in mixed(shard, own.rng, epoch):
                 own.learn(unpacked(text, params), label, rate)
                 many += 1
             k, n, v = own.changes(words, rest, many)
@@ -381,7 +399,7 @@ def learnt(table: DataFrame, params: Params, share: float) -> Model:
     for epoch in range(params.epochs):
         words, rest = learner.state()
         every = np.concatenate([words, rest]).astype(np.float64)
-        got = epoch_changes(table, learner, params.rate / (1 + epoch)).toArrow()
+        got = epoch_changes(table, learner, epoch).toArrow()
         k, n, *v = (c.to_numpy() for c in got.columns)
         if len(k):
             every[k] += np.column_stack(v) / (n[:, None] * float(SCALE))
