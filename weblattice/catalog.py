@@ -19,7 +19,7 @@ from .operators import graph as g
 from .operators.nodes import link_names, node_dictionary
 from .operators.text import format_pairs, tokens, word_count
 from .plans import pagerank as pr
-from .plans.lineage import materialize, pinned_partitions, shuffle_partitions
+from .plans.lineage import materialize, pinned_partitions
 from .plans.lookup import lookup, lookup_at, lookup_mapped, write_lookup_table
 from .plans.pipelines import clean_crawl, clean_crawl_dedup, graph_from_rank_table
 from .session import checkpoint_dir
@@ -163,15 +163,16 @@ def q_node_dictionary(spark, d):
 # ---- one round --------------------------------------------------------------
 
 def _active_links(spark, d):
-    return parse_edges(b.trade_lines(spark, d), distinct=True)
+    """Links of the edge-list job, which counts a pair once as it lays them out."""
+    return parse_edges(b.trade_lines(spark, d))
 
 
 def _first_round(spark, d, of):
     """``of(contributions)`` of the first active round, planned and run like
     the loop's; the link tables go afterwards."""
-    pairs = pr.link_pairs(_active_links(spark, d), distinct=True)
-    with pinned_partitions(spark, shuffle_partitions(spark)):
-        links = pr.prepare_links(pairs)
+    job = pr.active_job(_active_links(spark, d))
+    with pinned_partitions(spark, job.partitions):
+        links = pr.prepare_links(job.pairs, job.partitions, job.counts)
         ranks = links.sources.select(F.col("src").alias("node"), F.lit(1.0).alias("rank"))
         out = materialize(of(pr.contributions(links, ranks)))
         links.release()

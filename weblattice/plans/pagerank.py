@@ -10,23 +10,30 @@ occurrence without keeping duplicate rows.
 
 Physical layout (see ``prepare_links``):
 
+* the input's link rows are evaluated once, into memory and local disk, with
+  the caller's settings and adaptive execution; rows per source are counted.
 * cold links - every source with at most ``T`` link rows - are hash
-  partitioned by ``src`` into exactly the loop's shuffle-partition count and
-  sorted by ``src``. Each round's rank table comes out of the grouped sum
-  hash-partitioned by ``node`` into the same count, so the join of links and
-  ranks needs **no exchange**; the grouped sum is the round's only shuffle,
-  with map-side partial sums (a very popular target is pre-summed per task).
+  partitioned by ``src`` into exactly the loop's partition count, the one time
+  that links are shuffled; there repeats of a pair are summed and the targets of
+  a source packed into rows ``(src, w, targets)``, sorted by ``src``. Each
+  round's rank table comes out of the grouped sum hash-partitioned by ``node``
+  into the same count, so the join of links and ranks needs **no exchange** and
+  meets a source once, not once per link; the grouped sum is the round's only
+  shuffle, with map-side partial sums (a very popular target is pre-summed per
+  task). A packed row holds at most about ``max(PACKED, T / 64)`` targets.
 * hot links - sources with more than ``T = ceil(rows / partitions)`` link
-  rows, fewer than ``partitions`` of them by construction - are spread by
-  ``(src, dst)``; their ranks (one row per hot source, so a proven bound) are
-  broadcast to them. A source holding a third of all links thus costs no
-  straggler task.
+  rows, fewer than ``partitions`` of them by construction - are summed per
+  ``(src, dst)`` with map-side partial sums and stay spread by it; their ranks
+  (one row per hot source, so a proven bound) are broadcast to them. A source
+  holding a third of all links thus costs no straggler task.
+* unless the caller gives a partition count, a loop has one partition per
+  ``LINKS_PER_PARTITION`` link rows, at least one per core and at most the
+  session's shuffle partitions: the fewer partitions, the more of a target's
+  contributions are summed before the shuffle.
 * the link tables are checkpointed once (reliable, to the session's folder)
   and cached; every round's ranks are checkpointed, which bounds the plan and
-  lets a lost executor be recovered from files, not from a rerun.
-* the input is summed per ``(src, dst)`` and checkpointed before the loop's
-  settings apply, with adaptive execution; everything else comes from that
-  table. When a loop ends, only the returned ranks' files remain.
+  lets a lost executor be recovered from files, not from a rerun. When a loop
+  ends, only the returned ranks' files remain.
 
 Global values of the dangling variant (dangling mass ``D``, node count ``N``)
 are observed while a round's table is written, in the round's own job, and
@@ -45,7 +52,7 @@ import time
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import half_up
@@ -60,16 +67,18 @@ DAMPING = 0.85
 TELEPORT_LITERAL = 0.15
 TELEPORT_COMPUTED = 1 - 0.85
 DANGLING_NODE = "dangling"
+LINKS_PER_PARTITION = 4_000_000  # of a loop: about 100 MB of packed links with short names
+PACKED = 4096                    # targets of a source in one packed row
 
 
 @dataclass
 class PreparedLinks:
     """Loop-invariant link tables (see module doc)."""
 
-    cold: DataFrame                 # (src, dst, w)   hash(src, P), sorted by src
+    cold: DataFrame                 # (src, w, targets) or (src, dst, w)   hash(src, P), sorted by src
     hot: DataFrame | None           # (src, dst, w)   spread by (src, dst)
     hot_sources: DataFrame | None   # (src)           <= P rows
-    sources: DataFrame              # (src, deg)      hash(src, P)
+    sources: DataFrame              # (src, ...)      one row per source
     partitions: int
     threshold: int
     _tables: list = field(default_factory=list, repr=False)
@@ -82,53 +91,89 @@ class PreparedLinks:
 
 
 def link_pairs(edges: DataFrame, distinct: bool = False) -> DataFrame:
-    """``(src, dst[, n])`` edges summed per pair and materialised: a shuffle on
-    the pair, balanced even for a hot source, planned with the caller's
-    settings. ``distinct=True`` counts every pair once. Call it outside
-    ``pinned_partitions``."""
-    n = F.lit(1) if distinct else F.sum("n")
-    return materialize(with_multiplicity(edges).groupBy("src", "dst").agg(n.cast("bigint").alias("n")), persist=True)
-
-
-def prepare_links(pairs: DataFrame, partitions: int | None = None) -> PreparedLinks:
-    """Lay out ``link_pairs`` for repeated joins with ranks: degrees, the
-    hot/cold split and both layouts come from that one table. Call it inside
-    ``pinned_partitions``; ``release`` also frees ``pairs``."""
+    """``(src, dst[, n])`` edges, kept in memory and on local disk so that the
+    input is evaluated once, planned with the caller's settings: rows ``(src,
+    dst, n)``, which ``prepare_links`` sums per pair. ``distinct=True`` leaves
+    ``n`` out: every pair counts once. Call it outside ``pinned_partitions``."""
+    rows = edges.select("src", "dst") if distinct else with_multiplicity(edges)
+    return rows.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def summed_pairs(rows: DataFrame) -> DataFrame:
+    """``(src, dst, n)``: one row per pair of ``link_pairs``' rows."""
+    n = F.sum("n") if "n" in rows.columns else F.lit(1)
+    return rows.groupBy("src", "dst").agg(n.cast("bigint").alias("n"))
+
+
+def loop_partitions(spark: SparkSession, rows: int) -> int:
+    """Partitions of a loop over so many link rows (see module doc)."""
+    cores = spark.sparkContext.defaultParallelism
+    return min(shuffle_partitions(spark), max(cores, math.ceil(rows / LINKS_PER_PARTITION)))
+
+
+def _packed(rows: DataFrame, counts: DataFrame, widest: int, threshold: int, p: int) -> DataFrame:
+    """Rows of cold sources -> ``(src, w, targets)``, by one exchange on ``src``.
+    A null target is a row of its own with no targets, which an outer explode
+    gives back; a null source meets no rank."""
+    rows = rows.where(F.col("src").isNotNull()).repartition(p, "src")
+    pairs, n, found = (summed_pairs(rows), F.col("n"), F.collect_list("dst")) if "n" in rows.columns \
+        else (rows, F.lit(1), F.collect_set("dst"))
+    size = max(PACKED, math.ceil(threshold / 64))
+    chunk = F.lit(0).cast("bigint")
+    if widest > size:  # fewer than 64 p such sources
+        wide = counts.where(F.col("rows") > size).select("src", F.ceil(F.col("rows") / size).alias("chunks"))
+        pairs = pairs.join(F.broadcast(wide), "src", "left")
+        chunk = F.coalesce(F.pmod(F.xxhash64("dst"), "chunks"), chunk)
+    packed = pairs.groupBy("src", n.alias("n"), chunk.alias("chunk"), F.col("dst").isNull().alias("bare")) \
+        .agg(found.alias("targets"))
+    deg = F.sum(F.col("n") * F.greatest(F.size("targets"), F.lit(1))).over(Window.partitionBy("src"))
+    return packed.select("src", (F.col("n") / deg).alias("w"), "targets").sortWithinPartitions("src")
+
+
+def prepare_links(pairs: DataFrame, partitions: int | None = None, counts: DataFrame | None = None) -> PreparedLinks:
+    """Lay out ``link_pairs`` for repeated joins with ranks: the hot/cold split
+    and both layouts. ``counts`` are its ``row_counts``, if they were taken
+    before. Call it inside ``pinned_partitions``; ``release`` also frees
+    ``pairs``."""
     spark = pairs.sparkSession
     p = partitions or shuffle_partitions(spark)
-    sources = pairs.groupBy("src").agg(F.sum("n").alias("deg"), F.count(F.lit(1)).alias("rows"))
-    sources = sources.persist(StorageLevel.MEMORY_AND_DISK)
-    total, widest = sources.agg(F.sum("rows"), F.max("rows")).first()
-    total, widest = total or 0, widest or 0
+    counts = counts or row_counts(pairs)
+    total, widest = _extent(counts)
     threshold = math.ceil(total / p)
-    # fewer than total / threshold <= p sources: a proven bound for the broadcast
-    hot_sources = sources.where(F.col("rows") > threshold).select("src")
-    tables = [sources, pairs]
-    deg = sources.select("src", "deg")
-    cold_rows = pairs
-    hot = None
+    tables = [counts, pairs]
+    cold_rows, hot, hot_sources, top = pairs, None, None, widest
     if widest > threshold:
-        hot_sources = materialize(hot_sources)
+        # fewer than total / threshold <= p sources: a proven bound for the broadcast
+        hot_sources = materialize(counts.where(F.col("rows") > threshold).select("src"))
         cold_rows = pairs.join(F.broadcast(hot_sources), "src", "left_anti")
-        hot_deg = deg.join(F.broadcast(hot_sources), "src", "left_semi")
-        hot = pairs.join(F.broadcast(hot_sources), "src", "left_semi") \
-            .join(F.broadcast(hot_deg), "src") \
-            .select("src", "dst", (F.col("n") / F.col("deg")).alias("w"))
-        hot = materialize(hot, persist=True)
+        hot_pairs = materialize(summed_pairs(pairs.join(F.broadcast(hot_sources), "src", "left_semi")))
+        hot_deg = hot_pairs.groupBy("src").agg(F.sum("n").alias("deg"))
+        hot = materialize(hot_pairs.join(F.broadcast(hot_deg), "src")
+                          .select("src", "dst", (F.col("n") / F.col("deg")).alias("w")), persist=True)
+        drop_checkpoint(hot_pairs)
         tables += [hot, hot_sources]
-    cold = cold_rows.repartition(p, "src").join(deg, "src") \
-        .select("src", "dst", (F.col("n") / F.col("deg")).alias("w")) \
-        .sortWithinPartitions("src")
-    cold = materialize(cold, persist=True)
+        top = threshold
+    cold = materialize(_packed(cold_rows, counts, top, threshold, p), persist=True)
     tables.append(cold)
-    return PreparedLinks(cold, hot, hot_sources if hot is not None else None, deg, p, threshold, tables)
+    return PreparedLinks(cold, hot, hot_sources, counts.select("src").repartition(p, "src"), p, threshold, tables)
+
+
+def row_counts(pairs: DataFrame) -> DataFrame:
+    """``(src, rows)``: link rows of each source, kept in memory."""
+    return pairs.groupBy("src").agg(F.count(F.lit(1)).alias("rows")).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _extent(counts: DataFrame) -> tuple[int, int]:
+    """All link rows, and those of the widest source."""
+    total, widest = counts.agg(F.sum("rows"), F.max("rows")).first()
+    return total or 0, widest or 0
 
 
 def contributions(links: PreparedLinks, ranks: DataFrame) -> DataFrame:
     """``(src, node, c)``: one row per (source, target) with ``rank * w``."""
     r = ranks.select(F.col("node").alias("src"), "rank")
-    out = links.cold.join(r, "src").select(
-        "src", F.col("dst").alias("node"), (F.col("rank") * F.col("w")).alias("c"))
+    node = F.explode_outer("targets") if "targets" in links.cold.columns else F.col("dst")
+    out = links.cold.join(r, "src").select("src", node.alias("node"), (F.col("rank") * F.col("w")).alias("c"))
     if links.hot is not None:
         hot_ranks = r.join(F.broadcast(links.hot_sources), "src")
         out = out.unionByName(links.hot.join(F.broadcast(hot_ranks), "src").select(
@@ -245,8 +290,9 @@ def _node_flags(pages: DataFrame, links: PreparedLinks) -> DataFrame:
 class _Job:
     """What the loops share: links, numbering and kept rounds of one run."""
 
-    pairs: DataFrame                  # (src, dst, n), names or numbers
+    pairs: DataFrame                  # (src, dst[, n]), names or numbers
     pages: DataFrame | None           # (node, rank[, self_vote]), likewise
+    counts: DataFrame                 # (src, rows) of pairs
     partitions: int
     dangling: str | int = DANGLING_NODE
     names: NodeDictionary | None = None
@@ -280,28 +326,40 @@ class _Job:
 def _job(pages: DataFrame | None, edges: DataFrame, partitions: int | None, node_ids: bool, rounds_at: str | None,
          resume: bool, distinct: bool = False, **settings) -> _Job:
     spark = edges.sparkSession
-    p = partitions or shuffle_partitions(spark)
     pairs = link_pairs(edges, distinct)
     own = materialize(pages) if pages is not None else None
-    job = _Job(pairs, own, p)
+    folders = names = None
+    dangling: str | int = DANGLING_NODE
     if rounds_at:
-        prints = [fingerprint(pairs), fingerprint(own) if own is not None else None]
-        job.folders = RoundFolders(spark, rounds_at, {**settings, "node_ids": node_ids, "input": prints}, resume)
+        prints = [fingerprint(summed_pairs(pairs)), fingerprint(own) if own is not None else None]
+        folders = RoundFolders(spark, rounds_at, {**settings, "node_ids": node_ids, "input": prints}, resume)
     if node_ids:
         more = [own] if own is not None else []
         if settings.get("compat"):  # the name has a number, but a rank only if something reaches it
             more.append(spark.range(1).select(F.lit(DANGLING_NODE).alias("node")))
-        job.names = node_dictionary(link_names(pairs, *more), p)
+        named, pairs = pairs, summed_pairs(pairs).persist(StorageLevel.MEMORY_AND_DISK)
+        names = node_dictionary(link_names(pairs, *more), partitions)
         if settings.get("compat"):
-            job.dangling = job.names.table.where(F.col("node") == DANGLING_NODE).first()["id"]
-        by_source = job.names.encode(pairs, "src")
-        job.pairs = job.names.encode(by_source, "dst").persist(StorageLevel.MEMORY_AND_DISK)
+            dangling = names.table.where(F.col("node") == DANGLING_NODE).first()["id"]
+        by_source = names.encode(pairs, "src")
+        named.unpersist()
+        pairs.unpersist()
+        pairs = names.encode(by_source, "dst").persist(StorageLevel.MEMORY_AND_DISK)
         drop_checkpoint(by_source)
-        drop_checkpoint(pairs)
         if own is not None:
-            job.pages = job.names.encode(own, "node")
+            numbered = names.encode(own, "node")
             drop_checkpoint(own)
-    return job
+            own = numbered
+    counts = row_counts(pairs)
+    p = partitions or loop_partitions(spark, _extent(counts)[0])
+    return _Job(pairs, own, counts, p, dangling, names, folders)
+
+
+def active_job(edges: DataFrame, partitions: int | None = None, node_ids: bool = False, rounds_at: str | None = None,
+               resume: bool = False, damping: float = DAMPING) -> _Job:
+    """What the edge-list job starts from: every pair of ``edges`` once."""
+    return _job(None, edges.select("src", "dst"), partitions, node_ids, rounds_at, resume, distinct=True,
+                job="active", damping=damping)
 
 
 def pagerank_active(edges: DataFrame, iterations: int, damping: float = DAMPING,
@@ -312,10 +370,9 @@ def pagerank_active(edges: DataFrame, iterations: int, damping: float = DAMPING,
     spark = edges.sparkSession
     secs = []
     t0 = time.perf_counter()
-    job = _job(None, edges.select("src", "dst"), partitions, node_ids, rounds_at, resume, distinct=True,
-               job="active", damping=damping)
+    job = active_job(edges, partitions, node_ids, rounds_at, resume, damping)
     with pinned_partitions(spark, job.partitions):
-        links = prepare_links(job.pairs, job.partitions)
+        links = prepare_links(job.pairs, job.partitions, job.counts)
         first, _, ranks = job.resumed()
         if ranks is None:
             ranks = materialize(links.sources.select(F.col("src").alias("node"), F.lit(1.0).alias("rank")), persist=True)
@@ -353,7 +410,7 @@ def pagerank_all_nodes(pages: DataFrame | None, edges: DataFrame, iterations: in
     t0 = time.perf_counter()
     job = _job(pages, edges, partitions, node_ids, rounds_at, resume, job="all nodes", compat=compat, damping=damping)
     with pinned_partitions(spark, job.partitions):
-        links = prepare_links(job.pairs, job.partitions)
+        links = prepare_links(job.pairs, job.partitions, job.counts)
         first, _, ranks = job.resumed()
         if ranks is None:
             ranks = materialize(_start(job.pages, links), persist=True)
@@ -387,7 +444,7 @@ def pagerank_dangling(pages: DataFrame, edges: DataFrame, iterations: int = 2,
                round_mass=round_mass)
     bare = ~F.col("has_links")
     with pinned_partitions(spark, job.partitions):
-        links = prepare_links(job.pairs, job.partitions)
+        links = prepare_links(job.pairs, job.partitions, job.counts)
         first, state, ranks = job.resumed()
         if ranks is None:
             raw_mass = Observation()
