@@ -19,7 +19,7 @@ def _laid_out(spark, rows, distinct, p=3):
         links = pr.prepare_links(pr.link_pairs(_links(spark, rows), distinct), p)
         flat = links.cold.select("src", F.explode_outer("targets").alias("dst"), "w")
         if links.hot is not None:
-            flat = flat.unionByName(links.hot)
+            flat = flat.unionByName(links.hot.drop("n"))
         out = sorted(map(tuple, flat.collect()), key=str), links.cold.count()
         links.release()
     return out
@@ -74,3 +74,22 @@ def test_partitions_follow_the_links(spark):
         res.links.release()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_sources_get_their_numbers_where_they_are(spark):
+    from weblattice.operators.nodes import link_names, node_dictionary
+    rows = [(f"s{i % 20}", f"t{i}") for i in range(400)] + [("hub", f"t{i}") for i in range(900)]
+    pairs = pr.link_pairs(_links(spark, rows))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with pinned_partitions(spark, 4):
+            links = pr.prepare_links(pairs, 4)
+            names = node_dictionary(link_names(pr._flat(links)), 4)
+            numbered = pr._numbered_sources(links, names)
+            plan = numbered._jdf.queryExecution().executedPlan().toString()
+        assert plan.replace("BroadcastExchange", "").count("Exchange") == 1, plan  # the dictionary's
+        ids = {r["node"]: r["id"] for r in names.table.collect()}
+        assert sorted(map(tuple, numbered.collect())) == sorted((ids[s], t, 1) for s, t in rows)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

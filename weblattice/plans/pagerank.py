@@ -15,7 +15,7 @@ Physical layout (see ``prepare_links``):
 * cold links - every source with at most ``T`` link rows - are hash
   partitioned by ``src`` into exactly the loop's partition count, the one time
   that links are shuffled; there repeats of a pair are summed and the targets of
-  a source packed into rows ``(src, w, targets)``, sorted by ``src``. Each
+  a source packed into rows ``(src, n, w, targets)``, sorted by ``src``. Each
   round's rank table comes out of the grouped sum hash-partitioned by ``node``
   into the same count, so the join of links and ranks needs **no exchange** and
   meets a source once, not once per link; the grouped sum is the round's only
@@ -40,7 +40,8 @@ are observed while a round's table is written, in the round's own job, and
 reach the driver as scalars, as the original job captured them in closures.
 
 With ``node_ids`` a loop runs on the numbers of a node dictionary instead of
-names: links are translated once, rounds shuffle, join and checkpoint 8-byte
+names: links are laid out by name first, so that sources are translated a packed
+row at a time without an exchange of links, then targets once; rounds shuffle, join and checkpoint 8-byte
 keys, and the last ranks are translated back. With ``rounds_at`` every round
 is also kept as a named folder, from which ``resume`` continues.
 """
@@ -75,8 +76,8 @@ PACKED = 4096                    # targets of a source in one packed row
 class PreparedLinks:
     """Loop-invariant link tables (see module doc)."""
 
-    cold: DataFrame                 # (src, w, targets) or (src, dst, w)   hash(src, P), sorted by src
-    hot: DataFrame | None           # (src, dst, w)   spread by (src, dst)
+    cold: DataFrame                 # (src, n, w, targets) or (src, dst, w)   hash(src, P), sorted by src
+    hot: DataFrame | None           # (src, dst[, n], w)   spread by (src, dst)
     hot_sources: DataFrame | None   # (src)           <= P rows
     sources: DataFrame              # (src, ...)      one row per source
     partitions: int
@@ -112,22 +113,24 @@ def loop_partitions(spark: SparkSession, rows: int) -> int:
 
 
 def _packed(rows: DataFrame, counts: DataFrame, widest: int, threshold: int, p: int) -> DataFrame:
-    """Rows of cold sources -> ``(src, w, targets)``, by one exchange on ``src``.
+    """Rows of cold sources -> ``(src, n, w, targets)``, by one exchange on ``src``.
     A null target is a row of its own with no targets, which an outer explode
     gives back; a null source meets no rank."""
     rows = rows.where(F.col("src").isNotNull()).repartition(p, "src")
     pairs, n, found = (summed_pairs(rows), F.col("n"), F.collect_list("dst")) if "n" in rows.columns \
-        else (rows, F.lit(1), F.collect_set("dst"))
+        else (rows, F.lit(1).cast("bigint"), F.collect_set("dst"))
     size = max(PACKED, math.ceil(threshold / 64))
     chunk = F.lit(0).cast("bigint")
     if widest > size:  # fewer than 64 p such sources
         wide = counts.where(F.col("rows") > size).select("src", F.ceil(F.col("rows") / size).alias("chunks"))
         pairs = pairs.join(F.broadcast(wide), "src", "left")
         chunk = F.coalesce(F.pmod(F.xxhash64("dst"), "chunks"), chunk)
-    packed = pairs.groupBy("src", n.alias("n"), chunk.alias("chunk"), F.col("dst").isNull().alias("bare")) \
-        .agg(found.alias("targets"))
+    # Grouped by -n: a cached table that is sorted by one of its further columns
+    # cannot be read under new column ids (Spark 4.1 fails to find the column).
+    packed = pairs.groupBy("src", (-n).alias("minus"), chunk.alias("chunk"), F.col("dst").isNull().alias("bare")) \
+        .agg(found.alias("targets")).withColumn("n", -F.col("minus"))
     deg = F.sum(F.col("n") * F.greatest(F.size("targets"), F.lit(1))).over(Window.partitionBy("src"))
-    return packed.select("src", (F.col("n") / deg).alias("w"), "targets").sortWithinPartitions("src")
+    return packed.select("src", "n", (F.col("n") / deg).alias("w"), "targets").sortWithinPartitions("src")
 
 
 def prepare_links(pairs: DataFrame, partitions: int | None = None, counts: DataFrame | None = None) -> PreparedLinks:
@@ -149,7 +152,7 @@ def prepare_links(pairs: DataFrame, partitions: int | None = None, counts: DataF
         hot_pairs = materialize(summed_pairs(pairs.join(F.broadcast(hot_sources), "src", "left_semi")))
         hot_deg = hot_pairs.groupBy("src").agg(F.sum("n").alias("deg"))
         hot = materialize(hot_pairs.join(F.broadcast(hot_deg), "src")
-                          .select("src", "dst", (F.col("n") / F.col("deg")).alias("w")), persist=True)
+                          .select("src", "dst", "n", (F.col("n") / F.col("deg")).alias("w")), persist=True)
         drop_checkpoint(hot_pairs)
         tables += [hot, hot_sources]
         top = threshold
@@ -323,6 +326,25 @@ class _Job:
         return ranks
 
 
+def _flat(links: PreparedLinks, *columns: str) -> DataFrame:
+    """``(src, dst, ...)``: one row per pair of the link tables."""
+    out = links.cold.select("src", F.explode_outer("targets").alias("dst"), *columns)
+    return out if links.hot is None else out.unionByName(links.hot.select("src", "dst", *columns))
+
+
+def _numbered_sources(links: PreparedLinks, names: NodeDictionary) -> DataFrame:
+    """``(src, dst, n)`` of the link tables with the sources' numbers. Packed
+    rows meet the dictionary where they are, once per source; hot sources, of
+    which there are few, are broadcast."""
+    ids = names.table.select(F.col("node").alias("src"), F.col("id").alias("__id"))
+    pair = F.col("__id").alias("src"), "dst", "n"
+    out = links.cold.join(ids, "src").select("__id", "n", F.explode_outer("targets").alias("dst")).select(*pair)
+    if links.hot is not None:
+        hot_ids = ids.join(F.broadcast(links.hot_sources), "src", "left_semi")
+        out = out.unionByName(links.hot.join(F.broadcast(hot_ids), "src").select(*pair))
+    return out
+
+
 def _job(pages: DataFrame | None, edges: DataFrame, partitions: int | None, node_ids: bool, rounds_at: str | None,
          resume: bool, distinct: bool = False, **settings) -> _Job:
     spark = edges.sparkSession
@@ -337,15 +359,19 @@ def _job(pages: DataFrame | None, edges: DataFrame, partitions: int | None, node
         more = [own] if own is not None else []
         if settings.get("compat"):  # the name has a number, but a rank only if something reaches it
             more.append(spark.range(1).select(F.lit(DANGLING_NODE).alias("node")))
-        named, pairs = pairs, summed_pairs(pairs).persist(StorageLevel.MEMORY_AND_DISK)
-        names = node_dictionary(link_names(pairs, *more), partitions)
+        counts = row_counts(pairs)
+        p = partitions or loop_partitions(spark, _extent(counts)[0])
+        with pinned_partitions(spark, p):
+            named = prepare_links(pairs, p, counts)
+        links = _flat(named, "n")
+        names = node_dictionary(link_names(links, *more), p)
         if settings.get("compat"):
             dangling = names.table.where(F.col("node") == DANGLING_NODE).first()["id"]
-        by_source = names.encode(pairs, "src")
-        named.unpersist()
-        pairs.unpersist()
+        with pinned_partitions(spark, p):
+            by_source = _numbered_sources(named, names).persist(StorageLevel.MEMORY_AND_DISK)
         pairs = names.encode(by_source, "dst").persist(StorageLevel.MEMORY_AND_DISK)
-        drop_checkpoint(by_source)
+        by_source.unpersist()
+        named.release()
         if own is not None:
             numbered = names.encode(own, "node")
             drop_checkpoint(own)
