@@ -172,7 +172,7 @@ def _first_round(spark, d, of):
     the loop's; the link tables go afterwards."""
     job = pr.active_job(_active_links(spark, d))
     with pinned_partitions(spark, job.partitions):
-        links = pr.prepare_links(job.pairs, job.partitions, job.counts)
+        links = pr.prepare_links(job.pairs, job.partitions, job.buckets)
         ranks = links.sources.select(F.col("src").alias("node"), F.lit(1.0).alias("rank"))
         out = materialize(of(pr.contributions(links, ranks)))
         links.release()

@@ -11,7 +11,9 @@ occurrence without keeping duplicate rows.
 Physical layout (see ``prepare_links``):
 
 * the input's link rows are evaluated once, into memory and local disk, with
-  the caller's settings and adaptive execution; rows per source are counted.
+  the caller's settings and adaptive execution; rows are counted by a hash of
+  the source, and by source only where a bucket of it has enough rows for a hot
+  source or one of several packed rows.
 * cold links - every source with at most ``T`` link rows - are hash
   partitioned by ``src`` into exactly the loop's partition count, the one time
   that links are shuffled; there repeats of a pair are summed and the targets of
@@ -68,8 +70,9 @@ DAMPING = 0.85
 TELEPORT_LITERAL = 0.15
 TELEPORT_COMPUTED = 1 - 0.85
 DANGLING_NODE = "dangling"
-LINKS_PER_PARTITION = 4_000_000  # of a loop: about 100 MB of packed links with short names
+LINKS_PER_PARTITION = 8_000_000  # of a loop: about 200 MB of packed links with short names
 PACKED = 4096                    # targets of a source in one packed row
+BUCKETS = 1 << 15                # by which rows are counted before any source is
 
 
 @dataclass
@@ -112,14 +115,18 @@ def loop_partitions(spark: SparkSession, rows: int) -> int:
     return min(shuffle_partitions(spark), max(cores, math.ceil(rows / LINKS_PER_PARTITION)))
 
 
-def _packed(rows: DataFrame, counts: DataFrame, widest: int, threshold: int, p: int) -> DataFrame:
+def _packed_size(threshold: int) -> int:
+    return max(PACKED, math.ceil(threshold / 64))
+
+
+def _packed(rows: DataFrame, counts: DataFrame | None, widest: int, threshold: int, p: int) -> DataFrame:
     """Rows of cold sources -> ``(src, n, w, targets)``, by one exchange on ``src``.
     A null target is a row of its own with no targets, which an outer explode
     gives back; a null source meets no rank."""
     rows = rows.where(F.col("src").isNotNull()).repartition(p, "src")
     pairs, n, found = (summed_pairs(rows), F.col("n"), F.collect_list("dst")) if "n" in rows.columns \
         else (rows, F.lit(1).cast("bigint"), F.collect_set("dst"))
-    size = max(PACKED, math.ceil(threshold / 64))
+    size = _packed_size(threshold)
     chunk = F.lit(0).cast("bigint")
     if widest > size:  # fewer than 64 p such sources
         wide = counts.where(F.col("rows") > size).select("src", F.ceil(F.col("rows") / size).alias("chunks"))
@@ -133,17 +140,23 @@ def _packed(rows: DataFrame, counts: DataFrame, widest: int, threshold: int, p:
     return packed.select("src", "n", (F.col("n") / deg).alias("w"), "targets").sortWithinPartitions("src")
 
 
-def prepare_links(pairs: DataFrame, partitions: int | None = None, counts: DataFrame | None = None) -> PreparedLinks:
+def prepare_links(pairs: DataFrame, partitions: int | None = None, buckets: DataFrame | None = None) -> PreparedLinks:
     """Lay out ``link_pairs`` for repeated joins with ranks: the hot/cold split
-    and both layouts. ``counts`` are its ``row_counts``, if they were taken
+    and both layouts. ``buckets`` are its ``bucket_counts``, if they were taken
     before. Call it inside ``pinned_partitions``; ``release`` also frees
     ``pairs``."""
     spark = pairs.sparkSession
     p = partitions or shuffle_partitions(spark)
-    counts = counts or row_counts(pairs)
-    total, widest = _extent(counts)
+    buckets = buckets or bucket_counts(pairs)
+    total, fullest, nameless = _extent(buckets)
     threshold = math.ceil(total / p)
-    tables = [counts, pairs]
+    tables = [buckets, pairs]
+    counts, widest = None, 0
+    full = min(threshold, _packed_size(threshold))
+    if fullest > full:  # all other sources have at most so many rows
+        counts = row_counts(pairs.join(F.broadcast(buckets.where(F.col("rows") > full).select("bucket")), _bucket() == F.col("bucket"), "left_semi"))
+        widest = counts.agg(F.max("rows")).first()[0]
+        tables.append(counts)
     cold_rows, hot, hot_sources, top = pairs, None, None, widest
     if widest > threshold:
         # fewer than total / threshold <= p sources: a proven bound for the broadcast
@@ -158,7 +171,31 @@ def prepare_links(pairs: DataFrame, partitions: int | None = None, counts: DataF
         top = threshold
     cold = materialize(_packed(cold_rows, counts, top, threshold, p), persist=True)
     tables.append(cold)
-    return PreparedLinks(cold, hot, hot_sources, counts.select("src").repartition(p, "src"), p, threshold, tables)
+    return PreparedLinks(cold, hot, hot_sources, _sources(cold, hot_sources, nameless, p), p, threshold, tables)
+
+
+def _sources(cold: DataFrame, hot_sources: DataFrame | None, nameless: bool, p: int) -> DataFrame:
+    """``(src)``: each source once, as the cold links are partitioned; a null
+    one has no packed row."""
+    own = cold.select("src").distinct()
+    more = [hot_sources.where(F.col("src").isNotNull())] if hot_sources is not None else []
+    if nameless:
+        more.append(cold.sparkSession.range(1).select(F.lit(None).cast(cold.schema["src"].dataType).alias("src")))
+    for rows in more:
+        own = own.unionByName(rows)
+    return own.repartition(p, "src") if more else own
+
+
+def _bucket():
+    return F.pmod(F.xxhash64("src"), F.lit(BUCKETS))
+
+
+def bucket_counts(pairs: DataFrame) -> DataFrame:
+    """``(bucket, rows, nameless)``: link rows by a hash of the source, and
+    whether some have a null source, kept in memory. At most ``BUCKETS`` rows a
+    task are shuffled, however many sources it meets."""
+    return pairs.groupBy(_bucket().alias("bucket")) \
+        .agg(F.count(F.lit(1)).alias("rows"), F.max(F.col("src").isNull()).alias("nameless")).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def row_counts(pairs: DataFrame) -> DataFrame:
@@ -166,10 +203,10 @@ def row_counts(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("src").agg(F.count(F.lit(1)).alias("rows")).persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def _extent(counts: DataFrame) -> tuple[int, int]:
-    """All link rows, and those of the widest source."""
-    total, widest = counts.agg(F.sum("rows"), F.max("rows")).first()
-    return total or 0, widest or 0
+def _extent(buckets: DataFrame) -> tuple[int, int, bool]:
+    """All link rows, those of the fullest bucket, and whether a source is null."""
+    total, fullest, nameless = buckets.agg(F.sum("rows"), F.max("rows"), F.max("nameless")).first()
+    return total or 0, fullest or 0, bool(nameless)
 
 
 def contributions(links: PreparedLinks, ranks: DataFrame) -> DataFrame:
@@ -295,7 +332,7 @@ class _Job:
 
     pairs: DataFrame                  # (src, dst[, n]), names or numbers
     pages: DataFrame | None           # (node, rank[, self_vote]), likewise
-    counts: DataFrame                 # (src, rows) of pairs
+    buckets: DataFrame                # (bucket, rows, nameless) of pairs
     partitions: int
     dangling: str | int = DANGLING_NODE
     names: NodeDictionary | None = None
@@ -359,10 +396,10 @@ def _job(pages: DataFrame | None, edges: DataFrame, partitions: int | None, node
         more = [own] if own is not None else []
         if settings.get("compat"):  # the name has a number, but a rank only if something reaches it
             more.append(spark.range(1).select(F.lit(DANGLING_NODE).alias("node")))
-        counts = row_counts(pairs)
-        p = partitions or loop_partitions(spark, _extent(counts)[0])
+        buckets = bucket_counts(pairs)
+        p = partitions or loop_partitions(spark, _extent(buckets)[0])
         with pinned_partitions(spark, p):
-            named = prepare_links(pairs, p, counts)
+            named = prepare_links(pairs, p, buckets)
         links = _flat(named, "n")
         names = node_dictionary(link_names(links, *more), p)
         if settings.get("compat"):
@@ -376,9 +413,9 @@ def _job(pages: DataFrame | None, edges: DataFrame, partitions: int | None, node
             numbered = names.encode(own, "node")
             drop_checkpoint(own)
             own = numbered
-    counts = row_counts(pairs)
-    p = partitions or loop_partitions(spark, _extent(counts)[0])
-    return _Job(pairs, own, counts, p, dangling, names, folders)
+    buckets = bucket_counts(pairs)
+    p = partitions or loop_partitions(spark, _extent(buckets)[0])
+    return _Job(pairs, own, buckets, p, dangling, names, folders)
 
 
 def active_job(edges: DataFrame, partitions: int | None = None, node_ids: bool = False, rounds_at: str | None = None,
@@ -398,7 +435,7 @@ def pagerank_active(edges: DataFrame, iterations: int, damping: float = DAMPING,
     t0 = time.perf_counter()
     job = active_job(edges, partitions, node_ids, rounds_at, resume, damping)
     with pinned_partitions(spark, job.partitions):
-        links = prepare_links(job.pairs, job.partitions, job.counts)
+        links = prepare_links(job.pairs, job.partitions, job.buckets)
         first, _, ranks = job.resumed()
         if ranks is None:
             ranks = materialize(links.sources.select(F.col("src").alias("node"), F.lit(1.0).alias("rank")), persist=True)
@@ -436,7 +473,7 @@ def pagerank_all_nodes(pages: DataFrame | None, edges: DataFrame, iterations: in
     t0 = time.perf_counter()
     job = _job(pages, edges, partitions, node_ids, rounds_at, resume, job="all nodes", compat=compat, damping=damping)
     with pinned_partitions(spark, job.partitions):
-        links = prepare_links(job.pairs, job.partitions, job.counts)
+        links = prepare_links(job.pairs, job.partitions, job.buckets)
         first, _, ranks = job.resumed()
         if ranks is None:
             ranks = materialize(_start(job.pages, links), persist=True)
@@ -470,7 +507,7 @@ def pagerank_dangling(pages: DataFrame, edges: DataFrame, iterations: int = 2,
                round_mass=round_mass)
     bare = ~F.col("has_links")
     with pinned_partitions(spark, job.partitions):
-        links = prepare_links(job.pairs, job.partitions, job.counts)
+        links = prepare_links(job.pairs, job.partitions, job.buckets)
         first, state, ranks = job.resumed()
         if ranks is None:
             raw_mass = Observation()
