@@ -13,9 +13,17 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_dir
 
 
+BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 4 << 20    # of rows handed to a Python worker at once; by Spark's default a batch ends after 10,000 rows
+
+
 def ship(spark: SparkSession) -> None:
     """Hand this package to the Python workers, once per session: a driver
-    that loaded it by path has workers that cannot import it otherwise."""
+    that loaded it by path has workers that cannot import it otherwise. Bounds
+    the bytes of a batch, unless the session names a bound: an executor holds
+    a batch several times, in the JVM and in the worker of each core."""
+    if spark.conf.get(BATCH_LIMIT, None) is None:
+        spark.conf.set(BATCH_LIMIT, str(BATCH_BYTES))
     sc = spark.sparkContext
     if getattr(sc, "_weblattice_shipped", False):
         return
