@@ -122,3 +122,15 @@ def test_twelve_cores_take_81_million_links_a_partition_each():
     """Where a table of ten times the links has more partitions, its rounds
     shuffle more than ten times as much."""
     assert 81_000_000 <= 12 * pr.LINKS_PER_PARTITION
+
+
+def test_lists_are_gathered_once(spark):
+    """Targets lie sorted by source when they are gathered; before, every list
+    was built, written and merged by a second aggregate."""
+    for distinct, gather in ((True, "collect_set("), (False, "collect_list(")):
+        pairs = pr.link_pairs(_links(spark, [(f"s{i % 20}", f"t{i}") for i in range(400)]), distinct)
+        with pinned_partitions(spark, 4):
+            plan = pr._packed(pairs, None, 0, 100, 4)._jdf.queryExecution().executedPlan().toString()
+        plan = plan[:plan.index("InMemoryTableScan")]
+        assert plan.count(gather) == 1 and "partial_collect" not in plan, plan
+        pairs.unpersist()

@@ -34,13 +34,13 @@ def pinned_partitions(spark: SparkSession, partitions: int):
     The loop's plan is fixed by construction - co-partitioned join, one
     partially aggregated exchange - so there is nothing to re-plan. Only
     materialised tables may enter: a caller's input is planned outside, with
-    adaptive execution. Lists are gathered by one external sort, since hashing
-    them falls back to a sort in each of two aggregates.
+    adaptive execution. Rows that lie sorted by what they are grouped by are
+    aggregated as they come, in one aggregate and not two.
     """
     keys = {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.enabled": "false",
-        "spark.sql.execution.useObjectHashAggregateExec": "false",
+        "spark.sql.execution.replaceHashWithSortAgg": "true",
     }
     old = {k: spark.conf.get(k, None) for k in keys}
     for k, v in keys.items():

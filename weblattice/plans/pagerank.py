@@ -121,22 +121,29 @@ def _packed_size(threshold: int) -> int:
 
 def _packed(rows: DataFrame, counts: DataFrame | None, widest: int, threshold: int, p: int) -> DataFrame:
     """Rows of cold sources -> ``(src, n, w, targets)``, by one exchange on ``src``.
-    A null target is a row of its own with no targets, which an outer explode
-    gives back; a null source meets no rank."""
+    A null target is one of the list; a null source meets no rank."""
     rows = rows.where(F.col("src").isNotNull()).repartition(p, "src")
-    pairs, n, found = (summed_pairs(rows), F.col("n"), F.collect_list("dst")) if "n" in rows.columns \
-        else (rows, F.lit(1).cast("bigint"), F.collect_set("dst"))
+    pairs, found = (summed_pairs(rows), F.collect_list("dst")) if "n" in rows.columns else (rows, F.collect_set("dst"))
+    keys = ["src"]
+    if "n" in pairs.columns:
+        # Grouped by -n: a cached table that is sorted by one of its further columns
+        # cannot be read under new column ids (Spark 4.1 fails to find the column).
+        pairs = pairs.select("src", "dst", (-F.col("n")).alias("minus"))
+        keys.append("minus")
     size = _packed_size(threshold)
-    chunk = F.lit(0).cast("bigint")
     if widest > size:  # fewer than 64 p such sources
         wide = counts.where(F.col("rows") > size).select("src", F.ceil(F.col("rows") / size).alias("chunks"))
-        pairs = pairs.join(F.broadcast(wide), "src", "left")
-        chunk = F.coalesce(F.pmod(F.xxhash64("dst"), "chunks"), chunk)
-    # Grouped by -n: a cached table that is sorted by one of its further columns
-    # cannot be read under new column ids (Spark 4.1 fails to find the column).
-    packed = pairs.groupBy("src", (-n).alias("minus"), chunk.alias("chunk"), F.col("dst").isNull().alias("bare")) \
-        .agg(found.alias("targets")).withColumn("n", -F.col("minus"))
-    deg = F.sum(F.col("n") * F.greatest(F.size("targets"), F.lit(1))).over(Window.partitionBy("src"))
+        chunk = F.coalesce(F.pmod(F.xxhash64("dst"), "chunks"), F.lit(0).cast("bigint"))
+        pairs = pairs.join(F.broadcast(wide), "src", "left").select(*pairs.columns, chunk.alias("chunk"))
+        keys.append("chunk")
+    # Sorted before they are grouped, the rows are gathered once, as they come.
+    lists = pairs.sortWithinPartitions(*keys).groupBy(*keys).agg(found.alias("named"), F.max(F.col("dst").isNull()).alias("bare"))
+    none = F.array(F.lit(None).cast(rows.schema["dst"].dataType))
+    n = -F.col("minus") if "minus" in keys else F.lit(1).cast("bigint")
+    packed = lists.select("src", n.alias("n"), F.when(F.col("bare"), F.concat("named", none)).otherwise(F.col("named")).alias("targets"))
+    deg = F.col("n") * F.size("targets")
+    if len(keys) > 1:  # a source may have several rows
+        deg = F.sum(deg).over(Window.partitionBy("src"))
     return packed.select("src", "n", (F.col("n") / deg).alias("w"), "targets").sortWithinPartitions("src")
 
 
