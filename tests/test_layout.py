@@ -134,3 +134,14 @@ def test_lists_are_gathered_once(spark):
         plan = plan[:plan.index("InMemoryTableScan")]
         assert plan.count(gather) == 1 and "partial_collect" not in plan, plan
         pairs.unpersist()
+
+
+def test_a_core_counts_in_one_task(spark):
+    """What is shuffled for the counts does not grow with the input's partitions
+    either; before, each of them sent its buckets."""
+    cores = spark.sparkContext.defaultParallelism
+    many = _links(spark, [(f"s{i % 20}", f"t{i}") for i in range(4000)]).repartition(10 * cores)
+    buckets = pr.bucket_counts(pr.link_pairs(many))
+    assert f"Coalesce {cores}" in buckets._jdf.queryExecution().executedPlan().toString()
+    assert sum(r["rows"] for r in buckets.collect()) == 4000
+    buckets.unpersist()

@@ -97,7 +97,8 @@ def _key(prefix: str, c: str):
 def trade_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(src, dst)``, one row per transaction (repeats kept). Each table is
     scanned once: a line gives up to three edges."""
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_returnflag")
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", (F.col("l_returnflag") == "R").alias("returned"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
 
@@ -105,7 +106,7 @@ def trade_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.struct(a.alias("src"), b.alias("dst"))
 
     c, p, s = _key("c:", "o_custkey"), _key("p:", "l_partkey"), _key("s:", "l_suppkey")
-    back = F.when(F.col("l_returnflag") == "R", edge(s, c))
+    back = F.when(F.col("returned"), edge(s, c))
     lines = li.join(orders, li.l_orderkey == orders.o_orderkey, "left") \
         .select(F.inline(F.array(edge(c, p), edge(p, s), back))).where("src is not null and dst is not null")
     return lines.unionByName(cust.select(_key("c:", "c_custkey").alias("src"), _key("n:", "c_nationkey").alias("dst")))

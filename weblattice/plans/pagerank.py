@@ -200,8 +200,9 @@ def _bucket():
 def bucket_counts(pairs: DataFrame) -> DataFrame:
     """``(bucket, rows, nameless)``: link rows by a hash of the source, and
     whether some have a null source, kept in memory. At most ``BUCKETS`` rows a
-    task are shuffled, however many sources it meets."""
-    return pairs.groupBy(_bucket().alias("bucket")) \
+    task are shuffled, however many sources it meets, and a core has one task,
+    however many partitions the input has."""
+    return pairs.coalesce(pairs.sparkSession.sparkContext.defaultParallelism).groupBy(_bucket().alias("bucket")) \
         .agg(F.count(F.lit(1)).alias("rows"), F.max(F.col("src").isNull()).alias("nameless")).persist(StorageLevel.MEMORY_AND_DISK)
 
 
