@@ -119,6 +119,63 @@ def test_a_shared_passage_gives_no_keys(spark):
     assert sum(map(len, key_rows(spark, sets, 80, 10**9).values())) < 100
 
 
+def test_shingles_shared_by_chance_tie_no_sets(spark):
+    """Each word is in several texts that are otherwise unlike; families hold
+    the near copies only."""
+    r = random.Random(8)
+    rows, copies = [], []
+    for size in (20, 200, 2000):
+        vocab = [f"v{size}_{k}" for k in range(8 * size)]
+        for _ in range(40):
+            rows.append((len(rows), " ".join(r.sample(vocab, size))))
+        copies.append((len(rows), rows[-1][1] + " end"))
+        rows.append(copies[-1])
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    feats = nj.written(nj.features(df, nj.Measure(1, 80), "doc_id", "text", True), "feats")
+    family = nj.families(feats, nj.Measure(1, 80))
+    ids = {x["set_id"]: x["id"] for x in feats.collect()}
+    tied = {}
+    for x in family.collect():
+        tied.setdefault(x["component"], set()).add(ids[x["node"]])
+    assert sorted(map(sorted, tied.values())) == [[i - 1, i] for i, _ in copies]
+
+
+@pytest.mark.parametrize("percent", [50, 80, 90])
+def test_sketches_lose_no_link(percent):
+    """Sizes are about those at which sketches get longer."""
+    rng = np.random.default_rng(5)
+    measure = nj.Measure(3, percent)
+    sets = []
+    for size in (3, 60, 130, 260, 390, 800, 1700, 9000, 30000):
+        for _ in range(3):
+            a = np.unique(rng.integers(0, 2**64, size, dtype=np.uint64))
+            sets += [a] + [np.sort(rng.choice(a, len(a) - int(rng.integers(0, len(a) * (100 - percent) // 100 + 1)), replace=False)) for _ in range(4)]
+    rows = [(k, h) for k in (1, 2) for h in sorted(sets, key=len)]  # two keys that all hold
+    pairs = nj.near_pairs(np.array([k for k, _ in rows]), np.array([len(h) for _, h in rows]),
+                          [nj.sketch(h, measure) for _, h in rows], measure)
+    root = list(range(len(rows)))
+    for a, b in pairs:
+        assert root[a] != root[b] and rows[a][0] == rows[b][0]
+        root = [root[a] if x == root[b] else x for x in root]
+    for i, (k, a) in enumerate(rows):
+        for j in range(i):
+            if rows[j][0] == k and root[i] != root[j]:
+                both = len(np.intersect1d(a, rows[j][1]))
+                assert 100 * both < percent * (len(a) + len(rows[j][1]) - both)
+    assert len(set(root)) > 20
+
+
+def test_keys_that_span_batches(spark):
+    rows = corpus(11)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        got = sorted(map(tuple, nj.classes(df, nj.Measure(3, 90)).drop("text_hash").collect()))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == brute(rows, 3, 90)
+
+
 def test_hot_keys_change_nothing(spark, monkeypatch):
     rows = corpus(6)
     rows += [(1000 + k, rows[10][1]) for k in range(300)]

@@ -10,8 +10,11 @@ when ``100 * |A & B| >= percent * |A | B|``. The join loses no link:
    holds too are the keys. Shingles that no other set holds come first, need no
    key, and use up places, so a passage that many documents share gives keys to
    those texts only that hardly hold anything else.
-2. *Families.* Sets that share keys form families (connected components).
-   Every link lies inside a family.
+2. *Families.* Sets that share a key meet there with their sizes and sketches
+   (parities of hashed shingles; sets whose sketches differ in k bits differ in
+   at least k shingles). Those that may link by both are tied, and form families
+   (connected components). Every link lies inside a family. Texts that share
+   phrases by chance, which in a large table nearly all do, are not tied.
 3. *Tiles.* A family is dealt into tiles by size band and hash. Only tiles of
    a band meet, and sets near its upper end are guests in the next. In a pair of tiles, hashed bitmaps
    bound the overlap from above: sets that differ in k bits differ in at least
@@ -53,6 +56,7 @@ COUNTED = 1.6            # share of the shingles that are counted, in shares tha
 TILE_SHINGLES = 2_000_000  # a tile of a family holds about so many (16 MB), where
 TILE_BAND = 4              # size band of tiles, in ratios of linked sizes
 SET_WEIGHT = 100           # a set counts as so many more
+SKETCH_BITS = 256, 4096    # of a set's sketch, at least and at most
 HOT_SAMPLED = 64           # rows of a hashed 1/64 that make a key hot
 CACHE_WORDS = 400_000    # words whose hashes a Python worker keeps
 
@@ -73,6 +77,10 @@ class Measure:
         is the same for both."""
         return size - -(-size * self.percent // 100) + 1
 
+    def apart(self, size: int) -> int:
+        """Shingles by which a set and a linked one of its size can differ."""
+        return 2 * size * (100 - self.percent) // (100 + self.percent)
+
     @property
     def counted_below(self) -> int:
         """Shingle hashes below this are counted over all texts."""
@@ -123,12 +131,25 @@ def lowest(h: np.ndarray, measure: Measure) -> np.ndarray:
     return h[:max(counted, measure.prefix(len(h)))].view(np.int64)
 
 
+def sketch(h: np.ndarray, measure: Measure) -> bytes:
+    """Of a set: for each value of its shingles' low bits, whether their number
+    is odd. So many bits that sets without much in common differ in more of
+    them than linked ones can, up to a most. Halves of a sketch, xored, are the
+    sketch of half the bits."""
+    bits, most = SKETCH_BITS
+    while bits < most and bits < 3 * measure.apart(len(h)):
+        bits *= 2
+    odd = np.bincount((h & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
 def features(docs: DataFrame, measure: Measure, id_col: str, text_col: str, lowest_only: bool) -> DataFrame:
-    """``id, text_hash, n_shingles, set_id`` and the lowest or all shingles of
-    each row. The empty set has a null set id."""
+    """``id, text_hash, n_shingles, set_id`` and the sketch and lowest shingles,
+    or all shingles, of each row. The empty set has a null set id."""
     ship(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
-    last = "lowest array<bigint>" if lowest_only else "shingles binary"
+    last = "sketch binary, lowest array<bigint>" if lowest_only else "shingles binary"
+    names = ["id", "text_hash", "n_shingles", "set_id", *(c.split()[0] for c in last.split(", "))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHash()
@@ -140,12 +161,12 @@ def features(docs: DataFrame, measure: Measure, id_col: str, text_col: str, lowe
                 if lowest_only:
                     own = [lowest(h, measure) if len(h) else np.empty(0, np.int64) for h in sets]
                     ends = np.concatenate([[0], np.cumsum([len(k) for k in own])])
-                    more = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(own), pa.int64()))
+                    more = [pa.array([sketch(h, measure) if len(h) else None for h in sets], pa.binary()),
+                            pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(own), pa.int64()))]
                 else:
-                    more = pa.array([h.tobytes() for h in sets], pa.binary())
+                    more = [pa.array([h.tobytes() for h in sets], pa.binary())]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(2), pa.array([len(h) for h in sets], pa.int64()), ids, more],
-                    ["id", "text_hash", "n_shingles", "set_id", last.split()[0]])
+                    [part.column(0), part.column(2), pa.array([len(h) for h in sets], pa.int64()), ids, *more], names)
 
     text = F.col(text_col).cast("string")
     return docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("text_hash")) \
@@ -197,18 +218,98 @@ def keys(feats: DataFrame, hot: DataFrame, measure: Measure) -> DataFrame:
     return ranked.join(places, F.col("set_id") == F.col("of_set")).where("place <= shared - spare").select("set_id", "key", "is_hot")
 
 
+def near_pairs(key: np.ndarray, size: np.ndarray, sketches: list[bytes], measure: Measure) -> list[tuple[int, int]]:
+    """Of rows in order of key, then size: a spanning forest of the pairs of one
+    key that may link by their sizes and sketches, as pairs of places."""
+    n = len(key)
+    length = np.array([len(s) for s in sketches])
+    own = {w: np.frombuffer(b"".join(sketches[i] for i in np.flatnonzero(length == w)), np.uint64).reshape(-1, w // 8)
+           for w in np.unique(length).tolist()}
+
+    def as_long(w: int) -> np.ndarray:
+        """The sketches of that length or more, folded to it; one row for each of ``key``."""
+        out = np.zeros((n, w // 8), np.uint64)
+        for longer, m in own.items():
+            if longer >= w:
+                while m.shape[1] > w // 8:
+                    m = m[:, :m.shape[1] // 2] ^ m[:, m.shape[1] // 2:]
+                out[length == longer] = m
+        return out
+
+    folded = {w: as_long(w) for w in own}
+
+    def may_link(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        differ = np.zeros(len(a), np.int64)
+        for w, m in folded.items():  # the smaller set's sketch is no longer than the other's
+            of = length[a] == w
+            differ[of] = np.bitwise_count(m[a[of]] ^ m[b[of]]).sum(1, dtype=np.int64)
+        both = size[a] + size[b]
+        shared = (both - differ) // 2
+        return 100 * shared >= measure.percent * (both - shared)
+
+    at = np.arange(n - 1)
+    at = at[(key[at] == key[at + 1]) & (100 * size[at] >= measure.percent * size[at + 1])]
+    at = at[may_link(at, at + 1)]
+    out = list(zip(at.tolist(), (at + 1).tolist()))
+    new = np.ones(n, np.int64)
+    new[at + 1] = 0
+    root = np.cumsum(new)  # runs of neighbours that may link
+    starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    first = np.repeat(starts, np.diff(np.append(starts, n)))
+    last = np.repeat(np.append(starts[1:], n) - 1, np.diff(np.append(starts, n)))
+    at, step = np.flatnonzero(root[first] != root[last]), 1
+    while len(at):
+        step += 1
+        at = at[at + step <= last[at]]
+        at = at[100 * size[at] >= measure.percent * size[at + step]]
+        apart = at[root[at] != root[at + step]]
+        for a in apart[may_link(apart, apart + step)].tolist():
+            if root[a] != root[a + step]:
+                out.append((a, a + step))
+                group = root[first[a]:last[a] + 1]
+                group[group == root[a + step]] = root[a]
+    return out
+
+
+def near_edges(rows: DataFrame, measure: Measure) -> DataFrame:
+    """``src, dst``: sets of one key that may link, of ``set_id, key,
+    n_shingles, sketch``. The rows of a key meet in one task, as arrays."""
+    ship(rows.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found(t: pa.Table) -> pa.RecordBatch:
+            ids = t.column("set_id").to_numpy()
+            pairs = near_pairs(t.column("key").to_numpy(), t.column("n_shingles").to_numpy(), t.column("sketch").to_pylist(), measure)
+            return pa.RecordBatch.from_arrays([pa.array(ids[[p[k] for p in pairs]], pa.int64()) for k in (0, 1)], ["src", "dst"])
+
+        held: list[pa.RecordBatch] = []  # of a key that the next batch may go on with
+        for batch in batches:
+            key = batch.column(batch.schema.get_field_index("key")).to_numpy()
+            if not len(key):
+                continue
+            cut = int(np.searchsorted(key, key[-1]))
+            if cut or held and held[-1].column("key")[-1].as_py() != key[-1]:
+                yield found(pa.Table.from_batches([*held, batch.slice(0, cut)]))
+                held = []
+            held.append(batch.slice(cut))
+        if held:
+            yield found(pa.Table.from_batches(held))
+
+    return rows.select("set_id", "key", "n_shingles", "sketch").repartition("key").sortWithinPartitions("key", "n_shingles") \
+        .mapInArrow(run, "src bigint, dst bigint")
+
+
 def families(feats: DataFrame, measure: Measure) -> DataFrame:
-    """``node, component`` over set ids that share a key with another set. Each
-    set of a key is tied to the first, so that a family's edges lead to few
-    sets; the first set of a hot key is broadcast to the rows."""
+    """``node, component`` over set ids that may link with another set of a key.
+    Of a hot key each set is tied to the first, which is broadcast to the rows."""
     hot = hot_shingles(feats.where("set_id is not null"))
     key = written(keys(feats, hot, measure), "ngram-keys")
-    order = Window.partitionBy("key").orderBy("set_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     often = key.where("is_hot")
     hubs = often.groupBy(F.col("key").alias("hub_key")).agg(F.min("set_id").alias("hub"))
-    edges = key.where("not is_hot").select("set_id", F.first("set_id").over(order).alias("hub")) \
-        .unionByName(often.join(F.broadcast(hubs), F.col("key") == F.col("hub_key")).select("set_id", "hub")) \
-        .where("set_id <> hub").select(F.col("set_id").alias("src"), F.col("hub").alias("dst"))
+    sketches = feats.where("set_id is not null").select(F.col("set_id").alias("of_set"), "n_shingles", "sketch").dropDuplicates(["of_set"])
+    edges = near_edges(key.where("not is_hot").join(sketches, F.col("set_id") == F.col("of_set")), measure) \
+        .unionByName(often.join(F.broadcast(hubs), F.col("key") == F.col("hub_key")).where("set_id <> hub")
+                     .select(F.col("set_id").alias("src"), F.col("hub").alias("dst")))
     out = components(edges, label="families")
     discard(hot, key)
     return out
@@ -324,7 +425,7 @@ def classes(docs: DataFrame, measure: Measure, id_col: str = "doc_id", text_col:
     size of its set and the smallest id that links reach."""
     counted = written(features(docs, measure, id_col, text_col, lowest_only=True)
                       .withColumn("set_id", F.expr("if(id is null, null, set_id)")), "ngram-counted")
-    feats = written(counted.drop("lowest"), "ngram-set-ids")
+    feats = written(counted.drop("lowest", "sketch"), "ngram-set-ids")
     family = families(counted, measure)
     discard(counted)
     joined = linked(docs, feats, family, measure, id_col, text_col)
